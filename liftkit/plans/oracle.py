@@ -44,7 +44,7 @@ def clip(x: str, lo, hi) -> str:
 
 
 def r6(x: str, alias: str) -> str:
-    return f"round({x}, 6) AS {alias}"
+    return f"round(CAST({x} AS DOUBLE), 6) AS {alias}"
 
 
 TWO_PI = "2 * pi()"
@@ -75,9 +75,10 @@ facts AS (
   FROM pu JOIN cm ON pu.user_id = cm.c_custkey
   GROUP BY cm.borough, pu.date)"""
 
-CTE["scaffold"] = f"""days AS (
-  SELECT CAST(d AS DATE) AS date FROM range({START}, {END_EXCL}, INTERVAL 1 DAY) t(d)),
-scaffold AS (
+CTE["days"] = f"""days AS (
+  SELECT CAST(d AS DATE) AS date FROM range({START}, {END_EXCL}, INTERVAL 1 DAY) t(d))"""
+
+CTE["scaffold"] = f"""scaffold AS (
   SELECT m.borough, d.date, CAST(datediff('day', {START}, d.date) AS INTEGER) AS day_index,
     CAST(m.borough IN {in_list(D.treated)} AS INTEGER) AS treated_market,
     CAST(datediff('day', {START}, d.date) >= {D.cutoff_day} AS INTEGER) AS post_period
@@ -160,7 +161,7 @@ def with_ctes(names, body: str) -> str:
     return "WITH " + ",\n".join(CTE[n] for n in names) + "\n" + body
 
 
-OBSERVED = ["cm", "ev_facts", "scaffold", "mp"]
+OBSERVED = ["cm", "ev_facts", "days", "scaffold", "mp"]
 
 MARKETING_COLS = [
     "date", "day_index", "borough", "traveler_segment", "treated_market", "treatment_flag",
@@ -180,3 +181,196 @@ SQL: dict[str, str] = {}
 
 SQL["did_estimate"] = with_ctes(OBSERVED + ["did"], f"SELECT {', '.join(r6(c, c) for c in DID_COLS)} FROM did")
 SQL["panel_facts"] = with_ctes(OBSERVED, select_cols(MARKETING_COLS, MARKETING_DOUBLES, "mp"))
+
+
+# -- listings chain ---------------------------------------------------------------------
+
+CTE["lst_raw"] = f"""ostat AS (
+  SELECT o_custkey, count(*) AS n_orders, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey),
+lst_raw AS (
+  SELECT c.c_custkey AS id, c.c_name AS name, CAST(c.c_nationkey AS BIGINT) AS host_id,
+    'host ' || CAST(c.c_nationkey AS VARCHAR) AS host_name,
+    r.r_name AS neighbourhood_group, n.n_name AS neighbourhood, c.c_mktsegment AS room_type,
+    '$' || format('{{:,.2f}}', c.c_acctbal) AS price,
+    CAST(coalesce(o.n_orders, 0) AS BIGINT) AS number_of_reviews,
+    strftime(o.last_order, '%Y-%m-%d') AS last_review,
+    CAST(CAST(o.n_orders AS DOUBLE) / {LISTING_MONTHS} AS VARCHAR) AS reviews_per_month,
+    CAST(least(datediff('day', CAST(o.last_order AS DATE), DATE '{LISTING_AS_OF}'), 365) AS VARCHAR) AS availability_365
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  LEFT JOIN ostat o ON c.c_custkey = o.o_custkey)"""
+
+
+def nan_null(x: str) -> str:
+    return f"(CASE WHEN isnan({x}) THEN NULL ELSE {x} END)"
+
+
+CTE["lst"] = f"""lst AS (
+  SELECT id, name, host_id, host_name, neighbourhood_group, neighbourhood, room_type,
+    {nan_null("TRY_CAST(replace(replace(price, '$', ''), ',', '') AS DOUBLE)")} AS price,
+    number_of_reviews,
+    TRY_CAST(last_review AS DATE) AS last_review,
+    coalesce({nan_null("TRY_CAST(reviews_per_month AS DOUBLE)")}, 0.0) AS reviews_per_month,
+    coalesce({nan_null("TRY_CAST(availability_365 AS DOUBLE)")}, 0.0) AS availability_365
+  FROM lst_raw)"""
+
+CTE["lstf"] = """lstf AS (
+  SELECT * FROM lst WHERE price > 0 AND price < (SELECT quantile_cont(price, 0.99) FROM lst))"""
+
+CTE["roll"] = f"""roll0 AS (
+  SELECT neighbourhood_group AS borough, neighbourhood, count(id) AS listing_count, avg(price) AS avg_price,
+    median(price) AS median_price, avg(reviews_per_month) AS review_velocity,
+    CAST(coalesce(sum(number_of_reviews), 0) AS BIGINT) AS total_reviews,
+    avg(availability_365) AS avg_availability, count(DISTINCT room_type) AS room_diversity
+  FROM lstf WHERE neighbourhood_group IS NOT NULL AND neighbourhood IS NOT NULL
+  GROUP BY neighbourhood_group, neighbourhood
+  HAVING count(id) >= {D.min_listings}),
+roll AS (
+  SELECT *, listing_count * (avg_availability / 365.0) AS available_supply,
+    avg_price * listing_count * (1 - avg_availability / 365.0) AS estimated_lodging_revenue_proxy,
+    {cat_case('borough')} AS experience_category
+  FROM roll0)"""
+
+
+def weekend_sql(d: str) -> str:
+    return f"CAST(isodow({d}) >= 6 AS INTEGER)"
+
+
+def holiday_sql(d: str) -> str:
+    return f"CAST(strftime({d}, '%m-%d') IN {in_list(D.holidays)} AS INTEGER)"
+
+
+def weather_sql(day: str) -> str:
+    return clip(f"{C.w0} + {C.w_amp} * sin(({day} + {C.w_shift}) / {C.period_days} * {TWO_PI})", 0.0, 100.0)
+
+
+CTE["dp"] = f"""dp0 AS (
+  SELECT r.*, d.date, CAST(datediff('day', {START}, d.date) AS INTEGER) AS day_index,
+    {weekend_sql('d.date')} AS weekend, {holiday_sql('d.date')} AS holiday,
+    1.0 + {C.season_amp} * sin(datediff('day', {START}, d.date) / {C.period_days} * {TWO_PI}) AS season,
+    CAST(r.borough IN {in_list(D.treated)} AS INTEGER) AS treated_market,
+    CAST(datediff('day', {START}, d.date) >= {D.cutoff_day} AS INTEGER) AS post_period,
+    {seg_case('r.borough')} AS traveler_segment,
+    ln(1 + listing_count) * {C.base_count} + review_velocity * {C.base_velocity} AS base_demand
+  FROM roll r, days d),
+dp1 AS (
+  SELECT *,
+    greatest(0.0, {C.ep0} + weekend * {C.ep_weekend} + holiday * {C.ep_holiday} + room_diversity) AS event_pressure,
+    {clip(f"{C.in0} + base_demand * {C.in_base} + weekend * {C.in_weekend} + holiday * {C.in_holiday}", C.in_lo, C.in_hi)} AS intent_index,
+    {weather_sql('day_index')} AS weather_favorability,
+    {clip(f"ln(1 + listing_count) * {C.poi_count} + room_diversity * {C.poi_diversity}", 0.0, 100.0)} AS poi_density,
+    greatest(0.0, base_demand * season * (1.0 + {C.org_weekend} * weekend + {C.org_holiday} * holiday)) AS organic_bookings
+  FROM dp0),
+dp2 AS (
+  SELECT *,
+    {C.uplift} * treated_market * post_period * (intent_index / {C.uplift_ref}) * (1.0 + weekend * {C.uplift_weekend}) AS campaign_effect,
+    {C.w_intent} * intent_index + {C.w_event} * event_pressure + {C.w_weather} * weather_favorability
+      + {C.w_poi} * poi_density AS demand_signal_score
+  FROM dp1),
+dp AS (SELECT *, organic_bookings * (1 + campaign_effect) AS experience_bookings_proxy FROM dp2)"""
+
+
+CTE["md"] = """md AS (
+  SELECT date, day_index, borough, traveler_segment, treated_market, post_period,
+    avg(demand_signal_score) AS demand_signal_score, avg(event_pressure) AS event_pressure,
+    avg(intent_index) AS intent_index, avg(weather_favorability) AS weather_favorability,
+    coalesce(sum(available_supply), 0.0) AS available_supply, avg(review_velocity) AS review_velocity,
+    coalesce(sum(experience_bookings_proxy), 0.0) AS baseline_experience_bookings
+  FROM dp GROUP BY date, day_index, borough, traveler_segment, treated_market, post_period)"""
+
+CTE["sp"] = f"""sp0 AS (
+  SELECT *, CAST(treated_market = 1 AND post_period = 1 AS INTEGER) AS treatment_flag FROM md),
+sp1 AS (
+  SELECT *, CASE WHEN treatment_flag = 1 THEN {C.spend0} + {C.spend_intent} * intent_index + {C.spend_event} * event_pressure
+    ELSE 0.0 END AS raw_spend FROM sp0),
+sp2 AS (SELECT *, greatest(0.0, raw_spend * {C.impressions_per_spend}) AS impressions FROM sp1),
+sp3 AS (
+  SELECT *, greatest(0.0, impressions * ({C.ctr0} + intent_index * {C.ctr_intent})) AS clicks,
+    greatest(0.0, baseline_experience_bookings
+      + treatment_flag * ({C.inc0} + {C.inc_intent} * intent_index + {C.inc_event} * event_pressure)) AS bookings
+  FROM sp2),
+sp4 AS (
+  SELECT *, bookings * ({C.aov0} + {C.aov_intent} * intent_index
+    + CAST(borough = {q(D.premium_market)} AS DOUBLE) * {C.aov_premium}) AS gbv FROM sp3),
+sp AS (
+  SELECT date, day_index, borough, traveler_segment, treated_market, treatment_flag,
+    1 - treatment_flag AS holdout_flag, post_period,
+    CASE WHEN treatment_flag = 1 THEN {q(TREATED_CAMPAIGN_ID)} ELSE {q(CONTROL_CAMPAIGN_ID)} END AS campaign_id,
+    CASE WHEN treatment_flag = 1 THEN {q(TREATED_CHANNEL)} ELSE {q(CONTROL_CHANNEL)} END AS channel,
+    greatest(0.0, raw_spend) AS spend, impressions, clicks, bookings AS experience_bookings, gbv,
+    gbv * {C.margin_rate} - raw_spend AS contribution_margin,
+    CASE WHEN clicks > 0 THEN bookings / clicks ELSE 0.0 END AS conversion_rate,
+    demand_signal_score, event_pressure, intent_index, weather_favorability, available_supply
+  FROM sp4)"""
+
+LISTINGS = ["lst_raw", "lst"]
+FILTERED = LISTINGS + ["lstf"]
+ROLLUP = FILTERED + ["roll"]
+DEMAND = ROLLUP + ["days", "dp"]
+SCENARIO = DEMAND + ["md", "sp"]
+
+RAW_COLS = ["id", "name", "host_id", "host_name", "neighbourhood_group", "neighbourhood", "room_type", "price",
+            "number_of_reviews", "last_review", "reviews_per_month", "availability_365"]
+CLEAN_DOUBLES = {"price", "reviews_per_month", "availability_365"}
+
+SQL["clean_price"] = with_ctes(LISTINGS, "SELECT l.id, r.price AS price_text, round(l.price, 6) AS price "
+                                         "FROM lst l JOIN lst_raw r ON l.id = r.id")
+SQL["safe_dates"] = with_ctes(LISTINGS, "SELECT id, last_review FROM lst")
+SQL["clean_listings"] = with_ctes(LISTINGS, select_cols(RAW_COLS, CLEAN_DOUBLES, "lst"))
+SQL["outlier_filter"] = with_ctes(FILTERED, select_cols(RAW_COLS, CLEAN_DOUBLES, "lstf"))
+SQL["drop_zero"] = with_ctes(LISTINGS, "SELECT id, round(price, 6) AS price FROM lst WHERE price IS DISTINCT FROM 0")
+SQL["binarize"] = with_ctes(LISTINGS, "SELECT id, CASE WHEN availability_365 > 165 THEN 1 ELSE 0 END AS availability_365 FROM lst")
+SQL["profile_select"] = with_ctes(LISTINGS, select_cols(
+    ["neighbourhood_group", "neighbourhood", "room_type", "price", "number_of_reviews", "reviews_per_month",
+     "availability_365"], CLEAN_DOUBLES, "lst"))
+SQL["category_share"] = with_ctes(LISTINGS, """SELECT room_type, count(*) AS n,
+  round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM lst), 6) AS share FROM lst GROUP BY room_type""")
+SQL["distinct_values"] = with_ctes(["lst_raw"], """SELECT DISTINCT column_name, value FROM (
+  """ + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM lst_raw"
+    for c in ["name", "host_name", "neighbourhood_group", "neighbourhood", "room_type", "price", "last_review",
+              "reviews_per_month", "availability_365"]) + ") t")
+
+ROLL_COLS = ["borough", "neighbourhood", "listing_count", "avg_price", "median_price", "review_velocity",
+             "total_reviews", "avg_availability", "room_diversity", "available_supply",
+             "estimated_lodging_revenue_proxy", "experience_category"]
+ROLL_DOUBLES = {"avg_price", "median_price", "review_velocity", "avg_availability", "available_supply",
+                "estimated_lodging_revenue_proxy"}
+SQL["market_rollup"] = with_ctes(ROLLUP, select_cols(ROLL_COLS, ROLL_DOUBLES, "roll"))
+SQL["market_category"] = with_ctes(ROLLUP, "SELECT borough, neighbourhood, experience_category FROM roll")
+
+DEMAND_COLS = [
+    "date", "day_index", "borough", "neighbourhood", "traveler_segment", "experience_category",
+    "listing_count", "available_supply", "avg_price", "review_velocity", "event_pressure",
+    "intent_index", "weather_favorability", "poi_density", "weekend", "holiday", "treated_market",
+    "post_period", "demand_signal_score", "experience_bookings_proxy",
+]
+DEMAND_DOUBLES = {"available_supply", "avg_price", "review_velocity", "event_pressure", "intent_index",
+                  "weather_favorability", "poi_density", "demand_signal_score", "experience_bookings_proxy",
+                  "organic_bookings", "campaign_effect", "season", "base_demand"}
+SQL["demand_panel"] = with_ctes(DEMAND, select_cols(DEMAND_COLS, DEMAND_DOUBLES, "dp"))
+SQL["demand_signals"] = with_ctes(DEMAND, select_cols(
+    ["date", "borough", "neighbourhood", "base_demand", "event_pressure", "intent_index", "weather_favorability",
+     "poi_density"], DEMAND_DOUBLES, "dp"))
+SQL["demand_score"] = with_ctes(DEMAND, select_cols(["date", "neighbourhood", "demand_signal_score"], DEMAND_DOUBLES, "dp"))
+SQL["baseline_forecast"] = with_ctes(DEMAND, select_cols(
+    ["date", "neighbourhood", "season", "organic_bookings", "campaign_effect", "experience_bookings_proxy"],
+    DEMAND_DOUBLES, "dp"))
+MD_COLS = ["date", "day_index", "borough", "traveler_segment", "treated_market", "post_period",
+           "demand_signal_score", "event_pressure", "intent_index", "weather_favorability", "available_supply",
+           "review_velocity", "baseline_experience_bookings"]
+SQL["market_day_rollup"] = with_ctes(DEMAND + ["md"], select_cols(MD_COLS, set(MD_COLS[6:]), "md"))
+SQL["scenario_panel"] = with_ctes(SCENARIO, select_cols(MARKETING_COLS, MARKETING_DOUBLES, "sp"))
+
+SQL["segment_lookup"] = with_ctes(["cm"], f"SELECT c_custkey, borough, {seg_case('borough')} AS traveler_segment FROM cm")
+SQL["calendar_features"] = f"""SELECT date, CAST(datediff('day', {START}, date) AS INTEGER) AS day_index,
+  CAST(isodow(date) - 1 AS INTEGER) AS weekday, {weekend_sql('date')} AS weekend, {holiday_sql('date')} AS holiday,
+  strftime(date, '%Y-%m-%d') AS date_iso,
+  round(1.0 + {C.season_amp} * sin(datediff('day', {START}, date) / {C.period_days} * {TWO_PI}), 6) AS season
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events) e"""
+SQL["panel_scaffold"] = with_ctes(["days", "scaffold"], "SELECT borough, date, day_index, treated_market, post_period FROM scaffold")
+SQL["assignment_flags"] = with_ctes(OBSERVED, """SELECT borough, date, treated_market, post_period, treatment_flag,
+  holdout_flag, campaign_id, channel FROM mp""")
+SQL["kpi_panel"] = with_ctes(OBSERVED, select_cols(
+    ["borough", "date", "spend", "clicks", "experience_bookings", "gbv", "contribution_margin", "conversion_rate"],
+    MARKETING_DOUBLES, "mp"))

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from liftkit.operators import causal, panel
+from liftkit.functions import clean as clean_fn
+from liftkit.operators import causal, cleaning, panel, profile
 from liftkit.sources import tables as T
 from liftkit.sources.tables import TEST_DESIGN
 
@@ -55,3 +56,158 @@ def q_panel_facts(spark, sf_dir):
 @register("did_estimate")
 def q_did_estimate(spark, sf_dir):
     return stable(causal.did_estimate(observed_marketing(spark, sf_dir)))
+
+
+# -- listings chain ------------------------------------------------------------------------
+
+def raw_listings(spark, sf_dir):
+    return T.listings(spark, sf_dir)
+
+
+def cleaned_listings(spark, sf_dir):
+    return cleaning.clean_listings(T.listings(spark, sf_dir))
+
+
+def filtered_listings(spark, sf_dir):
+    return cleaning.outlier_filter(cleaned_listings(spark, sf_dir))
+
+
+def rollup(spark, sf_dir):
+    return panel.market_rollup(filtered_listings(spark, sf_dir), TEST_DESIGN)
+
+
+def demand(spark, sf_dir, keep_intermediate=False):
+    return panel.demand_panel(rollup(spark, sf_dir), TEST_DESIGN, keep_intermediate=keep_intermediate)
+
+
+def market_days(spark, sf_dir):
+    return panel.market_day_rollup(demand(spark, sf_dir))
+
+
+def scenario(spark, sf_dir):
+    return panel.scenario_panel(market_days(spark, sf_dir), TEST_DESIGN)
+
+
+RAW_COLS = ["id", "name", "host_id", "host_name", "neighbourhood_group", "neighbourhood", "room_type", "price",
+            "number_of_reviews", "last_review", "reviews_per_month", "availability_365"]
+
+
+@register("clean_price")
+def q_clean_price(spark, sf_dir):
+    raw = raw_listings(spark, sf_dir)
+    return stable(raw.select("id", F.col("price").alias("price_text"), clean_fn.clean_price("price").alias("price")))
+
+
+@register("safe_dates")
+def q_safe_dates(spark, sf_dir):
+    return raw_listings(spark, sf_dir).select("id", clean_fn.safe_date("last_review").alias("last_review"))
+
+
+@register("clean_listings")
+def q_clean_listings(spark, sf_dir):
+    return stable(cleaned_listings(spark, sf_dir).select(*RAW_COLS))
+
+
+@register("outlier_filter")
+def q_outlier_filter(spark, sf_dir):
+    return stable(filtered_listings(spark, sf_dir).select(*RAW_COLS))
+
+
+@register("drop_zero")
+def q_drop_zero(spark, sf_dir):
+    return stable(cleaning.drop_zero(cleaned_listings(spark, sf_dir)).select("id", "price"))
+
+
+@register("binarize")
+def q_binarize(spark, sf_dir):
+    return cleaning.binarize(cleaned_listings(spark, sf_dir), "availability_365", 165).select("id", "availability_365")
+
+
+@register("profile_select")
+def q_profile_select(spark, sf_dir):
+    df = profile.profile_select(cleaned_listings(spark, sf_dir), drop=["id", "name", "host_id", "host_name"])
+    return stable(profile.profile_select(df, drop=["last_review"]))
+
+
+@register("category_share")
+def q_category_share(spark, sf_dir):
+    return stable(profile.category_share(cleaned_listings(spark, sf_dir), "room_type"))
+
+
+@register("distinct_values")
+def q_distinct_values(spark, sf_dir):
+    return profile.distinct_values(raw_listings(spark, sf_dir))
+
+
+@register("market_rollup")
+def q_market_rollup(spark, sf_dir):
+    return stable(rollup(spark, sf_dir))
+
+
+@register("market_category")
+def q_market_category(spark, sf_dir):
+    return rollup(spark, sf_dir).select("borough", "neighbourhood", "experience_category")
+
+
+@register("demand_panel")
+def q_demand_panel(spark, sf_dir):
+    return stable(demand(spark, sf_dir))
+
+
+@register("demand_signals")
+def q_demand_signals(spark, sf_dir):
+    return stable(demand(spark, sf_dir, True).select(
+        "date", "borough", "neighbourhood", "base_demand", "event_pressure", "intent_index",
+        "weather_favorability", "poi_density"))
+
+
+@register("demand_score")
+def q_demand_score(spark, sf_dir):
+    return stable(demand(spark, sf_dir).select("date", "neighbourhood", "demand_signal_score"))
+
+
+@register("baseline_forecast")
+def q_baseline_forecast(spark, sf_dir):
+    return stable(demand(spark, sf_dir, True).select(
+        "date", "neighbourhood", "season", "organic_bookings", "campaign_effect", "experience_bookings_proxy"))
+
+
+@register("market_day_rollup")
+def q_market_day_rollup(spark, sf_dir):
+    return stable(market_days(spark, sf_dir))
+
+
+@register("scenario_panel")
+def q_scenario_panel(spark, sf_dir):
+    return stable(scenario(spark, sf_dir))
+
+
+@register("segment_lookup")
+def q_segment_lookup(spark, sf_dir):
+    cm = T.customer_markets(spark, sf_dir)
+    return cm.select("c_custkey", "borough", panel.segment_of("borough", TEST_DESIGN).alias("traveler_segment"))
+
+
+@register("calendar_features")
+def q_calendar_features(spark, sf_dir):
+    dates = T.read_table(spark, sf_dir, "events").select(F.to_date("ts").alias("date")).distinct()
+    cal = panel.with_calendar(dates, TEST_DESIGN)
+    return stable(cal.select("date", "day_index", "weekday", "weekend", "holiday", "date_iso", "season"))
+
+
+@register("panel_scaffold")
+def q_panel_scaffold(spark, sf_dir):
+    return panel.panel_scaffold(T.markets(spark, sf_dir), TEST_DESIGN).select(
+        "borough", "date", F.col("day_index").cast("int").alias("day_index"), "treated_market", "post_period")
+
+
+@register("assignment_flags")
+def q_assignment_flags(spark, sf_dir):
+    return observed_marketing(spark, sf_dir).select(
+        "borough", "date", "treated_market", "post_period", "treatment_flag", "holdout_flag", "campaign_id", "channel")
+
+
+@register("kpi_panel")
+def q_kpi_panel(spark, sf_dir):
+    return stable(observed_marketing(spark, sf_dir).select(
+        "borough", "date", "spend", "clicks", "experience_bookings", "gbv", "contribution_margin", "conversion_rate"))
