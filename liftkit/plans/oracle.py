@@ -158,7 +158,11 @@ DID_COLS = [
 
 
 def with_ctes(names, body: str) -> str:
-    return "WITH " + ",\n".join(CTE[n] for n in names) + "\n" + body
+    seen = []
+    for n in names:
+        if n not in seen:
+            seen.append(n)
+    return "WITH " + ",\n".join(CTE[n] for n in seen) + "\n" + body
 
 
 OBSERVED = ["cm", "ev_facts", "days", "scaffold", "mp"]
@@ -374,3 +378,106 @@ SQL["assignment_flags"] = with_ctes(OBSERVED, """SELECT borough, date, treated_m
 SQL["kpi_panel"] = with_ctes(OBSERVED, select_cols(
     ["borough", "date", "spend", "clicks", "experience_bookings", "gbv", "contribution_margin", "conversion_rate"],
     MARKETING_DOUBLES, "mp"))
+
+
+# -- estimate, scores, decision ---------------------------------------------------------
+
+SQL["did_cells"] = with_ctes(OBSERVED, """SELECT treated_market, post_period, count(*) AS n_days,
+  round(avg(experience_bookings), 6) AS bookings, round(avg(gbv), 6) AS gbv, round(avg(contribution_margin), 6) AS margin
+FROM mp WHERE treated_market IS NOT NULL AND post_period IS NOT NULL GROUP BY treated_market, post_period""")
+
+SQL["pretrend"] = with_ctes(OBSERVED, """SELECT round(st, 6) AS slope_treated, round(sc, 6) AS slope_control,
+  round(st - sc, 6) AS pretrend_slope_gap_bookings_per_day
+FROM (SELECT
+  regr_slope(CASE WHEN treated_market = 1 THEN experience_bookings END, CASE WHEN treated_market = 1 THEN CAST(day_index AS DOUBLE) END) AS st,
+  regr_slope(CASE WHEN treated_market = 0 THEN experience_bookings END, CASE WHEN treated_market = 0 THEN CAST(day_index AS DOUBLE) END) AS sc
+  FROM mp WHERE post_period = 0) t""")
+
+SQL["decision"] = with_ctes(OBSERVED + ["did"], f"""SELECT round(estimated_incremental_margin, 6) AS estimated_incremental_margin,
+  round(pretrend_slope_gap_bookings_per_day, 6) AS pretrend_slope_gap_bookings_per_day,
+  CASE WHEN estimated_incremental_margin > 0 AND abs(pretrend_slope_gap_bookings_per_day) < {C.max_pretrend_gap}
+    THEN {q(DECISION_SCALE)} ELSE {q(DECISION_RETEST)} END AS decision
+FROM did""")
+
+_dm_parts = []
+for i, (m, text) in enumerate(DECISION_METRIC_TEXT):
+    if i == 0:
+        val = "CAST((SELECT count(*) FROM lstf) AS DOUBLE)"
+    elif i == 1:
+        val = "CAST((SELECT count(*) FROM dp) AS DOUBLE)"
+    elif i == 2:
+        val = "CAST((SELECT count(*) FROM mp) AS DOUBLE)"
+    else:
+        val = f"(SELECT CAST({m} AS DOUBLE) FROM did)"
+    _dm_parts.append(f"SELECT {q(m)} AS metric, {val} AS value, {q(text)} AS interpretation, {i} AS metric_order")
+CTE["dm"] = "dm AS (\n  " + "\n  UNION ALL ".join(_dm_parts) + ")"
+FULL = DEMAND + OBSERVED + ["did", "dm"]
+SQL["decision_metrics"] = with_ctes(FULL, "SELECT metric, round(value, 6) AS value, interpretation, metric_order FROM dm")
+
+FEAT_DOUBLES = ["demand_signal_score", "event_pressure", "intent_index", "weather_favorability", "available_supply",
+                "baseline_bookings", "avg_gbv", "avg_margin"]
+CTE["feat"] = """feat AS (
+  SELECT borough, avg(demand_signal_score) AS demand_signal_score, avg(event_pressure) AS event_pressure,
+    avg(intent_index) AS intent_index, avg(weather_favorability) AS weather_favorability,
+    avg(available_supply) AS available_supply, avg(experience_bookings) AS baseline_bookings,
+    avg(gbv) AS avg_gbv, avg(contribution_margin) AS avg_margin
+  FROM mp WHERE borough IS NOT NULL GROUP BY borough)"""
+SQL["opportunity_features"] = with_ctes(OBSERVED + ["feat"], select_cols(["borough"] + FEAT_DOUBLES, set(FEAT_DOUBLES), "feat"))
+
+
+def pct_rank_sql(x: str) -> str:
+    return (f"(CASE WHEN {x} IS NULL THEN NULL ELSE (rank() OVER (ORDER BY {x} ASC NULLS LAST) "
+            f"+ (count({x}) OVER (PARTITION BY {x}) - 1) / 2.0) / count({x}) OVER () END)")
+
+
+CTE["opp"] = f"""opp0 AS (
+  SELECT *, baseline_bookings AS predicted_daily_experience_bookings FROM feat),
+opp1 AS (
+  SELECT *, ({C.s_demand} * {pct_rank_sql('demand_signal_score')} + {C.s_event} * {pct_rank_sql('event_pressure')}
+    + {C.s_supply} * {pct_rank_sql('available_supply')}
+    + {C.s_predicted} * {pct_rank_sql('predicted_daily_experience_bookings')}) * 100.0 AS opportunity_score
+  FROM opp0),
+opp2 AS (
+  SELECT *, opportunity_score * (SELECT estimated_incremental_margin FROM did) / sum(opportunity_score) OVER ()
+    AS expected_incremental_margin FROM opp1),
+opp AS (
+  SELECT *, CASE WHEN expected_incremental_margin > 0 THEN {q(ACTION_SCALE)}
+    WHEN opportunity_score > {C.action_score} THEN {q(ACTION_TEST)} ELSE {q(ACTION_HOLD)} END AS recommended_action,
+    CAST(NULL AS DOUBLE) AS rf_holdout_r2
+  FROM opp2)"""
+SCORE_COLS = ["borough"] + FEAT_DOUBLES + ["predicted_daily_experience_bookings", "opportunity_score",
+                                           "expected_incremental_margin", "recommended_action", "rf_holdout_r2"]
+SCORE_DOUBLES = set(FEAT_DOUBLES) | {"predicted_daily_experience_bookings", "opportunity_score",
+                                     "expected_incremental_margin", "rf_holdout_r2"}
+SCORES = OBSERVED + ["did", "feat", "opp"]
+SQL["opportunity_scores"] = with_ctes(SCORES, select_cols(SCORE_COLS, SCORE_DOUBLES, "opp"))
+SQL["top_market"] = with_ctes(SCORES, select_cols(SCORE_COLS, SCORE_DOUBLES, "opp")
+                              + " ORDER BY opportunity_score DESC NULLS LAST, borough ASC LIMIT 1")
+SQL["score_frame"] = with_ctes(SCORES, "SELECT borough, round(opportunity_score, 6) AS opportunity_score, recommended_action FROM opp")
+SQL["pct_rank_avg"] = with_ctes(ROLLUP, f"""SELECT borough, neighbourhood,
+  round({pct_rank_sql('avg_price')}, 6) AS avg_price_rank,
+  round({pct_rank_sql('room_diversity')}, 6) AS room_diversity_rank,
+  round({pct_rank_sql('total_reviews')}, 6) AS total_reviews_rank
+FROM roll""")
+
+# -- reports and frames -----------------------------------------------------------------
+
+SQL["report_best_markets"] = with_ctes(SCORES, """SELECT borough, round(demand_signal_score, 6) AS demand_signal_score,
+  round(opportunity_score, 6) AS opportunity_score, recommended_action,
+  round(expected_incremental_margin, 6) AS expected_incremental_margin FROM opp""")
+SQL["report_lift"] = with_ctes(OBSERVED, """SELECT borough, treatment_flag, post_period, count(*) AS days,
+  round(avg(experience_bookings), 2) AS avg_daily_bookings, round(avg(gbv), 2) AS avg_daily_gbv,
+  round(avg(contribution_margin), 2) AS avg_daily_margin
+FROM mp GROUP BY borough, treatment_flag, post_period""")
+SQL["report_signals"] = with_ctes(DEMAND, """SELECT borough, round(avg(event_pressure), 2) AS avg_event_pressure,
+  round(avg(intent_index), 2) AS avg_intent_index, round(avg(weather_favorability), 2) AS avg_weather_favorability,
+  round(avg(review_velocity), 2) AS avg_review_velocity, round(avg(available_supply), 2) AS avg_available_supply
+FROM dp GROUP BY borough""")
+SQL["report_metrics"] = with_ctes(FULL, "SELECT metric, round(value, 6) AS value, interpretation FROM dm")
+SQL["trend_frame"] = with_ctes(OBSERVED, """SELECT day_index, treated_market, post_period,
+  round(avg(experience_bookings), 6) AS experience_bookings,
+  CASE WHEN treated_market = 1 THEN 'Treated markets' WHEN treated_market = 0 THEN 'Control markets' END AS market_group
+FROM mp GROUP BY day_index, treated_market, post_period""")
+SQL["signal_map_frame"] = with_ctes(DEMAND, """SELECT borough, round(avg(intent_index), 6) AS intent_index,
+  round(avg(event_pressure), 6) AS event_pressure, round(avg(demand_signal_score), 6) AS demand_signal_score
+FROM dp WHERE borough IS NOT NULL GROUP BY borough""")

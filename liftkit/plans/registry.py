@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from liftkit.functions import clean as clean_fn
-from liftkit.operators import causal, cleaning, panel, profile
+from liftkit.operators import causal, cleaning, panel, profile, scoring
+from liftkit.plans import pipeline, reports
 from liftkit.sources import tables as T
 from liftkit.sources.tables import TEST_DESIGN
 
@@ -211,3 +212,98 @@ def q_assignment_flags(spark, sf_dir):
 def q_kpi_panel(spark, sf_dir):
     return stable(observed_marketing(spark, sf_dir).select(
         "borough", "date", "spend", "clicks", "experience_bookings", "gbv", "contribution_margin", "conversion_rate"))
+
+
+# -- estimate, scores, decision --------------------------------------------------------------
+
+@register("did_cells")
+def q_did_cells(spark, sf_dir):
+    return stable(causal.did_cells(observed_marketing(spark, sf_dir)))
+
+
+@register("pretrend")
+def q_pretrend(spark, sf_dir):
+    return stable(causal.pretrend(observed_marketing(spark, sf_dir)))
+
+
+@register("decision")
+def q_decision(spark, sf_dir):
+    m = causal.decision(causal.did_estimate(observed_marketing(spark, sf_dir)))
+    return stable(m.select("estimated_incremental_margin", "pretrend_slope_gap_bookings_per_day", "decision"))
+
+
+def measurement(spark, sf_dir):
+    return pipeline.run_test_tables(spark, sf_dir)
+
+
+@register("decision_metrics")
+def q_decision_metrics(spark, sf_dir):
+    return stable(measurement(spark, sf_dir).decision_metrics)
+
+
+@register("opportunity_features")
+def q_opportunity_features(spark, sf_dir):
+    return stable(scoring.market_features(observed_marketing(spark, sf_dir)))
+
+
+@register("opportunity_scores")
+def q_opportunity_scores(spark, sf_dir):
+    return stable(scoring.opportunity_scores(observed_marketing(spark, sf_dir)))
+
+
+@register("top_market")
+def q_top_market(spark, sf_dir):
+    return stable(scoring.top_market(scoring.opportunity_scores(observed_marketing(spark, sf_dir))))
+
+
+@register("score_frame")
+def q_score_frame(spark, sf_dir):
+    return stable(reports.score_frame(scoring.opportunity_scores(observed_marketing(spark, sf_dir))))
+
+
+@register("pct_rank_avg")
+def q_pct_rank_avg(spark, sf_dir):
+    r = rollup(spark, sf_dir)
+    return stable(r.select(
+        "borough", "neighbourhood",
+        scoring.pct_rank_avg("avg_price").alias("avg_price_rank"),
+        scoring.pct_rank_avg("room_diversity").alias("room_diversity_rank"),
+        scoring.pct_rank_avg("total_reviews").alias("total_reviews_rank"),
+    ))
+
+
+# -- reports over warehouse views ---------------------------------------------------------------
+
+def _report(spark, sf_dir, name):
+    measurement(spark, sf_dir).register_views()
+    return stable(reports.run_report(spark, name))
+
+
+@register("report_best_markets")
+def q_report_best_markets(spark, sf_dir):
+    return _report(spark, sf_dir, "best_markets")
+
+
+@register("report_lift")
+def q_report_lift(spark, sf_dir):
+    return _report(spark, sf_dir, "lift")
+
+
+@register("report_signals")
+def q_report_signals(spark, sf_dir):
+    return _report(spark, sf_dir, "signals")
+
+
+@register("report_metrics")
+def q_report_metrics(spark, sf_dir):
+    return _report(spark, sf_dir, "metrics")
+
+
+@register("trend_frame")
+def q_trend_frame(spark, sf_dir):
+    return stable(reports.trend_frame(observed_marketing(spark, sf_dir)))
+
+
+@register("signal_map_frame")
+def q_signal_map_frame(spark, sf_dir):
+    return stable(reports.signal_map_frame(demand(spark, sf_dir)))
