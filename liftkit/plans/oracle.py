@@ -12,7 +12,7 @@ import datetime as dt
 from liftkit.config import (
     ACTION_HOLD, ACTION_SCALE, ACTION_TEST, CONTROL_CAMPAIGN_ID, CONTROL_CHANNEL, DECISION_METRIC_TEXT,
     DECISION_RETEST, DECISION_SCALE, DEFAULT_CATEGORY, DEFAULT_COEF as C, DEFAULT_SEGMENT,
-    TREATED_CAMPAIGN_ID, TREATED_CHANNEL,
+    TREATED_CAMPAIGN_ID, TREATED_CHANNEL, RUBRIC, SYNTHETIC_FIELDS, PASS_SCORE, REQUIRED_TABLES,
 )
 from liftkit.sources.tables import LISTING_AS_OF, LISTING_MONTHS, TEST_DESIGN as D
 
@@ -481,3 +481,51 @@ FROM mp GROUP BY day_index, treated_market, post_period""")
 SQL["signal_map_frame"] = with_ctes(DEMAND, """SELECT borough, round(avg(intent_index), 6) AS intent_index,
   round(avg(event_pressure), 6) AS event_pressure, round(avg(demand_signal_score), 6) AS demand_signal_score
 FROM dp WHERE borough IS NOT NULL GROUP BY borough""")
+
+
+# -- quality gates, sources and sinks ---------------------------------------------------------
+
+SQL["table_counts"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+              "embeddings", "pages", "benchmark", "labels", "conversations"])
+
+CTE["wh_counts"] = """whc AS (
+  SELECT 'neighborhood_demand_panel' AS table_name, 0 AS position, (SELECT count(*) FROM dp) AS n_rows
+  UNION ALL SELECT 'marketing_experiment_panel', 1, (SELECT count(*) FROM mp)
+  UNION ALL SELECT 'experience_opportunity_scores', 2, (SELECT count(*) FROM opp)
+  UNION ALL SELECT 'decision_metrics', 3, (SELECT count(*) FROM dm)),
+gate AS (
+  SELECT table_name, 1 AS present, n_rows, CAST(n_rows > 0 AS INTEGER) AS ok,
+    min(CAST(n_rows > 0 AS INTEGER)) OVER () AS tables_ok FROM whc)"""
+WAREHOUSE = FULL + ["feat", "opp", "wh_counts"]
+SQL["table_gate"] = with_ctes(WAREHOUSE, "SELECT table_name, present, n_rows, ok, tables_ok FROM gate")
+
+_rub_rows = []
+for ci, (crit, points, signals) in enumerate(RUBRIC):
+    for si, sig in enumerate(signals):
+        _rub_rows.append(f"({ci}, {q(crit)}, {points}, {len(signals)}, {si}, {q(sig)})")
+CTE["rubric"] = f"""rub(criterion_order, criterion, points, n_signals, signal_order, signal) AS (
+  VALUES {', '.join(_rub_rows)}),
+hits AS (
+  SELECT r.*, CASE WHEN EXISTS (SELECT 1 FROM documents d WHERE contains(lower(d.text), lower(r.signal)))
+    THEN 1 ELSE 0 END AS found FROM rub r),
+rscore AS (
+  SELECT criterion_order, criterion, points, n_signals, CAST(sum(found) AS INTEGER) AS n_found,
+    CAST(round_even(points * sum(found) / n_signals, 0) AS INTEGER) AS score,
+    coalesce(string_agg(CASE WHEN found = 1 THEN signal END, ', ' ORDER BY signal_order), '') AS found_signals
+  FROM hits GROUP BY criterion_order, criterion, points, n_signals)"""
+SQL["rubric_score"] = with_ctes(["rubric"], "SELECT * FROM rscore")
+SQL["rubric_verdict"] = with_ctes(WAREHOUSE + ["rubric"], f"""SELECT total_score, possible_score, tables_ok,
+  CASE WHEN total_score >= {PASS_SCORE} AND tables_ok = 1 THEN 'PASS' ELSE 'NEEDS WORK' END AS verdict
+FROM (SELECT CAST(coalesce(sum(score), 0) AS INTEGER) AS total_score, CAST(coalesce(sum(points), 0) AS INTEGER) AS possible_score,
+  CAST(coalesce((SELECT min(tables_ok) FROM gate), 0) AS INTEGER) AS tables_ok FROM rscore) t""")
+
+SQL["quality_summary"] = with_ctes(FULL, f"""SELECT (SELECT count(*) FROM lstf) AS raw_listing_rows,
+  (SELECT count(*) FROM dp) AS demand_panel_rows, (SELECT count(*) FROM mp) AS marketing_panel_rows,
+  (SELECT list_sort(list(DISTINCT borough)) FROM mp WHERE borough IS NOT NULL) AS boroughs,
+  [{', '.join(q(x) for x in SYNTHETIC_FIELDS)}] AS synthetic_fields,
+  'customer, nation, region, orders, events' AS source""")
+
+SQL["sink_roundtrip"] = with_ctes(OBSERVED, select_cols(MARKETING_COLS, MARKETING_DOUBLES, "mp"))
+SQL["src_listings"] = with_ctes(["lst_raw"], f"SELECT {', '.join(RAW_COLS)} FROM lst_raw")

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from liftkit.functions import clean as clean_fn
-from liftkit.operators import causal, cleaning, panel, profile, scoring
+from liftkit.operators import causal, cleaning, panel, profile, quality, scoring
 from liftkit.plans import pipeline, reports
+from liftkit.sources import files
 from liftkit.sources import tables as T
 from liftkit.sources.tables import TEST_DESIGN
 
@@ -307,3 +308,61 @@ def q_trend_frame(spark, sf_dir):
 @register("signal_map_frame")
 def q_signal_map_frame(spark, sf_dir):
     return stable(reports.signal_map_frame(demand(spark, sf_dir)))
+
+
+# -- quality gates, sources and sinks ---------------------------------------------------------------
+
+def register_test_tables(spark, sf_dir):
+    for t in T.TABLES:
+        T.read_table(spark, sf_dir, t).createOrReplaceTempView(t)
+
+
+@register("table_counts")
+def q_table_counts(spark, sf_dir):
+    register_test_tables(spark, sf_dir)
+    return quality.table_counts(spark, names=list(T.TABLES))
+
+
+@register("table_gate")
+def q_table_gate(spark, sf_dir):
+    measurement(spark, sf_dir).register_views()
+    return quality.table_gate(spark)
+
+
+@register("rubric_score")
+def q_rubric_score(spark, sf_dir):
+    return quality.rubric_score(T.read_table(spark, sf_dir, "documents"))
+
+
+@register("rubric_verdict")
+def q_rubric_verdict(spark, sf_dir):
+    scores = quality.rubric_score(T.read_table(spark, sf_dir, "documents"))
+    measurement(spark, sf_dir).register_views()
+    return quality.rubric_verdict(scores, quality.table_gate(spark))
+
+
+@register("quality_summary")
+def q_quality_summary(spark, sf_dir):
+    run = measurement(spark, sf_dir)
+    return quality.quality_summary(run.listings, run.demand_panel, run.marketing, SUMMARY_SOURCE)
+
+
+SUMMARY_SOURCE = "customer, nation, region, orders, events"
+
+
+@register("sink_roundtrip")
+def q_sink_roundtrip(spark, sf_dir):
+    """Write the campaign panel as header CSV, read it back with its schema."""
+    df = observed_marketing(spark, sf_dir)
+    path = files.scratch_path(spark, "marketing_csv")
+    files.write_csv(df, path)
+    return stable(files.read_csv(spark, path, df.schema))
+
+
+@register("src_listings")
+def q_src_listings(spark, sf_dir):
+    """Listing export written as CSV and scanned back with the explicit text schema."""
+    raw = raw_listings(spark, sf_dir)
+    path = files.scratch_path(spark, "listings_csv")
+    files.write_csv(raw, path)
+    return files.read_listings_csv(spark, path, raw.schema)
