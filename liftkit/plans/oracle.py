@@ -529,3 +529,103 @@ SQL["quality_summary"] = with_ctes(FULL, f"""SELECT (SELECT count(*) FROM lstf)
 
 SQL["sink_roundtrip"] = with_ctes(OBSERVED, select_cols(MARKETING_COLS, MARKETING_DOUBLES, "mp"))
 SQL["src_listings"] = with_ctes(["lst_raw"], f"SELECT {', '.join(RAW_COLS)} FROM lst_raw")
+
+
+# -- features, baselines, nearest neighbours, evaluation ------------------------------------------
+# Categorical levels of the test tables' dimensions (region names, nation
+# names, market segments), used to spell out the one-hot columns.
+REGION_LEVELS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+NATION_LEVELS = sorted(f"NATION_{i}" for i in range(25))
+SEGMENT_LEVELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+_oh = []
+for col, prefix, levels in (("neighbourhood_group", "G", REGION_LEVELS), ("neighbourhood", "N", NATION_LEVELS),
+                            ("room_type", "R", SEGMENT_LEVELS)):
+    for lv in levels:
+        _oh.append(f'CAST(coalesce({col} = {q(lv)}, false) AS INTEGER) AS "{prefix}_{lv}"')
+CTE["clf"] = f"""clf AS (
+  SELECT id, round(price, 6) AS price, number_of_reviews, round(reviews_per_month, 6) AS reviews_per_month,
+    CASE WHEN availability_365 > 165 THEN 1 ELSE 0 END AS label, {', '.join(_oh)}
+  FROM lst WHERE price IS DISTINCT FROM 0)"""
+SQL["onehot"] = with_ctes(LISTINGS + ["clf"], "SELECT * FROM clf")
+SQL["src_export_reread"] = SQL["onehot"]
+
+_num = ["price", "number_of_reviews", "reviews_per_month"]
+SQL["standardize"] = with_ctes(LISTINGS, "SELECT id, " + ", ".join(
+    f"round(CASE WHEN (SELECT stddev_pop({c}) FROM lst) > 0 THEN ({c} - (SELECT avg({c}) FROM lst)) / "
+    f"(SELECT stddev_pop({c}) FROM lst) ELSE 0.0 END, 6) AS {c}" for c in _num) + " FROM lst")
+SQL["minmax_scale"] = with_ctes(LISTINGS, "SELECT id, " + ", ".join(
+    f"round(CASE WHEN (SELECT max({c}) FROM lst) > (SELECT min({c}) FROM lst) THEN ({c} - (SELECT min({c}) FROM lst)) / "
+    f"((SELECT max({c}) FROM lst) - (SELECT min({c}) FROM lst)) ELSE 0.0 END, 6) AS {c}"
+    for c in ["price", "number_of_reviews"]) + " FROM lst")
+
+SQL["majority_baseline"] = with_ctes(LISTINGS + ["clf"], "").rstrip("\n") + """,
+sp AS (
+  SELECT label, CASE WHEN id % 4 >= 3 THEN 'test' ELSE 'train' END AS split FROM clf),
+maj AS (
+  SELECT label AS majority FROM sp WHERE split = 'train' GROUP BY label ORDER BY count(*) DESC, label ASC LIMIT 1)
+SELECT (SELECT majority FROM maj) AS majority,
+  round(avg(CASE WHEN label = (SELECT majority FROM maj) THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+  count(*) AS n_test
+FROM sp WHERE split = 'test'"""
+
+SQL["knn_classify"] = """WITH e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS BIGINT) AS label,
+    CASE WHEN vec_id % 10 >= 7 THEN 'test' ELSE 'train' END AS split FROM embeddings),
+tr AS (SELECT * FROM e WHERE split = 'train'),
+pairs AS (
+  SELECT q.vec_id AS qid, q.label AS qlabel, q.split, t.vec_id AS tid, t.label AS tlabel, list_distance(q.v, t.v) AS d
+  FROM e q, tr t),
+rk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, tid) AS r FROM pairs) x WHERE r <= 10),
+ks AS (SELECT CAST(k AS INTEGER) AS k FROM range(1, 11) t(k)),
+votes AS (
+  SELECT rk.qid, rk.qlabel, rk.split, ks.k, rk.tlabel, count(*) AS c FROM rk JOIN ks ON rk.r <= ks.k
+  GROUP BY rk.qid, rk.qlabel, rk.split, ks.k, rk.tlabel),
+pred AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY c DESC, tlabel ASC) AS p FROM votes) x
+  WHERE p = 1)
+SELECT k, round(avg(CASE WHEN split = 'train' THEN CAST(tlabel = qlabel AS DOUBLE) END), 6) AS train_accuracy,
+  round(avg(CASE WHEN split = 'test' THEN CAST(tlabel = qlabel AS DOUBLE) END), 6) AS test_accuracy
+FROM pred GROUP BY k"""
+
+CTE["preds"] = """preds AS (
+  SELECT l.doc_id AS id, l.quality AS label, round(ln(1 + d.n_chars) / 10.0, 1) AS score,
+    CAST(round(ln(1 + d.n_chars) / 10.0, 1) >= 0.7 AS INTEGER) AS prediction
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+SQL["confusion_matrix"] = with_ctes(["preds"], """SELECT a.c AS actual, p.c AS predicted,
+  (SELECT count(*) FROM preds WHERE label = a.c AND prediction = p.c) AS n
+FROM (VALUES (0), (1)) a(c), (VALUES (0), (1)) p(c)""")
+SQL["accuracy"] = with_ctes(["preds"], "SELECT round(avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy FROM preds")
+SQL["f1_score"] = with_ctes(["preds"], """SELECT tp, fp, fn, tn,
+  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 6) AS f1
+FROM (SELECT sum(CAST(label = 1 AND prediction = 1 AS BIGINT)) AS tp, sum(CAST(label <> 1 AND prediction = 1 AS BIGINT)) AS fp,
+  sum(CAST(label = 1 AND prediction <> 1 AS BIGINT)) AS fn, sum(CAST(label <> 1 AND prediction <> 1 AS BIGINT)) AS tn
+  FROM preds) t""")
+SQL["classification_report"] = with_ctes(["preds"], "").rstrip("\n") + """,
+cls AS (
+  SELECT DISTINCT label AS c FROM preds UNION SELECT DISTINCT prediction FROM preds),
+per AS (
+  SELECT c, (SELECT count(*) FROM preds WHERE label = c) AS support,
+    (SELECT count(*) FROM preds WHERE prediction = c) AS n_pred,
+    (SELECT count(*) FROM preds WHERE label = c AND prediction = c) AS tp FROM cls),
+per2 AS (
+  SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS precision,
+    CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per),
+per3 AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM per2)
+SELECT CAST(c AS VARCHAR) AS row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+  CAST(support AS BIGINT) AS support FROM per3
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM per3
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM per3
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+  round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM per3"""
+
+CTE["ranks"] = """rs AS (
+  SELECT score AS s, count(*) AS cnt, sum(CAST(label = 1 AS BIGINT)) AS pos FROM preds WHERE score IS NOT NULL GROUP BY score),
+rs2 AS (SELECT *, sum(cnt) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - (cnt - 1) / 2.0 AS avg_rank FROM rs)"""
+SQL["roc_auc"] = with_ctes(["preds", "ranks"], """SELECT round(CASE WHEN n_pos > 0 AND n_neg > 0 THEN
+  (rank_sum - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg) END, 6) AS roc_auc, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg
+FROM (SELECT sum(pos * avg_rank) AS rank_sum, sum(pos) AS n_pos, sum(cnt - pos) AS n_neg FROM rs2) t""")
+SQL["r2_score"] = with_ctes(OBSERVED, """SELECT round(CASE WHEN ss_tot > 0 THEN 1 - ss_res / ss_tot END, 6) AS r2 FROM (
+  SELECT sum((y - p) * (y - p)) AS ss_res, sum((y - (SELECT avg(experience_bookings) FROM mp)) * (y - (SELECT avg(experience_bookings) FROM mp))) AS ss_tot
+  FROM (SELECT experience_bookings AS y, avg(experience_bookings) OVER (PARTITION BY borough) AS p FROM mp) a) t""")

@@ -9,12 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from liftkit.functions import clean as clean_fn
-from liftkit.operators import causal, cleaning, panel, profile, quality, scoring
+from liftkit.operators import causal, cleaning, metrics, ml, panel, profile, quality, scoring
 from liftkit.plans import pipeline, reports
 from liftkit.sources import files
 from liftkit.sources import tables as T
@@ -366,3 +367,207 @@ def q_src_listings(spark, sf_dir):
     path = files.scratch_path(spark, "listings_csv")
     files.write_csv(raw, path)
     return files.read_listings_csv(spark, path, raw.schema)
+
+
+# -- features, splits and models --------------------------------------------------------------------
+
+ONEHOT_SPEC = (["neighbourhood_group", "neighbourhood", "room_type"], ["G", "N", "R"])
+NUMERIC_FEATURES = ["price", "number_of_reviews", "reviews_per_month"]
+
+
+def classifier_frame(spark, sf_dir):
+    """Listings -> label (availability > 165) + one-hot market, sub-market and room type."""
+    df = profile.profile_select(cleaned_listings(spark, sf_dir), drop=["name", "host_id", "host_name", "last_review"])
+    df = cleaning.binarize(df, "availability_365", 165).withColumnRenamed("availability_365", "label")
+    df = ml.onehot(df, *ONEHOT_SPEC)
+    return cleaning.drop_zero(df, "price")
+
+
+def feature_columns(df):
+    return NUMERIC_FEATURES + [c for c in df.columns if c[:2] in ("G_", "N_", "R_")]
+
+
+def prepared_split(spark, sf_dir, test_fraction=0.3, seed=200):
+    """Hash split, scaler fitted on the training rows only, features assembled."""
+    df = ml.split_hash(classifier_frame(spark, sf_dir), "id", test_fraction, seed)
+    feats = feature_columns(df)
+    train = df.filter(F.col("split") == "train")
+    scaled = ml.standardize(df, feats, fit_on=train)
+    # iterative estimators re-read their input every pass: keep the assembled rows
+    data = ml.assemble(scaled, feats).select("id", "label", "split", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    return data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test"), feats
+
+
+def _accuracy_rows(model_name, pred_train, pred_test):
+    a = metrics.accuracy(pred_train.withColumn("prediction", F.col("prediction").cast("int")))
+    b = metrics.accuracy(pred_test.withColumn("prediction", F.col("prediction").cast("int")))
+    return a.select(F.lit(model_name).alias("model"), F.lit("train").alias("split"), "accuracy").unionByName(
+        b.select(F.lit(model_name).alias("model"), F.lit("test").alias("split"), "accuracy"))
+
+
+@register("onehot")
+def q_onehot(spark, sf_dir):
+    return stable(classifier_frame(spark, sf_dir))
+
+
+@register("src_export_reread")
+def q_src_export_reread(spark, sf_dir):
+    """Encoded table exported with a leading row index, re-read, index dropped."""
+    df = classifier_frame(spark, sf_dir)
+    path = files.scratch_path(spark, "export_csv")
+    files.write_export_with_index(df, path, order_by="id")
+    return stable(files.read_export(spark, path, df.schema))
+
+
+@register("standardize")
+def q_standardize(spark, sf_dir):
+    df = cleaned_listings(spark, sf_dir).select("id", *NUMERIC_FEATURES)
+    return stable(ml.standardize(df, NUMERIC_FEATURES))
+
+
+@register("minmax_scale")
+def q_minmax_scale(spark, sf_dir):
+    df = cleaned_listings(spark, sf_dir).select("id", "price", "number_of_reviews")
+    return stable(ml.minmax_scale(df, ["price", "number_of_reviews"]))
+
+
+@register("split_hash")
+def q_split_hash(spark, sf_dir):
+    return ml.split_hash(classifier_frame(spark, sf_dir).select("id", "label"), "id", 0.3, 200)
+
+
+@register("split_stratified")
+def q_split_stratified(spark, sf_dir):
+    return ml.split_stratified(classifier_frame(spark, sf_dir).select("id", "label"), "id", "label", 0.25, 0)
+
+
+@register("majority_baseline")
+def q_majority_baseline(spark, sf_dir):
+    df = ml.split_mod(classifier_frame(spark, sf_dir).select("id", "label"), "id", test_from=3, modulus=4)
+    train, test = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
+    pred = ml.majority_predict(test, train)
+    return stable(metrics.accuracy(pred).select(
+        ml.majority_class(train).scalar().alias("majority"), "accuracy",
+        test.agg(F.count(F.lit(1))).scalar().alias("n_test")))
+
+
+def embeddings_split(spark, sf_dir):
+    return ml.split_mod(T.read_table(spark, sf_dir, "embeddings"), "vec_id", test_from=7, modulus=10)
+
+
+@register("knn_classify")
+def q_knn_classify(spark, sf_dir):
+    return stable(ml.knn_accuracy_curve(embeddings_split(spark, sf_dir), "vec_id", "embedding", "label"))
+
+
+@register("tree_classify")
+def q_tree_classify(spark, sf_dir):
+    train, test, _ = prepared_split(spark, sf_dir)
+    _, a, b = ml.fit_predict(ml.decision_tree(2, 40), train, test)
+    return _accuracy_rows("decision_tree_depth2", a, b)
+
+
+@register("tree_importance")
+def q_tree_importance(spark, sf_dir):
+    train, test, feats = prepared_split(spark, sf_dir)
+    model = ml.decision_tree(2, 40).fit(train)
+    return ml.feature_importances(model, feats, spark)
+
+
+@register("rf_classify")
+def q_rf_classify(spark, sf_dir):
+    train, test, _ = prepared_split(spark, sf_dir, 0.25, 0)
+    _, a, b = ml.fit_predict(ml.random_forest_classifier(100, 0), train, test)
+    return _accuracy_rows("random_forest_100", a, b)
+
+
+@register("gnb_classify")
+def q_gnb_classify(spark, sf_dir):
+    train, test, _ = prepared_split(spark, sf_dir, 0.25, 0)
+    _, a, b = ml.fit_predict(ml.gaussian_nb(), train, test)
+    return _accuracy_rows("gaussian_nb", a, b)
+
+
+@register("logreg_classify")
+def q_logreg_classify(spark, sf_dir):
+    train, test, _ = prepared_split(spark, sf_dir, 0.25, 0)
+    n = train.count()
+    out = None
+    for c in (1.0, 0.1):
+        model, a, b = ml.fit_predict(ml.logistic_regression(n, c), train, test)
+        rows = _accuracy_rows(f"logreg_C{c}", a, b)
+        auc = metrics.roc_auc(ml.positive_probability(b)).select(
+            F.lit(f"logreg_C{c}").alias("model"), F.lit("test_auc").alias("split"), F.col("roc_auc").alias("accuracy"))
+        rows = rows.unionByName(auc)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("cross_val")
+def q_cross_val(spark, sf_dir):
+    train, _, _ = prepared_split(spark, sf_dir, 0.25, 0)
+    n = train.count()
+    return ml.cross_validate(train, lambda d: ml.logistic_regression(int(n * 0.8), 1.0), "id", folds=5)
+
+
+@register("rf_regression")
+def q_rf_regression(spark, sf_dir):
+    """Forest on the campaign panel: holdout R^2 and per-market predicted bookings."""
+    mp = observed_marketing(spark, sf_dir).withColumn("_key", F.concat_ws("|", "borough", F.col("date").cast("string")))
+    data = ml.assemble(ml.split_hash(mp, "_key", 0.25, 42), scoring.SIGNALS).withColumnRenamed(
+        "experience_bookings", "label").select("label", "features", "split").persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
+    model = ml.random_forest_regressor(100, 4, 42).fit(train)
+    r2 = metrics.r2_score(model.transform(test)).select(F.lit("holdout_r2").alias("name"), F.col("r2").alias("value"))
+    feats = ml.assemble(scoring.market_features(observed_marketing(spark, sf_dir)), scoring.SIGNALS)
+    per_market = model.transform(feats).select(F.concat(F.lit("predicted:"), "borough").alias("name"),
+                                               F.col("prediction").alias("value"))
+    return r2.unionByName(per_market)
+
+
+# -- evaluation on scored documents ---------------------------------------------------------------------
+
+def doc_predictions(spark, sf_dir):
+    """labels + documents: label = quality; score = length score (tied values); predicted
+    positive when score >= 0.7."""
+    labels = T.read_table(spark, sf_dir, "labels")
+    docs = T.read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    j = labels.join(docs, "doc_id")
+    score = F.round(F.log1p(F.col("n_chars")) / 10.0, 1)
+    return j.select(F.col("doc_id").alias("id"), F.col("quality").alias("label"), score.alias("score")).withColumn(
+        "prediction", (F.col("score") >= 0.7).cast("int"))
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return metrics.confusion_matrix(doc_predictions(spark, sf_dir), classes=[0, 1])
+
+
+@register("accuracy")
+def q_accuracy(spark, sf_dir):
+    return stable(metrics.accuracy(doc_predictions(spark, sf_dir)))
+
+
+@register("f1_score")
+def q_f1_score(spark, sf_dir):
+    return stable(metrics.f1_score(doc_predictions(spark, sf_dir)))
+
+
+@register("classification_report")
+def q_classification_report(spark, sf_dir):
+    return stable(metrics.classification_report(doc_predictions(spark, sf_dir)))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return stable(metrics.roc_auc(doc_predictions(spark, sf_dir)))
+
+
+@register("r2_score")
+def q_r2_score(spark, sf_dir):
+    from pyspark.sql import Window
+
+    mp = observed_marketing(spark, sf_dir)
+    pred = mp.select(F.col("experience_bookings").alias("label"),
+                     F.avg("experience_bookings").over(Window.partitionBy("borough")).alias("prediction"))
+    return stable(metrics.r2_score(pred))
