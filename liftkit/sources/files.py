@@ -110,7 +110,7 @@ def read_corpus(spark: SparkSession, paths: list[str]) -> DataFrame:
     present = [p for p in paths if os.path.exists(p) or "://" in p]
     if not present:
         return spark.createDataFrame([], "doc_id long, path string, text string")
-    df = spark.read.option("wholetext", True).text(present)
+    df = spark.read.text(present, wholetext=True)
     return df.select(F.input_file_name().alias("path"), F.col("value").alias("text")).withColumn(
         "doc_id", F.monotonically_increasing_id()
     ).select("doc_id", "path", "text")
