@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftkit.config import ACTION_HOLD, ACTION_SCALE, ACTION_TEST, DEFAULT_COEF, Coefficients
-from liftkit.operators.causal import did_aggregates, did_from_aggregates
 
 SIGNALS = ["demand_signal_score", "event_pressure", "intent_index", "weather_favorability", "available_supply"]
 
@@ -88,7 +87,12 @@ def opportunity_scores(panel: DataFrame, predicted: DataFrame | None = None, r2:
 
 def score_markets(feats: DataFrame, r2: float | None = None, coef: Coefficients = DEFAULT_COEF,
                   total_margin_col: str = "_total_margin") -> DataFrame:
-    """Score a per-market feature table carrying a total-margin column."""
+    """Score a per-market feature table carrying a total-margin column.
+
+    The table has one row per market, so it is moved to a single partition once: every rank
+    window below then runs as a local sort, instead of one exchange per window.
+    """
+    feats = feats.coalesce(1)
     score = (
         coef.s_demand * pct_rank_avg("demand_signal_score")
         + coef.s_event * pct_rank_avg("event_pressure")

@@ -47,6 +47,51 @@ def r6(x: str, alias: str) -> str:
     return f"round(CAST({x} AS DOUBLE), 6) AS {alias}"
 
 
+def strip_round6(sql: str) -> str:
+    """Drop every ``round(<expr>, 6)`` wrapper (balanced parentheses): outputs are
+    normalised once, at the end, by ``finalize``."""
+    out, i = [], 0
+    low = sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, last_comma = 0, j + 5, -1
+        while k < len(sql):
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                last_comma = k
+            k += 1
+        arg = sql[last_comma + 1:k].strip() if last_comma > 0 else ""
+        if arg == "6":
+            inner = strip_round6(sql[j + 6:last_comma])
+            out.append(sql[i:j] + "(" + inner + ")")
+        else:
+            out.append(sql[i:j] + "round(" + strip_round6(sql[j + 6:k]) + ")")
+        i = k + 1
+
+
+def finalize(sql: str, doubles: list[str]) -> str:
+    """Normalise double outputs to float32 precision (an IEEE cast both engines perform
+    identically), so summation-order differences in the last bits compare equal."""
+    body = strip_round6(sql)
+    if not doubles:
+        return body
+    repl = ", ".join(f'CAST(CAST("{c}" AS FLOAT) AS DOUBLE) AS "{c}"' for c in doubles)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{body}\n) oracle_result"
+
+
 TWO_PI = "2 * pi()"
 
 # -- shared CTEs ------------------------------------------------------------------
@@ -629,3 +674,98 @@ FROM (SELECT sum(pos * avg_rank) AS rank_sum, sum(pos) AS n_pos, sum(cnt - pos)
 SQL["r2_score"] = with_ctes(OBSERVED, """SELECT round(CASE WHEN ss_tot > 0 THEN 1 - ss_res / ss_tot END, 6) AS r2 FROM (
   SELECT sum((y - p) * (y - p)) AS ss_res, sum((y - (SELECT avg(experience_bookings) FROM mp)) * (y - (SELECT avg(experience_bookings) FROM mp))) AS ss_tot
   FROM (SELECT experience_bookings AS y, avg(experience_bookings) OVER (PARTITION BY borough) AS p FROM mp) a) t""")
+
+
+# -- larger funnel: lineitem + orders ------------------------------------------------------------
+from liftkit.sources.tables import LINEITEM_DESIGN as LD  # noqa: E402
+
+_L_START = f"DATE '{LD.start.isoformat()}'"
+_L_END_EXCL = f"DATE '{(LD.end + dt.timedelta(days=1)).isoformat()}'"
+_obs_sql = CTE["scaffold"] + ",\n" + CTE["mp"]
+_obs_sql = _obs_sql.replace(START, _L_START).replace(f">= {D.cutoff_day} AS INTEGER", f">= {LD.cutoff_day} AS INTEGER")
+_obs_sql = _obs_sql.replace("scaffold", "lscaffold").replace("mp0", "lmp0").replace("mp1", "lmp1").replace(
+    "mp AS (", "lmp AS (").replace("LEFT JOIN facts f", "LEFT JOIN lfacts f").replace("m, days d", "m, ldays d")
+CTE["li_facts"] = f"""ldays AS (
+  SELECT CAST(d AS DATE) AS date FROM range({_L_START}, {_L_END_EXCL}, INTERVAL 1 DAY) t(d)),
+om AS (SELECT o.o_orderkey, cm.borough FROM orders o JOIN cm ON o.o_custkey = cm.c_custkey),
+lfacts AS (
+  SELECT om.borough, CAST(l.l_shipdate AS DATE) AS date,
+    sum(l.l_quantity) AS impressions, CAST(count(*) AS DOUBLE) AS clicks,
+    CAST(sum(CASE WHEN l.l_returnflag <> 'R' THEN 1 ELSE 0 END) AS DOUBLE) AS bookings,
+    sum(l.l_extendedprice * (1 - l.l_discount)) AS gbv, sum(l.l_extendedprice * l.l_tax) AS click_cost,
+    CAST(sum(CASE WHEN l.l_discount >= 0.05 THEN 1 ELSE 0 END) AS DOUBLE) AS signals_event,
+    CAST(count(*) AS DOUBLE) AS activity, CAST(count(DISTINCT l.l_orderkey) AS DOUBLE) AS active_units,
+    CAST(count(DISTINCT l.l_returnflag) AS DOUBLE) AS diversity
+  FROM lineitem l JOIN om ON l.l_orderkey = om.o_orderkey
+  GROUP BY om.borough, CAST(l.l_shipdate AS DATE)),
+{_obs_sql}"""
+CTE["ldid"] = CTE["did"].replace("FROM mp", "FROM lmp").replace("dagg", "ldagg").replace("did0", "ldid0").replace(
+    "did1", "ldid1").replace("did AS (", "ldid AS (")
+SQL["lineitem_did"] = with_ctes(["cm", "li_facts", "ldid"], f"SELECT {', '.join(r6(c, c) for c in DID_COLS)} FROM ldid")
+
+
+# Double-valued output columns per key (checked against the Spark schema by tests/test_oracle.py).
+DOUBLE_COLUMNS = {
+    'accuracy': ['accuracy'],
+    'assignment_flags': [],
+    'baseline_forecast': ['season', 'organic_bookings', 'campaign_effect', 'experience_bookings_proxy'],
+    'binarize': [],
+    'calendar_features': ['season'],
+    'category_share': ['share'],
+    'classification_report': ['precision', 'recall', 'f1'],
+    'clean_listings': ['price', 'reviews_per_month', 'availability_365'],
+    'clean_price': ['price'],
+    'confusion_matrix': [],
+    'decision': ['estimated_incremental_margin', 'pretrend_slope_gap_bookings_per_day'],
+    'decision_metrics': ['value'],
+    'demand_panel': ['available_supply', 'avg_price', 'review_velocity', 'event_pressure', 'intent_index', 'weather_favorability', 'poi_density', 'demand_signal_score', 'experience_bookings_proxy'],
+    'demand_score': ['demand_signal_score'],
+    'demand_signals': ['base_demand', 'event_pressure', 'intent_index', 'weather_favorability', 'poi_density'],
+    'did_cells': ['bookings', 'gbv', 'margin'],
+    'did_estimate': ['did_daily_incremental_bookings', 'did_daily_incremental_gbv', 'did_daily_incremental_margin', 'estimated_incremental_bookings', 'estimated_incremental_gbv', 'estimated_incremental_margin', 'total_campaign_spend', 'incremental_roas', 'cost_per_incremental_booking', 'pretrend_slope_gap_bookings_per_day'],
+    'distinct_values': [],
+    'drop_zero': ['price'],
+    'f1_score': ['f1'],
+    'knn_classify': ['train_accuracy', 'test_accuracy'],
+    'kpi_panel': ['spend', 'clicks', 'experience_bookings', 'gbv', 'contribution_margin', 'conversion_rate'],
+    'lineitem_did': ['did_daily_incremental_bookings', 'did_daily_incremental_gbv', 'did_daily_incremental_margin', 'estimated_incremental_bookings', 'estimated_incremental_gbv', 'estimated_incremental_margin', 'total_campaign_spend', 'incremental_roas', 'cost_per_incremental_booking', 'pretrend_slope_gap_bookings_per_day'],
+    'majority_baseline': ['accuracy'],
+    'market_category': [],
+    'market_day_rollup': ['demand_signal_score', 'event_pressure', 'intent_index', 'weather_favorability', 'available_supply', 'review_velocity', 'baseline_experience_bookings'],
+    'market_rollup': ['avg_price', 'median_price', 'review_velocity', 'avg_availability', 'available_supply', 'estimated_lodging_revenue_proxy'],
+    'minmax_scale': ['price', 'number_of_reviews'],
+    'onehot': ['price', 'reviews_per_month'],
+    'opportunity_features': ['demand_signal_score', 'event_pressure', 'intent_index', 'weather_favorability', 'available_supply', 'baseline_bookings', 'avg_gbv', 'avg_margin'],
+    'opportunity_scores': ['demand_signal_score', 'event_pressure', 'intent_index', 'weather_favorability', 'available_supply', 'baseline_bookings', 'avg_gbv', 'avg_margin', 'predicted_daily_experience_bookings', 'opportunity_score', 'expected_incremental_margin', 'rf_holdout_r2'],
+    'outlier_filter': ['price', 'reviews_per_month', 'availability_365'],
+    'panel_facts': ['spend', 'impressions', 'clicks', 'experience_bookings', 'gbv', 'contribution_margin', 'conversion_rate', 'demand_signal_score', 'event_pressure', 'intent_index', 'weather_favorability', 'available_supply'],
+    'panel_scaffold': [],
+    'pct_rank_avg': ['avg_price_rank', 'room_diversity_rank', 'total_reviews_rank'],
+    'pretrend': ['slope_treated', 'slope_control', 'pretrend_slope_gap_bookings_per_day'],
+    'profile_select': ['price', 'reviews_per_month', 'availability_365'],
+    'quality_summary': [],
+    'r2_score': ['r2'],
+    'report_best_markets': ['demand_signal_score', 'opportunity_score', 'expected_incremental_margin'],
+    'report_lift': ['avg_daily_bookings', 'avg_daily_gbv', 'avg_daily_margin'],
+    'report_metrics': ['value'],
+    'report_signals': ['avg_event_pressure', 'avg_intent_index', 'avg_weather_favorability', 'avg_review_velocity', 'avg_available_supply'],
+    'roc_auc': ['roc_auc'],
+    'rubric_score': [],
+    'rubric_verdict': [],
+    'safe_dates': [],
+    'scenario_panel': ['spend', 'impressions', 'clicks', 'experience_bookings', 'gbv', 'contribution_margin', 'conversion_rate', 'demand_signal_score', 'event_pressure', 'intent_index', 'weather_favorability', 'available_supply'],
+    'score_frame': ['opportunity_score'],
+    'segment_lookup': [],
+    'signal_map_frame': ['intent_index', 'event_pressure', 'demand_signal_score'],
+    'sink_roundtrip': ['spend', 'impressions', 'clicks', 'experience_bookings', 'gbv', 'contribution_margin', 'conversion_rate', 'demand_signal_score', 'event_pressure', 'intent_index', 'weather_favorability', 'available_supply'],
+    'src_export_reread': ['price', 'reviews_per_month'],
+    'src_listings': [],
+    'standardize': ['price', 'number_of_reviews', 'reviews_per_month'],
+    'table_counts': [],
+    'table_gate': [],
+    'top_market': ['demand_signal_score', 'event_pressure', 'intent_index', 'weather_favorability', 'available_supply', 'baseline_bookings', 'avg_gbv', 'avg_margin', 'predicted_daily_experience_bookings', 'opportunity_score', 'expected_incremental_margin', 'rf_holdout_r2'],
+    'trend_frame': ['experience_bookings'],
+}
+
+
+ORACLE = {k: finalize(v, DOUBLE_COLUMNS.get(k, [])) for k, v in SQL.items()}

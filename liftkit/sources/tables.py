@@ -51,12 +51,31 @@ TEST_DESIGN = StudyDesign(
 # Order-history reference point and month span for the listing adapter.
 LISTING_AS_OF = "2001-08-01"
 LISTING_MONTHS = 80.0
-# Lineitem funnel: first post-campaign ship date.
-LINEITEM_CUTOFF = dt.date(1998, 7, 1)
+# Lineitem funnel study: ship dates 1995-2001, campaign from 1998-07-01 in the same markets.
+LINEITEM_DESIGN = StudyDesign(
+    start=dt.date(1995, 1, 1),
+    days=(dt.date(2001, 12, 31) - dt.date(1995, 1, 1)).days + 1,
+    cutoff_day=(dt.date(1998, 7, 1) - dt.date(1995, 1, 1)).days,
+    treated=TEST_DESIGN.treated,
+    holidays=TEST_DESIGN.holidays,
+    premium_market=TEST_DESIGN.premium_market,
+    segments=TEST_DESIGN.segments,
+    categories=TEST_DESIGN.categories,
+)
+
+
+_RELATIONS: dict = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet relation of a test table. Relations are reused per session (listing files and
+    reading footers once), which is safe: a DataFrame is an immutable plan."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _RELATIONS[key] = df
+    return df
 
 
 def customer_markets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,9 +32,9 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, 6) + 0.0
+        return v + 0.0
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6) + 0.0
+        return float(v) + 0.0
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):

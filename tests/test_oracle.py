@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from liftkit.plans.oracle import DOUBLE_COLUMNS
 from tests.oracle_check import canon, duck
 
 SF = "/root/testdata/sf0.01"
@@ -32,6 +33,8 @@ def test_query_matches_oracle(spark, con, key):
         want = DUCK_TO_SPARK.get(str(dtype))
         if want:
             assert stypes[name] == want, (name, stypes[name], str(dtype))
+    doubles = sorted(c for c, t in sdf.dtypes if t in ("double", "float"))
+    assert doubles == sorted(DOUBLE_COLUMNS.get(key, [])), "update DOUBLE_COLUMNS in liftkit/plans/oracle.py"
     a = canon(sdf.columns, [tuple(r) for r in sdf.collect()])
     b = canon(rel.columns, rel.fetchall())
     assert len(a) == len(b)
