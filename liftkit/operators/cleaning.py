@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftkit.functions import clean as C
+from liftkit.operators import quantiles
 
 
 def clean_listings(raw: DataFrame) -> DataFrame:
@@ -23,25 +24,28 @@ def clean_listings(raw: DataFrame) -> DataFrame:
     return out
 
 
-def price_bound(df: DataFrame, q: float = 0.99, col: str = "price", exact: bool = True,
+def price_bound(df: DataFrame, q: float = 0.99, col: str = "price", method: str = "distributed",
                 accuracy: int = 100000) -> DataFrame:
     """One-row frame with the ``q`` quantile of ``col`` over every parsed value.
 
-    Exact ``percentile`` interpolates linearly (as pandas and DuckDB ``quantile_cont`` do);
-    its buffer holds one count per distinct value, so switch ``exact`` off for
-    ``percentile_approx`` when a column has hundreds of millions of distinct values.
+    ``distributed`` (default) is exact and never merges a value map in one task (see
+    ``quantiles``); ``aggregate`` is Spark's exact ``percentile`` (fine up to a few million
+    distinct values); ``approx`` is ``percentile_approx``. The exact forms interpolate
+    linearly, as pandas and DuckDB ``quantile_cont`` do.
     """
-    agg = F.percentile(col, q) if exact else F.percentile_approx(col, q, accuracy)
+    if method == "distributed":
+        return quantiles.quantile(df, col, q, "_upper_bound")
+    agg = F.percentile(col, q) if method == "aggregate" else F.percentile_approx(col, q, accuracy)
     return df.agg(agg.alias("_upper_bound"))
 
 
-def outlier_filter(df: DataFrame, q: float = 0.99, col: str = "price", exact: bool = True) -> DataFrame:
+def outlier_filter(df: DataFrame, q: float = 0.99, col: str = "price", method: str = "distributed") -> DataFrame:
     """Keep rows with 0 < value < the ``q`` quantile of all parsed values (both bounds strict).
 
-    The bound is a scalar subquery: Spark runs the one-row aggregate once and inlines the
-    value into the filter, so the table is neither joined nor shuffled.
+    The bound is a scalar subquery: Spark runs the one-row result once and inlines the value
+    into the filter, so the table is neither joined nor shuffled for it.
     """
-    bound = price_bound(df, q, col, exact).scalar()
+    bound = price_bound(df, q, col, method).select("_upper_bound").scalar()
     return df.filter((F.col(col) > 0) & (F.col(col) < bound))
 
 

@@ -23,32 +23,40 @@ from liftkit.config import (
     StudyDesign,
 )
 from liftkit.functions import signals as S
+from liftkit.operators import quantiles
 
 
 # -- listings -> sub-market rollup --------------------------------------------
 
-def market_rollup(listings: DataFrame, design: StudyDesign = DEFAULT_DESIGN, exact_median: bool = True) -> DataFrame:
+def market_rollup(listings: DataFrame, design: StudyDesign = DEFAULT_DESIGN, median: str = "distributed") -> DataFrame:
     """Per (market, sub-market) listing statistics, keeping groups of ``min_listings`` or more.
 
-    Missing keys drop out (as a pandas groupby does). ``median`` is exact; set
-    ``exact_median=False`` for ``percentile_approx`` when a group has millions of distinct prices.
+    Missing keys drop out (as a pandas groupby does). The median is exact: ``distributed``
+    (default) ranks distinct prices across range partitions, so a sub-market holding a third
+    of all listings is still spread over many tasks; ``aggregate`` uses Spark's ``median``
+    (one value map per group); ``approx`` uses ``percentile_approx``.
     """
-    median = F.median("price") if exact_median else F.percentile_approx("price", 0.5, 10000)
-    base = (
-        listings.filter(F.col("neighbourhood_group").isNotNull() & F.col("neighbourhood").isNotNull())
-        .groupBy("neighbourhood_group", "neighbourhood")
-        .agg(
-            F.count("id").alias("listing_count"),
-            F.avg("price").alias("avg_price"),
-            median.alias("median_price"),
-            F.avg("reviews_per_month").alias("review_velocity"),
-            F.coalesce(F.sum("number_of_reviews"), F.lit(0)).cast("long").alias("total_reviews"),
-            F.avg("availability_365").alias("avg_availability"),
-            F.count_distinct("room_type").alias("room_diversity"),
-        )
-        .withColumnRenamed("neighbourhood_group", "borough")
-        .filter(F.col("listing_count") >= design.min_listings)
-    )
+    keys = ["neighbourhood_group", "neighbourhood"]
+    present = listings.filter(F.col("neighbourhood_group").isNotNull() & F.col("neighbourhood").isNotNull())
+    aggs = [
+        F.count("id").alias("listing_count"),
+        F.avg("price").alias("avg_price"),
+        F.avg("reviews_per_month").alias("review_velocity"),
+        F.coalesce(F.sum("number_of_reviews"), F.lit(0)).cast("long").alias("total_reviews"),
+        F.avg("availability_365").alias("avg_availability"),
+        F.count_distinct("room_type").alias("room_diversity"),
+    ]
+    if median == "aggregate":
+        aggs.insert(2, F.median("price").alias("median_price"))
+    elif median == "approx":
+        aggs.insert(2, F.percentile_approx("price", 0.5, 10000).alias("median_price"))
+    base = present.groupBy(*keys).agg(*aggs).filter(F.col("listing_count") >= design.min_listings)
+    if median == "distributed":
+        med = quantiles.grouped_quantile(present, keys, "price", 0.5, "median_price")
+        base = base.join(med, keys, "left")
+    base = base.withColumnRenamed("neighbourhood_group", "borough")
+    base = base.select("borough", "neighbourhood", "listing_count", "avg_price", "median_price", "review_velocity",
+                       "total_reviews", "avg_availability", "room_diversity")
     return base.withColumns(
         {
             "available_supply": F.col("listing_count") * (F.col("avg_availability") / 365.0),
