@@ -704,8 +704,17 @@ CTE["ldid"] = CTE["did"].replace("FROM mp", "FROM lmp").replace("dagg", "ldagg")
 SQL["lineitem_did"] = with_ctes(["cm", "li_facts", "ldid"], f"SELECT {', '.join(r6(c, c) for c in DID_COLS)} FROM ldid")
 
 
+_RAW_TYPES = {"id": "bigint", "host_id": "bigint", "number_of_reviews": "bigint"}
+SQL["null_profile"] = with_ctes(["lst_raw"], "\nUNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{_RAW_TYPES.get(c, 'string')}' AS data_type, "
+    f"CAST(count(*) - count({c}) AS BIGINT) AS missing, CAST(count({c}) AS BIGINT) AS non_missing, "
+    f"CAST(count(*) - count({c}) AS DOUBLE) / count(*) AS missing_share FROM lst_raw"
+    for i, c in enumerate(RAW_COLS)))
+
+
 # Double-valued output columns per key (checked against the Spark schema by tests/test_oracle.py).
 DOUBLE_COLUMNS = {
+    'null_profile': ['missing_share'],
     'accuracy': ['accuracy'],
     'assignment_flags': [],
     'baseline_forecast': ['season', 'organic_bookings', 'campaign_effect', 'experience_bookings_proxy'],

@@ -583,3 +583,8 @@ def q_r2_score(spark, sf_dir):
     pred = mp.select(F.col("experience_bookings").alias("label"),
                      F.avg("experience_bookings").over(Window.partitionBy("borough")).alias("prediction"))
     return stable(metrics.r2_score(pred))
+
+
+@register("null_profile")
+def q_null_profile(spark, sf_dir):
+    return stable(profile.null_profile(raw_listings(spark, sf_dir)))

@@ -131,38 +131,24 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_funnel_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observed funnel per (borough, date) from the events table.
-
-    Two aggregation levels: first per (user, day, event type) — a partial aggregate that
-    collapses a hot user map-side — then, after attaching the user's market, per market-day.
-    """
-    per_user = (
+def event_user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First aggregation level: (user, day, event type) -> count, value sum. A partial
+    aggregate, so a hot user is collapsed map-side before the shuffle."""
+    return (
         read_table(spark, sf_dir, "events")
         .select("user_id", F.to_date("ts").alias("date"), "event_type", "value")
         .groupBy("user_id", "date", "event_type")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
     )
-    cm = customer_markets(spark, sf_dir).select("c_custkey", "borough")
-    joined = per_user.join(cm, per_user.user_id == cm.c_custkey)
 
-    def n_of(kind):
-        return F.sum(F.when(F.col("event_type") == kind, F.col("n")).otherwise(0))
 
-    def v_of(kind):
-        return F.sum(F.when(F.col("event_type") == kind, F.col("v")).otherwise(0.0))
+def event_funnel_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observed funnel per (borough, date) from the events table: per (user, day, type), then,
+    after attaching the user's market, per market-day (the same second level the streaming
+    job's output feeds)."""
+    from liftkit.streaming.funnel import funnel_facts_from_partials
 
-    return joined.groupBy("borough", "date").agg(
-        n_of("view").cast("double").alias("impressions"),
-        n_of("click").cast("double").alias("clicks"),
-        n_of("purchase").cast("double").alias("bookings"),
-        v_of("purchase").alias("gbv"),
-        v_of("click").alias("click_cost"),
-        n_of("signup").cast("double").alias("signals_event"),
-        F.sum("n").cast("double").alias("activity"),
-        F.count_distinct("user_id").cast("double").alias("active_units"),
-        F.count_distinct("event_type").cast("double").alias("diversity"),
-    )
+    return funnel_facts_from_partials(event_user_day(spark, sf_dir), customer_markets(spark, sf_dir))
 
 
 def lineitem_funnel_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
