@@ -54,6 +54,7 @@ def did_aggregates(prefix: str = "") -> list[Column]:
                                    f"AS {prefix}{name}_t{t}p{p}"))
     tp = "treated_market = 1 AND post_period = 1"
     cols += [
+        F.expr(f"count(1) AS {prefix}panel_rows"),
         F.expr(f"count(CASE WHEN {tp} THEN 1 END) AS {prefix}post_treated_days"),
         F.expr(f"coalesce(sum(CASE WHEN {tp} THEN spend END), 0.0D) AS {prefix}total_campaign_spend"),
     ]
@@ -123,15 +124,12 @@ def decision(metrics: DataFrame, coef: Coefficients = DEFAULT_COEF) -> DataFrame
     return metrics.withColumn("decision", F.when(ok, F.lit(DECISION_SCALE)).otherwise(F.lit(DECISION_RETEST)))
 
 
-def decision_metrics(listings: DataFrame, demand_panel: DataFrame, marketing: DataFrame,
-                     metrics: DataFrame | None = None) -> DataFrame:
+def decision_metrics(listings: DataFrame, demand_panel: DataFrame, marketing: DataFrame) -> DataFrame:
     """Nine-row (metric, value, interpretation) table, in the published order.
 
     Built as a union of one-row aggregates and an unpivot (``stack``) of the estimate: no
     join, and nothing but nine rows ever reaches a single task.
     """
-    if metrics is None:
-        metrics = did_estimate(marketing)
     text = dict(DECISION_METRIC_TEXT)
     order = {m: i for i, (m, _) in enumerate(DECISION_METRIC_TEXT)}
 
@@ -140,13 +138,15 @@ def decision_metrics(listings: DataFrame, demand_panel: DataFrame, marketing: Da
             F.lit(name).alias("metric"), "value"
         )
 
-    did_names = [m for m, _ in DECISION_METRIC_TEXT[3:]]
-    stack_args = ", ".join(f"'{m}', cast({m} as double)" for m in did_names)
-    did_rows = metrics.selectExpr(f"stack({len(did_names)}, {stack_args}) as (metric, value)")
+    # the panel row count rides along in the estimate's single aggregate pass
+    est = did_from_aggregates(marketing.agg(*did_aggregates()))
+    did_names = ["marketing_market_day_rows"] + [m for m, _ in DECISION_METRIC_TEXT[3:]]
+    stack_args = ", ".join(
+        f"'{m}', cast({'panel_rows' if m == 'marketing_market_day_rows' else m} as double)" for m in did_names)
+    did_rows = est.selectExpr(f"stack({len(did_names)}, {stack_args}) as (metric, value)")
     rows = (
         count_row(listings, "source_listing_rows")
         .unionByName(count_row(demand_panel, "neighborhood_day_rows"))
-        .unionByName(count_row(marketing, "marketing_market_day_rows"))
         .unionByName(did_rows)
     )
     text_map = F.create_map(*[x for m in text for x in (F.lit(m), F.lit(text[m]))])

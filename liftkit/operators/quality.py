@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftkit.config import PASS_SCORE, REQUIRED_TABLES, RUBRIC, SYNTHETIC_FIELDS
+from liftkit.session import spread
 
 
 def catalog_tables(spark: SparkSession, database: str | None = None) -> list[str]:
@@ -57,14 +58,16 @@ def rubric_score(corpus: DataFrame, text_col: str = "text", rubric=RUBRIC) -> Da
     then the flags are unpivoted and scored per criterion:
     score = round-half-even(points x found / signals).
     """
-    lower = F.lower(F.col(text_col))
+    # lowercase each text once; spread a few large splits over the cores first
+    lowered = spread(corpus.select(text_col)).select(F.lower(F.col(text_col)).alias("_text"))
+    lower = F.col("_text")
     flags, meta = [], []
     for ci, (crit, points, signals) in enumerate(rubric):
         for si, sig in enumerate(signals):
             name = f"f_{ci}_{si}"
             flags.append(F.max(F.coalesce(lower.contains(sig.lower()), F.lit(False)).cast("int")).alias(name))
             meta.append((ci, crit, points, len(signals), si, sig, name))
-    wide = corpus.agg(*flags)
+    wide = lowered.agg(*flags)
     stack = ", ".join(
         f"{ci}, '{crit.replace(chr(39), chr(39) * 2)}', {pts}, {n}, {si}, '{sig.replace(chr(39), chr(39) * 2)}', {name}"
         for ci, crit, pts, n, si, sig, name in meta

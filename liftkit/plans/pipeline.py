@@ -50,7 +50,7 @@ def run(listings_raw: DataFrame, markets: DataFrame, facts: DataFrame, design: S
         marketing = marketing.cache()
     metrics = causal.did_estimate(marketing)
     scores = scoring.opportunity_scores(marketing, predicted, r2, coef)
-    dm = causal.decision_metrics(listings, demand, marketing, metrics)
+    dm = causal.decision_metrics(listings, demand, marketing)
     return MeasurementRun(listings, demand, marketing, metrics, scores, dm)
 
 

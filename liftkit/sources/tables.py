@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftkit.config import StudyDesign
+from liftkit.session import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -157,10 +158,10 @@ def lineitem_funnel_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     impressions = quantity; clicks = lines; bookings = lines not returned; GBV = net price;
     click cost = tax amount; event signal = lines with discount >= 0.05; activity = lines.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
         F.to_date("l_shipdate").alias("date"),
-    )
+    ))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cm = customer_markets(spark, sf_dir).select("c_custkey", "borough")
     order_market = orders.join(cm, orders.o_custkey == cm.c_custkey).select("o_orderkey", "borough")
