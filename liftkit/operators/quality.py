@@ -10,8 +10,14 @@ from liftkit.session import spread
 
 
 def catalog_tables(spark: SparkSession, database: str | None = None) -> list[str]:
-    """Table and view names in the catalog, sorted (metadata only)."""
-    return sorted(t.name for t in spark.catalog.listTables(database) if t.name)
+    """Table and view names in the catalog, sorted (metadata only). With a database, only
+    that database's tables; without, the current database's tables and the temp views."""
+    names = []
+    for t in spark.catalog.listTables(database):
+        if not t.name or (database and t.isTemporary):
+            continue
+        names.append(t.name)
+    return sorted(set(names))
 
 
 def table_counts(spark: SparkSession, names: list[str] | None = None, database: str | None = None) -> DataFrame:
@@ -25,7 +31,7 @@ def table_counts(spark: SparkSession, names: list[str] | None = None, database:
     if not wanted:
         return spark.createDataFrame([], "table_name string, n_rows long")
     frames = [
-        spark.table(f"{database}.{n}" if database else n).agg(F.count(F.lit(1)).alias("n_rows"))
+        spark.table(f"`{database}`.`{n}`" if database else f"`{n}`").agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.lit(n).alias("table_name"), "n_rows")
         for n in wanted
     ]

@@ -490,7 +490,9 @@ def q_tree_importance(spark, sf_dir):
 def q_rf_classify(spark, sf_dir):
     train, test, _ = prepared_split(spark, sf_dir, 0.25, 0)
     _, a, b = ml.fit_predict(ml.random_forest_classifier(100, 0), train, test)
-    return _accuracy_rows("random_forest_100", a, b)
+    auc = metrics.roc_auc(ml.positive_probability(b)).select(
+        F.lit("random_forest_100").alias("model"), F.lit("test_auc").alias("split"), F.col("roc_auc").alias("accuracy"))
+    return _accuracy_rows("random_forest_100", a, b).unionByName(auc)
 
 
 @register("gnb_classify")

@@ -71,27 +71,11 @@ def write_export_with_index(df: DataFrame, path: str, order_by: str, mode: str =
 
 
 def with_row_index(df: DataFrame, order_by: str, name: str = "row_index") -> DataFrame:
-    """0-based dense position by ``order_by`` (unique key), without a single-task window.
+    """0-based position by ``order_by`` (a unique key), computed without a single-task window
+    (range partitions, per-partition counts, broadcast offsets; see ``ml.positions``)."""
+    from liftkit.operators.ml import positions
 
-    Rows are range-partitioned by the key; a per-partition count (one row per partition)
-    gives each partition its offset; the position is offset + rank inside the partition.
-    """
-    spark = df.sparkSession
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n_parts, F.col(order_by)).withColumn("_pid", F.spark_partition_id())
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-
-    # the sizes table has one row per partition: a bounded global window
-    offsets = sizes.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("_pid", "_off")
-    local = Window.partitionBy("_pid").orderBy(F.col(order_by))
-    return (
-        ranged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, (F.col("_off") + F.row_number().over(local) - 1).cast("long"))
-        .drop("_pid", "_off")
-    )
+    return positions(df, order_by, None, name)
 
 
 def read_export(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -68,3 +68,27 @@ def test_read_corpus_skips_absent(spark):
     df = files.read_corpus(spark, [p, os.path.join(d, "missing.md")])
     rows = df.collect()
     assert len(rows) == 1 and "Line one\nline" in rows[0]["text"]
+
+
+def test_save_warehouse_and_counts(spark):
+    from liftkit.operators import quality
+
+    tables = {"wh_a": spark.range(4), "wh_b": spark.range(2).withColumn("x", F.lit(1.5))}
+    files.save_warehouse(spark, tables, database="liftkit_test_wh")
+    files.save_warehouse(spark, tables, database="liftkit_test_wh")  # replaces, does not append
+    counts = {r["table_name"]: r["n_rows"] for r in quality.table_counts(spark, database="liftkit_test_wh").collect()}
+    assert counts == {"wh_a": 4, "wh_b": 2}
+    gate = quality.table_gate(spark, ("wh_a", "wh_b"), database="liftkit_test_wh").collect()
+    assert all(r["tables_ok"] == 1 for r in gate)
+
+
+def test_json_summary(spark):
+    import json
+
+    df = spark.createDataFrame([(3, ["A", "B"])], "raw_listing_rows long, boroughs array<string>")
+    path = files.scratch_path(spark, "summary")
+    files.write_json_summary(df, path)
+    parts = [p for p in os.listdir(path) if p.endswith(".json")]
+    with open(os.path.join(path, parts[0])) as f:
+        obj = json.loads(f.readline())
+    assert obj == {"raw_listing_rows": 3, "boroughs": ["A", "B"]}
