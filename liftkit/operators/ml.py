@@ -57,8 +57,11 @@ def positions(df: DataFrame, order_col: str, group_col: str | None = None, name:
     w = Window.partitionBy(*gkeys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
     local = Window.partitionBy("_pid", *gkeys).orderBy(order_col)
+    # without groups the offsets have one row per partition (bounded): broadcast them; with
+    # groups their size follows the group count, so the planner chooses by runtime size
+    small = offsets if gkeys else F.broadcast(offsets)
     return (
-        ranged.join(F.broadcast(offsets), ["_pid", *gkeys])
+        ranged.join(small, ["_pid", *gkeys])
         .withColumn(name, (F.col("_off") + F.row_number().over(local) - 1).cast("long"))
         .drop("_pid", "_off")
     )

@@ -25,12 +25,15 @@ def _running_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     per = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
     n_parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = per.repartitionByRange(n_parts, *keys, value).withColumn("_pid", F.spark_partition_id())
-    # one row per (partition, group): a small table, broadcast back to the value rows
+    # one row per (partition, group) that occurs in it: about partitions + groups rows
     totals = ranged.groupBy("_pid", *keys).agg(F.sum("_cnt").alias("_tot"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0))).drop("_tot")
     local = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ranged.join(F.broadcast(offsets), ["_pid", *keys]).withColumn("_end", F.col("_off") + F.sum("_cnt").over(local))
+    # forced broadcast only when the size is bounded by the partition count (a single group);
+    # with real groups the planner picks the join from the runtime size
+    small = F.broadcast(offsets) if keys == ["_g"] else offsets
+    out = ranged.join(small, ["_pid", *keys]).withColumn("_end", F.col("_off") + F.sum("_cnt").over(local))
     return out.select(*keys, value, "_cnt", (F.col("_end") - F.col("_cnt")).alias("_start"), "_end")
 
 
