@@ -128,3 +128,33 @@ def test_classifiers_beat_floor(spark):
         assert metrics.accuracy(pred).first()["accuracy"] > 0.7
     base = ml.majority_predict(test, train)
     assert metrics.accuracy(base).first()["accuracy"] < 0.7
+
+
+def test_cross_validation_recall_and_forest_scores(spark):
+    from liftkit.operators import scoring
+
+    rng = np.random.default_rng(2)
+    rows = [(i, int(i % 2), float(rng.normal(3.0 * (i % 2), 1.0))) for i in range(300)]
+    data = ml.assemble(spark.createDataFrame(rows, "id long, label int, a double"), ["a"])
+    folds = ml.cross_validate(data, lambda d: ml.random_forest_classifier(10, 13), "id", folds=5, metric="recall")
+    out = folds.collect()
+    assert len(out) == 5 and all(r["metric"] == "recall" and r["score"] > 0.8 for r in out)
+
+    # forest predictions as the fourth score term
+    panel = []
+    for m, base in (("A", 10.0), ("B", 20.0), ("C", 30.0)):
+        for d in range(20):
+            t, p = int(m != "A"), int(d >= 10)
+            y = base + d * 0.1
+            panel.append((m, d, t, p, y, 10 * y, 0.22 * 10 * y, 0.0, 1.0, 2.0, 3.0, 4.0, 5.0))
+    mp = spark.createDataFrame(panel, "borough string, day_index int, treated_market int, post_period int, "
+                               "experience_bookings double, gbv double, contribution_margin double, spend double, "
+                               "demand_signal_score double, event_pressure double, intent_index double, "
+                               "weather_favorability double, available_supply double")
+    train = ml.assemble(mp.withColumnRenamed("experience_bookings", "label"), scoring.SIGNALS + ["day_index"])
+    model = ml.random_forest_regressor(10, 1, 42).fit(train)
+    feats = ml.assemble(scoring.market_features(mp).withColumn("day_index", F.lit(10)), scoring.SIGNALS + ["day_index"])
+    pred = model.transform(feats).select("borough", F.col("prediction").alias("predicted_daily_experience_bookings"))
+    scores = scoring.opportunity_scores(mp, predicted=pred, r2=0.5).collect()
+    assert len(scores) == 3 and all(r["rf_holdout_r2"] == 0.5 for r in scores)
+    assert all(r["predicted_daily_experience_bookings"] is not None for r in scores)
