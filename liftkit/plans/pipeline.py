@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from liftkit.config import DEFAULT_COEF, Coefficients, StudyDesign
 from liftkit.operators import causal, cleaning, panel, scoring
 from liftkit.plans import reports
+from liftkit.session import ensure_checkpoint_dir
 from liftkit.sources import tables as T
 
 
@@ -40,14 +42,22 @@ class MeasurementRun:
 
 def run(listings_raw: DataFrame, markets: DataFrame, facts: DataFrame, design: StudyDesign,
         coef: Coefficients = DEFAULT_COEF, predicted: DataFrame | None = None, r2: float | None = None,
-        cache_marketing: bool = False) -> MeasurementRun:
-    """Build every output lazily. ``cache_marketing`` persists the market-day panel, which
-    feeds the estimate, the scores and the reports."""
+        materialize: str | None = None) -> MeasurementRun:
+    """Build every output lazily.
+
+    The market-day panel feeds the estimate, the scores, the decision table and the reports.
+    ``materialize="checkpoint"`` writes it once to the shared ``spark.checkpoint.dir``
+    (lineage cut; a lost executor re-reads it instead of recomputing the fact joins);
+    ``"cache"`` keeps it in executor memory and disk.
+    """
     listings = cleaning.outlier_filter(cleaning.clean_listings(listings_raw))
     demand = panel.demand_panel(panel.market_rollup(listings, design), design, coef)
     marketing = panel.observed_panel(markets, facts, design, coef)
-    if cache_marketing:
-        marketing = marketing.cache()
+    if materialize == "checkpoint":
+        ensure_checkpoint_dir(marketing.sparkSession)
+        marketing = marketing.checkpoint(eager=True)
+    elif materialize == "cache":
+        marketing = marketing.persist(StorageLevel.MEMORY_AND_DISK)
     metrics = causal.did_estimate(marketing)
     scores = scoring.opportunity_scores(marketing, predicted, r2, coef)
     dm = causal.decision_metrics(listings, demand, marketing)
