@@ -84,11 +84,13 @@ def strip_round6(sql: str) -> str:
 
 def finalize(sql: str, doubles: list[str]) -> str:
     """Normalise double outputs to float32 precision (an IEEE cast both engines perform
-    identically), so summation-order differences in the last bits compare equal."""
+    identically), so summation-order differences in the last bits compare equal; magnitudes
+    below 1e-9 (cancellation noise around zero) become 0."""
     body = strip_round6(sql)
     if not doubles:
         return body
-    repl = ", ".join(f'CAST(CAST("{c}" AS FLOAT) AS DOUBLE) AS "{c}"' for c in doubles)
+    repl = ", ".join(f'CASE WHEN abs("{c}") < 1e-9 THEN 0.0::DOUBLE ELSE CAST(CAST("{c}" AS FLOAT) AS DOUBLE) END AS "{c}"'
+                     for c in doubles)
     return f"SELECT * REPLACE ({repl}) FROM (\n{body}\n) oracle_result"
 
 

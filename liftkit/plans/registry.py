@@ -34,11 +34,13 @@ def register(name: str):
 
 def stable(df: DataFrame) -> DataFrame:
     """Round every double output to float32 precision (the same IEEE cast the SQL oracle
-    applies), so last-bit differences from summation order compare equal across engines."""
+    applies), so last-bit differences from summation order compare equal across engines;
+    magnitudes below 1e-9 (cancellation noise around zero) become 0."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.col(f"`{f.name}`").cast("float").cast("double").alias(f.name))
+            c = F.col(f"`{f.name}`")
+            cols.append(F.when(F.abs(c) < 1e-9, F.lit(0.0)).otherwise(c.cast("float").cast("double")).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
