@@ -110,8 +110,7 @@ def score_ranks(pred: DataFrame, score: str = "score", label: str = "label", pos
     """
     per = pred.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(
         F.count(F.lit(1)).alias("cnt"), F.sum((F.col(label) == positive).cast("long")).alias("pos"))
-    n_parts = max(1, int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = per.repartitionByRange(n_parts, "s").withColumn("_pid", F.spark_partition_id())
+    ranged = per.repartitionByRange("s").withColumn("_pid", F.spark_partition_id())
     part_tot = ranged.groupBy("_pid").agg(F.sum("cnt").alias("_tot"))
     offsets = part_tot.withColumn(
         "_off", F.coalesce(F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -49,9 +49,8 @@ def positions(df: DataFrame, order_col: str, group_col: str | None = None, name:
     distributed: range partitioning, per-partition counts, offsets from the small counts
     table. No window sees more than one partition of rows."""
     spark = df.sparkSession
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = ([group_col] if group_col else []) + [order_col]
-    ranged = df.repartitionByRange(n_parts, *keys).withColumn("_pid", F.spark_partition_id())
+    ranged = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
     gkeys = ([group_col] if group_col else [])
     sizes = ranged.groupBy("_pid", *gkeys).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*gkeys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 
 def _running_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     per = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    n_parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = per.repartitionByRange(n_parts, *keys, value).withColumn("_pid", F.spark_partition_id())
+    ranged = per.repartitionByRange(*keys, value).withColumn("_pid", F.spark_partition_id())
     # one row per (partition, group) that occurs in it: about partitions + groups rows
     totals = ranged.groupBy("_pid", *keys).agg(F.sum("_cnt").alias("_tot"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
