@@ -22,26 +22,31 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # -- splits -----------------------------------------------------------------------------------
 
 
-def hash_bucket(id_col: str, seed: int, buckets: int = 10000):
-    return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(buckets))
+HASH_SPAN = 16 ** 15  # md5-derived keys are 60-bit integers in [0, HASH_SPAN)
+
+
+def hash_key(id_col: str, seed: int) -> Column:
+    """60-bit integer from md5('<seed>:<id>'): uniform, deterministic, stable under
+    repartitioning and recomputation, and computable the same way in other SQL engines."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def split_hash(df: DataFrame, id_col: str, test_fraction: float = 0.25, seed: int = 42) -> DataFrame:
     """Add ``split`` = 'test' for a deterministic ``test_fraction`` of ids, else 'train'."""
-    cut = int(round(test_fraction * 10000))
-    return df.withColumn("split", F.when(hash_bucket(id_col, seed) < cut, F.lit("test")).otherwise(F.lit("train")))
+    cut = int(test_fraction * HASH_SPAN)
+    return df.withColumn("split", F.when(hash_key(id_col, seed) < F.lit(cut), F.lit("test")).otherwise(F.lit("train")))
 
 
-def split_mod(df: DataFrame, id_col: str, test_from: int = 7, modulus: int = 10) -> DataFrame:
-    """Add ``split`` = 'test' when id mod ``modulus`` >= ``test_from`` (a transparent split)."""
-    return df.withColumn(
-        "split", F.when(F.pmod(F.col(id_col), F.lit(modulus)) >= test_from, F.lit("test")).otherwise(F.lit("train")))
+def fold_of(id_col: str, folds: int, seed: int) -> Column:
+    """Fold number 0..folds-1 from the id hash (equal-width slices of the hash range)."""
+    return (hash_key(id_col, seed) / F.lit(float(HASH_SPAN)) * folds).cast("int")
 
 
 def positions(df: DataFrame, order_col: str, group_col: str | None = None, name: str = "position") -> DataFrame:
@@ -68,9 +73,9 @@ def positions(df: DataFrame, order_col: str, group_col: str | None = None, name:
 
 def split_stratified(df: DataFrame, id_col: str, label_col: str, test_fraction: float = 0.25,
                      seed: int = 0) -> DataFrame:
-    """Exact stratified split: within each label, the first round(fraction x n) rows in hash
+    """Exact stratified split: within each label, the first round(fraction x n) rows in id-hash
     order are 'test'. Label sizes come from a grouped count (one row per label)."""
-    keyed = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    keyed = df.withColumn("_h", hash_key(id_col, seed))
     ranked = positions(keyed, "_h", label_col, "_pos")
     sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n_label"))
     out = ranked.join(sizes, label_col)
@@ -309,8 +314,7 @@ def cross_validate(df: DataFrame, make_estimator, id_col: str, label: str = "lab
     """One row per fold: fit on the other folds, score on this one. Folds are a hash of id."""
     from liftkit.operators import metrics as M
 
-    fold = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(folds))
-    data = df.withColumn("_fold", fold)
+    data = df.withColumn("_fold", fold_of(id_col, folds, seed))
     out = None
     for k in range(folds):
         train, test = data.filter(F.col("_fold") != k), data.filter(F.col("_fold") == k)

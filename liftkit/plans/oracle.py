@@ -606,9 +606,18 @@ SQL["minmax_scale"] = with_ctes(LISTINGS, "SELECT id, " + ", ".join(
     f"((SELECT max({c}) FROM lst) - (SELECT min({c}) FROM lst)) ELSE 0.0 END, 6) AS {c}"
     for c in ["price", "number_of_reviews"]) + " FROM lst")
 
-SQL["majority_baseline"] = with_ctes(LISTINGS + ["clf"], "").rstrip("\n") + """,
+def hash_key_sql(id_expr: str, seed: int) -> str:
+    """The md5-derived 60-bit key of ``ml.hash_key``."""
+    return f"('0x' || substr(md5('{seed}:' || CAST({id_expr} AS VARCHAR)), 1, 15))::BIGINT"
+
+
+def split_sql(id_expr: str, fraction: float, seed: int) -> str:
+    return f"CASE WHEN {hash_key_sql(id_expr, seed)} < {int(fraction * 16 ** 15)} THEN 'test' ELSE 'train' END"
+
+
+SQL["majority_baseline"] = with_ctes(LISTINGS + ["clf"], "").rstrip("\n") + f""",
 sp AS (
-  SELECT label, CASE WHEN id % 4 >= 3 THEN 'test' ELSE 'train' END AS split FROM clf),
+  SELECT label, {split_sql('id', 0.25, 0)} AS split FROM clf),
 maj AS (
   SELECT label AS majority FROM sp WHERE split = 'train' GROUP BY label ORDER BY count(*) DESC, label ASC LIMIT 1)
 SELECT (SELECT majority FROM maj) AS majority,
@@ -616,9 +625,9 @@ SELECT (SELECT majority FROM maj) AS majority,
   count(*) AS n_test
 FROM sp WHERE split = 'test'"""
 
-SQL["knn_classify"] = """WITH e AS (
+SQL["knn_classify"] = f"""WITH e AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS BIGINT) AS label,
-    CASE WHEN vec_id % 10 >= 7 THEN 'test' ELSE 'train' END AS split FROM embeddings),
+    {split_sql('vec_id', 0.3, 0)} AS split FROM embeddings),
 tr AS (SELECT * FROM e WHERE split = 'train'),
 pairs AS (
   SELECT q.vec_id AS qid, q.label AS qlabel, q.split, t.vec_id AS tid, t.label AS tlabel, list_distance(q.v, t.v) AS d
@@ -714,6 +723,12 @@ SQL["null_profile"] = with_ctes(["lst_raw"], "\nUNION ALL ".join(
     for i, c in enumerate(RAW_COLS)))
 
 
+SQL["split_hash"] = with_ctes(LISTINGS + ["clf"], f"SELECT id, label, {split_sql('id', 0.3, 200)} AS split FROM clf")
+SQL["split_stratified"] = with_ctes(LISTINGS + ["clf"], f"""SELECT id, label,
+  CASE WHEN row_number() OVER (PARTITION BY label ORDER BY {hash_key_sql('id', 0)}) - 1
+    < round(count(*) OVER (PARTITION BY label) * 0.25) THEN 'test' ELSE 'train' END AS split
+FROM clf""")
+
 # Double-valued output columns per key (checked against the Spark schema by tests/test_oracle.py).
 DOUBLE_COLUMNS = {
     'null_profile': ['missing_share'],

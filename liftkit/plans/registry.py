@@ -457,7 +457,7 @@ def q_split_stratified(spark, sf_dir):
 
 @register("majority_baseline")
 def q_majority_baseline(spark, sf_dir):
-    df = ml.split_mod(classifier_frame(spark, sf_dir).select("id", "label"), "id", test_from=3, modulus=4)
+    df = ml.split_hash(classifier_frame(spark, sf_dir).select("id", "label"), "id", 0.25, 0)
     train, test = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
     pred = ml.majority_predict(test, train)
     return stable(metrics.accuracy(pred).select(
@@ -466,7 +466,7 @@ def q_majority_baseline(spark, sf_dir):
 
 
 def embeddings_split(spark, sf_dir):
-    return ml.split_mod(T.read_table(spark, sf_dir, "embeddings"), "vec_id", test_from=7, modulus=10)
+    return ml.split_hash(T.read_table(spark, sf_dir, "embeddings"), "vec_id", 0.3, 0)
 
 
 @register("knn_classify")

@@ -64,9 +64,10 @@ def test_blocked_knn_equals_brute_force(spark):
     labels = rng.integers(0, 3, size=n)
     rows = [(i, vecs[i].tolist(), int(labels[i])) for i in range(n)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    df = ml.split_mod(df, "vec_id", 7, 10)
+    df = ml.split_hash(df, "vec_id", 0.3, 0)
+    split = {r["vec_id"]: r["split"] for r in df.select("vec_id", "split").collect()}
     got = {r["k"]: r for r in ml.knn_accuracy_curve(df, "vec_id", "embedding", "label", block_rows=16).collect()}
-    train = [i for i in range(n) if i % 10 < 7]
+    train = [i for i in range(n) if split[i] == "train"]
     v64 = vecs.astype(np.float64)
     for k in range(1, 11):
         hits = {"train": [], "test": []}
@@ -77,7 +78,7 @@ def test_blocked_knn_equals_brute_force(spark):
             for j in order:
                 counts[labels[train[j]]] = counts.get(labels[train[j]], 0) + 1
             pred = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[0][0]
-            hits["test" if i % 10 >= 7 else "train"].append(pred == labels[i])
+            hits[split[i]].append(pred == labels[i])
         assert got[k]["train_accuracy"] == pytest.approx(np.mean(hits["train"]))
         assert got[k]["test_accuracy"] == pytest.approx(np.mean(hits["test"]))
 
