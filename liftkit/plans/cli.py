@@ -17,7 +17,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from liftkit.operators import causal, quality
-from liftkit.plans import pipeline, reports
+from liftkit.plans import measurement, reports
 from liftkit.session import ensure_checkpoint_dir, get_spark
 from liftkit.sources import files
 from liftkit.sources import tables as T
@@ -25,7 +25,7 @@ from liftkit.sources import tables as T
 
 def measure(args) -> None:
     spark = get_spark()
-    run = pipeline.run_test_tables(spark, args.sf_dir, materialize="checkpoint")
+    run = measurement.run_test_tables(spark, args.sf_dir, materialize="checkpoint")
     tables = run.warehouse()
     files.save_warehouse(spark, tables, database=args.database)
     out = args.out or f"{ensure_checkpoint_dir(spark).rstrip('/')}/liftkit-run"

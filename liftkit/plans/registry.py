@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from liftkit.functions import clean as clean_fn
 from liftkit.operators import causal, cleaning, metrics, ml, panel, profile, quality, scoring
-from liftkit.plans import pipeline, reports
+from liftkit.plans import measurement, reports
 from liftkit.sources import files
 from liftkit.sources import tables as T
 from liftkit.sources.tables import TEST_DESIGN
@@ -248,13 +248,13 @@ def q_decision(spark, sf_dir):
     return stable(m.select("estimated_incremental_margin", "pretrend_slope_gap_bookings_per_day", "decision"))
 
 
-def measurement(spark, sf_dir):
-    return pipeline.run_test_tables(spark, sf_dir)
+def measured_run(spark, sf_dir):
+    return measurement.run_test_tables(spark, sf_dir)
 
 
 @register("decision_metrics")
 def q_decision_metrics(spark, sf_dir):
-    return stable(measurement(spark, sf_dir).decision_metrics)
+    return stable(measured_run(spark, sf_dir).decision_metrics)
 
 
 @register("opportunity_features")
@@ -291,7 +291,7 @@ def q_pct_rank_avg(spark, sf_dir):
 # -- reports over warehouse views ---------------------------------------------------------------
 
 def _report(spark, sf_dir, name):
-    measurement(spark, sf_dir).register_views()
+    measured_run(spark, sf_dir).register_views()
     return stable(reports.run_report(spark, name))
 
 
@@ -340,7 +340,7 @@ def q_table_counts(spark, sf_dir):
 
 @register("table_gate")
 def q_table_gate(spark, sf_dir):
-    measurement(spark, sf_dir).register_views()
+    measured_run(spark, sf_dir).register_views()
     return quality.table_gate(spark)
 
 
@@ -352,13 +352,13 @@ def q_rubric_score(spark, sf_dir):
 @register("rubric_verdict")
 def q_rubric_verdict(spark, sf_dir):
     scores = quality.rubric_score(T.read_table(spark, sf_dir, "documents"))
-    measurement(spark, sf_dir).register_views()
+    measured_run(spark, sf_dir).register_views()
     return quality.rubric_verdict(scores, quality.table_gate(spark))
 
 
 @register("quality_summary")
 def q_quality_summary(spark, sf_dir):
-    run = measurement(spark, sf_dir)
+    run = measured_run(spark, sf_dir)
     return quality.quality_summary(run.listings, run.demand_panel, run.marketing, SUMMARY_SOURCE)
 
 
