@@ -729,8 +729,47 @@ SQL["split_stratified"] = with_ctes(LISTINGS + ["clf"], f"""SELECT id, label,
     < round(count(*) OVER (PARTITION BY label) * 0.25) THEN 'test' ELSE 'train' END AS split
 FROM clf""")
 
+# Gaussian naive Bayes in closed form: features standardised with training-row statistics,
+# per-class prior log(n_c / n), mean and population variance plus 1e-9 x the largest
+# training variance; prediction = argmax of the log-likelihood (ties -> smaller class).
+_NB_FEATS = ["price", "number_of_reviews", "reviews_per_month"] + [
+    f"{p}_{lv}" for p, levels in (("G", REGION_LEVELS), ("N", NATION_LEVELS), ("R", SEGMENT_LEVELS)) for lv in levels]
+
+
+def _qi(name: str) -> str:
+    return '"' + name + '"'
+
+
+def _nb_sql() -> str:
+    fs = _NB_FEATS
+    stats = ", ".join(f"avg({_qi(f)}) AS {_qi('mu_' + f)}, stddev_pop({_qi(f)}) AS {_qi('sd_' + f)}" for f in fs)
+    zcols = ", ".join(
+        f"CASE WHEN st.{_qi('sd_' + f)} > 0 THEN (sp.{_qi(f)} - st.{_qi('mu_' + f)}) / st.{_qi('sd_' + f)} ELSE 0.0 END AS {_qi(f)}"
+        for f in fs)
+    cls = ", ".join(f"avg({_qi(f)}) AS {_qi('th_' + f)}, var_pop({_qi(f)}) AS {_qi('va_' + f)}" for f in fs)
+    eps = "greatest(" + ", ".join(f"var_pop({_qi(f)})" for f in fs) + ") * 1e-9"
+    ll = " + ".join(
+        f"(-0.5 * ln(2 * pi() * (c.{_qi('va_' + f)} + e.e)) - (z.{_qi(f)} - c.{_qi('th_' + f)}) * (z.{_qi(f)} - c.{_qi('th_' + f)})"
+        f" / (2 * (c.{_qi('va_' + f)} + e.e)))" for f in fs)
+    return with_ctes(LISTINGS + ["clf"], "").rstrip("\n") + f""",
+sp AS (SELECT *, {split_sql('id', 0.25, 0)} AS split FROM clf),
+st AS (SELECT {stats} FROM sp WHERE split = 'train'),
+z AS (SELECT sp.id, sp.label, sp.split, {zcols} FROM sp, st),
+ntr AS (SELECT count(*) AS n FROM z WHERE split = 'train'),
+cls AS (SELECT label AS cl, ln(count(*) / (SELECT n FROM ntr)) AS prior, {cls} FROM z WHERE split = 'train' GROUP BY label),
+eps AS (SELECT {eps} AS e FROM z WHERE split = 'train'),
+ll AS (SELECT z.id, z.label, z.split, c.cl, c.prior + {ll} AS score FROM z, cls c, eps e),
+pred AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, cl ASC) AS r FROM ll) x WHERE r = 1)
+SELECT 'gaussian_nb' AS model, split, avg(CAST(label = cl AS DOUBLE)) AS accuracy FROM pred GROUP BY split"""
+
+
+SQL["gnb_classify"] = _nb_sql()
+
+
 # Double-valued output columns per key (checked against the Spark schema by tests/test_oracle.py).
 DOUBLE_COLUMNS = {
+    'gnb_classify': ['accuracy'],
     'null_profile': ['missing_share'],
     'accuracy': ['accuracy'],
     'assignment_flags': [],
