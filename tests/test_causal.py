@@ -91,3 +91,19 @@ def test_calendar_edge_days(spark):
     assert cal["2026-07-04"]["weekend"] == 1 and cal["2026-07-04"]["holiday"] == 1
     assert cal["2026-06-15"]["day_index"] == 45 and cal["2026-06-16"]["day_index"] == 46
     assert max(r["day_index"] for r in cal.values()) == 89 and "2026-07-29" in cal
+
+
+def test_events_are_pre_aggregated_before_the_market_join(spark):
+    """A user holding a third of all events reaches the user -> market join as at most one
+    row per (day, event type): the partial aggregate sits below the join."""
+    import os
+
+    from liftkit.sources import tables as T
+
+    sf = "/root/testdata/sf0.01"
+    if not os.path.exists(sf):
+        pytest.skip("test tables absent")
+    plan = T.event_funnel_facts(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    join_at = min(i for i in (plan.find("BroadcastHashJoin"), plan.find("SortMergeJoin")) if i >= 0)
+    # the per-(user, day, type) aggregate appears below (after, in the tree text) the join
+    assert "partial_count" in plan[join_at:] and "user_id" in plan[join_at:]

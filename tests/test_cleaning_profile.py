@@ -111,3 +111,37 @@ def test_clip_keeps_null(spark):
     df = spark.createDataFrame([(None,), (150.0,), (-3.0,)], "x double")
     out = [tuple(r) for r in df.select(clip("x", 0, 100).alias("c"), floor_zero("x").alias("f")).collect()]
     assert out == [(None, 0.0), (100.0, 150.0), (0.0, 0.0)]
+
+
+def test_null_id_is_not_counted(spark):
+    rows = [(1, "M", "a", "r", "$10", 1, None, "1", "1"), (None, "M", "a", "r", "$20", 1, None, "1", "1")]
+    r = panel.market_rollup(cleaning.clean_listings(spark.createDataFrame(rows, RAW)), StudyDesign(min_listings=1)).first()
+    assert r["listing_count"] == 1 and r["avg_price"] == pytest.approx(15.0)
+
+
+def test_conversion_zero_clicks(spark):
+    from liftkit.functions.signals import conversion_rate
+
+    df = spark.createDataFrame([(3.0, 0.0), (3.0, 6.0), (0.0, 0.0)], "b double, c double")
+    assert [r[0] for r in df.select(conversion_rate("b", "c")).collect()] == [0.0, 0.5, 0.0]
+
+
+def test_scores_with_tied_and_missing_signals(spark):
+    rows = [("A", 1.0, 5.0, 10.0, 3.0), ("B", 1.0, 5.0, 20.0, 3.0), ("C", 2.0, 6.0, 30.0, 4.0), ("D", None, 7.0, 40.0, 5.0)]
+    feats = spark.createDataFrame(
+        [(b, d, e, 0.0, 0.0, s, 0.0, 0.0, 0.0, p, 100.0) for b, d, e, s, p in rows],
+        "borough string, demand_signal_score double, event_pressure double, intent_index double, "
+        "weather_favorability double, available_supply double, baseline_bookings double, avg_gbv double, "
+        "avg_margin double, predicted_daily_experience_bookings double, _total_margin double")
+    out = {r["borough"]: r for r in scoring.score_markets(feats).collect()}
+    pdf = pd.DataFrame(rows, columns=["b", "d", "e", "s", "p"]).astype({"d": "float64"})
+    want = 100 * (0.45 * pdf.d.rank(pct=True) + 0.25 * pdf.e.rank(pct=True) + 0.20 * pdf.s.rank(pct=True)
+                  + 0.10 * pdf.p.rank(pct=True))
+    for i, b in enumerate(pdf.b):
+        if math.isnan(want[i]):
+            assert out[b]["opportunity_score"] is None
+        else:
+            assert out[b]["opportunity_score"] == pytest.approx(want[i])
+    assert out["D"]["recommended_action"] == "hold / improve signal quality"
+    total = sum(r["opportunity_score"] for r in out.values() if r["opportunity_score"] is not None)
+    assert out["C"]["expected_incremental_margin"] == pytest.approx(out["C"]["opportunity_score"] * 100.0 / total)
