@@ -14,10 +14,9 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
 
 from liftkit.operators import causal, quality
-from liftkit.plans import measurement, reports
+from liftkit.plans import measurement
 from liftkit.session import ensure_checkpoint_dir, get_spark
 from liftkit.sources import files
 from liftkit.sources import tables as T

@@ -12,7 +12,7 @@ import datetime as dt
 from liftkit.config import (
     ACTION_HOLD, ACTION_SCALE, ACTION_TEST, CONTROL_CAMPAIGN_ID, CONTROL_CHANNEL, DECISION_METRIC_TEXT,
     DECISION_RETEST, DECISION_SCALE, DEFAULT_CATEGORY, DEFAULT_COEF as C, DEFAULT_SEGMENT,
-    TREATED_CAMPAIGN_ID, TREATED_CHANNEL, RUBRIC, SYNTHETIC_FIELDS, PASS_SCORE, REQUIRED_TABLES,
+    TREATED_CAMPAIGN_ID, TREATED_CHANNEL, RUBRIC, SYNTHETIC_FIELDS, PASS_SCORE,
 )
 from liftkit.sources.tables import LISTING_AS_OF, LISTING_MONTHS, TEST_DESIGN as D
 

@@ -6,7 +6,6 @@ Each query is the library operator applied to the test-table adapters, followed
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel

@@ -1,6 +1,5 @@
 """Golden rows recomputed from the published five-market score table and decision metrics."""
 
-import math
 
 import pytest
 from pyspark.sql import functions as F

@@ -1,6 +1,5 @@
 """Evaluation metrics against brute force; k-NN against brute force; splits; model floors."""
 
-import itertools
 import random
 
 import numpy as np
