@@ -65,3 +65,40 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def recommended_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2,
+                     max_partitions: int = 65536) -> dict:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits of ``partition_bytes`` keep each task's input bounded. The initial shuffle
+    partition count assumes shuffles carry at most the input size (column pruning and
+    partial aggregation make them far smaller), is at least two waves of cores, and is capped
+    at ``max_partitions`` (map-output metadata grows with maps x reducers); AQE then coalesces
+    toward ``partition_bytes``. Skew handling splits any partition five times the median
+    and over 512 MB.
+    """
+    initial = min(max_partitions, max(2 * total_cores, int(input_bytes // partition_bytes) + 1))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
+
+
+def apply_conf(spark, conf: dict, override: bool = False) -> dict:
+    """Set the given SQL settings on the session, keeping values the cluster already set
+    unless ``override``. Returns what was applied."""
+    applied = {}
+    for k, v in conf.items():
+        if override or spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied

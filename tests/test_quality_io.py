@@ -91,3 +91,13 @@ def test_json_summary(spark):
     with open(os.path.join(path, parts[0])) as f:
         obj = json.loads(f.readline())
     assert obj == {"raw_listing_rows": 3, "boroughs": ["A", "B"]}
+
+
+def test_recommended_conf_keeps_cluster_settings(spark):
+    from liftkit.session import apply_conf, recommended_conf
+
+    conf = recommended_conf(100 * 1024 ** 4, 8000)
+    assert conf["spark.sql.shuffle.partitions"] == "65536"
+    assert recommended_conf(10 * 1024 ** 3, 8)["spark.sql.shuffle.partitions"] == "41"
+    applied = apply_conf(spark, {"spark.sql.shuffle.partitions": "999"})
+    assert applied == {} and spark.conf.get("spark.sql.shuffle.partitions") == "8"
