@@ -31,30 +31,40 @@ from liftkit.operators import quantiles
 def market_rollup(listings: DataFrame, design: StudyDesign = DEFAULT_DESIGN, median: str = "distributed") -> DataFrame:
     """Per (market, sub-market) listing statistics, keeping groups of ``min_listings`` or more.
 
-    Missing keys drop out (as a pandas groupby does). The median is exact: ``distributed``
-    (default) ranks distinct prices across range partitions, so a sub-market holding a third
-    of all listings is still spread over many tasks; ``aggregate`` uses Spark's ``median``
-    (one value map per group); ``approx`` uses ``percentile_approx``.
+    Missing keys drop out (as a pandas groupby does). The listings are read once, into a
+    partial aggregate per (market, sub-market, price, room type); the statistics and the
+    median are both finished from it, so the two consumers share one scan of the input.
+    The median is exact: ``distributed`` (default) ranks distinct prices across range
+    partitions, so a sub-market holding a third of all listings is still spread over many
+    tasks; ``aggregate`` uses Spark's ``median`` (one value map per group, from the raw
+    rows); ``approx`` uses ``percentile_approx``.
     """
     keys = ["neighbourhood_group", "neighbourhood"]
     present = listings.filter(F.col("neighbourhood_group").isNotNull() & F.col("neighbourhood").isNotNull())
-    aggs = [
-        F.count("id").alias("listing_count"),
-        F.avg("price").alias("avg_price"),
-        F.avg("reviews_per_month").alias("review_velocity"),
-        F.coalesce(F.sum("number_of_reviews"), F.lit(0)).cast("long").alias("total_reviews"),
-        F.avg("availability_365").alias("avg_availability"),
+    if median in ("aggregate", "approx"):
+        med_agg = (F.median("price") if median == "aggregate" else F.percentile_approx("price", 0.5, 10000))
+        med = present.groupBy(*keys).agg(med_agg.alias("median_price"))
+    part = present.groupBy(*keys, "price", "room_type").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count("id").alias("_ids"),
+        F.sum("reviews_per_month").alias("_rpm"),
+        F.count("reviews_per_month").alias("_n_rpm"),
+        F.sum("number_of_reviews").alias("_reviews"),
+        F.sum("availability_365").alias("_avail"),
+        F.count("availability_365").alias("_n_avail"),
+    )
+    priced = F.when(F.col("price").isNotNull(), F.col("_rows"))
+    base = part.groupBy(*keys).agg(
+        F.sum("_ids").alias("listing_count"),
+        (F.sum(F.col("price") * F.col("_rows")) / F.sum(priced)).alias("avg_price"),
+        (F.sum("_rpm") / F.sum("_n_rpm")).alias("review_velocity"),
+        F.coalesce(F.sum("_reviews"), F.lit(0)).cast("long").alias("total_reviews"),
+        (F.sum("_avail") / F.sum("_n_avail")).alias("avg_availability"),
         F.count_distinct("room_type").alias("room_diversity"),
-    ]
-    if median == "aggregate":
-        aggs.insert(2, F.median("price").alias("median_price"))
-    elif median == "approx":
-        aggs.insert(2, F.percentile_approx("price", 0.5, 10000).alias("median_price"))
-    base = present.groupBy(*keys).agg(*aggs).filter(F.col("listing_count") >= design.min_listings)
+    ).filter(F.col("listing_count") >= design.min_listings)
     if median == "distributed":
-        med = quantiles.grouped_quantile(present, keys, "price", 0.5, "median_price")
-        base = base.join(med, keys, "left")
-    base = base.withColumnRenamed("neighbourhood_group", "borough")
+        med = quantiles.grouped_quantile(part, keys, "price", 0.5, "median_price", weight="_rows")
+    base = base.join(med, keys, "left").withColumnRenamed("neighbourhood_group", "borough")
     base = base.select("borough", "neighbourhood", "listing_count", "avg_price", "median_price", "review_velocity",
                        "total_reviews", "avg_availability", "room_diversity")
     return base.withColumns(

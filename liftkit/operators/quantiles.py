@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _running_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    per = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
+def _running_counts(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
+    cnt = F.sum(weight) if weight else F.count(F.lit(1))
+    per = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(cnt.cast("long").alias("_cnt"))
     ranged = per.repartitionByRange(*keys, value).withColumn("_pid", F.spark_partition_id())
     # one row per (partition, group) that occurs in it: about partitions + groups rows
     totals = ranged.groupBy("_pid", *keys).agg(F.sum("_cnt").alias("_tot"))
@@ -36,12 +37,14 @@ def _running_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return out.select(*keys, value, "_cnt", (F.col("_end") - F.col("_cnt")).alias("_start"), "_end")
 
 
-def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: str = "quantile") -> DataFrame:
+def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: str = "quantile",
+                     weight: str | None = None) -> DataFrame:
     """Exact ``q`` quantile of ``value`` per group of ``keys`` (all rows when ``keys`` is empty).
 
-    Rows with a missing key are dropped (as a grouped aggregate over present keys)."""
+    Rows with a missing key are dropped (as a grouped aggregate over present keys). With
+    ``weight``, each row stands for that many rows (a pre-aggregated input)."""
     keys = list(keys)
-    data = df.select(*keys, value)
+    data = df.select(*keys, value, *([weight] if weight else []))
     if not keys:
         data = data.withColumn("_g", F.lit(0))
         group = ["_g"]
@@ -49,7 +52,7 @@ def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name:
         for k in keys:
             data = data.filter(F.col(k).isNotNull())
         group = keys
-    runs = _running_counts(data, group, value)
+    runs = _running_counts(data, group, value, weight)
     n = runs.groupBy(*group).agg(F.max("_end").alias("_n"))
     h = (F.col("_n") - 1) * F.lit(float(q))
     target = n.select(*group, F.floor(h).alias("_lo"), F.ceil(h).alias("_hi"), (h - F.floor(h)).alias("_frac"))
