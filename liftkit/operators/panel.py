@@ -82,37 +82,44 @@ def market_rollup(listings: DataFrame, design: StudyDesign = DEFAULT_DESIGN, med
 def with_study_days(df: DataFrame, design: StudyDesign = DEFAULT_DESIGN) -> DataFrame:
     """Attach every study day to every row (balanced panel), with calendar features."""
     days = F.sequence(F.lit(design.start), F.lit(design.end))
-    out = df.withColumn("date", F.explode(days))
-    return with_calendar(out, design)
+    return with_calendar(df.withColumn("date", F.explode(days)), design)
+
+
+def calendar_columns(d: Column, design: StudyDesign = DEFAULT_DESIGN) -> dict:
+    """Calendar features of a date column, as composed expressions (one projection)."""
+    day_index = F.datediff(d, F.lit(design.start))
+    return {
+        "day_index": day_index,
+        "weekday": F.weekday(d),
+        "weekend": S.weekend_flag(d),
+        "holiday": S.holiday_flag(d, design.holidays),
+        "date_iso": F.date_format(d, "yyyy-MM-dd"),
+        "season": S.season(day_index),
+    }
 
 
 def with_calendar(df: DataFrame, design: StudyDesign = DEFAULT_DESIGN, date_col: str = "date") -> DataFrame:
-    d = F.col(date_col)
-    return df.withColumns(
-        {
-            "day_index": F.datediff(d, F.lit(design.start)),
-            "weekday": F.weekday(d),
-            "weekend": S.weekend_flag(d),
-            "holiday": S.holiday_flag(d, design.holidays),
-            "date_iso": F.date_format(d, "yyyy-MM-dd"),
-        }
-    ).withColumn("season", S.season(F.col("day_index")))
+    return df.withColumns(calendar_columns(F.col(date_col), design))
+
+
+def assignment_columns(market: Column, day_index: Column, design: StudyDesign = DEFAULT_DESIGN) -> dict:
+    """Treated market, post period, treatment / holdout flags, campaign id and channel."""
+    treated = market.isin(list(design.treated)).cast("int")
+    post = (day_index >= design.cutoff_day).cast("int")
+    treatment = ((treated == 1) & (post == 1)).cast("int")
+    return {
+        "treated_market": treated,
+        "post_period": post,
+        "treatment_flag": treatment,
+        "holdout_flag": 1 - treatment,
+        "campaign_id": F.when(treatment == 1, F.lit(TREATED_CAMPAIGN_ID)).otherwise(F.lit(CONTROL_CAMPAIGN_ID)),
+        "channel": F.when(treatment == 1, F.lit(TREATED_CHANNEL)).otherwise(F.lit(CONTROL_CHANNEL)),
+    }
 
 
 def with_assignment(df: DataFrame, design: StudyDesign = DEFAULT_DESIGN, market_col: str = "borough") -> DataFrame:
     """Treated market, post period, treatment / holdout flags, campaign id and channel."""
-    treated = F.col(market_col).isin(list(design.treated)).cast("int")
-    post = (F.col("day_index") >= design.cutoff_day).cast("int")
-    out = df.withColumns({"treated_market": treated, "post_period": post})
-    treatment = ((F.col("treated_market") == 1) & (F.col("post_period") == 1)).cast("int")
-    out = out.withColumn("treatment_flag", treatment)
-    return out.withColumns(
-        {
-            "holdout_flag": 1 - F.col("treatment_flag"),
-            "campaign_id": F.when(F.col("treatment_flag") == 1, F.lit(TREATED_CAMPAIGN_ID)).otherwise(F.lit(CONTROL_CAMPAIGN_ID)),
-            "channel": F.when(F.col("treatment_flag") == 1, F.lit(TREATED_CHANNEL)).otherwise(F.lit(CONTROL_CHANNEL)),
-        }
-    )
+    return df.withColumns(assignment_columns(F.col(market_col), F.col("day_index"), design))
 
 
 def segment_of(market: Column | str, design: StudyDesign = DEFAULT_DESIGN) -> Column:
@@ -207,22 +214,31 @@ def scenario_panel(daily: DataFrame, design: StudyDesign = DEFAULT_DESIGN, coef:
     return _finish_marketing(p, coef)
 
 
+MARKETING_DOUBLES = {"spend", "impressions", "clicks", "experience_bookings", "gbv", "contribution_margin",
+                     "conversion_rate", "demand_signal_score", "event_pressure", "intent_index",
+                     "weather_favorability", "available_supply"}
+
+
+def _marketing_select(p: DataFrame, exprs: dict) -> DataFrame:
+    """Project the campaign-panel columns from ``exprs`` (name -> Column; missing names are
+    taken from ``p``) in one projection, with the published types."""
+    out = []
+    for c in MARKETING_PANEL_COLUMNS:
+        e = exprs.get(c, F.col(c))
+        out.append((e.cast("double") if c in MARKETING_DOUBLES else e.cast("int") if c == "day_index" else e).alias(c))
+    return p.select(*out)
+
+
 def _finish_marketing(p: DataFrame, coef: Coefficients) -> DataFrame:
-    p = p.withColumns(
-        {
-            "contribution_margin": S.contribution_margin("gbv", "raw_spend", coef),
-            "conversion_rate": S.conversion_rate("experience_bookings", "clicks"),
-            "spend": S.floor_zero("raw_spend"),
-            "holdout_flag": 1 - F.col("treatment_flag"),
-            "campaign_id": F.when(F.col("treatment_flag") == 1, F.lit(TREATED_CAMPAIGN_ID)).otherwise(F.lit(CONTROL_CAMPAIGN_ID)),
-            "channel": F.when(F.col("treatment_flag") == 1, F.lit(TREATED_CHANNEL)).otherwise(F.lit(CONTROL_CHANNEL)),
-            "day_index": F.col("day_index").cast("int"),
-        }
-    )
-    doubles = ["spend", "impressions", "clicks", "experience_bookings", "gbv", "contribution_margin",
-               "conversion_rate", "demand_signal_score", "event_pressure", "intent_index",
-               "weather_favorability", "available_supply"]
-    return p.select(*[F.col(c).cast("double").alias(c) if c in doubles else F.col(c) for c in MARKETING_PANEL_COLUMNS])
+    treatment = F.col("treatment_flag")
+    return _marketing_select(p, {
+        "contribution_margin": S.contribution_margin("gbv", "raw_spend", coef),
+        "conversion_rate": S.conversion_rate("experience_bookings", "clicks"),
+        "spend": S.floor_zero("raw_spend"),
+        "holdout_flag": 1 - treatment,
+        "campaign_id": F.when(treatment == 1, F.lit(TREATED_CAMPAIGN_ID)).otherwise(F.lit(CONTROL_CAMPAIGN_ID)),
+        "channel": F.when(treatment == 1, F.lit(TREATED_CHANNEL)).otherwise(F.lit(CONTROL_CHANNEL)),
+    })
 
 
 # -- observed campaign panel from funnel facts ---------------------------------------
@@ -230,7 +246,9 @@ def _finish_marketing(p: DataFrame, coef: Coefficients) -> DataFrame:
 def panel_scaffold(markets: DataFrame, design: StudyDesign = DEFAULT_DESIGN) -> DataFrame:
     """Every market x every study day, with calendar and assignment columns."""
     m = markets.select("borough").filter(F.col("borough").isNotNull()).distinct()
-    return with_assignment(with_study_days(m, design), design)
+    dated = m.withColumn("date", F.explode(F.sequence(F.lit(design.start), F.lit(design.end))))
+    cal = calendar_columns(F.col("date"), design)
+    return dated.withColumns({**cal, **assignment_columns(F.col("borough"), cal["day_index"], design)})
 
 
 def attach_facts(scaffold: DataFrame, facts: DataFrame, measures: list[str]) -> DataFrame:
@@ -250,23 +268,25 @@ def observed_panel(markets: DataFrame, facts: DataFrame, design: StudyDesign = D
 
     spend = click cost in treated-post cells, else 0; intent = 100 x (impressions + clicks) /
     activity; event pressure = event signal count; supply = active units; weather and place
-    density from the calendar / activity formulas; KPIs as in the scenario panel.
+    density from the calendar / activity formulas; KPIs as in the scenario panel. All derived
+    columns are composed into one projection over the scaffold-facts join.
     """
     p = attach_facts(panel_scaffold(markets, design), facts, FACT_MEASURES)
-    p = p.withColumns(
-        {
-            "traveler_segment": segment_of("borough", design),
-            "raw_spend": F.when(F.col("treatment_flag") == 1, F.col("click_cost")).otherwise(F.lit(0.0)),
-            "experience_bookings": F.col("bookings"),
-            "event_pressure": F.col("signals_event"),
-            "intent_index": S.safe_ratio((F.col("impressions") + F.col("clicks")) * 100.0, F.col("activity"), 0.0),
-            "weather_favorability": S.weather_favorability("day_index", coef),
-            "available_supply": F.col("active_units"),
-            "poi_density": S.poi_density("active_units", "diversity", coef),
-        }
-    )
-    p = p.withColumn(
-        "demand_signal_score",
-        S.demand_score("intent_index", "event_pressure", "weather_favorability", "poi_density", coef),
-    )
-    return _finish_marketing(p, coef)
+    c = F.col
+    raw_spend = F.when(c("treatment_flag") == 1, c("click_cost")).otherwise(F.lit(0.0))
+    intent = S.safe_ratio((c("impressions") + c("clicks")) * 100.0, c("activity"), 0.0)
+    weather = S.weather_favorability("day_index", coef)
+    poi = S.poi_density("active_units", "diversity", coef)
+    event = c("signals_event")
+    return _marketing_select(p, {
+        "traveler_segment": segment_of("borough", design),
+        "spend": S.floor_zero(raw_spend),
+        "experience_bookings": c("bookings"),
+        "contribution_margin": S.contribution_margin("gbv", raw_spend, coef),
+        "conversion_rate": S.conversion_rate("bookings", "clicks"),
+        "demand_signal_score": S.demand_score(intent, event, weather, poi, coef),
+        "event_pressure": event,
+        "intent_index": intent,
+        "weather_favorability": weather,
+        "available_supply": c("active_units"),
+    })
