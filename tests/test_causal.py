@@ -107,3 +107,20 @@ def test_events_are_pre_aggregated_before_the_market_join(spark):
     join_at = min(i for i in (plan.find("BroadcastHashJoin"), plan.find("SortMergeJoin")) if i >= 0)
     # the per-(user, day, type) aggregate appears below (after, in the tree text) the join
     assert "partial_count" in plan[join_at:] and "user_id" in plan[join_at:]
+
+
+def test_demand_panel_shape_130_by_90(spark):
+    """130 sub-markets x 90 days = 11,700 rows; rolled up to 5 markets x 90 days = 450."""
+    from liftkit.config import MARKET_SEGMENTS
+
+    boroughs = list(MARKET_SEGMENTS)
+    rows = [(boroughs[i % 5], f"n{i}", 25, 100.0, 100.0, 1.0, 10, 120.0, 3, 8.2, 2000.0, "x") for i in range(130)]
+    rollup = spark.createDataFrame(
+        rows, "borough string, neighbourhood string, listing_count long, avg_price double, median_price double, "
+              "review_velocity double, total_reviews long, avg_availability double, room_diversity long, "
+              "available_supply double, estimated_lodging_revenue_proxy double, experience_category string")
+    dp = panel.demand_panel(rollup, StudyDesign())
+    assert dp.count() == 11700
+    md = panel.market_day_rollup(dp)
+    assert md.count() == 450
+    assert md.filter("treated_market = 1 AND post_period = 1").count() == 88
