@@ -34,7 +34,9 @@ def _running_counts(df: DataFrame, keys: list[str], value: str, weight: str | No
     # with real groups the planner picks the join from the runtime size
     small = F.broadcast(offsets) if keys == ["_g"] else offsets
     out = ranged.join(small, ["_pid", *keys]).withColumn("_end", F.col("_off") + F.sum("_cnt").over(local))
-    return out.select(*keys, value, "_cnt", (F.col("_end") - F.col("_cnt")).alias("_start"), "_end")
+    runs = out.select(*keys, value, "_cnt", (F.col("_end") - F.col("_cnt")).alias("_start"), "_end")
+    sizes = totals.groupBy(*keys).agg(F.sum("_tot").alias("_n"))  # from the small totals table
+    return runs, sizes
 
 
 def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: str = "quantile",
@@ -52,8 +54,7 @@ def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name:
         for k in keys:
             data = data.filter(F.col(k).isNotNull())
         group = keys
-    runs = _running_counts(data, group, value, weight)
-    n = runs.groupBy(*group).agg(F.max("_end").alias("_n"))
+    runs, n = _running_counts(data, group, value, weight)
     h = (F.col("_n") - 1) * F.lit(float(q))
     target = n.select(*group, F.floor(h).alias("_lo"), F.ceil(h).alias("_hi"), (h - F.floor(h)).alias("_frac"))
     joined = runs.join(target, group)
