@@ -255,7 +255,8 @@ def attach_facts(scaffold: DataFrame, facts: DataFrame, measures: list[str]) ->
     """Left join facts on (market, date); a missing cell is zero activity."""
     f = facts.select("borough", "date", *measures)
     joined = scaffold.join(f, ["borough", "date"], "left")
-    return joined.withColumns({m: F.coalesce(F.col(m), F.lit(0.0)) for m in measures})
+    keep = [f"`{c}`" for c in joined.columns if c not in measures]
+    return joined.selectExpr(*keep, *[f"coalesce(`{m}`, 0.0D) AS `{m}`" for m in measures])
 
 
 FACT_MEASURES = ["impressions", "clicks", "bookings", "gbv", "click_cost", "signals_event", "activity",

@@ -34,15 +34,15 @@ def register(name: str):
 def stable(df: DataFrame) -> DataFrame:
     """Round every double output to float32 precision (the same IEEE cast the SQL oracle
     applies), so last-bit differences from summation order compare equal across engines;
-    magnitudes below 1e-9 (cancellation noise around zero) become 0."""
-    cols = []
+    magnitudes below 1e-9 (cancellation noise around zero) become 0. One SQL projection."""
+    exprs = []
     for f in df.schema.fields:
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            c = F.col(f"`{f.name}`")
-            cols.append(F.when(F.abs(c) < 1e-9, F.lit(0.0)).otherwise(c.cast("float").cast("double")).alias(f.name))
+            exprs.append(f"CASE WHEN abs({q}) < 1e-9 THEN 0.0D ELSE CAST(CAST({q} AS FLOAT) AS DOUBLE) END AS {q}")
         else:
-            cols.append(F.col(f"`{f.name}`"))
-    return df.select(*cols)
+            exprs.append(q)
+    return df.selectExpr(*exprs)
 
 
 # -- building blocks over the test tables ------------------------------------------
