@@ -1,0 +1 @@
+"""liftkit: marketing incrementality measurement as Spark DataFrame jobs."""
