@@ -60,19 +60,19 @@ def funnel_facts_from_partials(partials: DataFrame, customer_markets: DataFrame)
     joined = partials.join(cm, partials.user_id == cm.c_custkey)
 
     def n_of(kind):
-        return F.sum(F.when(F.col("event_type") == kind, F.col("n")).otherwise(0))
+        return f"sum(CASE WHEN event_type = '{kind}' THEN n ELSE 0 END)"
 
     def v_of(kind):
-        return F.sum(F.when(F.col("event_type") == kind, F.col("v")).otherwise(0.0))
-
-    return joined.groupBy("borough", "date").agg(
-        n_of("view").cast("double").alias("impressions"),
-        n_of("click").cast("double").alias("clicks"),
-        n_of("purchase").cast("double").alias("bookings"),
-        v_of("purchase").alias("gbv"),
-        v_of("click").alias("click_cost"),
-        n_of("signup").cast("double").alias("signals_event"),
-        F.sum("n").cast("double").alias("activity"),
-        F.count_distinct("user_id").cast("double").alias("active_units"),
-        F.count_distinct("event_type").cast("double").alias("diversity"),
-    )
+        return f"sum(CASE WHEN event_type = '{kind}' THEN v ELSE 0.0D END)"
+
+    return joined.groupBy("borough", "date").agg(*[F.expr(e) for e in (
+        f"CAST({n_of('view')} AS DOUBLE) AS impressions",
+        f"CAST({n_of('click')} AS DOUBLE) AS clicks",
+        f"CAST({n_of('purchase')} AS DOUBLE) AS bookings",
+        f"{v_of('purchase')} AS gbv",
+        f"{v_of('click')} AS click_cost",
+        f"CAST({n_of('signup')} AS DOUBLE) AS signals_event",
+        "CAST(sum(n) AS DOUBLE) AS activity",
+        "CAST(count(DISTINCT user_id) AS DOUBLE) AS active_units",
+        "CAST(count(DISTINCT event_type) AS DOUBLE) AS diversity",
+    )])
