@@ -101,3 +101,13 @@ def test_recommended_conf_keeps_cluster_settings(spark):
     assert recommended_conf(10 * 1024 ** 3, 8)["spark.sql.shuffle.partitions"] == "41"
     applied = apply_conf(spark, {"spark.sql.shuffle.partitions": "999"})
     assert applied == {} and spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_spread_only_when_splits_are_few(spark):
+    from liftkit.session import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(100).coalesce(1)
+    assert spread(few).rdd.getNumPartitions() == cores
+    many = spark.range(100).repartition(cores + 3)
+    assert spread(many) is many
