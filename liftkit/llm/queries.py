@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_density, packing, source_mixing, topk_search, url_filter
+from . import exact_dedup, html_density, packing, source_mixing, suffix_repeats, topk_search, url_filter
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_density.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mixing.mix(table(spark, sf_dir, "documents"), repeat_limit=source_mixing.REPEAT_LIMIT)
     return mixed.select("doc_id", "source", F.col("_tokens").alias("tokens"), F.col("_weight").alias("weight"),
@@ -37,5 +41,5 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_extraction, op6_source_mixing, op7_packing, op8_exact_dedup, op9_url_filter, op10_topk_search)}
+    op1_html_extraction, op2_suffix_dedup, op6_source_mixing, op7_packing, op8_exact_dedup, op9_url_filter, op10_topk_search)}
 ORACLE = {"op8_exact_dedup": exact_dedup.ORACLE, "op10_topk_search": topk_search.ORACLE}
