@@ -8,15 +8,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from liftkit.llm import exact_dedup, packing, source_mixing
+from liftkit.llm import chosen_path, exact_dedup, language_id, packing, source_mixing
 from liftkit.llm.common import materialise, table
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in none of the supported languages go."""
+    found = language_id.identify(docs, declared_col="lang", host_col="source")
+    return found.filter("_accepted").select(*[f"`{c}`" for c in docs.columns])
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id stays."""
     return exact_dedup.drop_copies(docs)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return chosen_path.drop_near_duplicates(docs)
+
+
 def source_mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources repeat to flatten their shares, at most twice; no document is left out."""
     return source_mixing.mix(docs, repeat_limit=source_mixing.REPEAT_LIMIT).select(*[f"`{c}`" for c in docs.columns])
@@ -28,7 +39,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("language_id", language_stage),
     ("exact_dedup", exact_dedup_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
     ("source_mixing", source_mixing_stage),
     ("packing", packing_stage),
 ]

@@ -37,14 +37,15 @@ def directory(keys: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     Returns one row per directory slot (``slot``: the leading ``max_depth`` bits):
     ``bucket`` and ``depth`` (the bucket's local depth). A bucket of depth d covers
     2^(max_depth - d) neighbouring slots; it is the shallowest prefix of the slot that holds
-    at most ``capacity`` keys. At most 2^max_depth rows, whatever the input.
+    at most ``capacity`` keys. At most 2^max_depth rows, whatever the input, and the prefixes
+    it is chosen from at most twice as many, which bounds their broadcast.
     """
     slots = keys.groupBy(_slot(F.col("key"), max_depth).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     levels = slots.select("slot", "n", F.explode(F.sequence(F.lit(0), F.lit(max_depth))).alias("depth")).withColumn(
         "prefix", F.expr(f"shiftright(slot, {max_depth} - depth)"))
     fits = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("held")).filter(
         (F.col("held") <= capacity) | (F.col("depth") == max_depth))
-    chosen = levels.join(fits, ["depth", "prefix"]).groupBy("slot").agg(F.min("depth").alias("depth"))
+    chosen = levels.join(F.broadcast(fits), ["depth", "prefix"]).groupBy("slot").agg(F.min("depth").alias("depth"))
     return chosen.select("slot", "depth", F.expr(
         f"shiftleft(shiftright(slot, {max_depth} - depth), {max_depth} - depth)").alias("bucket"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_density, packing, source_mixing, suffix_repeats, topk_search, url_filter
+from . import chosen_path, exact_dedup, html_density, language_id, license_scan, packing, source_mixing, suffix_repeats, topk_search, url_filter
 from .common import table
 
 
@@ -17,6 +17,31 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents"), declared_col="lang", host_col="source")
+    return found.select("doc_id", F.col("_lang").alias("language"), F.col("_posterior").alias("posterior"),
+                        F.col("_accepted").alias("accepted"), F.col("_text_lang").alias("text_language"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fusion on web pages: declared markup language, address and host."""
+    pages = table(spark, sf_dir, "pages")
+    declared = F.regexp_extract("html", r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    body = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", " ")
+    rows = pages.select("page_id", "url", declared.alias("declared"), body.alias("text"))
+    found = language_id.identify(rows, declared_col="declared", url_col="url")
+    return found.select("page_id", F.col("_lang").alias("language"), F.col("_posterior").alias("posterior"),
+                        F.col("_accepted").alias("accepted"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mixing.mix(table(spark, sf_dir, "documents"), repeat_limit=source_mixing.REPEAT_LIMIT)
     return mixed.select("doc_id", "source", F.col("_tokens").alias("tokens"), F.col("_weight").alias("weight"),
@@ -41,5 +66,5 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_extraction, op2_suffix_dedup, op6_source_mixing, op7_packing, op8_exact_dedup, op9_url_filter, op10_topk_search)}
+    op1_html_extraction, op2_suffix_dedup, op3_language_id, op4_license_scan, op5_ngram_jaccard_join, op6_source_mixing, op7_packing, op8_exact_dedup, op9_url_filter, op10_topk_search, language_id_pages)}
 ORACLE = {"op8_exact_dedup": exact_dedup.ORACLE, "op10_topk_search": topk_search.ORACLE}
