@@ -3,15 +3,16 @@ ROC AUC by average rank, R^2.
 
 All are conditional sums in one pass (partial aggregation); none needs a Python UDF. The
 AUC ranks scores through a count per distinct score, so raw rows are never sorted in one
-task: the rank table has one row per distinct score, and its running total is computed
-per range partition with broadcast partition offsets.
+task: the rank table has one row per distinct score, ranked bucket by bucket.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from liftkit.operators import ranking
+
 
 def confusion_matrix(pred: DataFrame, classes: list | None = None, label: str = "label",
                      prediction: str = "prediction", max_classes: int = 1000) -> DataFrame:
@@ -104,21 +105,14 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
 def score_ranks(pred: DataFrame, score: str = "score", label: str = "label", positive=1) -> DataFrame:
     """One row per distinct score: count, positives and the average (tie-corrected) rank.
 
-    Distributed running total: the per-score table is range-partitioned by score; each
-    partition's total (one row per partition) gives its offset; inside a partition a window
-    ordered by score adds the local running total. No step sorts all rows in one task.
+    The per-score table is ranked through buckets of the score (``ranking``), so no step
+    sorts all scores in one task.
     """
     per = pred.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(
         F.count(F.lit(1)).alias("cnt"), F.sum((F.col(label) == positive).cast("long")).alias("pos"))
-    ranged = per.repartitionByRange("s").withColumn("_pid", F.spark_partition_id())
-    part_tot = ranged.groupBy("_pid").agg(F.sum("cnt").alias("_tot"))
-    offsets = part_tot.withColumn(
-        "_off", F.coalesce(F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("_pid", "_off")
-    local = Window.partitionBy("_pid").orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ranged.join(F.broadcast(offsets), "_pid").withColumn("_cum", F.col("_off") + F.sum("cnt").over(local))
-    # ranks of the tied block are (_cum - cnt + 1) .. _cum; their average:
-    return out.select("s", "cnt", "pos", (F.col("_cum") - (F.col("cnt") - 1) / 2.0).alias("avg_rank"))
+    out = ranking.ordered_offsets(per, "s", weight=F.col("cnt"))
+    # ranks of the tied block are _before + 1 .. _before + cnt; their average:
+    return out.select("s", "cnt", "pos", (F.col("_before") + (F.col("cnt") + 1) / 2.0).alias("avg_rank"))
 
 
 def roc_auc(pred: DataFrame, score: str = "score", label: str = "label", positive=1) -> DataFrame:

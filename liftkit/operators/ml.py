@@ -25,6 +25,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from liftkit.operators import ranking
+
 # -- splits -----------------------------------------------------------------------------------
 
 
@@ -51,37 +53,20 @@ def fold_of(id_col: str, folds: int, seed: int) -> Column:
 
 def positions(df: DataFrame, order_col: str, group_col: str | None = None, name: str = "position") -> DataFrame:
     """0-based position of each row in ``order_col`` order (within ``group_col``), exact and
-    distributed: range partitioning, per-partition counts, offsets from the small counts
-    table. No window sees more than one partition of rows."""
-    spark = df.sparkSession
-    keys = ([group_col] if group_col else []) + [order_col]
-    ranged = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
-    gkeys = ([group_col] if group_col else [])
-    sizes = ranged.groupBy("_pid", *gkeys).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*gkeys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    local = Window.partitionBy("_pid", *gkeys).orderBy(order_col)
-    # without groups the offsets have one row per partition (bounded): broadcast them; with
-    # groups their size follows the group count, so the planner chooses by runtime size
-    small = offsets if gkeys else F.broadcast(offsets)
-    return (
-        ranged.join(small, ["_pid", *gkeys])
-        .withColumn(name, (F.col("_off") + F.row_number().over(local) - 1).cast("long"))
-        .drop("_pid", "_off")
-    )
+    distributed (``ranking.ordered_offsets``); rows tied in ``order_col`` follow each other."""
+    out = ranking.ordered_offsets(df, order_col, [group_col] if group_col else [])
+    return out.withColumnRenamed("_before", name).drop("_n")
 
 
 def split_stratified(df: DataFrame, id_col: str, label_col: str, test_fraction: float = 0.25,
                      seed: int = 0) -> DataFrame:
     """Exact stratified split: within each label, the first round(fraction x n) rows in id-hash
-    order are 'test'. Label sizes come from a grouped count (one row per label)."""
-    keyed = df.withColumn("_h", hash_key(id_col, seed))
-    ranked = positions(keyed, "_h", label_col, "_pos")
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n_label"))
-    out = ranked.join(sizes, label_col)
-    n_test = F.round(F.col("_n_label") * test_fraction)
-    return out.withColumn("split", F.when(F.col("_pos") < n_test, F.lit("test")).otherwise(F.lit("train"))).drop(
-        "_h", "_pos", "_n_label")
+    order are 'test'. A label's size comes with its buckets' offsets (a label of any size is
+    spread over the buckets of the hash)."""
+    ranked = ranking.ordered_offsets(df.withColumn("_h", hash_key(id_col, seed)), "_h", [label_col])
+    n_test = F.round(F.col("_n") * test_fraction)
+    return ranked.withColumn("split", F.when(F.col("_before") < n_test, F.lit("test")).otherwise(F.lit("train"))).drop(
+        "_h", "_before", "_n")
 
 
 # -- scalers ------------------------------------------------------------------------------------

@@ -5,12 +5,12 @@ it in one task, so one hot group (or one column with hundreds of millions of dis
 lands in a single task. Here the same answer is computed with shuffles only:
 
 1. ``groupBy(keys, value).count()``: one row per distinct value (partial aggregation first);
-2. range-partition those rows by (keys, value) and take a running count inside each
-   partition, plus an offset from the per-partition totals (one small row per partition and
-   group);
-3. each group's quantile sits at 0-based position h = (n - 1) q; the rows whose position
-   range covers floor(h) and ceil(h) give the two order statistics, interpolated linearly
-   (the definition pandas, DuckDB ``quantile_cont`` and Spark ``percentile`` share).
+2. those rows fall into buckets that are a pure function of the value (``ranking``), and
+   bucket totals give each bucket's offset within its group;
+3. each group's quantile sits at 0-based position h = (n - 1) q; the one or two buckets whose
+   range holds floor(h) and ceil(h) are ranked inside, and their rows at those positions give
+   the two order statistics, interpolated linearly (the definition pandas, DuckDB
+   ``quantile_cont`` and Spark ``percentile`` share).
 
 Missing values are ignored, as in those aggregates.
 """
@@ -20,23 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _running_counts(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
-    cnt = F.sum(weight) if weight else F.count(F.lit(1))
-    per = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(cnt.cast("long").alias("_cnt"))
-    ranged = per.repartitionByRange(*keys, value).withColumn("_pid", F.spark_partition_id())
-    # one row per (partition, group) that occurs in it: about partitions + groups rows
-    totals = ranged.groupBy("_pid", *keys).agg(F.sum("_cnt").alias("_tot"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0))).drop("_tot")
-    local = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # forced broadcast only when the size is bounded by the partition count (a single group);
-    # with real groups the planner picks the join from the runtime size
-    small = F.broadcast(offsets) if keys == ["_g"] else offsets
-    out = ranged.join(small, ["_pid", *keys]).withColumn("_end", F.col("_off") + F.sum("_cnt").over(local))
-    runs = out.select(*keys, value, "_cnt", (F.col("_end") - F.col("_cnt")).alias("_start"), "_end")
-    sizes = totals.groupBy(*keys).agg(F.sum("_tot").alias("_n"))  # from the small totals table
-    return runs, sizes
+from liftkit.operators import ranking
 
 
 def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: str = "quantile",
@@ -46,27 +30,30 @@ def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name:
     Rows with a missing key are dropped (as a grouped aggregate over present keys). With
     ``weight``, each row stands for that many rows (a pre-aggregated input)."""
     keys = list(keys)
+    present = [F.col(c).isNotNull() for c in [*keys, value]]
     data = df.select(*keys, value, *([weight] if weight else []))
-    if not keys:
-        data = data.withColumn("_g", F.lit(0))
-        group = ["_g"]
-    else:
-        for k in keys:
-            data = data.filter(F.col(k).isNotNull())
-        group = keys
-    runs, n = _running_counts(data, group, value, weight)
+    for p in present:
+        data = data.filter(p)
+    cnt = F.sum(weight) if weight else F.count(F.lit(1))
+    per = data.groupBy(*keys, value).agg(cnt.cast("long").alias("_cnt"))
+    per = per.withColumn("_bucket", ranking.order_bucket(per, value))
     h = (F.col("_n") - 1) * F.lit(float(q))
-    target = n.select(*group, F.floor(h).alias("_lo"), F.ceil(h).alias("_hi"), (h - F.floor(h)).alias("_frac"))
-    joined = runs.join(target, group)
-    covers_lo = (F.col("_start") <= F.col("_lo")) & (F.col("_lo") < F.col("_end"))
-    covers_hi = (F.col("_start") <= F.col("_hi")) & (F.col("_hi") < F.col("_end"))
-    picked = joined.filter(covers_lo | covers_hi).groupBy(*group).agg(
+    lo, hi = F.floor(h), F.ceil(h)
+    offsets = ranking.bucket_offsets(per, keys, F.col("_cnt"))
+    end = F.col("_off") + F.col("_tot")
+    holding = offsets.filter(((F.col("_off") <= lo) & (lo < end)) | ((F.col("_off") <= hi) & (hi < end)))
+    runs = ranking.attach_offsets(per, holding, keys, "inner")
+    local = Window.partitionBy("_bucket", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = runs.withColumn("_end", F.col("_off") + F.sum("_cnt").over(local)).withColumn("_start", F.col("_end") - F.col("_cnt"))
+    covers_lo = (F.col("_start") <= lo) & (lo < F.col("_end"))
+    covers_hi = (F.col("_start") <= hi) & (hi < F.col("_end"))
+    picked = runs.filter(covers_lo | covers_hi).groupBy(*keys).agg(
         F.max(F.when(covers_lo, F.col(value))).alias("_v_lo"),
         F.max(F.when(covers_hi, F.col(value))).alias("_v_hi"),
-        F.max("_frac").alias("_frac"),
+        F.max(h - F.floor(h)).alias("_frac"),
     )
-    out = picked.select(*group, (F.col("_v_lo") + F.col("_frac") * (F.col("_v_hi") - F.col("_v_lo"))).alias(name))
-    return out.drop("_g") if not keys else out
+    out = picked.select(*keys, (F.col("_v_lo") + F.col("_frac") * (F.col("_v_hi") - F.col("_v_lo"))).alias(name))
+    return out if keys else out.filter(F.col(name).isNotNull())
 
 
 def quantile(df: DataFrame, value: str, q: float, name: str = "quantile") -> DataFrame:

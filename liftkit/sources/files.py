@@ -72,7 +72,7 @@ def write_export_with_index(df: DataFrame, path: str, order_by: str, mode: str =
 
 def with_row_index(df: DataFrame, order_by: str, name: str = "row_index") -> DataFrame:
     """0-based position by ``order_by`` (a unique key), computed without a single-task window
-    (range partitions, per-partition counts, broadcast offsets; see ``ml.positions``)."""
+    (see ``ranking.ordered_offsets``)."""
     from liftkit.operators.ml import positions
 
     return positions(df, order_by, None, name)
