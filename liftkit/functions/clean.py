@@ -44,3 +44,8 @@ def safe_date(c) -> Column:
 def binarize(c, threshold: float) -> Column:
     """1 when the value is above the threshold, else 0 (missing -> 0)."""
     return F.when(col_of(c) > F.lit(threshold), F.lit(1)).otherwise(F.lit(0))
+
+
+def quoted(name: str) -> str:
+    """A column name as an identifier, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"

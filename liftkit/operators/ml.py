@@ -22,9 +22,11 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from liftkit.functions.clean import quoted
 from liftkit.operators import ranking
 
 # -- splits -----------------------------------------------------------------------------------
@@ -96,7 +98,7 @@ def minmax_scale(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None
 
 def fit_standard(df: DataFrame, cols: list[str]) -> dict:
     """Fitted mean and population standard deviation per column (one aggregate pass)."""
-    row = df.agg(*[F.avg(c).alias(f"{c}__mean") for c in cols], *[F.stddev_pop(c).alias(f"{c}__sd") for c in cols]).first()
+    row = df.agg(*[F.avg(quoted(c)).alias(f"{c}__mean") for c in cols], *[F.stddev_pop(quoted(c)).alias(f"{c}__sd") for c in cols]).first()
     return {c: (row[f"{c}__mean"], row[f"{c}__sd"]) for c in cols}
 
 
@@ -106,9 +108,9 @@ def apply_standard(df: DataFrame, stats: dict, cols: list[str]) -> DataFrame:
     for c in cols:
         mu, sd = stats[c]
         if mu is None or sd is None or not sd > 0:
-            out[c] = F.when(F.col(c).isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
+            out[c] = F.when(F.col(quoted(c)).isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
         else:
-            out[c] = (F.col(c) - F.lit(float(mu))) / F.lit(float(sd))
+            out[c] = (F.col(quoted(c)) - F.lit(float(mu))) / F.lit(float(sd))
     return df.withColumns(out)
 
 
@@ -119,35 +121,39 @@ def standardize(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None)
 # -- one-hot ------------------------------------------------------------------------------------
 
 
-def category_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list:
-    """Sorted distinct non-missing levels of a column, refusing more than ``max_levels``."""
-    rows = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; use onehot_vector instead")
-    return sorted(r[0] for r in rows)
+def category_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list | None:
+    """Sorted distinct non-missing levels of a column; None beyond ``max_levels``."""
+    c = F.col(quoted(col))
+    rows = df.select(c).filter(c.isNotNull()).distinct().limit(max_levels + 1).collect()
+    return sorted(r[0] for r in rows) if len(rows) <= max_levels else None
 
 
 def onehot(df: DataFrame, columns: list[str], prefixes: list[str], max_levels: int = 1000) -> DataFrame:
     """Wide one-hot: a 0/1 column ``<prefix>_<level>`` per level, every level kept, missing
-    -> all zeros; the source column is dropped."""
+    -> all zeros; the source column is dropped. A column of more than ``max_levels`` levels
+    becomes one sparse vector column ``<prefix>_vec`` instead."""
     out = df
     for col, prefix in zip(columns, prefixes):
         levels = category_levels(df, col, max_levels)
-        out = out.withColumns({f"{prefix}_{lv}": (F.col(col) == F.lit(lv)).cast("int") for lv in levels})
-        out = out.withColumns({f"{prefix}_{lv}": F.coalesce(F.col(f"{prefix}_{lv}"), F.lit(0)) for lv in levels})
-        out = out.drop(col)
+        if levels is None:
+            out = onehot_vector(df, [col]).fit(df).transform(out).withColumnRenamed(f"{col}__vec", f"{prefix}_vec").drop(
+                f"{col}__idx", col)
+            continue
+        source = F.col(quoted(col))
+        out = out.withColumns({
+            f"{prefix}_{lv}": F.coalesce((source == F.lit(lv)).cast("int"), F.lit(0)) for lv in levels}).drop(col)
     return out
 
 
 def onehot_vector(df: DataFrame, columns: list[str]) -> Pipeline:
     """Sparse alternative for high-cardinality columns: StringIndexer + OneHotEncoder with
-    every level kept (``dropLast=False``); missing values get their own index."""
+    every level kept; missing values (the last index) are the level dropped: all zeros."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
     stages = []
     for c in columns:
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__vec", dropLast=False))
+        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__vec", dropLast=True))
     return Pipeline(stages=stages)
 
 
@@ -239,7 +245,10 @@ def knn_accuracy_curve(df: DataFrame, id_col: str, vec_col: str, label_col: str,
 
 
 def assemble(df: DataFrame, feature_cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=feature_cols, outputCol=out, handleInvalid="keep").transform(df)
+    """Assemble a feature vector; a missing value is an error, so impute first."""
+    names = [f"_f{i}" for i in range(len(feature_cols))]  # the assembler reads dots as nested fields
+    plain = df.withColumns({n: F.col(quoted(c)) for n, c in zip(names, feature_cols)})
+    return VectorAssembler(inputCols=names, outputCol=out, handleInvalid="error").transform(plain).drop(*names)
 
 
 def fit_predict(estimator, train: DataFrame, test: DataFrame):
@@ -299,8 +308,8 @@ def cross_validate(df: DataFrame, make_estimator, id_col: str, label: str = "lab
     """One row per fold: fit on the other folds, score on this one. Folds are a hash of id."""
     from liftkit.operators import metrics as M
 
-    data = df.withColumn("_fold", fold_of(id_col, folds, seed))
-    out = None
+    data = df.withColumn("_fold", fold_of(id_col, folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = []
     for k in range(folds):
         train, test = data.filter(F.col("_fold") != k), data.filter(F.col("_fold") == k)
         model = make_estimator(train).fit(train)
@@ -310,6 +319,6 @@ def cross_validate(df: DataFrame, make_estimator, id_col: str, label: str = "lab
             row = c.select(F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).alias("score"))
         else:
             row = M.accuracy(pred, label).select(F.col("accuracy").alias("score"))
-        row = row.select(F.lit(k).alias("fold"), F.lit(metric).alias("metric"), "score")
-        out = row if out is None else out.unionByName(row)
-    return out
+        rows.append((k, metric, test.count(), row.first()["score"]))
+    data.unpersist()
+    return df.sparkSession.createDataFrame(rows, "fold int, metric string, n_rows long, score double")

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from liftkit.functions.clean import quoted
+
 
 def profile_select(df: DataFrame, drop: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
     """Drop the named columns, or keep only the named ones (column pruning reaches the scan)."""
@@ -20,13 +22,18 @@ def profile_select(df: DataFrame, drop: list[str] | None = None, keep: list[str]
 
 
 def _is_missing(df: DataFrame, name: str):
-    c = F.col(f"`{name}`")
+    c = F.col(quoted(name))
     dtype = df.schema[name].dataType.simpleString()
     if dtype in ("double", "float"):
         return (c.isNull() | F.isnan(c)).cast("long")
     return c.isNull().cast("long")
 
 
+def _text(name: str) -> str:
+    """A column name as an SQL string literal."""
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Per column: position, type, missing count, non-missing count and missing share.
 
@@ -37,7 +44,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     aggs += [F.sum(_is_missing(df, n)).alias(f"__m{i}") for i, n in enumerate(names)]
     wide = df.agg(*aggs)
     parts = ", ".join(
-        f"{i}, '{n}', '{df.schema[n].dataType.simpleString()}', __m{i}" for i, n in enumerate(names)
+        f"{i}, {_text(n)}, '{df.schema[n].dataType.simpleString()}', __m{i}" for i, n in enumerate(names)
     )
     long = wide.selectExpr("__rows", f"stack({len(names)}, {parts}) as (position, column_name, data_type, missing)")
     return long.select(
@@ -58,7 +65,7 @@ def total_missing(df: DataFrame) -> DataFrame:
 def category_share(df: DataFrame, col: str) -> DataFrame:
     """Share of rows per value (missing is its own value, as in a value count over all rows)."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n") / total)
+    return df.groupBy(F.col(quoted(col))).agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n") / total)
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -74,5 +81,5 @@ def distinct_values(df: DataFrame, columns: list[str] | None = None) -> DataFram
     cols = columns if columns is not None else string_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, value string")
-    parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
+    parts = ", ".join(f"{_text(c)}, cast({quoted(c)} as string)" for c in cols)
     return df.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, value)").distinct()

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftkit.config import PASS_SCORE, REQUIRED_TABLES, RUBRIC, SYNTHETIC_FIELDS
-from liftkit.session import spread
+from liftkit.config import DATE_DERIVED_FIELDS, PASS_SCORE, REQUIRED_TABLES, RUBRIC
 
 
 def catalog_tables(spark: SparkSession, database: str | None = None) -> list[str]:
@@ -42,15 +41,16 @@ def table_counts(spark: SparkSession, names: list[str] | None = None, database:
 
 
 def table_gate(spark: SparkSession, required=REQUIRED_TABLES, database: str | None = None) -> DataFrame:
-    """Per required table: present, row count and ok (present and non-empty), plus the gate
-    over all of them. An absent catalog gives an all-failed gate."""
+    """Per required table: present, row count, nonempty and ok (present), plus the gate over
+    all of them: every required table is there. An absent catalog fails everywhere."""
     req = spark.createDataFrame([(i, n) for i, n in enumerate(required)], "position int, table_name string")
     counts = table_counts(spark, list(required), database)
     out = req.join(counts, "table_name", "left").select(
         "table_name",
         F.col("n_rows").isNotNull().cast("int").alias("present"),
         F.col("n_rows"),
-        (F.coalesce(F.col("n_rows"), F.lit(0)) > 0).cast("int").alias("ok"),
+        (F.coalesce(F.col("n_rows"), F.lit(0)) > 0).cast("int").alias("nonempty"),
+        F.col("n_rows").isNotNull().cast("int").alias("ok"),
     )
     gate = out.agg(F.min("ok").alias("g")).scalar()
     return out.withColumn("tables_ok", F.coalesce(gate, F.lit(0)).cast("int"))
@@ -64,8 +64,7 @@ def rubric_score(corpus: DataFrame, text_col: str = "text", rubric=RUBRIC) -> Da
     then the flags are unpivoted and scored per criterion:
     score = round-half-even(points x found / signals).
     """
-    # lowercase each text once; spread a few large splits over the cores first
-    lowered = spread(corpus.select(text_col)).select(F.lower(F.col(text_col)).alias("_text"))
+    lowered = corpus.select(F.lower(F.col(text_col)).alias("_text"))  # once per text
     lower = F.col("_text")
     flags, meta = [], []
     for ci, (crit, points, signals) in enumerate(rubric):
@@ -102,8 +101,10 @@ def rubric_verdict(scores: DataFrame, gate: DataFrame | None = None, pass_score:
     return out.withColumn("verdict", F.when(ok, F.lit("PASS")).otherwise(F.lit("NEEDS WORK")))
 
 
-def quality_summary(listings: DataFrame, demand_panel: DataFrame, marketing: DataFrame, source: str) -> DataFrame:
-    """One-row run summary: stage row counts, sorted market list, synthetic fields, source.
+def quality_summary(listings: DataFrame, demand_panel: DataFrame, marketing: DataFrame, source: str,
+                    synthetic: list[str] = DATE_DERIVED_FIELDS) -> DataFrame:
+    """One-row run summary: stage row counts, sorted market list, the panel's fields that no
+    input observes, source.
 
     The market list is a ``collect_set`` over markets (one entry per market, a bounded set).
     """
@@ -114,6 +115,6 @@ def quality_summary(listings: DataFrame, demand_panel: DataFrame, marketing: Dat
         demand_panel.agg(F.count(F.lit(1))).scalar().alias("demand_panel_rows"),
         marketing.agg(F.count(F.lit(1))).scalar().alias("marketing_panel_rows"),
         "boroughs",
-        F.array(*[F.lit(s) for s in SYNTHETIC_FIELDS]).alias("synthetic_fields"),
+        F.array(*[F.lit(s) for s in synthetic]).alias("synthetic_fields"),
         F.lit(source).alias("source"),
     )

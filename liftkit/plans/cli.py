@@ -24,7 +24,7 @@ from liftkit.sources import tables as T
 
 def measure(args) -> None:
     spark = get_spark()
-    run = measurement.run_test_tables(spark, args.sf_dir, materialize="checkpoint")
+    run = measurement.run_test_tables(spark, args.sf_dir, materialize="checkpoint", fit_forest=True)
     tables = run.warehouse()
     files.save_warehouse(spark, tables, database=args.database)
     out = args.out or f"{ensure_checkpoint_dir(spark).rstrip('/')}/liftkit-run"
@@ -49,10 +49,8 @@ def validate(args) -> None:
         corpus = T.read_table(spark, args.sf_dir, "documents")
     scores = quality.rubric_score(corpus)
     if args.warehouse_path:
-        import os
-
-        for name in sorted(os.listdir(args.warehouse_path)):
-            spark.read.parquet(os.path.join(args.warehouse_path, name)).createOrReplaceTempView(name)
+        for name in files.child_names(spark, args.warehouse_path):
+            spark.read.parquet(f"{args.warehouse_path.rstrip('/')}/{name}").createOrReplaceTempView(name)
     gate = quality.table_gate(spark, database=args.database)
     verdict = quality.rubric_verdict(scores, gate)
     for r in scores.orderBy("criterion_order").collect():

@@ -11,9 +11,11 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from liftkit.config import DEFAULT_COEF, Coefficients, StudyDesign
-from liftkit.operators import causal, cleaning, panel, scoring
+from liftkit.operators import causal, cleaning, ml, panel, scoring
+from liftkit.operators import metrics as metrics_
 from liftkit.plans import reports
 from liftkit.session import ensure_checkpoint_dir
 from liftkit.sources import tables as T
@@ -42,13 +44,15 @@ class MeasurementRun:
 
 def run(listings_raw: DataFrame, markets: DataFrame, facts: DataFrame, design: StudyDesign,
         coef: Coefficients = DEFAULT_COEF, predicted: DataFrame | None = None, r2: float | None = None,
-        materialize: str | None = None) -> MeasurementRun:
+        materialize: str | None = None, fit_forest: bool = False) -> MeasurementRun:
     """Build every output lazily.
 
     The market-day panel feeds the estimate, the scores, the decision table and the reports.
     ``materialize="checkpoint"`` writes it once to the shared ``spark.checkpoint.dir``
     (lineage cut; a lost executor re-reads it instead of recomputing the fact joins);
-    ``"cache"`` keeps it in executor memory and disk.
+    ``"cache"`` keeps it in executor memory and disk. ``fit_forest`` fits the demand forest on
+    the panel and scores with its predictions; without it (and without ``predicted``) the mean
+    bookings stand in.
     """
     listings = cleaning.outlier_filter(cleaning.clean_listings(listings_raw))
     demand = panel.demand_panel(panel.market_rollup(listings, design), design, coef)
@@ -58,12 +62,29 @@ def run(listings_raw: DataFrame, markets: DataFrame, facts: DataFrame, design: S
         marketing = marketing.checkpoint(eager=True)
     elif materialize == "cache":
         marketing = marketing.persist(StorageLevel.MEMORY_AND_DISK)
+    if fit_forest:
+        predicted, r2 = fit_demand_model(marketing)
     metrics = causal.did_estimate(marketing)
     scores = scoring.opportunity_scores(marketing, predicted, r2, coef)
     dm = causal.decision_metrics(listings, demand, marketing)
     return MeasurementRun(listings, demand, marketing, metrics, scores, dm)
 
 
+def fit_demand_model(marketing: DataFrame, n_trees: int = 100, min_leaf: int = 4, seed: int = 42,
+                     test_fraction: float = 0.25) -> tuple[DataFrame, float | None]:
+    """The forest on the campaign panel: predicted mean bookings per market, and the R^2 on the
+    rows held out (a hash of market and date). The panel is read once per pass of the fit, so
+    give a checkpointed one."""
+    keyed = marketing.withColumn("_key", F.concat_ws("|", "borough", F.col("date").cast("string")))
+    rows = ml.assemble(ml.split_hash(keyed, "_key", test_fraction, seed), scoring.SIGNALS).select(
+        F.col("experience_bookings").alias("label"), "features", "split").persist(StorageLevel.MEMORY_AND_DISK)
+    model = ml.random_forest_regressor(n_trees, min_leaf, seed).fit(rows.filter("split = 'train'"))
+    r2 = metrics_.r2_score(model.transform(rows.filter("split = 'test'"))).first()["r2"]
+    rows.unpersist()
+    feats = ml.assemble(scoring.market_features(marketing), scoring.SIGNALS)
+    return model.transform(feats).select("borough", F.col("prediction").alias("predicted_daily_experience_bookings")), r2
+
+
 def run_test_tables(spark: SparkSession, sf_dir: str, **kw) -> MeasurementRun:
     """The chain over the star-schema test tables (events funnel)."""
     return run(T.listings(spark, sf_dir), T.markets(spark, sf_dir), T.event_funnel_facts(spark, sf_dir),

@@ -1,8 +1,8 @@
 """DuckDB SQL for every registered query (the cross-engine correctness check).
 
 The SQL is written independently of the Spark code: it states each operator's definition
-over the raw tables with CTEs. Doubles are rounded to 6 decimals in both engines, since
-summation order differs between them.
+over the raw tables with CTEs. Doubles are rounded to ten significant digits in both
+engines, since summation order differs between them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import datetime as dt
 from liftkit.config import (
     ACTION_HOLD, ACTION_SCALE, ACTION_TEST, CONTROL_CAMPAIGN_ID, CONTROL_CHANNEL, DECISION_METRIC_TEXT,
     DECISION_RETEST, DECISION_SCALE, DEFAULT_CATEGORY, DEFAULT_COEF as C, DEFAULT_SEGMENT,
-    TREATED_CAMPAIGN_ID, TREATED_CHANNEL, RUBRIC, SYNTHETIC_FIELDS, PASS_SCORE,
+    TREATED_CAMPAIGN_ID, TREATED_CHANNEL, RUBRIC, DATE_DERIVED_FIELDS, PASS_SCORE,
 )
 from liftkit.sources.tables import LISTING_AS_OF, LISTING_MONTHS, TEST_DESIGN as D
 
@@ -43,55 +43,18 @@ def clip(x: str, lo, hi) -> str:
     return f"(CASE WHEN ({x}) IS NULL THEN NULL ELSE greatest({lo}, least({hi}, {x})) END)"
 
 
-def r6(x: str, alias: str) -> str:
-    return f"round(CAST({x} AS DOUBLE), 6) AS {alias}"
-
-
-def strip_round6(sql: str) -> str:
-    """Drop every ``round(<expr>, 6)`` wrapper (balanced parentheses): outputs are
-    normalised once, at the end, by ``finalize``."""
-    out, i = [], 0
-    low = sql.lower()
-    while True:
-        j = low.find("round(", i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
-            out.append(sql[i:j + 6])
-            i = j + 6
-            continue
-        depth, k, last_comma = 0, j + 5, -1
-        while k < len(sql):
-            ch = sql[k]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-                if depth == 0:
-                    break
-            elif ch == "," and depth == 1:
-                last_comma = k
-            k += 1
-        arg = sql[last_comma + 1:k].strip() if last_comma > 0 else ""
-        if arg == "6":
-            inner = strip_round6(sql[j + 6:last_comma])
-            out.append(sql[i:j] + "(" + inner + ")")
-        else:
-            out.append(sql[i:j] + "round(" + strip_round6(sql[j + 6:k]) + ")")
-        i = k + 1
+def dbl(x: str, alias: str) -> str:
+    return f"CAST({x} AS DOUBLE) AS {alias}"
 
 
 def finalize(sql: str, doubles: list[str]) -> str:
-    """Normalise double outputs to float32 precision (an IEEE cast both engines perform
-    identically), so summation-order differences in the last bits compare equal; magnitudes
-    below 1e-9 (cancellation noise around zero) become 0."""
-    body = strip_round6(sql)
+    """Round double outputs to ten significant digits, so summation-order differences in the
+    last bits compare equal; magnitudes below 1e-12 (cancellation noise around zero) become 0."""
     if not doubles:
-        return body
-    repl = ", ".join(f'CASE WHEN abs("{c}") < 1e-9 THEN 0.0::DOUBLE ELSE CAST(CAST("{c}" AS FLOAT) AS DOUBLE) END AS "{c}"'
+        return sql
+    repl = ", ".join(f"""CASE WHEN abs("{c}") < 1e-12 THEN 0.0::DOUBLE ELSE CAST(printf('%.9e', "{c}") AS DOUBLE) END AS "{c}\""""
                      for c in doubles)
-    return f"SELECT * REPLACE ({repl}) FROM (\n{body}\n) oracle_result"
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) oracle_result"
 
 
 TWO_PI = "2 * pi()"
@@ -224,13 +187,13 @@ MARKETING_DOUBLES = set(MARKETING_COLS[10:])
 
 
 def select_cols(cols, doubles, src: str) -> str:
-    parts = [r6(c, c) if c in doubles else c for c in cols]
+    parts = [dbl(c, c) if c in doubles else c for c in cols]
     return f"SELECT {', '.join(parts)} FROM {src}"
 
 
 SQL: dict[str, str] = {}
 
-SQL["did_estimate"] = with_ctes(OBSERVED + ["did"], f"SELECT {', '.join(r6(c, c) for c in DID_COLS)} FROM did")
+SQL["did_estimate"] = with_ctes(OBSERVED + ["did"], f"SELECT {', '.join(dbl(c, c) for c in DID_COLS)} FROM did")
 SQL["panel_facts"] = with_ctes(OBSERVED, select_cols(MARKETING_COLS, MARKETING_DOUBLES, "mp"))
 
 
@@ -364,18 +327,18 @@ RAW_COLS = ["id", "name", "host_id", "host_name", "neighbourhood_group", "neighb
             "number_of_reviews", "last_review", "reviews_per_month", "availability_365"]
 CLEAN_DOUBLES = {"price", "reviews_per_month", "availability_365"}
 
-SQL["clean_price"] = with_ctes(LISTINGS, "SELECT l.id, r.price AS price_text, round(l.price, 6) AS price "
+SQL["clean_price"] = with_ctes(LISTINGS, "SELECT l.id, r.price AS price_text, (l.price) AS price "
                                          "FROM lst l JOIN lst_raw r ON l.id = r.id")
 SQL["safe_dates"] = with_ctes(LISTINGS, "SELECT id, last_review FROM lst")
 SQL["clean_listings"] = with_ctes(LISTINGS, select_cols(RAW_COLS, CLEAN_DOUBLES, "lst"))
 SQL["outlier_filter"] = with_ctes(FILTERED, select_cols(RAW_COLS, CLEAN_DOUBLES, "lstf"))
-SQL["drop_zero"] = with_ctes(LISTINGS, "SELECT id, round(price, 6) AS price FROM lst WHERE price IS DISTINCT FROM 0")
+SQL["drop_zero"] = with_ctes(LISTINGS, "SELECT id, (price) AS price FROM lst WHERE price IS DISTINCT FROM 0")
 SQL["binarize"] = with_ctes(LISTINGS, "SELECT id, CASE WHEN availability_365 > 165 THEN 1 ELSE 0 END AS availability_365 FROM lst")
 SQL["profile_select"] = with_ctes(LISTINGS, select_cols(
     ["neighbourhood_group", "neighbourhood", "room_type", "price", "number_of_reviews", "reviews_per_month",
      "availability_365"], CLEAN_DOUBLES, "lst"))
 SQL["category_share"] = with_ctes(LISTINGS, """SELECT room_type, count(*) AS n,
-  round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM lst), 6) AS share FROM lst GROUP BY room_type""")
+  (CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM lst)) AS share FROM lst GROUP BY room_type""")
 SQL["distinct_values"] = with_ctes(["lst_raw"], """SELECT DISTINCT column_name, value FROM (
   """ + "\n  UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM lst_raw"
@@ -417,7 +380,7 @@ SQL["segment_lookup"] = with_ctes(["cm"], f"SELECT c_custkey, borough, {seg_case
 SQL["calendar_features"] = f"""SELECT date, CAST(datediff('day', {START}, date) AS INTEGER) AS day_index,
   CAST(isodow(date) - 1 AS INTEGER) AS weekday, {weekend_sql('date')} AS weekend, {holiday_sql('date')} AS holiday,
   strftime(date, '%Y-%m-%d') AS date_iso,
-  round(1.0 + {C.season_amp} * sin(datediff('day', {START}, date) / {C.period_days} * {TWO_PI}), 6) AS season
+  (1.0 + {C.season_amp} * sin(datediff('day', {START}, date) / {C.period_days} * {TWO_PI})) AS season
 FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events) e"""
 SQL["panel_scaffold"] = with_ctes(["days", "scaffold"], "SELECT borough, date, day_index, treated_market, post_period FROM scaffold")
 SQL["assignment_flags"] = with_ctes(OBSERVED, """SELECT borough, date, treated_market, post_period, treatment_flag,
@@ -430,18 +393,18 @@ SQL["kpi_panel"] = with_ctes(OBSERVED, select_cols(
 # -- estimate, scores, decision ---------------------------------------------------------
 
 SQL["did_cells"] = with_ctes(OBSERVED, """SELECT treated_market, post_period, count(*) AS n_days,
-  round(avg(experience_bookings), 6) AS bookings, round(avg(gbv), 6) AS gbv, round(avg(contribution_margin), 6) AS margin
+  (avg(experience_bookings)) AS bookings, (avg(gbv)) AS gbv, (avg(contribution_margin)) AS margin
 FROM mp WHERE treated_market IS NOT NULL AND post_period IS NOT NULL GROUP BY treated_market, post_period""")
 
-SQL["pretrend"] = with_ctes(OBSERVED, """SELECT round(st, 6) AS slope_treated, round(sc, 6) AS slope_control,
-  round(st - sc, 6) AS pretrend_slope_gap_bookings_per_day
+SQL["pretrend"] = with_ctes(OBSERVED, """SELECT (st) AS slope_treated, (sc) AS slope_control,
+  (st - sc) AS pretrend_slope_gap_bookings_per_day
 FROM (SELECT
   regr_slope(CASE WHEN treated_market = 1 THEN experience_bookings END, CASE WHEN treated_market = 1 THEN CAST(day_index AS DOUBLE) END) AS st,
   regr_slope(CASE WHEN treated_market = 0 THEN experience_bookings END, CASE WHEN treated_market = 0 THEN CAST(day_index AS DOUBLE) END) AS sc
   FROM mp WHERE post_period = 0) t""")
 
-SQL["decision"] = with_ctes(OBSERVED + ["did"], f"""SELECT round(estimated_incremental_margin, 6) AS estimated_incremental_margin,
-  round(pretrend_slope_gap_bookings_per_day, 6) AS pretrend_slope_gap_bookings_per_day,
+SQL["decision"] = with_ctes(OBSERVED + ["did"], f"""SELECT (estimated_incremental_margin) AS estimated_incremental_margin,
+  (pretrend_slope_gap_bookings_per_day) AS pretrend_slope_gap_bookings_per_day,
   CASE WHEN estimated_incremental_margin > 0 AND abs(pretrend_slope_gap_bookings_per_day) < {C.max_pretrend_gap}
     THEN {q(DECISION_SCALE)} ELSE {q(DECISION_RETEST)} END AS decision
 FROM did""")
@@ -459,7 +422,7 @@ for i, (m, text) in enumerate(DECISION_METRIC_TEXT):
     _dm_parts.append(f"SELECT {q(m)} AS metric, {val} AS value, {q(text)} AS interpretation, {i} AS metric_order")
 CTE["dm"] = "dm AS (\n  " + "\n  UNION ALL ".join(_dm_parts) + ")"
 FULL = DEMAND + OBSERVED + ["did", "dm"]
-SQL["decision_metrics"] = with_ctes(FULL, "SELECT metric, round(value, 6) AS value, interpretation, metric_order FROM dm")
+SQL["decision_metrics"] = with_ctes(FULL, "SELECT metric, (value) AS value, interpretation, metric_order FROM dm")
 
 FEAT_DOUBLES = ["demand_signal_score", "event_pressure", "intent_index", "weather_favorability", "available_supply",
                 "baseline_bookings", "avg_gbv", "avg_margin"]
@@ -500,18 +463,18 @@ SCORES = OBSERVED + ["did", "feat", "opp"]
 SQL["opportunity_scores"] = with_ctes(SCORES, select_cols(SCORE_COLS, SCORE_DOUBLES, "opp"))
 SQL["top_market"] = with_ctes(SCORES, select_cols(SCORE_COLS, SCORE_DOUBLES, "opp")
                               + " ORDER BY opportunity_score DESC NULLS LAST, borough ASC LIMIT 1")
-SQL["score_frame"] = with_ctes(SCORES, "SELECT borough, round(opportunity_score, 6) AS opportunity_score, recommended_action FROM opp")
+SQL["score_frame"] = with_ctes(SCORES, "SELECT borough, (opportunity_score) AS opportunity_score, recommended_action FROM opp")
 SQL["pct_rank_avg"] = with_ctes(ROLLUP, f"""SELECT borough, neighbourhood,
-  round({pct_rank_sql('avg_price')}, 6) AS avg_price_rank,
-  round({pct_rank_sql('room_diversity')}, 6) AS room_diversity_rank,
-  round({pct_rank_sql('total_reviews')}, 6) AS total_reviews_rank
+  ({pct_rank_sql('avg_price')}) AS avg_price_rank,
+  ({pct_rank_sql('room_diversity')}) AS room_diversity_rank,
+  ({pct_rank_sql('total_reviews')}) AS total_reviews_rank
 FROM roll""")
 
 # -- reports and frames -----------------------------------------------------------------
 
-SQL["report_best_markets"] = with_ctes(SCORES, """SELECT borough, round(demand_signal_score, 6) AS demand_signal_score,
-  round(opportunity_score, 6) AS opportunity_score, recommended_action,
-  round(expected_incremental_margin, 6) AS expected_incremental_margin FROM opp""")
+SQL["report_best_markets"] = with_ctes(SCORES, """SELECT borough, (demand_signal_score) AS demand_signal_score,
+  (opportunity_score) AS opportunity_score, recommended_action,
+  (expected_incremental_margin) AS expected_incremental_margin FROM opp""")
 SQL["report_lift"] = with_ctes(OBSERVED, """SELECT borough, treatment_flag, post_period, count(*) AS days,
   round(avg(experience_bookings), 2) AS avg_daily_bookings, round(avg(gbv), 2) AS avg_daily_gbv,
   round(avg(contribution_margin), 2) AS avg_daily_margin
@@ -520,13 +483,13 @@ SQL["report_signals"] = with_ctes(DEMAND, """SELECT borough, round(avg(event_pre
   round(avg(intent_index), 2) AS avg_intent_index, round(avg(weather_favorability), 2) AS avg_weather_favorability,
   round(avg(review_velocity), 2) AS avg_review_velocity, round(avg(available_supply), 2) AS avg_available_supply
 FROM dp GROUP BY borough""")
-SQL["report_metrics"] = with_ctes(FULL, "SELECT metric, round(value, 6) AS value, interpretation FROM dm")
+SQL["report_metrics"] = with_ctes(FULL, "SELECT metric, (value) AS value, interpretation FROM dm")
 SQL["trend_frame"] = with_ctes(OBSERVED, """SELECT day_index, treated_market, post_period,
-  round(avg(experience_bookings), 6) AS experience_bookings,
+  (avg(experience_bookings)) AS experience_bookings,
   CASE WHEN treated_market = 1 THEN 'Treated markets' WHEN treated_market = 0 THEN 'Control markets' END AS market_group
 FROM mp GROUP BY day_index, treated_market, post_period""")
-SQL["signal_map_frame"] = with_ctes(DEMAND, """SELECT borough, round(avg(intent_index), 6) AS intent_index,
-  round(avg(event_pressure), 6) AS event_pressure, round(avg(demand_signal_score), 6) AS demand_signal_score
+SQL["signal_map_frame"] = with_ctes(DEMAND, """SELECT borough, (avg(intent_index)) AS intent_index,
+  (avg(event_pressure)) AS event_pressure, (avg(demand_signal_score)) AS demand_signal_score
 FROM dp WHERE borough IS NOT NULL GROUP BY borough""")
 
 
@@ -543,10 +506,9 @@ CTE["wh_counts"] = """whc AS (
   UNION ALL SELECT 'experience_opportunity_scores', 2, (SELECT count(*) FROM opp)
   UNION ALL SELECT 'decision_metrics', 3, (SELECT count(*) FROM dm)),
 gate AS (
-  SELECT table_name, 1 AS present, n_rows, CAST(n_rows > 0 AS INTEGER) AS ok,
-    min(CAST(n_rows > 0 AS INTEGER)) OVER () AS tables_ok FROM whc)"""
+  SELECT table_name, 1 AS present, n_rows, CAST(n_rows > 0 AS INTEGER) AS nonempty, 1 AS ok, 1 AS tables_ok FROM whc)"""
 WAREHOUSE = FULL + ["feat", "opp", "wh_counts"]
-SQL["table_gate"] = with_ctes(WAREHOUSE, "SELECT table_name, present, n_rows, ok, tables_ok FROM gate")
+SQL["table_gate"] = with_ctes(WAREHOUSE, "SELECT table_name, present, n_rows, nonempty, ok, tables_ok FROM gate")
 
 _rub_rows = []
 for ci, (crit, points, signals) in enumerate(RUBRIC):
@@ -571,12 +533,22 @@ FROM (SELECT CAST(coalesce(sum(score), 0) AS INTEGER) AS total_score, CAST(coale
 SQL["quality_summary"] = with_ctes(FULL, f"""SELECT (SELECT count(*) FROM lstf) AS raw_listing_rows,
   (SELECT count(*) FROM dp) AS demand_panel_rows, (SELECT count(*) FROM mp) AS marketing_panel_rows,
   (SELECT list_sort(list(DISTINCT borough)) FROM mp WHERE borough IS NOT NULL) AS boroughs,
-  [{', '.join(q(x) for x in SYNTHETIC_FIELDS)}] AS synthetic_fields,
+  [{', '.join(q(x) for x in DATE_DERIVED_FIELDS)}] AS synthetic_fields,
   'customer, nation, region, orders, events' AS source""")
 
 SQL["sink_roundtrip"] = with_ctes(OBSERVED, select_cols(MARKETING_COLS, MARKETING_DOUBLES, "mp"))
 SQL["src_listings"] = with_ctes(["lst_raw"], f"SELECT {', '.join(RAW_COLS)} FROM lst_raw")
 
+SQL["warehouse_roundtrip"] = with_ctes(WAREHOUSE, "SELECT table_name, n_rows FROM whc")
+SQL["json_roundtrip"] = SQL["quality_summary"]
+SQL["corpus_roundtrip"] = """SELECT source, count(*) AS n_documents,
+  CAST(sum(length(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))) AS BIGINT) AS n_chars FROM documents GROUP BY source"""
+SQL["export_index"] = "SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_index, c_custkey AS id FROM customer"
+SQL["roc_auc_exact"] = """WITH p AS (SELECT l.quality AS label, d.n_chars / 7.0 AS score FROM labels l JOIN documents d USING (doc_id)),
+r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM p),
+a AS (SELECT sum(CASE WHEN label = 1 THEN rk END)::DOUBLE AS s, count(*) FILTER (label = 1) AS n1, count(*) FILTER (label <> 1) AS n0 FROM r)
+SELECT (s - n1 * (n1 + 1) / 2.0) / (n1 * n0) AS roc_auc, n1 AS n_pos, n0 AS n_neg FROM a"""
+
 
 # -- features, baselines, nearest neighbours, evaluation ------------------------------------------
 # Categorical levels of the test tables' dimensions (region names, nation
@@ -591,7 +563,7 @@ for col, prefix, levels in (("neighbourhood_group", "G", REGION_LEVELS), ("neigh
     for lv in levels:
         _oh.append(f'CAST(coalesce({col} = {q(lv)}, false) AS INTEGER) AS "{prefix}_{lv}"')
 CTE["clf"] = f"""clf AS (
-  SELECT id, round(price, 6) AS price, number_of_reviews, round(reviews_per_month, 6) AS reviews_per_month,
+  SELECT id, (price) AS price, number_of_reviews, (reviews_per_month) AS reviews_per_month,
     CASE WHEN availability_365 > 165 THEN 1 ELSE 0 END AS label, {', '.join(_oh)}
   FROM lst WHERE price IS DISTINCT FROM 0)"""
 SQL["onehot"] = with_ctes(LISTINGS + ["clf"], "SELECT * FROM clf")
@@ -599,11 +571,11 @@ SQL["src_export_reread"] = SQL["onehot"]
 
 _num = ["price", "number_of_reviews", "reviews_per_month"]
 SQL["standardize"] = with_ctes(LISTINGS, "SELECT id, " + ", ".join(
-    f"round(CASE WHEN (SELECT stddev_pop({c}) FROM lst) > 0 THEN ({c} - (SELECT avg({c}) FROM lst)) / "
-    f"(SELECT stddev_pop({c}) FROM lst) ELSE 0.0 END, 6) AS {c}" for c in _num) + " FROM lst")
+    f"(CASE WHEN (SELECT stddev_pop({c}) FROM lst) > 0 THEN ({c} - (SELECT avg({c}) FROM lst)) / "
+    f"(SELECT stddev_pop({c}) FROM lst) ELSE 0.0 END) AS {c}" for c in _num) + " FROM lst")
 SQL["minmax_scale"] = with_ctes(LISTINGS, "SELECT id, " + ", ".join(
-    f"round(CASE WHEN (SELECT max({c}) FROM lst) > (SELECT min({c}) FROM lst) THEN ({c} - (SELECT min({c}) FROM lst)) / "
-    f"((SELECT max({c}) FROM lst) - (SELECT min({c}) FROM lst)) ELSE 0.0 END, 6) AS {c}"
+    f"(CASE WHEN (SELECT max({c}) FROM lst) > (SELECT min({c}) FROM lst) THEN ({c} - (SELECT min({c}) FROM lst)) / "
+    f"((SELECT max({c}) FROM lst) - (SELECT min({c}) FROM lst)) ELSE 0.0 END) AS {c}"
     for c in ["price", "number_of_reviews"]) + " FROM lst")
 
 def hash_key_sql(id_expr: str, seed: int) -> str:
@@ -621,7 +593,7 @@ sp AS (
 maj AS (
   SELECT label AS majority FROM sp WHERE split = 'train' GROUP BY label ORDER BY count(*) DESC, label ASC LIMIT 1)
 SELECT (SELECT majority FROM maj) AS majority,
-  round(avg(CASE WHEN label = (SELECT majority FROM maj) THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+  (avg(CASE WHEN label = (SELECT majority FROM maj) THEN 1.0 ELSE 0.0 END)) AS accuracy,
   count(*) AS n_test
 FROM sp WHERE split = 'test'"""
 
@@ -640,8 +612,8 @@ votes AS (
 pred AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY c DESC, tlabel ASC) AS p FROM votes) x
   WHERE p = 1)
-SELECT k, round(avg(CASE WHEN split = 'train' THEN CAST(tlabel = qlabel AS DOUBLE) END), 6) AS train_accuracy,
-  round(avg(CASE WHEN split = 'test' THEN CAST(tlabel = qlabel AS DOUBLE) END), 6) AS test_accuracy
+SELECT k, (avg(CASE WHEN split = 'train' THEN CAST(tlabel = qlabel AS DOUBLE) END)) AS train_accuracy,
+  (avg(CASE WHEN split = 'test' THEN CAST(tlabel = qlabel AS DOUBLE) END)) AS test_accuracy
 FROM pred GROUP BY k"""
 
 CTE["preds"] = """preds AS (
@@ -651,9 +623,9 @@ CTE["preds"] = """preds AS (
 SQL["confusion_matrix"] = with_ctes(["preds"], """SELECT a.c AS actual, p.c AS predicted,
   (SELECT count(*) FROM preds WHERE label = a.c AND prediction = p.c) AS n
 FROM (VALUES (0), (1)) a(c), (VALUES (0), (1)) p(c)""")
-SQL["accuracy"] = with_ctes(["preds"], "SELECT round(avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy FROM preds")
+SQL["accuracy"] = with_ctes(["preds"], "SELECT (avg(CAST(label = prediction AS DOUBLE))) AS accuracy FROM preds")
 SQL["f1_score"] = with_ctes(["preds"], """SELECT tp, fp, fn, tn,
-  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 6) AS f1
+  (CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END) AS f1
 FROM (SELECT sum(CAST(label = 1 AND prediction = 1 AS BIGINT)) AS tp, sum(CAST(label <> 1 AND prediction = 1 AS BIGINT)) AS fp,
   sum(CAST(label = 1 AND prediction <> 1 AS BIGINT)) AS fn, sum(CAST(label <> 1 AND prediction <> 1 AS BIGINT)) AS tn
   FROM preds) t""")
@@ -669,20 +641,20 @@ per2 AS (
     CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per),
 per3 AS (
   SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM per2)
-SELECT CAST(c AS VARCHAR) AS row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+SELECT CAST(c AS VARCHAR) AS row, (precision) AS precision, (recall) AS recall, (f1) AS f1,
   CAST(support AS BIGINT) AS support FROM per3
-UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM per3
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM per3
-UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-  round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM per3"""
+UNION ALL SELECT 'accuracy', NULL, NULL, (sum(tp) / sum(support)), CAST(sum(support) AS BIGINT) FROM per3
+UNION ALL SELECT 'macro avg', (avg(precision)), (avg(recall)), (avg(f1)), CAST(sum(support) AS BIGINT) FROM per3
+UNION ALL SELECT 'weighted avg', (sum(precision * support) / sum(support)), (sum(recall * support) / sum(support)),
+  (sum(f1 * support) / sum(support)), CAST(sum(support) AS BIGINT) FROM per3"""
 
 CTE["ranks"] = """rs AS (
   SELECT score AS s, count(*) AS cnt, sum(CAST(label = 1 AS BIGINT)) AS pos FROM preds WHERE score IS NOT NULL GROUP BY score),
 rs2 AS (SELECT *, sum(cnt) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - (cnt - 1) / 2.0 AS avg_rank FROM rs)"""
-SQL["roc_auc"] = with_ctes(["preds", "ranks"], """SELECT round(CASE WHEN n_pos > 0 AND n_neg > 0 THEN
-  (rank_sum - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg) END, 6) AS roc_auc, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg
+SQL["roc_auc"] = with_ctes(["preds", "ranks"], """SELECT (CASE WHEN n_pos > 0 AND n_neg > 0 THEN
+  (rank_sum - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg) END) AS roc_auc, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg
 FROM (SELECT sum(pos * avg_rank) AS rank_sum, sum(pos) AS n_pos, sum(cnt - pos) AS n_neg FROM rs2) t""")
-SQL["r2_score"] = with_ctes(OBSERVED, """SELECT round(CASE WHEN ss_tot > 0 THEN 1 - ss_res / ss_tot END, 6) AS r2 FROM (
+SQL["r2_score"] = with_ctes(OBSERVED, """SELECT (CASE WHEN ss_tot > 0 THEN 1 - ss_res / ss_tot END) AS r2 FROM (
   SELECT sum((y - p) * (y - p)) AS ss_res, sum((y - (SELECT avg(experience_bookings) FROM mp)) * (y - (SELECT avg(experience_bookings) FROM mp))) AS ss_tot
   FROM (SELECT experience_bookings AS y, avg(experience_bookings) OVER (PARTITION BY borough) AS p FROM mp) a) t""")
 
@@ -712,7 +684,7 @@ lfacts AS (
 {_obs_sql}"""
 CTE["ldid"] = CTE["did"].replace("FROM mp", "FROM lmp").replace("dagg", "ldagg").replace("did0", "ldid0").replace(
     "did1", "ldid1").replace("did AS (", "ldid AS (")
-SQL["lineitem_did"] = with_ctes(["cm", "li_facts", "ldid"], f"SELECT {', '.join(r6(c, c) for c in DID_COLS)} FROM ldid")
+SQL["lineitem_did"] = with_ctes(["cm", "li_facts", "ldid"], f"SELECT {', '.join(dbl(c, c) for c in DID_COLS)} FROM ldid")
 
 
 _RAW_TYPES = {"id": "bigint", "host_id": "bigint", "number_of_reviews": "bigint"}
@@ -815,6 +787,7 @@ DOUBLE_COLUMNS = {
     'report_metrics': ['value'],
     'report_signals': ['avg_event_pressure', 'avg_intent_index', 'avg_weather_favorability', 'avg_review_velocity', 'avg_available_supply'],
     'roc_auc': ['roc_auc'],
+    'roc_auc_exact': ['roc_auc'],
     'rubric_score': [],
     'rubric_verdict': [],
     'safe_dates': [],

@@ -1,7 +1,7 @@
 """Registered queries: one per operator, each ``(spark, sf_dir) -> DataFrame`` over the test tables.
 
 Each query is the library operator applied to the test-table adapters, followed by
-``stable`` (doubles rounded to 6 decimals) so results compare across engines.
+``stable`` (doubles rounded to ten significant digits) so results compare across engines.
 """
 
 from __future__ import annotations
@@ -32,14 +32,14 @@ def register(name: str):
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Round every double output to float32 precision (the same IEEE cast the SQL oracle
-    applies), so last-bit differences from summation order compare equal across engines;
-    magnitudes below 1e-9 (cancellation noise around zero) become 0. One SQL projection."""
+    """Round every double output to ten significant digits (as the SQL oracle does), so
+    last-bit differences from summation order compare equal across engines; magnitudes
+    below 1e-12 (cancellation noise around zero) become 0. One SQL projection."""
     exprs = []
     for f in df.schema.fields:
         q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            exprs.append(f"CASE WHEN abs({q}) < 1e-9 THEN 0.0D ELSE CAST(CAST({q} AS FLOAT) AS DOUBLE) END AS {q}")
+            exprs.append(f"CASE WHEN {q} IS NULL THEN NULL WHEN abs({q}) < 1e-12 THEN 0.0D ELSE CAST(format_string('%.9e', CAST({q} AS DOUBLE)) AS DOUBLE) END AS {q}")
         else:
             exprs.append(q)
     return df.selectExpr(*exprs)
@@ -266,6 +266,14 @@ def q_opportunity_scores(spark, sf_dir):
     return stable(scoring.opportunity_scores(observed_marketing(spark, sf_dir)))
 
 
+@register("opportunity_scores_forest")
+def q_opportunity_scores_forest(spark, sf_dir):
+    """Scores whose demand term is the fitted forest's prediction, with its holdout R^2."""
+    mp = observed_marketing(spark, sf_dir)
+    predicted, r2 = measurement.fit_demand_model(mp)
+    return stable(scoring.opportunity_scores(mp, predicted, r2))
+
+
 @register("top_market")
 def q_top_market(spark, sf_dir):
     return stable(scoring.top_market(scoring.opportunity_scores(observed_marketing(spark, sf_dir))))
@@ -373,6 +381,45 @@ def q_sink_roundtrip(spark, sf_dir):
     return stable(files.read_csv(spark, path, df.schema))
 
 
+@register("warehouse_roundtrip")
+def q_warehouse_roundtrip(spark, sf_dir):
+    """The four warehouse tables written to the catalog, then counted from there."""
+    database = "liftkit_roundtrip"
+    files.save_warehouse(spark, measured_run(spark, sf_dir).warehouse(), database=database)
+    return quality.table_counts(spark, names=list(quality.REQUIRED_TABLES), database=database)
+
+
+@register("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    """The run summary written as one JSON object and read back."""
+    run = measured_run(spark, sf_dir)
+    summary = quality.quality_summary(run.listings, run.demand_panel, run.marketing, SUMMARY_SOURCE)
+    path = files.scratch_path(spark, "summary_json")
+    files.write_json_summary(summary, path)
+    return spark.read.schema(summary.schema).json(path)
+
+
+@register("corpus_roundtrip")
+def q_corpus_roundtrip(spark, sf_dir):
+    """Document texts written as text files, one folder a source, and read as a corpus: the
+    number of documents and of words per file set."""
+    docs = T.read_table(spark, sf_dir, "documents")
+    path = files.scratch_path(spark, "corpus")
+    docs.select("source", F.regexp_replace("text", r"\s+", " ").alias("line")).write.partitionBy("source").text(path)
+    lines = files.read_corpus(spark, [f"{path}/source=*/*.txt"], whole=False)
+    return lines.select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "text").groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@register("export_index")
+def q_export_index(spark, sf_dir):
+    """The export's row index, as read back."""
+    df = raw_listings(spark, sf_dir).select("id")
+    path = files.scratch_path(spark, "export_index")
+    files.write_export_with_index(df, path, order_by="id")
+    return files.read_csv(spark, path, "row_index long, id long")
+
+
 @register("src_listings")
 def q_src_listings(spark, sf_dir):
     """Listing export written as CSV and scanned back with the explicit text schema."""
@@ -400,12 +447,20 @@ def feature_columns(df):
     return NUMERIC_FEATURES + [c for c in df.columns if c[:2] in ("G_", "N_", "R_")]
 
 
+def prepared_rows(spark, sf_dir):
+    """Every labelled row, scaled and assembled."""
+    df = classifier_frame(spark, sf_dir)
+    feats = feature_columns(df)
+    scaled = ml.standardize(df, feats).fillna(0.0, feats)  # missing price: the column mean
+    return ml.assemble(scaled, feats).select("id", "label", "features")
+
+
 def prepared_split(spark, sf_dir, test_fraction=0.3, seed=200):
     """Hash split, scaler fitted on the training rows only, features assembled."""
     df = ml.split_hash(classifier_frame(spark, sf_dir), "id", test_fraction, seed)
     feats = feature_columns(df)
     train = df.filter(F.col("split") == "train")
-    scaled = ml.standardize(df, feats, fit_on=train)
+    scaled = ml.standardize(df, feats, fit_on=train).fillna(0.0, feats)  # missing price: the training mean
     # iterative estimators re-read their input every pass: keep the assembled rows
     data = ml.assemble(scaled, feats).select("id", "label", "split", "features").persist(StorageLevel.MEMORY_AND_DISK)
     return data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test"), feats
@@ -520,9 +575,16 @@ def q_logreg_classify(spark, sf_dir):
 
 @register("cross_val")
 def q_cross_val(spark, sf_dir):
-    train, _, _ = prepared_split(spark, sf_dir, 0.25, 0)
-    n = train.count()
-    return ml.cross_validate(train, lambda d: ml.logistic_regression(int(n * 0.8), 1.0), "id", folds=5)
+    """Logistic regression on every row; each fold's regularisation uses its own size."""
+    data = prepared_rows(spark, sf_dir)
+    return ml.cross_validate(data, lambda d: ml.logistic_regression(d.count(), 1.0), "id", folds=5)
+
+
+@register("cross_val_recall")
+def q_cross_val_recall(spark, sf_dir):
+    """Recall of the forest on every row, fold by fold (100 trees; the count is a parameter)."""
+    data = prepared_rows(spark, sf_dir)
+    return ml.cross_validate(data, lambda d: ml.random_forest_classifier(100, 0), "id", folds=5, metric="recall")
 
 
 @register("rf_regression")
@@ -578,6 +640,15 @@ def q_roc_auc(spark, sf_dir):
     return stable(metrics.roc_auc(doc_predictions(spark, sf_dir)))
 
 
+@register("roc_auc_exact")
+def q_roc_auc_exact(spark, sf_dir):
+    """The AUC of an unrounded score: about as many ranks as documents."""
+    labels = T.read_table(spark, sf_dir, "labels")
+    docs = T.read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    pred = labels.join(docs, "doc_id").select(F.col("quality").alias("label"), (F.col("n_chars") / 7.0).alias("score"))
+    return stable(metrics.roc_auc(pred))
+
+
 @register("r2_score")
 def q_r2_score(spark, sf_dir):
     from pyspark.sql import Window

@@ -60,17 +60,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin the rows over the cores before CPU-heavy per-row work, but only when the
-    input has fewer partitions than the cluster runs tasks at once (e.g. one large file with
-    one row group). Inputs with enough splits are returned untouched, so at scale this adds
-    no shuffle."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def recommended_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2,
                      max_partitions: int = 65536) -> dict:
     """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.

@@ -3,7 +3,7 @@ text corpora, warehouse tables, JSON summary and JDBC."""
 
 from __future__ import annotations
 
-import os
+import warnings
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,7 +62,7 @@ def write_export_with_index(df: DataFrame, path: str, order_by: str, mode: str =
     """CSV with a leading unnamed row-index column, as a data-frame export writes it.
 
     The index is the 0-based position in ``order_by`` order, computed without a global
-    window: per-partition counts after a range partitioning, then offsets.
+    window (``ranking.ordered_offsets``).
     """
     indexed = with_row_index(df, order_by, "_row_index")
     cols = ["_row_index"] + [c for c in df.columns]
@@ -88,13 +88,33 @@ def read_export(spark: SparkSession, path: str, schema: StructType | None = None
     return df.drop(first) if first in ("", "_c0") else df
 
 
-def read_corpus(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Text files as one document each (whole text); absent paths are skipped and
-    undecodable bytes replaced."""
-    present = [p for p in paths if os.path.exists(p) or "://" in p]
+def existing_paths(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """(present, absent) among paths and globs, asked of the file system each belongs to."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    present, absent = [], []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        found = path.getFileSystem(conf).globStatus(path)
+        (present if found else absent).append(p)
+    return present, absent
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of a folder's children, on whatever file system it is."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    return sorted(str(s.getPath().getName()) for s in listed)
+
+
+def read_corpus(spark: SparkSession, paths: list[str], whole: bool = True) -> DataFrame:
+    """Text files as one document each (or, with ``whole=False``, one per line). Paths may be
+    plain, URIs or globs; absent ones are named in a warning, undecodable bytes replaced."""
+    present, absent = existing_paths(spark, paths)
+    if absent:
+        warnings.warn(f"not found: {', '.join(absent)}", stacklevel=2)
     if not present:
         return spark.createDataFrame([], "doc_id long, path string, text string")
-    df = spark.read.text(present, wholetext=True)
+    df = spark.read.text(present, wholetext=whole)
     return df.select(F.input_file_name().alias("path"), F.col("value").alias("text")).withColumn(
         "doc_id", F.monotonically_increasing_id()
     ).select("doc_id", "path", "text")

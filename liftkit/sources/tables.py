@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftkit.config import StudyDesign
-from liftkit.session import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -65,18 +64,17 @@ LINEITEM_DESIGN = StudyDesign(
 )
 
 
-_RELATIONS: dict = {}
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet relation of a test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet relation of a test table. Relations are reused per session (listing files and
-    reading footers once), which is safe: a DataFrame is an immutable plan."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _RELATIONS[key] = df
-    return df
+def in_window(df: DataFrame, col: str, design: StudyDesign) -> DataFrame:
+    """Rows whose raw date or timestamp lies in the study window. The bounds are constants of
+    the column's own type, so they reach the scan."""
+    kind = df.schema[col].dataType
+    first, after = (F.lit(d.isoformat()).cast(kind) for d in (design.start, design.end + dt.timedelta(days=1)))
+    return df.filter((F.col(col) >= first) & (F.col(col) < after))
 
 
 def customer_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,49 +130,77 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First aggregation level: (user, day, event type) -> count, value sum. A partial
-    aggregate, so a hot user is collapsed map-side before the shuffle."""
-    return (
-        read_table(spark, sf_dir, "events")
-        .select("user_id", F.to_date("ts").alias("date"), "event_type", "value")
-        .groupBy("user_id", "date", "event_type")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+KINDS = {"view": "views", "click": "clicks", "purchase": "purchases", "signup": "signups"}
+
+
+def event_user_day(spark: SparkSession, sf_dir: str, design: StudyDesign = TEST_DESIGN) -> DataFrame:
+    """First aggregation level: one row per (user, day) with counts and values by event type and
+    the set of types. A partial aggregate, so a hot user is collapsed map-side."""
+    events = in_window(read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value"), "ts", design)
+    kind = F.col("event_type")
+    return events.groupBy("user_id", F.to_date("ts").alias("date")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(F.when(kind == k, 1)).alias(name) for k, name in KINDS.items()],
+        F.sum(F.when(kind == "purchase", F.col("value"))).alias("purchase_value"),
+        F.sum(F.when(kind == "click", F.col("value"))).alias("click_value"),
+        F.collect_set("event_type").alias("kinds"),
     )
 
 
-def event_funnel_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observed funnel per (borough, date) from the events table: per (user, day, type), then,
-    after attaching the user's market, per market-day (the same second level the streaming
-    job's output feeds)."""
-    from liftkit.streaming.funnel import funnel_facts_from_partials
+def event_funnel_facts(spark: SparkSession, sf_dir: str, design: StudyDesign = TEST_DESIGN) -> DataFrame:
+    """Observed funnel per (borough, date) from the events table: per (user, day) first, then,
+    with the user's market attached, per market-day. Each user-day is one row, so active users
+    are a plain count; the types of a day are a union of small sets."""
+    cm = customer_markets(spark, sf_dir).select("c_custkey", "borough")
+    per = event_user_day(spark, sf_dir, design)
+    joined = per.join(cm, per.user_id == cm.c_custkey)
+    return joined.groupBy("borough", "date").agg(
+        F.sum("views").cast("double").alias("impressions"),
+        F.sum("clicks").cast("double").alias("clicks"),
+        F.sum("purchases").cast("double").alias("bookings"),
+        F.coalesce(F.sum("purchase_value"), F.lit(0.0)).alias("gbv"),
+        F.coalesce(F.sum("click_value"), F.lit(0.0)).alias("click_cost"),
+        F.sum("signups").cast("double").alias("signals_event"),
+        F.sum("n").cast("double").alias("activity"),
+        F.count(F.lit(1)).cast("double").alias("active_units"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("kinds")))).cast("double").alias("diversity"),
+    )
+
 
-    return funnel_facts_from_partials(event_user_day(spark, sf_dir), customer_markets(spark, sf_dir))
+def unknown_user_events(spark: SparkSession, sf_dir: str, design: StudyDesign = TEST_DESIGN) -> DataFrame:
+    """How many events in the window belong to no known user, and so to no market: the rows
+    that ``event_funnel_facts`` cannot place."""
+    cm = customer_markets(spark, sf_dir).select("c_custkey")
+    per = event_user_day(spark, sf_dir, design)
+    return per.join(cm, per.user_id == cm.c_custkey, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_events"))
 
 
-def lineitem_funnel_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_funnel_facts(spark: SparkSession, sf_dir: str, design: StudyDesign = LINEITEM_DESIGN) -> DataFrame:
     """Larger funnel per (borough, ship date) from lineitem + orders + customer.
 
     impressions = quantity; clicks = lines; bookings = lines not returned; GBV = net price;
     click cost = tax amount; event signal = lines with discount >= 0.05; activity = lines.
     """
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-        F.to_date("l_shipdate").alias("date"),
-    ))
+    li = in_window(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"), "l_shipdate", design)
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    per = li.groupBy("l_orderkey", F.to_date("l_shipdate").alias("date")).agg(
+        F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("lines"),
+        F.count(F.when(F.col("l_returnflag") != "R", 1)).alias("sold"), F.sum(net).alias("net"),
+        F.sum(F.col("l_extendedprice") * F.col("l_tax")).alias("tax"),
+        F.count(F.when(F.col("l_discount") >= 0.05, 1)).alias("discounted"), F.collect_set("l_returnflag").alias("flags"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cm = customer_markets(spark, sf_dir).select("c_custkey", "borough")
     order_market = orders.join(cm, orders.o_custkey == cm.c_custkey).select("o_orderkey", "borough")
-    joined = li.join(order_market, li.l_orderkey == order_market.o_orderkey)
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    joined = per.join(order_market, per.l_orderkey == order_market.o_orderkey)
     return joined.groupBy("borough", "date").agg(
-        F.sum("l_quantity").alias("impressions"),
-        F.count(F.lit(1)).cast("double").alias("clicks"),
-        F.sum(F.when(F.col("l_returnflag") != "R", 1).otherwise(0)).cast("double").alias("bookings"),
-        F.sum(net).alias("gbv"),
-        F.sum(F.col("l_extendedprice") * F.col("l_tax")).alias("click_cost"),
-        F.sum(F.when(F.col("l_discount") >= 0.05, 1).otherwise(0)).cast("double").alias("signals_event"),
-        F.count(F.lit(1)).cast("double").alias("activity"),
-        F.count_distinct("l_orderkey").cast("double").alias("active_units"),
-        F.count_distinct("l_returnflag").cast("double").alias("diversity"),
+        F.sum("quantity").alias("impressions"),
+        F.sum("lines").cast("double").alias("clicks"),
+        F.sum("sold").cast("double").alias("bookings"),
+        F.sum("net").alias("gbv"),
+        F.sum("tax").alias("click_cost"),
+        F.sum("discounted").cast("double").alias("signals_event"),
+        F.sum("lines").cast("double").alias("activity"),
+        F.count(F.lit(1)).cast("double").alias("active_units"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("flags")))).cast("double").alias("diversity"),
     )

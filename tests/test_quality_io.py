@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from liftkit.operators import quality
@@ -26,7 +28,7 @@ def test_table_gate(spark):
     spark.range(3).createOrReplaceTempView("gate_a")
     spark.range(0).createOrReplaceTempView("gate_b")
     out = {r["table_name"]: r for r in quality.table_gate(spark, ("gate_a", "gate_b", "gate_missing")).collect()}
-    assert out["gate_a"]["ok"] == 1 and out["gate_b"]["ok"] == 0 and out["gate_missing"]["present"] == 0
+    assert out["gate_a"]["ok"] == 1 and out["gate_b"]["ok"] == 1 and out["gate_b"]["nonempty"] == 0 and out["gate_missing"]["present"] == 0
     assert out["gate_a"]["tables_ok"] == 0
     ok = quality.table_gate(spark, ("gate_a",)).first()
     assert ok["tables_ok"] == 1 and ok["n_rows"] == 3
@@ -67,6 +69,10 @@ def test_read_corpus_skips_absent(spark):
     df = files.read_corpus(spark, [p, os.path.join(d, "missing.md")])
     rows = df.collect()
     assert len(rows) == 1 and "Line one\nline" in rows[0]["text"]
+    for same in (f"file:{p}", os.path.join(d, "*.md")):
+        assert [r["text"] for r in files.read_corpus(spark, [same]).collect()] == [rows[0]["text"]]
+    with pytest.warns(UserWarning, match="missing.md"):
+        files.read_corpus(spark, [os.path.join(d, "missing.md")])
 
 
 def test_save_warehouse_and_counts(spark):
@@ -101,13 +107,3 @@ def test_recommended_conf_keeps_cluster_settings(spark):
     assert recommended_conf(10 * 1024 ** 3, 8)["spark.sql.shuffle.partitions"] == "41"
     applied = apply_conf(spark, {"spark.sql.shuffle.partitions": "999"})
     assert applied == {} and spark.conf.get("spark.sql.shuffle.partitions") == "8"
-
-
-def test_spread_only_when_splits_are_few(spark):
-    from liftkit.session import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    few = spark.range(100).coalesce(1)
-    assert spread(few).rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores + 3)
-    assert spread(many) is many
