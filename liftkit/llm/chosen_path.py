@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialise, text_of
+from .common import materialise, shield, text_of, unshield
 from .components import connected_components
 
 WORDS = 5
@@ -402,10 +402,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = 0.99995) -> DataFrame:
     """One document of each class, with all its columns: the one with the smallest id. Rows
     without words all stay; of rows repeated with one id and text, one stays."""
+    docs, back = shield(docs, id_col, text_col)
     stay = classes(docs, id_col, text_col, recall).filter("first").select(
         F.col("id").alias("_stay_id"), F.col("th").alias("_stay_th"))
     marked = docs.withColumn("_th", F.xxhash64(text_of(text_col)))
     kept = marked.join(stay, marked[id_col].eqNullSafe(stay["_stay_id"]) & (marked["_th"] == stay["_stay_th"]), "left_semi")
     nth = Window.partitionBy(id_col, "_th").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
     kept = kept.withColumn("_nth", F.when(F.trim(text_of(text_col)) == "", 1).otherwise(F.row_number().over(nth)))
-    return kept.filter("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unshield(kept.filter("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns]), back)

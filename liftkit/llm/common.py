@@ -34,3 +34,17 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
 def text_of(column: str):
     """The text column with null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def shield(df: DataFrame, *named: str) -> tuple[DataFrame, dict[str, str]]:
+    """Rename input columns that start with an underscore (other than ``named``), so that they
+    can't clash with an operator's own; ``unshield`` undoes it."""
+    away = {c: f"in{c}" for c in df.columns if c.startswith("_") and c not in named}
+    return df.withColumnsRenamed(away), {v: k for k, v in away.items()}
+
+
+def unshield(df: DataFrame, back: dict[str, str]) -> DataFrame:
+    """Give shielded columns their names back; a column that the operator adds under such a
+    name replaces the input's."""
+    gone = [v for v, k in back.items() if k in df.columns]
+    return df.drop(*gone).withColumnsRenamed({v: k for v, k in back.items() if v not in gone})

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialise, text_of
+from .common import materialise, shield, text_of, unshield
 
 KEY_BITS = 64
 
@@ -101,13 +101,15 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
+    docs, back = shield(docs, id_col, text_col)
     kept = exact_copies(docs, id_col, text_col).filter("kept").select(
         F.col(id_col).alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
     marked = docs.withColumn("_sha", F.sha2(text_of(text_col), 256))
     same = marked[id_col].eqNullSafe(kept["_keep_id"]) & (marked["_sha"] == kept["_keep_sha"])
     stay = marked.join(kept, same, "left_semi")
     first = Window.partitionBy(id_col, "_sha").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
-    return stay.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    once = stay.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
+    return unshield(once.select(*[F.col(f"`{c}`") for c in docs.columns]), back)
 
 
 def depth_for(rows: int, capacity: int) -> int:

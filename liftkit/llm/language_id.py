@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import materialise, shield, text_of, unshield
 
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
@@ -145,6 +145,7 @@ def identify(df: DataFrame, text_col: str = "text", declared_col: str | None = N
     """All columns of ``df`` plus ``_lang`` (``und`` if rejected), ``_posterior``, ``_accepted``
     and ``_text_lang`` (what the text alone says). ``host_col`` holds a host name; with
     ``url_col`` the host and the suggested language are taken from the address."""
+    df, back = shield(df, *[c for c in (text_col, declared_col, host_col, url_col) if c])
     k = len(languages)
     host = F.lower(F.regexp_extract(F.col(url_col), r"://([^/?#:]*)", 1)) if url_col else (
         F.col(host_col).cast("string") if host_col else F.lit(None).cast("string"))
@@ -187,4 +188,4 @@ def identify(df: DataFrame, text_col: str = "text", declared_col: str | None = N
     rows = rows.withColumn("_accepted", F.coalesce(taken, F.lit(False))).withColumn(
         "_lang", F.when(F.col("_accepted"), best).otherwise(UNKNOWN)).withColumn(
         "_text_lang", F.coalesce(F.get(names, guess(F.col("_e"))), F.lit(UNKNOWN)))
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns], "_lang", "_posterior", "_accepted", "_text_lang")
+    return unshield(rows.select(*[F.col(f"`{c}`") for c in df.columns], "_lang", "_posterior", "_accepted", "_text_lang"), back)

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -122,23 +123,36 @@ class Scanner:
     def __init__(self, templates=None, min_coverage: float = MIN_COVERAGE):
         self.min_coverage = min_coverage
         self.templates = [(name, words(t)) for name, texts in (templates or TEMPLATES).items() for t in texts]
+        self.counts = [Counter(ws) for _, ws in self.templates]
         self.vocabulary: dict[str, int] = {}
         for i, (_, ws) in enumerate(self.templates):
             for w in ws:
                 self.vocabulary[w] = self.vocabulary.get(w, 0) | (1 << i)
 
-    def stretches(self, hits: list[int], size: int, need: int):
-        """(first, after last) hit numbers of disjoint stretches of at most ``size`` words with
-        ``need`` hits or more, the fullest first, ties the earliest."""
-        found, j = [], 0
+    def stretches(self, k: int, ws: list[str], hits: list[int], size: int, need: int):
+        """(first, after last) hit numbers of disjoint stretches of at most ``size`` words that
+        share ``need`` words or more with template ``k`` (repeated words as often as both have
+        them, which no alignment can exceed): the fullest first, then the shortest, then the
+        earliest."""
+        most, held, share, found, j = self.counts[k], {}, 0, [], 0
         for i in range(len(hits)):
-            j = max(j, i)
             while j < len(hits) and hits[j] < hits[i] + size:
+                w = ws[hits[j]]
+                held[w] = held.get(w, 0) + 1
+                share += held[w] <= most[w]
                 j += 1
-            if j - i >= need:
-                found.append((i - j, i, j))
+            if share >= need:
+                seen, end = Counter(), i
+                for x in range(i, j):  # leave out what follows the last word that counts
+                    seen[ws[hits[x]]] += 1
+                    if seen[ws[hits[x]]] <= most[ws[hits[x]]]:
+                        end = x + 1
+                found.append((-share, hits[end - 1] - hits[i], i, end))
+            w = ws[hits[i]]
+            share -= held[w] <= most[w]
+            held[w] -= 1
         taken: list[tuple[int, int]] = []
-        for _, i, j in sorted(found):
+        for _, _, i, j in sorted(found):
             if all(j <= x or i >= y for x, y in taken):
                 taken.append((i, j))
         return taken
@@ -158,7 +172,7 @@ class Scanner:
             need = -(-len(template) * self.min_coverage // 1)
             if len(by[k]) < need:
                 continue
-            for i, j in self.stretches(by[k], int(len(template) * SLACK) + 1, int(need)):
+            for i, j in self.stretches(k, ws, by[k], int(len(template) * SLACK) + 1, int(need)):
                 lo, hi = by[k][i], by[k][j - 1] + 1
                 pairs = align(ws[lo:hi], template)
                 if len(pairs) >= self.min_coverage * len(template):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialise, text_of
+from .common import materialise, shield, text_of, unshield
 
 POINTS = 15      # interior points of a bracket that one step evaluates
 STEPS = 8
@@ -110,6 +110,7 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     ``_order`` (sorting by source, epoch and order gives the permuted blocks)."""
     if entropy is None and repeat_limit is None:
         repeat_limit = REPEAT_LIMIT
+    docs, back = shield(docs, source_col, text_col, id_col)
     totals = source_totals(docs, source_col, text_col)
     planned = plan(totals, find_exponent(totals, entropy, repeat_limit), total_tokens)
     budgets = materialise(planned.select(
@@ -146,8 +147,9 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     copies = (F.col("_passes") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)).cast("int")
     each = rows.withColumn("_copies", copies).filter("_copies > 0").withColumn(
         "_epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
-    return each.select(*[F.col(f"`{c}`") for c in docs.columns], "_tokens", "_weight", "_epoch",
-                       F.xxhash64(F.lit(seed), F.col("_source"), F.col("_epoch").cast("long"), F.col("_block")).alias("_order"))
+    out = each.select(*[F.col(f"`{c}`") for c in docs.columns], "_tokens", "_weight", "_epoch",
+                      F.xxhash64(F.lit(seed), F.col("_source"), F.col("_epoch").cast("long"), F.col("_block")).alias("_order"))
+    return unshield(out, back)
 
 
 def _block(seed: int, id_col: str):
