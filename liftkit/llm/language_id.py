@@ -113,7 +113,7 @@ def ancestors(host):
     """A host and its parent domains, nearest first, then the corpus as a whole (empty name)."""
     parts = F.split(host, r"\.")
     tails = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    return F.concat(tails, F.array(F.lit("")))
+    return F.array_distinct(F.concat(tails, F.array(F.lit(""))))
 
 
 def host_priors(texts: DataFrame, languages=LANGUAGES) -> DataFrame:
