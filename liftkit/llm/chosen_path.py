@@ -11,8 +11,8 @@ number of runs is a parameter chosen from the target recall.
 
 Buckets shrink level by level. Buckets of equal content are examined once. Small buckets
 are compared by brute force. Large ones are compared with their smallest member first;
-buckets whose members are all linked to one leader need no further work, others split
-again. What is still large at the last level is compared in blocks, block against block.
+buckets whose members are all connected by what has been proposed need no further work,
+others split again. What is still large at the last level is compared in blocks, block against block.
 Comparisons use the 64 min-hashes with a threshold low enough to lose a pair at 0.8 once in
 10^8; they only propose links, kept as spanning edges, never as all pairs. Every connected
 component of proposals is then verified on the exact shingle sets, block against block, in
@@ -46,7 +46,7 @@ WORDS = 5
 SIMILARITY = 0.8
 COORDS = 64
 BRANCH = 2        # coordinates a tree node picks
-START_DEPTH = 3   # levels grown before buckets are counted
+START_DEPTH = 4   # levels grown before buckets are counted
 MAX_DEPTH = 8
 SMALL = 64        # sets in a bucket compared by brute force
 BLOCK = 256       # sets in a block
@@ -224,14 +224,19 @@ def _proposals(names, a, b, same, names_b=None):
 
 
 def _compare_blocks(batches):
-    """Blocks i and j of a large bucket: columns path, bi, bj, side, node, mh."""
-    for _, rows in _groups(batches, 3, ["path", "bi", "bj", "side", "node", "mh"]):
-        first = sorted((n, m) for side, n, m in rows if side == 0)
-        second = sorted((n, m) for side, n, m in rows if side == 1)
-        a = np.frombuffer(b"".join(m for _, m in first), np.uint32).reshape(len(first), COORDS)
-        b = np.frombuffer(b"".join(m for _, m in second), np.uint32).reshape(len(second), COORDS)
-        names = [n for n, _ in first]
-        yield _edges(_proposals(names, a, b, False, [n for n, _ in second]) if second else _proposals(names, a, a, True))
+    """Blocks i and j of a large bucket: columns path, bi, bj, side, node, label, mh. Members of
+    one label are connected already; only edges between labels are put out."""
+    for _, rows in _groups(batches, 3, ["path", "bi", "bj", "side", "node", "label", "mh"]):
+        first = sorted((n, l, m) for side, n, l, m in rows if side == 0)
+        second = sorted((n, l, m) for side, n, l, m in rows if side == 1)
+        a = np.frombuffer(b"".join(m for *_, m in first), np.uint32).reshape(len(first), COORDS)
+        b = np.frombuffer(b"".join(m for *_, m in second), np.uint32).reshape(len(second), COORDS)
+        whole, k = first + second, len(first)
+        found = _proposals(range(k), a, b, False, range(k, len(whole))) if second else _proposals(range(k), a, a, True)
+        names = sorted({l for _, l, _ in whole})
+        number = {l: i for i, l in enumerate(names)}
+        between = [(number[whole[x][1]], number[whole[y][1]]) for x, y in found]
+        yield _edges([(names[x], names[y]) for x, y in _forest(len(names), between)])
 
 
 def block_pairs(df: DataFrame, key: list[str], size: str, member: str) -> DataFrame:
@@ -246,37 +251,43 @@ def block_pairs(df: DataFrame, key: list[str], size: str, member: str) -> DataFr
 
 def _buckets(rows: DataFrame) -> DataFrame:
     """``path, n`` of buckets worth examining: two or more members, not all under one label, and
-    one bucket for each content (told by size, sum and exclusive-or of hashed members)."""
-    mark = F.xxhash64("node")
-    sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 24)).alias("s"),
-                                     F.min("label").alias("lo"), F.max("label").alias("hi")).filter("n > 1 AND lo <> hi")
-    return sizes.groupBy("n", "x", "s").agg(F.min("path").alias("path")).select("path", "n")
+    one bucket for each content (told by its size and the exclusive-or of hashed members)."""
+    content = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x")]
+    if "label" in rows.columns:
+        sizes = rows.groupBy("path").agg(*content, F.min("label").alias("lo"), F.max("label").alias("hi")).filter("n > 1 AND lo <> hi")
+    else:
+        sizes = rows.groupBy("path").agg(*content).filter("n > 1")
+    return sizes.groupBy("n", "x").agg(F.min("path").alias("path")).select("path", "n")
 
 
 def propose(nodes: DataFrame, runs: int) -> DataFrame:
     """Spanning edges ``u, v`` of proposed links between the sets in ``nodes`` (node, mh)."""
-    rows = materialise(nodes.mapInArrow(_grow(runs), "path long, node long"), "paths").withColumn("label", F.col("node"))
+    rows = materialise(nodes.mapInArrow(_grow(runs), "path long, node long"), "paths")
     found = []
     for depth in range(START_DEPTH, MAX_DEPTH + 1):
-        buckets = materialise(_buckets(rows), "buckets")
-        held = materialise(rows.join(buckets, "path").join(nodes.select("node", "mh"), "node").select("path", "n", "node", "label", "mh"), "held")
+        label = F.col("label" if "label" in rows.columns else "node").alias("label")
+        held = rows.join(_buckets(rows), "path").join(nodes.select("node", "mh"), "node")
+        held = materialise(held.select("path", "n", "node", label, "mh"), "held")
         small = held.filter(F.col("n") <= SMALL).select("path", "node", "mh").repartition("path").sortWithinPartitions("path")
         found.append(materialise(small.mapInArrow(_compare, "u long, v long"), "proposed"))
         large = held.filter(F.col("n") > SMALL)
         if large.isEmpty():
             break
         leaders = large.groupBy("path").agg(F.min(F.struct("node", "mh")).alias("lead"))
-        led = large.join(leaders, "path").select("path", "n", "node", "label", "mh", F.col("lead.node").alias("leader"),
-                                                 F.col("lead.mh").alias("lead_mh")).mapInArrow(
-            _follow, "path long, n long, node long, label long, mh binary, leader long")
-        led = materialise(led, "led")
-        found.append(led.filter("leader IS NOT NULL AND leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct())
-        label = led.groupBy("node").agg(F.least(F.min("label"), F.min("leader")).alias("label"))
-        relabelled = materialise(led.drop("label", "leader").join(label, "node"), "relabelled")
-        mixed = relabelled.groupBy("path").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("path")
-        rest = relabelled.join(mixed, "path")
+        led = materialise(large.join(leaders, "path").select("path", "n", "node", "label", "mh", F.col("lead.node").alias("leader"),
+                                                             F.col("lead.mh").alias("lead_mh")).mapInArrow(
+            _follow, "path long, n long, node long, label long, mh binary, leader long"), "led")
+        found.append(led.filter("leader IS NOT NULL AND leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")))
+        # rows of one label are already connected: by the leader they follow, here or before, and
+        # after the first level by any chain of proposals
+        led = led.withColumn("label", F.coalesce("leader", "label")).drop("leader")
+        if depth == START_DEPTH:
+            comps = connected_components(found[0].unionByName(found[1])).withColumnRenamed("node", "k")
+            led = led.join(comps, F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("comp", "label")).drop("k", "comp")
+        mixed = led.groupBy("path").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("path")
+        rest = led.join(mixed, "path")
         if depth == MAX_DEPTH:
-            pairs = block_pairs(rest.select("path", "n", "node", "mh"), ["path"], "n", "node")
+            pairs = block_pairs(rest.select("path", "n", "node", "label", "mh"), ["path"], "n", "node")
             pairs = pairs.repartition("path", "bi", "bj").sortWithinPartitions("path", "bi", "bj")
             found.append(materialise(pairs.mapInArrow(_compare_blocks, "u long, v long"), "proposed"))
         else:

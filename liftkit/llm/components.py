@@ -20,8 +20,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     live = materialise(live.select("u", "v").union(live.select("v", "u")).distinct(), "edges")
     labels = materialise(live.select(F.col("u").alias("node"), F.col("u").alias("comp")).distinct(), "labels")
     while not live.isEmpty():
-        parent = materialise(live.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")).select(
-            "c", F.least("c", "m").alias("p")), "parents")
+        parent = live.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")).select("c", F.least("c", "m").alias("p"))
         up = parent.select(F.col("c").alias("c2"), F.col("p").alias("p2"))
         hop = materialise(parent.join(up, parent["p"] == up["c2"], "left").select(
             "c", F.coalesce("p2", "p").alias("to")), "hops")
