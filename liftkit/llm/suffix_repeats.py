@@ -17,9 +17,10 @@ right of its anchor, so the hash of that many bytes is the key of a suffix.
    group, left-maximal where its members' further left bytes differ, right-maximal because
    the interval ends there. All occurrences of a group are put out.
 4. A key with more than ``KEY_CAP`` different contexts is not gathered in a task. It is
-   settled by halving: the offsets of a passage around the anchor form a range; a range
-   whose least shared bytes occur once is dropped, one whose widest bytes recur is taken
-   whole, and any other is halved. Each round is two grouped counts.
+   settled by halving: the offsets of a passage around the anchor form a range; rows that
+   share the least bytes of a range are a smaller key, scanned as in 3 once few enough; a
+   range whose widest bytes recur is taken whole, and any other is halved. Each round is two
+   grouped counts.
 
 Both ways are exact; keys are 64-bit hashes and contexts are told apart by 128 bits.
 
@@ -45,7 +46,7 @@ MIN_LEN = 400
 WINDOW = 200
 GRAM = 32
 SEGMENT = 1 << 21
-KEY_CAP = 1000
+KEY_CAP = 20_000  # contexts of a key that one task sorts: 600 bytes each, 12 MB
 ANCHORS = "h long, c long, id long, th long, pos int"
 
 
@@ -278,8 +279,15 @@ def _span_batch(rows):
                                       names=["id", "th", "start", "stop", "repeat_id"])
 
 
-def _halving(hot: DataFrame, min_len: int, window: int) -> DataFrame:
-    """Spans of keys with very many contexts: ranges of offsets, halved round by round."""
+def _scanned(rows: DataFrame, min_len: int, window: int, groups: bool) -> DataFrame:
+    """The stack scan of every key in ``rows`` (h, id, th, pos, left, right)."""
+    return rows.repartition("h").sortWithinPartitions("h", "id", "th", "pos").mapInArrow(_scan(min_len, window, groups), SPANS)
+
+
+def _halving(hot: DataFrame, min_len: int, window: int, key_cap: int, groups: bool) -> DataFrame:
+    """Spans of keys with very many contexts: ranges of offsets, halved round by round. Rows of
+    a range that share its least bytes form a key of their own, scanned in a task as soon as
+    it is small enough."""
     need = window - 1
     size = 1
     while size < window:
@@ -296,8 +304,13 @@ def _halving(hot: DataFrame, min_len: int, window: int) -> DataFrame:
         a = F.col("a")
         least = live.filter((F.length("left") >= a) & (F.length("right") >= need - (a + size - 1))).withColumn(
             "k", parts(a, need - (a + size - 1)))
-        again = least.groupBy("h", "a", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        held = least.join(again, ["h", "a", "k"])
+        again = least.groupBy("h", "a", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        shared = materialise(least.join(again, ["h", "a", "k"]), "shared")
+        few = shared.filter(F.col("n") <= key_cap).select(F.xxhash64("h", "a", "k").alias("h"), "id", "th", "pos", "left", "right")
+        found.append(_scanned(few, min_len, window, groups))
+        held = shared.filter(F.col("n") > key_cap).drop("n")
+        if held.isEmpty():
+            break
         fits = (F.length("left") >= a + size - 1) & (F.length("right") >= need - a) & (a + size - 1 <= need)
         held = materialise(held.withColumn("w", F.when(fits, parts(a + size - 1, need - a))), "held")
         twice = held.filter("w IS NOT NULL").groupBy("h", "a", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
@@ -346,12 +359,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = keyed.join(ends, keyed["id"].eqNullSafe(ends["p_id"]) & (keyed["th"] == ends["p_th"])).select("id", "th", "text", "at")
     bytes_ = materialise(joined.mapInArrow(_fetch(min_len, window),
                                            "h long, id long, th long, pos int, nv long, left binary, right binary"), "ends")
-    scanned = bytes_.filter(F.col("nv") <= key_cap).select("h", "id", "th", "pos", "left", "right").repartition("h").sortWithinPartitions(
-        "h", "id", "th", "pos").mapInArrow(_scan(min_len, window, groups), SPANS)
-    out = settled.unionByName(scanned)
+    few = bytes_.filter(F.col("nv") <= key_cap).select("h", "id", "th", "pos", "left", "right")
+    out = settled.unionByName(_scanned(few, min_len, window, groups))
     hot = bytes_.filter(F.col("nv") > key_cap)
     if not hot.isEmpty():
-        out = out.unionByName(_halving(hot, min_len, window))
+        out = out.unionByName(_halving(hot, min_len, window, key_cap, groups))
     return out
 
 
