@@ -267,16 +267,16 @@ def propose(nodes: DataFrame, runs: int) -> DataFrame:
     for depth in range(START_DEPTH, MAX_DEPTH + 1):
         label = F.col("label" if "label" in rows.columns else "node").alias("label")
         held = rows.join(_buckets(rows), "path").join(nodes.select("node", "mh"), "node")
-        held = materialise(held.select("path", "n", "node", label, "mh"), "held")
+        held = materialise(held.select("path", "n", "node", label, "mh"), "held", few_files=True)
         small = held.filter(F.col("n") <= SMALL).select("path", "node", "mh").repartition("path").sortWithinPartitions("path")
-        found.append(materialise(small.mapInArrow(_compare, "u long, v long"), "proposed"))
+        found.append(materialise(small.mapInArrow(_compare, "u long, v long"), "proposed", few_files=True))
         large = held.filter(F.col("n") > SMALL)
         if large.isEmpty():
             break
         leaders = large.groupBy("path").agg(F.min(F.struct("node", "mh")).alias("lead"))
         led = materialise(large.join(leaders, "path").select("path", "n", "node", "label", "mh", F.col("lead.node").alias("leader"),
                                                              F.col("lead.mh").alias("lead_mh")).mapInArrow(
-            _follow, "path long, n long, node long, label long, mh binary, leader long"), "led")
+            _follow, "path long, n long, node long, label long, mh binary, leader long"), "led", few_files=True)
         found.append(led.filter("leader IS NOT NULL AND leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")))
         # rows of one label are already connected: by the leader they follow, here or before, and
         # after the first level by any chain of proposals
@@ -289,7 +289,7 @@ def propose(nodes: DataFrame, runs: int) -> DataFrame:
         if depth == MAX_DEPTH:
             pairs = block_pairs(rest.select("path", "n", "node", "label", "mh"), ["path"], "n", "node")
             pairs = pairs.repartition("path", "bi", "bj").sortWithinPartitions("path", "bi", "bj")
-            found.append(materialise(pairs.mapInArrow(_compare_blocks, "u long, v long"), "proposed"))
+            found.append(materialise(pairs.mapInArrow(_compare_blocks, "u long, v long"), "proposed", few_files=True))
         else:
             rows = materialise(rest.select("path", "node", "label", "mh").mapInArrow(_split, "path long, node long, label long"), "paths")
     out = found[0]
@@ -387,14 +387,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rec
     items = materialise(items, "items").dropDuplicates(["node"])
     pairs = block_pairs(items, ["comp"], "members", "node").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
     verified = materialise(pairs.select("comp", "bi", "bj", "side", "node", "copies", "items").mapInArrow(
-        _verify, "node long, links long, root long"), "verified")
+        _verify, "node long, links long, root long"), "verified", few_files=True)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     joined = connected_components(verified.select(F.col("root").alias("u"), F.col("node").alias("v")))
     least = joined.join(nodes.select("node", "rep"), "node").groupBy("comp").agg(F.min("rep").alias("class_rep"))
     named = joined.join(least, "comp").select("node", "class_rep")
     per_node = nodes.select("node", "copies", "rep").join(named, "node", "left").join(links, "node", "left").select(
         F.col("node").alias("k"), "copies", F.coalesce("class_rep", "rep").alias("rep"), F.coalesce("links", F.lit(0)).alias("links"))
-    per_node = materialise(per_node, "classes")
+    per_node = materialise(per_node, "classes", few_files=True)
     rows = sketched.select("id", "th", "node").join(per_node, F.col("node") == F.col("k"), "left")
     none = F.col("node").isNull()
     return rows.select(

@@ -20,14 +20,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/liftkit-llm/{uuid.uuid4().hex}/{name}"
 
 
-def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, few_files: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage and
-    survives lost executors."""
+    survives lost executors. ``few_files`` is for tables of some bytes a row that a loop writes
+    again and again: two tasks a core read all partitions, one after the other, so that a small
+    table isn't strewn over as many files as there are shuffle partitions."""
     path = scratch(df.sparkSession, name)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if few_files:
+        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
