@@ -67,4 +67,4 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_suffix_dedup, op3_language_id, op4_license_scan, op5_ngram_jaccard_join, op6_source_mixing, op7_packing, op8_exact_dedup, op9_url_filter, op10_topk_search, language_id_pages)}
-ORACLE = {"op8_exact_dedup": exact_dedup.ORACLE, "op10_topk_search": topk_search.ORACLE}
+ORACLE = {"op8_exact_dedup": exact_dedup.ORACLE, "op9_url_filter": url_filter.oracle(), "op10_topk_search": topk_search.ORACLE}

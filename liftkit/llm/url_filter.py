@@ -55,13 +55,18 @@ def folded(url):
     return F.concat(F.lit("^^"), F.regexp_replace(low, r"[^a-z0/:.\-_?=&#%+~]", "*"), F.lit("$"))
 
 
-def trigram_codes(string):
-    """Codes of the successive three-symbol strings of a folded address."""
-    codes = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(SYMBOLS), c) - 1)
-    return F.transform(
-        F.sequence(F.lit(0), F.size(codes) - 3),
-        lambda i: (F.get(codes, i) * V + F.get(codes, i + 1)) * V + F.get(codes, i + 2),
-    )
+def trigrams(string: str):
+    """The successive three-symbol strings of a folded address; ``string`` names a column that
+    is already computed, since the function below reads it once per position."""
+    return F.transform(F.sequence(F.lit(1), F.length(string) - 2), lambda i: F.col(string).substr(i, F.lit(3)))
+
+
+def trigram_code(gram: str):
+    """The number of a three-symbol string."""
+    code = F.lit(0)
+    for i in (1, 2, 3):
+        code = code * V + F.instr(F.lit(SYMBOLS), F.substring(gram, i, 1)) - 1
+    return code
 
 
 def log_ratio_model(counts: DataFrame) -> DataFrame:
@@ -106,20 +111,23 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     """One row per page: id, ``host``, ``path``, ``rule``, ``verdict``, ``score``."""
     rows = (
         pages.select(F.col(id_col).alias("_id"), F.coalesce(F.col(url_col), F.lit("")).alias("_url"))
-        .groupBy("_id", "_url").agg(F.count(F.lit(1)).alias("_times"))
+        .withColumn("_folded", folded(F.col("_url")))
+        .groupBy("_id", "_url", "_folded").agg(F.count(F.lit(1)).alias("_times"))
     )
     host, path = host_path(None)
     rows = rows.select("*", host.alias("host"), path.alias("path"))
     rule, verdict = rule_columns(rules)
     rows = rows.select("*", rule.alias("rule"), verdict.alias("said"))
-    grams = rows.select("*", F.explode(trigram_codes(folded(F.col("_url")))).alias("code"))
-    counts = grams.filter("said is not null").groupBy("code").agg(
+    grams = rows.select("*", F.explode(trigrams("_folded")).alias("_gram"))
+    counts = grams.filter("said is not null").groupBy("_gram").agg(
         F.sum(F.when(F.col("said") == "allow", F.col("_times")).otherwise(0)).alias("acc"),
         F.sum(F.when(F.col("said") == "block", F.col("_times")).otherwise(0)).alias("rej"))
-    model = log_ratio_model(counts)
-    keys = ["_id", "_url", "_times", "host", "path", "rule", "said"]
+    counts = materialise(counts.select(trigram_code("_gram").cast("long").alias("code"), "acc", "rej"), "counts")
+    model = materialise(log_ratio_model(counts), "model")
+    keys = ["_id", "_url", "_folded", "_times", "host", "path", "rule", "said"]
+    coded = grams.withColumn("code", trigram_code("_gram").cast("long"))
     scored = materialise(
-        grams.join(F.broadcast(model), "code").groupBy(*keys).agg(F.round(F.avg("weight"), 9).alias("score")), "scored")
+        coded.join(F.broadcast(model), "code").groupBy(*keys).agg(F.round(F.avg("weight"), 9).alias("score")), "scored")
 
     # the calibration histogram: steps of 0.001, so its size depends on the score's range alone
     bins = scored.filter("said is not null").groupBy(F.floor(F.col("score") * 1000).alias("bin")).agg(
@@ -136,3 +144,54 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     method = F.when(F.floor(F.col("score") * 1000) > F.col("_bin"), F.lit("block")).otherwise(F.lit("allow"))
     each = out.select("*", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_nth"))
     return each.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("said", method).alias("verdict"), "score")
+
+
+def oracle(rules=RULES, false_block: float = 0.01) -> str:
+    """The same judgement as DuckDB SQL over ``pages``."""
+    ranked = sorted(rules, key=lambda r: (-len(r[0] + r[1]), r[0] + r[1]))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, _ in ranked]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (h, p, _) in zip(fits, ranked)) + " END"
+    said = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, (_, _, v) in zip(fits, ranked)) + " END"
+    code = "0"
+    for i in (0, 1, 2):
+        code = f"(({code}) * {V} + instr('{SYMBOLS}', substring(folded, i + {i}, 1)) - 1)"
+
+    def log_p(k):
+        p0 = f"(coalesce({k}1, 0) + 1.0::DOUBLE) / ({k}_n + {float(V)})"
+        p1 = f"CASE WHEN coalesce({k}_b, 0) > 0 THEN (coalesce({k}2, 0) + {k}_b_t * {p0}) / ({k}_b + {k}_b_t) ELSE {p0} END"
+        return f"ln(CASE WHEN coalesce({k}_ab, 0) > 0 THEN (coalesce({k}3, 0) + {k}_ab_t * ({p1})) / ({k}_ab + {k}_ab_t) ELSE {p1} END)"
+
+    def sums(key, source):
+        return f"""SELECT {key}, sum(acc)::DOUBLE AS acc_{key}, sum(rej)::DOUBLE AS rej_{key},
+          count(*) FILTER (acc > 0)::DOUBLE AS acc_{key}_t, count(*) FILTER (rej > 0)::DOUBLE AS rej_{key}_t FROM {source} GROUP BY 1"""
+
+    return f"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+c AS (SELECT *, CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS cut,
+  '^^' || regexp_replace(translate(translate(url, '{LETTERS.upper()}', '{LETTERS}'), '123456789', '000000000'),
+    '[^a-z0/:.\\-_?=&#%+~]', '*', 'g') || '$' AS folded FROM u),
+h AS (SELECT row_number() OVER () AS n, page_id, folded, translate(regexp_extract(cut, '^([^/?#]*)', 1), '{LETTERS.upper()}', '{LETTERS}') AS host,
+  regexp_extract(cut, '^[^/?#]*([^?#]*)', 1) AS path FROM c),
+r AS MATERIALIZED (SELECT *, {rule} AS rule, {said} AS said FROM h),
+g AS MATERIALIZED (SELECT n, said, {code} AS code FROM (SELECT n, said, folded, unnest(range(1, length(folded) - 1)) AS i FROM r)),
+k3 AS MATERIALIZED (SELECT code, code % {V} AS c, code % {V * V} AS bc, code // {V} AS ab,
+  count(*) FILTER (said = 'allow') AS acc, count(*) FILTER (said = 'block') AS rej FROM g WHERE said IS NOT NULL GROUP BY 1, 2, 3, 4),
+k2 AS (SELECT bc, bc // {V} AS b, bc % {V} AS c, sum(acc) AS acc, sum(rej) AS rej FROM k3 GROUP BY 1, 2, 3),
+k1 AS (SELECT c, sum(acc) AS acc1, sum(rej) AS rej1 FROM k3 GROUP BY 1),
+t AS (SELECT coalesce(sum(acc), 0) AS acc_n, coalesce(sum(rej), 0) AS rej_n FROM k3),
+m AS (SELECT q.code, {log_p('rej')} - {log_p('acc')} AS weight FROM (SELECT DISTINCT code FROM g) q CROSS JOIN t
+  LEFT JOIN (SELECT code, acc AS acc3, rej AS rej3 FROM k3) x3 ON x3.code = q.code
+  LEFT JOIN (SELECT bc, acc AS acc2, rej AS rej2 FROM k2) x2 ON x2.bc = q.code % {V * V}
+  LEFT JOIN k1 ON k1.c = q.code % {V}
+  LEFT JOIN ({sums('ab', 'k3')}) sa ON sa.ab = q.code // {V}
+  LEFT JOIN ({sums('b', 'k2')}) sb ON sb.b = (q.code // {V}) % {V}),
+s AS (SELECT n, floor(round(avg(weight), 9) * 1000) AS bin FROM g JOIN m USING (code) GROUP BY n),
+a AS (SELECT bin, count(*) FILTER (said = 'allow') AS acc, count(*) FILTER (said = 'block') AS rej FROM s JOIN r USING (n)
+  WHERE said IS NOT NULL GROUP BY 1),
+o AS (SELECT bin, sum(acc) OVER () AS all_acc, sum(rej) OVER () AS all_rej,
+  sum(acc) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM a),
+l AS (SELECT min(bin) AS bin FROM o WHERE all_acc > 0 AND all_rej > 0 AND all_acc - upto <= {false_block} * all_acc)
+SELECT page_id, host, path, rule,
+  coalesce(said, CASE WHEN s.bin > (SELECT bin FROM l) THEN 'block' ELSE 'allow' END) AS verdict
+FROM r JOIN s USING (n)
+"""
