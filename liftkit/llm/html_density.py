@@ -3,11 +3,14 @@
 A page becomes a tree of nodes. Every node gets its composite text density: characters per
 tag, adjusted by the share of characters inside links (many links, or much text in them,
 lower it). The density sum of a node adds up its children's densities. The node with the
-largest sum is the candidate; the lowest density on its path up to the body is the
-threshold, which a subtree must reach to count as content, and the subtree of largest sum
-among those is the main text. Subtrees whose role says that they are not part of the article
-(navigation, footers, notices, adverts, forms, comments and so on) are cut before, and
-again leave the counts.
+largest sum is the first content. The lowest density on its path up to the body is the
+threshold, but no more than the density of its own children, weighted by their text (the
+density grows with a node's size, so that a smaller part of the same text is always below a
+larger one). In every maximal subtree that reaches the threshold the node of largest sum is
+content too, and so on in what is left of it; all content is joined in page order.
+
+Subtrees whose role says that they are not part of the article (navigation, footers, notices,
+adverts, forms, comments and so on) are cut before, and leave the counts.
 
 Defined results: null or empty pages, and pages without text, give an empty string. Markup
 that is cut off or badly nested is read as browsers do: a block closes an open paragraph,
@@ -43,6 +46,7 @@ footer masthead cookie cookies consent notice disclaimer alert popup modal overl
 comment comments respond reply replies disqus share sharing social toolbar tooltip copyright search form""".split())
 ARIA = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 INLINE_FORMAT = frozenset("a abbr b bdi bdo big cite code em font i kbd mark q s samp small span strong sub sup tt u var".split())
+PARTS = INLINE_FORMAT | frozenset("p li ul ol blockquote".split())  # a part of a text, never all of it
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[^<]++|<", re.S)
 ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -175,27 +179,68 @@ def densities(root: Node) -> list[tuple[Node, float, float]]:
     return out
 
 
-def choose(root: Node) -> Node:
-    """The subtree of largest density sum among those that reach the body-path threshold."""
+def _article(n: Node) -> Node:
+    """An article is taken whole."""
+    at: Node | None = n
+    while at is not None:
+        if at.tag in ("article", "main"):
+            return at
+        at = at.parent
+    return n
+
+
+def choose(root: Node) -> list[Node]:
+    """The content subtrees in page order, none inside another."""
     found = densities(root)
-    if not found:
-        return root
     density = {id(n): d for n, d, _ in found}
+    sums = {id(n): s for n, _, s in found}
     top = max(found, key=lambda x: x[2])[0]
+    if top.tag in ("html", "#root"):
+        fit = [x for x in found if x[1] >= density[id(top)] and x[0].tag not in ("html", "#root")] or found
+        top = max(fit, key=lambda x: x[2])[0]
     threshold, n = density[id(top)], top
     while n is not None and n.tag not in ("body", "html", "#root"):
         threshold = min(threshold, density[id(n)])
         n = n.parent
-    fit = [x for x in found if x[1] >= threshold and x[0].tag not in ("html", "#root")] or found
-    best = max(fit, key=lambda x: x[2])[0]
-    if best.tag in ("p", "li", "ul", "ol", "blockquote", "b", "a", "span") and best.parent is not None:
-        best = best.parent
-    n = best  # an article is taken whole
-    while n is not None:
-        if n.tag in ("article", "main"):
-            return n
-        n = n.parent
-    return best
+    largest: dict[int, Node] = {}  # the node of largest sum in each subtree
+    chars: dict[int, int] = {}
+    for n, _, _ in found:  # children before parents
+        best = n
+        chars[id(n)] = sum(len(k.strip()) for k in n.kids if isinstance(k, str))
+        for k in n.kids:
+            if isinstance(k, Node) and not k.skip:
+                chars[id(n)] += chars[id(k)]
+                if sums[id(largest[id(k)])] > sums[id(best)]:
+                    best = largest[id(k)]
+        largest[id(n)] = best
+    held = [k for k in top.kids if isinstance(k, Node) and not k.skip and chars[id(k)]]
+    if held:
+        threshold = min(threshold, sum(density[id(k)] * chars[id(k)] for k in held) / sum(chars[id(k)] for k in held))
+    if top.tag in PARTS and top.parent is not None:
+        top = top.parent
+    taken = {id(_article(top))}
+    todo = [root]
+    while todo:
+        n = todo.pop()
+        if id(n) in taken:
+            continue
+        if n.tag not in ("body", "html", "#root") and chars[id(n)] and density[id(n)] >= threshold * (1 - 1e-9):
+            best = largest[id(n)]
+            while best is not n and best.tag in PARTS:
+                best = best.parent
+            taken.add(id(_article(best)))
+            if best is n:
+                continue
+        todo.extend(k for k in n.kids if isinstance(k, Node) and not k.skip)
+    out: list[Node] = []
+    todo = [root]
+    while todo:
+        n = todo.pop()
+        if id(n) in taken:
+            out.append(n)
+        else:
+            todo.extend(k for k in reversed(n.kids) if isinstance(k, Node) and not k.skip)
+    return out
 
 
 def blocks(node: Node) -> list[str]:
@@ -229,7 +274,7 @@ def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    return " ".join(blocks(choose(parse(page))))
+    return " ".join(text for node in choose(parse(page)) for text in blocks(node))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -38,6 +38,28 @@ def test_main_text(source, want):
     assert html_density.main_text(source) == want
 
 
+def paragraphs(name, n, size=400):
+    return [(f"{name}{k} " + "plain words of a long text " * 20)[:size - 1] + "." for k in range(n)]
+
+
+def joined(*parts):
+    return " ".join(" ".join(p) for p in parts)
+
+
+def marked(parts):
+    return "".join(f"<p>{p}</p>" for p in parts)
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<div id=page>{}</div>", "<div><div class=content>{}</div></div>"])
+def test_text_split_over_siblings(wrap):
+    a, b = paragraphs("a", 8), paragraphs("b", 4)
+    links = "<div>" + "".join(f"<a href=/{k}>Link number {k}</a> " for k in range(20)) + "</div>"
+    for before, after in (("", ""), (links, ""), (links, links)):
+        for first, second in ((a, b), (b, a)):
+            body = wrap.format(f"{before}<div>{marked(first)}</div><div>{marked(second)}</div>{after}")
+            assert html_density.main_text(page(body)) == joined(first, second)
+
+
 def test_long_and_deep_pages():
     deep = "<div>" * 3000 + f"<p>{LOREM}</p>" + "</div>" * 3000
     assert html_density.main_text(page(deep)) == LOREM
