@@ -10,7 +10,10 @@ larger one). In every maximal subtree that reaches the threshold the node of lar
 content too, and so on in what is left of it; all content is joined in page order.
 
 Subtrees whose role says that they are not part of the article (navigation, footers, notices,
-adverts, forms, comments and so on) are cut before, and leave the counts.
+adverts, forms, comments and so on) are cut before, and leave the counts. A class or id tells
+a role if all its parts do, or name a role and a place (``site-footer``; not ``with-sidebar``).
+What a class, an id, a role or a form would cut stays if the page's only articles are in it,
+or, on a page without article and main, most of its text outside links.
 
 Defined results: null or empty pages, and pages without text, give an empty string. Markup
 that is cut off or badly nested is read as browsers do: a block closes an open paragraph,
@@ -45,6 +48,8 @@ nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside
 footer masthead cookie cookies consent notice disclaimer alert popup modal overlay newsletter subscribe signup login
 comment comments respond reply replies disqus share sharing social toolbar tooltip copyright search form""".split())
 ARIA = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
+PLACES = frozenset("""site page main top bottom left right primary secondary global header inner outer box bar block section
+container wrapper wrap area list item items link links button buttons icon icons text content""".split())
 INLINE_FORMAT = frozenset("a abbr b bdi bdo big cite code em font i kbd mark q s samp small span strong sub sup tt u var".split())
 PARTS = INLINE_FORMAT | frozenset("p li ul ol blockquote".split())  # a part of a text, never all of it
 TOKEN = re.compile(
@@ -54,31 +59,63 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "link", "skip")
+    __slots__ = ("tag", "parent", "kids", "link", "skip", "doubt")
 
-    def __init__(self, tag, parent, link, skip):
-        self.tag, self.parent, self.link, self.skip, self.kids = tag, parent, link, skip, []
+    def __init__(self, tag, parent, link, skip, doubt=False):
+        self.tag, self.parent, self.link, self.skip, self.doubt, self.kids = tag, parent, link, skip, doubt, []
 
 
-def _boilerplate(tag: str, attrs: str, inside_article: bool) -> bool:
+def _names_role(name: str) -> bool:
+    parts = [x for x in SPLIT.split(name) if x]
+    return not ROLES.isdisjoint(parts) and all(x in ROLES or x in PLACES for x in parts)
+
+
+def _boilerplate(tag: str, attrs: str, inside_article: bool) -> bool | None:
+    """Whether a node is cut; None: unless it turns out to hold the page's text."""
+    if tag == "form":
+        return None
     if tag in SKIP:
         return True
     if tag == "header" and not inside_article:
         return True
     if tag in ("html", "body", "article", "main") or not attrs:
         return False
+    out: bool | None = False
     for name, a, b, c in ATTR.findall(attrs):
         value = (a or b or c).lower()
         name = name.lower()
         if name == "role":
             if value in ARIA:
-                return True
+                out = None
         elif name == "aria-hidden":
             if value == "true":
                 return True
-        elif name != "hidden" and not ROLES.isdisjoint(SPLIT.split(value)):
-            return True
-    return False
+        elif name != "hidden" and any(map(_names_role, value.split())):
+            out = None
+    return out
+
+
+def _settle(root: Node) -> None:
+    """Cut the doubtful nodes that don't hold the page's text."""
+    order: list[tuple[Node, bool]] = []
+    todo = [(root, False)]
+    free = False  # an article or main outside all doubtful nodes
+    while todo:
+        n, inside = todo.pop()
+        inside = inside or n.doubt
+        order.append((n, inside))
+        free = free or (n.tag in ("article", "main") and not inside)
+        todo.extend((k, inside) for k in n.kids if isinstance(k, Node) and not k.skip)
+    plain: dict[int, int] = {}
+    articles: dict[int, int] = {}
+    for n, _ in reversed(order):  # children before parents
+        seen = [k for k in n.kids if isinstance(k, Node) and not k.skip]
+        own = 0 if n.link else sum(len(k.strip()) for k in n.kids if isinstance(k, str))
+        plain[id(n)] = own + sum(plain[id(k)] for k in seen)
+        articles[id(n)] = (n.tag in ("article", "main")) + sum(articles[id(k)] for k in seen)
+    for n, _ in order:
+        if n.doubt:
+            n.skip = free or (not articles[id(n)] if articles[id(root)] else 2 * plain[id(n)] <= plain[id(root)])
 
 
 def parse(page: str) -> Node:
@@ -121,7 +158,8 @@ def parse(page: str) -> Node:
             while stack[-1].tag in CLOSES[tag] or (stack[-1].tag in INLINE_FORMAT and len(stack) > 1 and stack[-2].tag in CLOSES[tag]):
                 stack.pop()
         node = stack[-1]
-        child = Node(tag, node, node.link or tag == "a", node.skip or _boilerplate(tag, attrs, articles > 0))
+        cut = _boilerplate(tag, attrs, articles > 0)
+        child = Node(tag, node, node.link or tag == "a", node.skip or cut is True, cut is None)
         node.kids.append(child)
         if tag in VOID or attrs.endswith("/") and tag not in BLOCK:
             continue
@@ -133,6 +171,7 @@ def parse(page: str) -> Node:
             articles += 1
         stack.append(child)
         node = child
+    _settle(root)
     return root
 
 

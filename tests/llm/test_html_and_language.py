@@ -60,6 +60,19 @@ def test_text_split_over_siblings(wrap):
             assert html_density.main_text(page(body)) == joined(first, second)
 
 
+def test_layout_names_do_not_cut_the_text():
+    a, side = paragraphs("a", 5), paragraphs("s", 2, 90)
+    for tag, name in (("div", "class='layout with-sidebar'"), ("div", "id=content class=no-sidebar"), ("section", "class='post related-topic'"),
+                      ("div", "class=sidebar-left"), ("div", "role=form"), ("form", "method=post"), ("div", "class='comments'")):
+        nav = "<div class=site-nav><p>One and two</p></div>"
+        for inner in (f"<article>{marked(a)}</article>", f"<main>{marked(a)}</main>", f"<div>{marked(a)}</div>"):
+            assert html_density.main_text(page(f"{nav}<{tag} {name}>{inner}</{tag}>")) == joined(a), (tag, name, inner)
+            beside = f"<{tag} {name}>{inner}<div class='sidebar'>{marked(side)}</div></{tag}>"
+            assert html_density.main_text(page(beside)) == joined(a), (tag, name, inner)
+    long = marked(paragraphs("c", 20))
+    assert html_density.main_text(page(f"<article>{marked(a)}</article><div class=comment-list><article>{long}</article></div>")) == joined(a)
+
+
 def test_long_and_deep_pages():
     deep = "<div>" * 3000 + f"<p>{LOREM}</p>" + "</div>" * 3000
     assert html_density.main_text(page(deep)) == LOREM
