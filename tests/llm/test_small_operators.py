@@ -273,3 +273,32 @@ def test_notices_are_found_whole_twice_and_with_edits(spark):
     assert set(got) == {1, 5, 6, 7} and got[5] == [("CC-BY-NC-4.0", 5, 1.0, 30000)]
     assert [x[0] for x in got[6]] == ["GPL-3.0"] and sorted(x[0] for x in got[7]) == ["Apache-2.0"] * 3 + ["MIT"]
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text,want", [
+    ("Released under the BSD License.", ["BSD"]), ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]), ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+    ("Licensed under CC BY-NC 3.0.", ["CC-BY-NC-3.0"]), ("Licensed under CC BY-XX 4.0.", []), ("Released under the Foo License.", []),
+    ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+    ("This work is licensed under the GNU Great General Public License, version 9.", ["GPL"]),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+    ("This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License.", ["CC-BY-NC-4.0"]),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"]),
+    ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1"]), ("Licensed under the Mozilla Public License, Version 2.0.", ["MPL-2.0"]),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+     "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", ["GPL-2.0"]),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+     "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", ["LGPL-2.1"]),
+])
+def test_near_miss_notices_are_told_apart(text, want):
+    assert [n for n, *_ in license_scan.Scanner().scan(f"Some words before. {text} Some words after.")] == want
+
+
+def test_whole_licence_texts_are_told_apart():
+    scanner = license_scan.Scanner()
+    for name, texts in license_scan.TEMPLATES.items():
+        for text in texts:
+            size = len(license_scan.words(text))
+            hits = scanner.scan(f"Copyright 2020 The Authors. {text} int main(void);")
+            assert [(n, k) for n, _, _, k, _ in hits] == [(name, size)], text
