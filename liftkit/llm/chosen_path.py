@@ -2,19 +2,21 @@
 
 A document is the set of its five-word shingles; two documents are linked if their sets'
 Jaccard similarity is at least 0.8. Documents with equal sets are first collapsed to one
-node. A chosen-path tree splits the nodes recursively: a tree node picks two of 64 sampled
-tokens (min-hash coordinates) at random, and a set goes to the child named by the token it
-has there, so similar sets keep meeting and others part. Four independent trees (runs) are
-grown: a pair at similarity 0.8 misses one tree with a probability of at most 1/16 at any
-depth (the fixed point of x = (0.2 + 0.8x)^2), and all four with at most 1 in 65,000; the
-number of runs is a parameter chosen from the target recall.
+node. A chosen-path tree splits the nodes recursively: a tree node picks two of the tree's 64
+sampled tokens (min-hash coordinates) at random, and a set goes to the child named by the
+token it has there, so similar sets keep meeting and others part. Four trees (runs) are grown,
+each on 64 coordinates of its own, so that they are independent. A pair that agrees in a share
+s of a tree's coordinates misses it with a probability of at most the fixed point of
+x = (1 - s + s x)^2; averaged over the share, a pair at similarity 0.8 misses one tree with at
+most 0.0715, and all four with at most 2.6e-5 (1 in 38,000). The number of runs is chosen
+from the target recall by that formula, before the runs; links found are not used to stop.
 
 Buckets shrink level by level. Buckets of equal content are examined once. Small buckets
 are compared by brute force. Large ones are compared with their smallest member first;
 buckets whose members are all connected by what has been proposed need no further work,
 others split again. What is still large at the last level is compared in blocks, block against block.
-Comparisons use the 64 min-hashes with a threshold low enough to lose a pair at 0.8 once in
-10^8; they only propose links, kept as spanning edges, never as all pairs. Every connected
+Comparisons use the run's 64 min-hashes with a threshold low enough to lose a pair at 0.8
+with 2e-8 (32 of 64); they only propose links, kept as spanning edges, never as all pairs. Every connected
 component of proposals is then verified on the exact shingle sets, block against block, in
 tasks that put out counts and spanning edges.
 
@@ -44,22 +46,34 @@ from .components import connected_components
 
 WORDS = 5
 SIMILARITY = 0.8
-COORDS = 64
+COORDS = 64       # of each run; 16 bits each
 BRANCH = 2        # coordinates a tree node picks
 START_DEPTH = 4   # levels grown before buckets are counted
 MAX_DEPTH = 8
 SMALL = 64        # sets in a bucket compared by brute force
 BLOCK = 256       # sets in a block
-PROPOSE = 0.55    # share of equal min-hashes that proposes a link
+PROPOSE = 0.5     # share of equal min-hashes that proposes a link
 MIX = 0x9E3779B97F4A7C15
 
 
+def misses(similarity: float = SIMILARITY) -> tuple[float, float]:
+    """Bounds on the probabilities that a pair at ``similarity`` misses one tree, at any depth, and
+    that a comparison loses it, over the coordinates of the run in which the pair agrees."""
+    tree = compared = 0.0
+    for k in range(COORDS + 1):
+        share = math.comb(COORDS, k) * similarity**k * (1 - similarity) ** (COORDS - k)
+        miss = 0.0
+        for _ in range(1000):
+            miss = (1 - k / COORDS + k / COORDS * miss) ** BRANCH
+        tree += share * miss
+        compared += share if k < PROPOSE * COORDS else 0.0
+    return tree, compared
+
+
 def runs_for(recall: float, similarity: float = SIMILARITY) -> int:
-    """Runs needed so that a pair at ``similarity`` meets in one with probability ``recall``."""
-    miss = 0.0
-    for _ in range(200):
-        miss = (1 - similarity + similarity * miss) ** BRANCH
-    return max(1, math.ceil(math.log(max(1e-12, 1 - recall)) / math.log(max(miss, 1e-12))))
+    """Runs needed so that a pair at ``similarity`` is proposed with probability ``recall``."""
+    tree, compared = misses(similarity)
+    return max(1, math.ceil(math.log(max(1e-12, 1 - recall - compared)) / math.log(min(max(tree, 1e-12), 1 - 1e-12))))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -89,33 +103,37 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(h)
 
 
-def _multipliers() -> np.ndarray:
-    return mix(np.arange(1, COORDS + 1, dtype=np.uint64) * np.uint64(MIX)) | np.uint64(1)
+def _multipliers(runs: int) -> np.ndarray:
+    return mix(np.arange(1, runs * COORDS + 1, dtype=np.uint64) * np.uint64(MIX)) | np.uint64(1)
 
 
-def min_hashes(s: np.ndarray) -> np.ndarray:
-    a, best = _multipliers(), None
-    for at in range(0, len(s), 1 << 14):
-        low = np.multiply.outer(a, s[at: at + (1 << 14)])
+def min_hashes(s: np.ndarray, runs: int) -> np.ndarray:
+    """The coordinates of all runs, one run after the other."""
+    a, best = _multipliers(runs), None
+    for at in range(0, len(s), 1 << 12):
+        low = np.multiply.outer(a, s[at: at + (1 << 12)])
         low ^= low >> np.uint64(29)
         low = (low * np.uint64(MIX)).min(axis=1)
         best = low if best is None else np.minimum(best, low)
-    return (best >> np.uint64(32)).astype(np.uint32)
+    return (mix(best) >> np.uint64(48)).astype(np.uint16)
 
 
-def _sketch(batches):
-    import xxhash
+def _sketch(runs: int):
+    def run(batches):
+        import xxhash
+
+        for batch in batches:
+            nodes, sizes, mhs = [], [], []
+            for text in batch.column(2):
+                s = shingles(text.as_py())
+                nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
+                sizes.append(len(s))
+                mhs.append(min_hashes(s, runs).tobytes() if len(s) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(mhs, pa.binary())],
+                names=["id", "th", "node", "size", "mh"])
 
-    for batch in batches:
-        nodes, sizes, mhs = [], [], []
-        for text in batch.column(2):
-            s = shingles(text.as_py())
-            nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
-            sizes.append(len(s))
-            mhs.append(min_hashes(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(mhs, pa.binary())],
-            names=["id", "th", "node", "size", "mh"])
+    return run
 
 
 def _children(path: np.ndarray, mh: np.ndarray) -> np.ndarray:
@@ -129,8 +147,8 @@ def _children(path: np.ndarray, mh: np.ndarray) -> np.ndarray:
     return out
 
 
-def _minhash_matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), COORDS)
+def _matrix(sketches, runs: int = 1) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint16).reshape(len(sketches), runs * COORDS)
 
 
 def _grow(runs: int):
@@ -140,26 +158,28 @@ def _grow(runs: int):
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
                 batch = whole.slice(at, 4096)
-                mh = _minhash_matrix(batch.column("mh"))
+                mh = _matrix(batch.column("mh").to_pylist(), runs)
                 node = np.array(batch.column("node").to_pylist(), np.int64)
                 for r in range(runs):
-                    paths, owners, m = np.full(len(node), mix(np.array([(r + 1) * MIX % (1 << 64)], np.uint64))[0]), node, mh
+                    paths, owners, m = np.full(len(node), mix(np.array([(r + 1) * MIX % (1 << 64)], np.uint64))[0]), node, mh[:, r * COORDS: (r + 1) * COORDS]
                     for _ in range(START_DEPTH):
                         paths = _children(paths, m).ravel()
                         owners, m = np.repeat(owners, BRANCH), np.repeat(m, BRANCH, axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(owners)], names=["path", "node"])
+                    yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(owners), pa.array(np.full(len(paths), r, np.int32))],
+                                                     names=["path", "node", "run"])
 
     return run
 
 
 def _split(batches):
-    """Children of (path, node, label, mh) rows."""
+    """Children of (path, node, label, run, mh) rows."""
     for batch in batches:
         if batch.num_rows:
             path = np.array(batch.column("path").to_pylist(), np.int64).view(np.uint64)
-            kids = _children(path, _minhash_matrix(batch.column("mh"))).ravel().view(np.int64)
+            kids = _children(path, _matrix(batch.column("mh").to_pylist())).ravel().view(np.int64)
             twice = [pa.array(np.repeat(np.array(batch.column(c).to_pylist(), np.int64), BRANCH)) for c in ("node", "label")]
-            yield pa.RecordBatch.from_arrays([pa.array(kids), *twice], names=["path", "node", "label"])
+            runs = pa.array(np.repeat(np.array(batch.column("run").to_pylist(), np.int32), BRANCH))
+            yield pa.RecordBatch.from_arrays([pa.array(kids), *twice, runs], names=["path", "node", "label", "run"])
 
 
 def _groups(batches, key, columns):
@@ -203,7 +223,7 @@ def _compare(batches):
     out: list[tuple[int, int]] = []
     for _, rows in _groups(batches, 1, ["path", "node", "mh"]):
         rows = sorted(dict(rows).items())
-        m = np.frombuffer(b"".join(r[1] for r in rows), np.uint32).reshape(len(rows), COORDS)
+        m = _matrix([r[1] for r in rows])
         out += _proposals([r[0] for r in rows], m, m, True)
         if len(out) > 50_000:
             yield _edges(out)
@@ -229,8 +249,7 @@ def _compare_blocks(batches):
     for _, rows in _groups(batches, 3, ["path", "bi", "bj", "side", "node", "label", "mh"]):
         first = sorted((n, l, m) for side, n, l, m in rows if side == 0)
         second = sorted((n, l, m) for side, n, l, m in rows if side == 1)
-        a = np.frombuffer(b"".join(m for *_, m in first), np.uint32).reshape(len(first), COORDS)
-        b = np.frombuffer(b"".join(m for *_, m in second), np.uint32).reshape(len(second), COORDS)
+        a, b = _matrix([m for *_, m in first]), _matrix([m for *_, m in second])
         whole, k = first + second, len(first)
         found = _proposals(range(k), a, b, False, range(k, len(whole))) if second else _proposals(range(k), a, a, True)
         names = sorted({l for _, l, _ in whole})
@@ -262,21 +281,22 @@ def _buckets(rows: DataFrame) -> DataFrame:
 
 def propose(nodes: DataFrame, runs: int) -> DataFrame:
     """Spanning edges ``u, v`` of proposed links between the sets in ``nodes`` (node, mh)."""
-    rows = materialise(nodes.mapInArrow(_grow(runs), "path long, node long"), "paths")
+    rows = materialise(nodes.mapInArrow(_grow(runs), "path long, node long, run int"), "paths")
+    own = F.expr(f"substring(mh, run * {2 * COORDS} + 1, {2 * COORDS})").alias("mh")  # the run's coordinates
     found = []
     for depth in range(START_DEPTH, MAX_DEPTH + 1):
         label = F.col("label" if "label" in rows.columns else "node").alias("label")
         held = rows.join(_buckets(rows), "path").join(nodes.select("node", "mh"), "node")
-        held = materialise(held.select("path", "n", "node", label, "mh"), "held", few_files=True)
+        held = materialise(held.select("path", "n", "node", label, "run", own), "held", few_files=True)
         small = held.filter(F.col("n") <= SMALL).select("path", "node", "mh").repartition("path").sortWithinPartitions("path")
         found.append(materialise(small.mapInArrow(_compare, "u long, v long"), "proposed", few_files=True))
         large = held.filter(F.col("n") > SMALL)
         if large.isEmpty():
             break
         leaders = large.groupBy("path").agg(F.min(F.struct("node", "mh")).alias("lead"))
-        led = materialise(large.join(leaders, "path").select("path", "n", "node", "label", "mh", F.col("lead.node").alias("leader"),
+        led = materialise(large.join(leaders, "path").select("path", "n", "node", "label", "run", "mh", F.col("lead.node").alias("leader"),
                                                              F.col("lead.mh").alias("lead_mh")).mapInArrow(
-            _follow, "path long, n long, node long, label long, mh binary, leader long"), "led", few_files=True)
+            _follow, "path long, n long, node long, label long, run int, mh binary, leader long"), "led", few_files=True)
         found.append(led.filter("leader IS NOT NULL AND leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")))
         # rows of one label are already connected: by the leader they follow, here or before, and
         # after the first level by any chain of proposals
@@ -291,7 +311,8 @@ def propose(nodes: DataFrame, runs: int) -> DataFrame:
             pairs = pairs.repartition("path", "bi", "bj").sortWithinPartitions("path", "bi", "bj")
             found.append(materialise(pairs.mapInArrow(_compare_blocks, "u long, v long"), "proposed", few_files=True))
         else:
-            rows = materialise(rest.select("path", "node", "label", "mh").mapInArrow(_split, "path long, node long, label long"), "paths")
+            rows = materialise(rest.select("path", "node", "label", "run", "mh").mapInArrow(
+                _split, "path long, node long, label long, run int"), "paths")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -303,10 +324,10 @@ def _follow(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        same = (_minhash_matrix(batch.column("mh")) == _minhash_matrix(batch.column("lead_mh"))).sum(axis=1) >= PROPOSE * COORDS
+        same = (_matrix(batch.column("mh").to_pylist()) == _matrix(batch.column("lead_mh").to_pylist())).sum(axis=1) >= PROPOSE * COORDS
         leaders = [x if ok else None for x, ok in zip(batch.column("leader").to_pylist(), same)]
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("path", "n", "node", "label", "mh")] + [pa.array(leaders, pa.int64())],
-                                         names=["path", "n", "node", "label", "mh", "leader"])
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("path", "n", "node", "label", "run", "mh")] + [pa.array(leaders, pa.int64())],
+                                         names=["path", "n", "node", "label", "run", "mh", "leader"])
 
 
 def shared_counts(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
@@ -374,11 +395,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rec
     ``first``: whether it is the document (id and text) that names its class."""
     text = text_of(text_col)
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    sketched = materialise(keyed.mapInArrow(_sketch, "id long, th long, node long, size int, mh binary"), "sketches")
+    runs = runs_for(recall)
+    sketched = materialise(keyed.mapInArrow(_sketch(runs), "id long, th long, node long, size int, mh binary"), "sketches")
     nodes = sketched.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("mh").alias("mh"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("rep"))
     nodes = materialise(nodes, "nodes")
-    comps = connected_components(propose(nodes.select("node", "mh"), runs_for(recall)))
+    comps = connected_components(propose(nodes.select("node", "mh"), runs))
     sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
     chosen = comps.join(sizes, "comp").join(nodes, "node").select(
         "comp", "members", "node", "copies", F.col("rep.id").alias("r_id"), F.col("rep.th").alias("r_th"))

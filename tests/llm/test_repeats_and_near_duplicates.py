@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,6 +179,24 @@ def test_runs_follow_the_recall():
     assert [chosen_path.runs_for(r) for r in (0.9, 0.99, 0.9999)] == sorted(chosen_path.runs_for(r) for r in (0.9, 0.99, 0.9999))
 
 
+def test_four_runs_miss_like_independent_ones():
+    """Pairs that agree in each min-hash with probability 0.7 meet in trees as the formula says."""
+    runs, n, share = 4, 20_000, 0.7
+    assert chosen_path.misses()[0] ** chosen_path.runs_for(0.99995) + chosen_path.misses()[1] <= 5e-5 and chosen_path.misses()[1] < 1e-7
+    rng = np.random.default_rng(5)
+    hashes = chosen_path.min_hashes(np.arange(1, 50, dtype=np.uint64) * np.uint64(chosen_path.MIX), runs)
+    assert len(hashes) == runs * chosen_path.COORDS
+    a = rng.integers(0, 1 << 16, (n, len(hashes))).astype(hashes.dtype)
+    b = np.where(rng.random(a.shape) < share, a, rng.integers(0, 1 << 16, a.shape).astype(a.dtype))
+    sides = []
+    for m in (a, b):
+        batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array([x.tobytes() for x in m], pa.binary())], names=["node", "mh"])
+        sides.append([set(zip(o.column("node").to_pylist(), o.column("path").to_pylist())) for o in
+                      [pa.Table.from_batches(chosen_path._grow(runs)([batch]))]][0])
+    missed = n - len({node for node, _ in sides[0] & sides[1]})
+    assert missed / n <= 1.25 * chosen_path.misses(share)[0] ** runs
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(100)] + [(200, i) for i in range(201, 260)] + [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)]
