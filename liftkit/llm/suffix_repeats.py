@@ -15,7 +15,8 @@ right of its anchor, so the hash of that many bytes is the key of a suffix.
    suffix array walks the common-prefix intervals. In each interval the left extensions are
    tested: occurrences that agree far enough to the left to make ``min_len`` bytes are a
    group, left-maximal where its members' further left bytes differ, right-maximal because
-   the interval ends there. All occurrences of a group are put out.
+   the interval ends there. All occurrences of a group are put out on request (``groups``),
+   copies included; ``remove_repeats`` needs and takes only the widest span of each.
 4. A key with more than ``KEY_CAP`` different contexts is not gathered in a task. It is
    settled by halving: the offsets of a passage around the anchor form a range; rows that
    share the least bytes of a range are a smaller key, scanned as in 3 once few enough; a
@@ -242,8 +243,8 @@ def _scan(min_len: int, window: int, groups: bool):
     def spans(rows):
         lefts, rights = [r[4] for r in rows], [r[5] for r in rows]
         for m, (l, r) in widest(lefts, rights, need).items():
-            _, doc, th, p, _, _ = rows[m]
-            yield doc, th, p - l, p + reach + r, 0
+            doc, th, p = rows[m][1:4]
+            yield doc, th, p - l, p + reach + r, 0, p
 
     def repeats(rows):
         import xxhash
@@ -251,14 +252,14 @@ def _scan(min_len: int, window: int, groups: bool):
         lefts, rights = [r[4] for r in rows], [r[5] for r in rows]
         for l, r, members in repeat_groups(lefts, rights, need):
             name = xxhash.xxh3_64_intdigest(
-                lefts[members[0]][len(lefts[members[0]]) - l:] + b"|" + rights[members[0]][:r], rows[0][0] & (2**64 - 1))
+                lefts[members[0]][len(lefts[members[0]]) - l:] + b"|" + rights[members[0]][:r], rows[0][6] & (2**64 - 1))
             for m in members:
-                _, doc, th, p, _, _ = rows[m]
-                yield doc, th, p - l, p + reach + r, _signed(name)
+                doc, th, p = rows[m][1:4]
+                yield doc, th, p - l, p + reach + r, _signed(name), p
 
     def run(batches):
         out: list[tuple] = []
-        for _, rows in _runs(batches, ["h", "id", "th", "pos", "left", "right"]):
+        for _, rows in _runs(batches, ["h", "id", "th", "pos", "left", "right", "root"]):
             out += repeats(rows) if groups else spans(rows)
             if len(out) > 20_000:
                 yield _span_batch(out)
@@ -269,25 +270,27 @@ def _scan(min_len: int, window: int, groups: bool):
     return run
 
 
-SPANS = "id long, th long, start int, stop int, repeat_id long"
+SPANS = "id long, th long, start int, stop int, repeat_id long, pos int"
 
 
 def _span_batch(rows):
-    a, b, c, d, e = zip(*rows)
+    a, b, c, d, e, f = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int32()),
-                                       pa.array(d, pa.int32()), pa.array(e, pa.int64())],
-                                      names=["id", "th", "start", "stop", "repeat_id"])
+                                       pa.array(d, pa.int32()), pa.array(e, pa.int64()), pa.array(f, pa.int32())],
+                                      names=["id", "th", "start", "stop", "repeat_id", "pos"])
 
 
 def _scanned(rows: DataFrame, min_len: int, window: int, groups: bool) -> DataFrame:
-    """The stack scan of every key in ``rows`` (h, id, th, pos, left, right)."""
+    """The stack scan of every key in ``rows`` (h, root, id, th, pos, left, right); ``root`` is the
+    key that names groups, of which ``h`` may be a part."""
     return rows.repartition("h").sortWithinPartitions("h", "id", "th", "pos").mapInArrow(_scan(min_len, window, groups), SPANS)
 
 
 def _halving(hot: DataFrame, min_len: int, window: int, key_cap: int, groups: bool) -> DataFrame:
     """Spans of keys with very many contexts: ranges of offsets, halved round by round. Rows of
     a range that share its least bytes form a key of their own, scanned in a task as soon as
-    it is small enough."""
+    it is small enough. With ``groups``, ranges that are settled are halved too, since rows
+    that differ in a range's widest bytes may form a group over fewer."""
     need = window - 1
     size = 1
     while size < window:
@@ -306,7 +309,7 @@ def _halving(hot: DataFrame, min_len: int, window: int, key_cap: int, groups: bo
             "k", parts(a, need - (a + size - 1)))
         again = least.groupBy("h", "a", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         shared = materialise(least.join(again, ["h", "a", "k"]), "shared")
-        few = shared.filter(F.col("n") <= key_cap).select(F.xxhash64("h", "a", "k").alias("h"), "id", "th", "pos", "left", "right")
+        few = shared.filter(F.col("n") <= key_cap).select(F.xxhash64("h", "a", "k").alias("h"), F.col("h").alias("root"), "id", "th", "pos", "left", "right")
         found.append(_scanned(few, min_len, window, groups))
         held = shared.filter(F.col("n") > key_cap).drop("n")
         if held.isEmpty():
@@ -318,12 +321,13 @@ def _halving(hot: DataFrame, min_len: int, window: int, key_cap: int, groups: bo
             "done", F.coalesce(F.col("hit"), F.lit(False)))
         marked = materialise(marked, "marked")
         found.append(marked.filter("done").select("id", "th", (F.col("pos") - (a + size - 1)).alias("start"),
-                                                  (F.col("pos") - a + min_len).alias("stop"), F.lit(0).cast("long").alias("repeat_id")))
+                                                  (F.col("pos") - a + min_len).alias("stop"),
+                                                  (F.xxhash64("h", "a", "w") if groups else F.lit(0).cast("long")).alias("repeat_id"), "pos"))
         if size == 1:
             break
         # settled rows stay as partners of the unsettled ones of their range
         unsettled = marked.groupBy("h", "a", "k").agg(F.min("done").alias("all")).filter("NOT all").drop("all")
-        rest = marked.join(unsettled, ["h", "a", "k"]).select("h", "id", "th", "pos", "left", "right", "a")
+        rest = (marked if groups else marked.join(unsettled, ["h", "a", "k"])).select("h", "id", "th", "pos", "left", "right", "a")
         size //= 2
         live = rest.withColumn("a", F.explode(F.array(F.col("a"), F.col("a") + size))).filter(F.col("a") <= need)
     out = found[0]
@@ -334,16 +338,15 @@ def _halving(hot: DataFrame, min_len: int, window: int, key_cap: int, groups: bo
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = text_of(text_col)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th"),
-                       text.alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = MIN_LEN,
                    window: int = WINDOW, key_cap: int = KEY_CAP, groups: bool = False) -> DataFrame:
-    """Spans of documents that recur: ``id, th`` (32 bits of the text's hash), ``start, stop,
+    """Spans of documents that recur: ``id, th`` (the text's hash), ``start, stop,
     repeat_id``. A stop of -1 marks the whole context of an anchor at ``start``. With
-    ``groups``, every maximal repeat group of the scan is put out with all its occurrences
-    instead of each occurrence's widest span."""
+    ``groups``, every maximal repeat group of the scan is put out with all its occurrences,
+    copies included, instead of each occurrence's widest span."""
     keyed = _keyed(docs, id_col, text_col)
     anchors = materialise(keyed.mapInArrow(_anchors(min_len, window), ANCHORS), "anchors")
     twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
@@ -359,12 +362,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = keyed.join(ends, keyed["id"].eqNullSafe(ends["p_id"]) & (keyed["th"] == ends["p_th"])).select("id", "th", "text", "at")
     bytes_ = materialise(joined.mapInArrow(_fetch(min_len, window),
                                            "h long, id long, th long, pos int, nv long, left binary, right binary"), "ends")
-    few = bytes_.filter(F.col("nv") <= key_cap).select("h", "id", "th", "pos", "left", "right")
-    out = settled.unionByName(_scanned(few, min_len, window, groups))
+    few = bytes_.filter(F.col("nv") <= key_cap).select("h", F.col("h").alias("root"), "id", "th", "pos", "left", "right")
+    out = _scanned(few, min_len, window, groups)
     hot = bytes_.filter(F.col("nv") > key_cap)
     if not hot.isEmpty():
         out = out.unionByName(_halving(hot, min_len, window, key_cap, groups))
-    return out
+    if groups:  # from the one scanned row of each context to all its rows
+        places = contexts.select("h", "c", F.col("rep.id").alias("r_id"), F.col("rep.th").alias("r_th"), F.col("rep.pos").alias("r_pos"))
+        named = out.distinct().join(places, out["id"].eqNullSafe(places["r_id"]) & (out["th"] == places["r_th"]) & (out["pos"] == places["r_pos"])).select(
+            "h", "c", "repeat_id", (F.col("start") - F.col("pos")).alias("first"), (F.col("stop") - F.col("pos")).alias("last"))
+        out = again.join(named, ["h", "c"]).select("id", "th", (F.col("pos") + F.col("first")).alias("start"),
+                                                   (F.col("pos") + F.col("last")).alias("stop"), "repeat_id").distinct()
+    return settled.unionByName(out.select("id", "th", "start", "stop", "repeat_id"))
 
 
 def _cut(min_len: int, window: int):

@@ -98,6 +98,31 @@ def test_groups_are_put_out_with_all_occurrences(spark):
     assert suffix_repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("cap", [20_000, 3])
+def test_one_group_holds_every_occurrence_of_its_passage(spark, cap):
+    rng = random.Random(4)
+
+    def noise(n):
+        return "".join(rng.choice("uvwxyz ") for _ in range(n))
+
+    passages = ["".join(rng.choice("abcdefg") for _ in range(500)) for _ in range(2)]
+    rows, held = [], []
+    for k, passage in enumerate(passages):
+        copy = noise(300) + passage + noise(300)
+        texts = [copy] * 5 + [noise(300) + passage + noise(300) for _ in range(6)]
+        rows += [(100 * k + i, t) for i, t in enumerate(texts)]
+        held.append({(100 * k + i, 300, 800) for i in range(len(texts))})
+    groups = {}
+    for r in suffix_repeats.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), key_cap=cap, groups=True).collect():
+        groups.setdefault(r["repeat_id"], set()).add((r["id"], r["start"], r["stop"]))
+    for want in held:
+        ids = {i for i, _, _ in want}
+        assert any({i for i, _, _ in g} == ids for g in groups.values())
+        if cap > 3:  # the scan finds the passage's ends where the window reaches them
+            assert any({i for i, _, _ in g} == ids and min(e - s for _, s, e in g) >= 400 for g in groups.values())
+    assert all(len({i // 100 for i, _, _ in g}) == 1 for g in groups.values())
+
+
 def brute_near(rows):
     sets = []
     for _, t in rows:
