@@ -49,3 +49,10 @@ def unshield(df: DataFrame, back: dict[str, str]) -> DataFrame:
     name replaces the input's."""
     gone = [v for v, k in back.items() if k in df.columns]
     return df.drop(*gone).withColumnsRenamed({v: k for v, k in back.items() if v not in gone})
+
+
+def sql_crc(text: str) -> str:
+    """DuckDB SQL: the CRC-32 of an ASCII text, bit by bit."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)), "
+            "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), "
+            "lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialise
+from .common import materialise, sql_crc
 
 ARITY = 16
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -204,13 +204,6 @@ def lowered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return F.when(hit, F.translate(F.col(text_col), UPPER, UPPER.lower())).otherwise(F.col(text_col))
 
 
-def _sql_crc(text: str) -> str:
-    """CRC-32 of an ASCII text, bit by bit."""
-    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)), "
-            "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), "
-            "lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)")
-
-
 def _sql_hash(text: str) -> str:
     cols = [f"CAST({c} AS VARCHAR)" for c in COLUMNS[:-1]] + [text]
     return "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}) || ':' || {c} END" for c in cols) + ")"
@@ -219,7 +212,7 @@ def _sql_hash(text: str) -> str:
 ORACLE = f"""
 WITH RECURSIVE
 f AS (SELECT doc_id, source, {_sql_hash('text')} AS leaf,
-        CASE WHEN doc_id IS NOT NULL AND {_sql_crc('CAST(doc_id AS VARCHAR)')} % 5 = 0
+        CASE WHEN doc_id IS NOT NULL AND {sql_crc('CAST(doc_id AS VARCHAR)')} % 5 = 0
           THEN {_sql_hash(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} ELSE {_sql_hash('text')} END AS found
       FROM documents),
 l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
