@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chosen_path, conversation_repair, exact_dedup, html_density, language_id, license_scan, merkle, packing, source_mixing, suffix_repeats, topk_search, url_filter
+from . import chosen_path, conversation_repair, exact_dedup, html_density, language_id, license_scan, merkle, packing, personal_data, source_mixing, suffix_repeats, topk_search, url_filter
 from .common import table
 
 
@@ -65,6 +65,10 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return merkle.verify(docs, changed={"text": merkle.lowered(docs)})
@@ -75,6 +79,6 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_extraction, op2_suffix_dedup, op3_language_id, op4_license_scan, op5_ngram_jaccard_join, op6_source_mixing, op7_packing, op8_exact_dedup, op9_url_filter, op10_topk_search, op12_merkle_manifest, op13_conversation_repair, language_id_pages)}
+    op1_html_extraction, op2_suffix_dedup, op3_language_id, op4_license_scan, op5_ngram_jaccard_join, op6_source_mixing, op7_packing, op8_exact_dedup, op9_url_filter, op10_topk_search, op11_personal_data, op12_merkle_manifest, op13_conversation_repair, language_id_pages)}
 ORACLE = {"op8_exact_dedup": exact_dedup.ORACLE, "op9_url_filter": url_filter.oracle(), "op10_topk_search": topk_search.ORACLE,
           "op12_merkle_manifest": merkle.ORACLE, "op13_conversation_repair": conversation_repair.ORACLE}
