@@ -11,11 +11,14 @@ x = (1 - s + s x)^2; averaged over the share, a pair at similarity 0.8 misses on
 most 0.0715, and all four with at most 2.6e-5 (1 in 38,000). The number of runs is chosen
 from the target recall by that formula, before the runs; links found are not used to stop.
 
-Buckets shrink level by level. Buckets of equal content are examined once. Small buckets
-are compared by brute force. Large ones are compared with their smallest member first;
-buckets whose members are all connected by what has been proposed need no further work,
-others split again. What is still large at the last level is compared in blocks, block against block.
-Comparisons use the run's 64 min-hashes with a threshold low enough to lose a pair at 0.8
+Buckets shrink level by level. Buckets of equal content are examined once (large ones once a run).
+Small buckets are compared by brute force. Large ones are compared with their smallest member first.
+What has been proposed gives members labels: equal ones are connected already. Where all but a few
+members of a large bucket share a label, as in a large group of near copies, the few are compared
+with all others, dealt into blocks, and the bucket is done; only buckets with more members outside
+their largest label split again. What is left at the last level is compared in blocks, block against
+block. So a member of a large group is carried into a bucket of each path of the start depth, but not
+further. Comparisons use the run's 64 min-hashes with a threshold low enough to lose a pair at 0.8
 with 2e-8 (32 of 64); they only propose links, kept as spanning edges, never as all pairs. Every connected
 component of proposals is then verified on the exact shingle sets, block against block, in
 tasks that put out counts and spanning edges.
@@ -48,10 +51,13 @@ WORDS = 5
 SIMILARITY = 0.8
 COORDS = 64       # of each run; 16 bits each
 BRANCH = 2        # coordinates a tree node picks
-START_DEPTH = 4   # levels grown before buckets are counted
+START_DEPTH = 3   # levels grown before buckets are counted
 MAX_DEPTH = 8
 SMALL = 64        # sets in a bucket compared by brute force
-BLOCK = 256       # sets in a block
+BLOCK = 256       # sketches in a block
+VERIFY_SETS = 1024         # whole sets in a block that is verified, on average
+VERIFY_ITEMS = 2_000_000   # shingles in it, on average
+WIDE = 4096       # sets in a block that is compared with a few others
 PROPOSE = 0.5     # share of equal min-hashes that proposes a link
 MIX = 0x9E3779B97F4A7C15
 
@@ -258,10 +264,10 @@ def _compare_blocks(batches):
         yield _edges([(names[x], names[y]) for x, y in _forest(len(names), between)])
 
 
-def block_pairs(df: DataFrame, key: list[str], size: str, member: str) -> DataFrame:
-    """Deal the members of each group into blocks of ``BLOCK`` on average and repeat every
-    member once for each pair of blocks that its block belongs to: ``bi <= bj, side``."""
-    dealt = df.withColumn("_n", F.ceil(F.col(size) / BLOCK).cast("int")).withColumn(
+def block_pairs(df: DataFrame, blocks, member: str) -> DataFrame:
+    """Deal the members of each group into ``blocks`` and repeat every member once for each pair of
+    blocks that its block belongs to: ``bi <= bj, side``."""
+    dealt = df.withColumn("_n", blocks.cast("int")).withColumn(
         "_b", F.pmod(F.xxhash64(member), F.col("_n")).cast("int"))
     met = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     return met.withColumn("bi", F.least("_b", "_o")).withColumn("bj", F.greatest("_b", "_o")).withColumn(
@@ -269,49 +275,52 @@ def block_pairs(df: DataFrame, key: list[str], size: str, member: str) -> DataFr
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    """``path, n`` of buckets worth examining: two or more members, not all under one label, and
-    one bucket for each content (told by its size and the exclusive-or of hashed members)."""
-    content = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x")]
-    if "label" in rows.columns:
-        sizes = rows.groupBy("path").agg(*content, F.min("label").alias("lo"), F.max("label").alias("hi")).filter("n > 1 AND lo <> hi")
-    else:
-        sizes = rows.groupBy("path").agg(*content).filter("n > 1")
-    return sizes.groupBy("n", "x").agg(F.min("path").alias("path")).select("path", "n")
+    """``path, n, leader, led`` (the smallest member and its label) of buckets worth examining: two
+    or more members, not all under one label, and one bucket for each content (told by its size and
+    the exclusive-or of hashed members); large buckets of equal content stay apart by run, so that
+    each run splits them by its own tree."""
+    sizes = rows.groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("run").alias("run"), F.min("label").alias("lo"),
+        F.max("label").alias("hi"), F.min(F.struct("node", "label")).alias("lead")).filter("lo <> hi")
+    apart = F.when(F.col("n") > SMALL, F.col("run")).alias("apart")
+    return sizes.groupBy("n", "x", apart).agg(F.min(F.struct("path", "lead")).alias("one")).select(
+        "one.path", "n", F.col("one.lead.node").alias("leader"), F.col("one.lead.label").alias("led"))
 
 
 def propose(nodes: DataFrame, runs: int) -> DataFrame:
-    """Spanning edges ``u, v`` of proposed links between the sets in ``nodes`` (node, mh)."""
+    """Edges ``u, v`` that connect the sets in ``nodes`` (node, mh) wherever links are proposed."""
     rows = materialise(nodes.mapInArrow(_grow(runs), "path long, node long, run int"), "paths")
-    own = F.expr(f"substring(mh, run * {2 * COORDS} + 1, {2 * COORDS})").alias("mh")  # the run's coordinates
+    rows = rows.withColumn("label", F.col("node"))
+
+    def own(sketch: str):
+        """The run's coordinates."""
+        return F.expr(f"substring({sketch}, run * {2 * COORDS} + 1, {2 * COORDS})").alias(sketch)
+
     found = []
     for depth in range(START_DEPTH, MAX_DEPTH + 1):
-        label = F.col("label" if "label" in rows.columns else "node").alias("label")
         held = rows.join(_buckets(rows), "path").join(nodes.select("node", "mh"), "node")
-        held = materialise(held.select("path", "n", "node", label, "run", own), "held", few_files=True)
+        held = materialise(held.select("path", "n", "node", "label", "run", own("mh"), "leader", "led"), "held", few_files=True)
         small = held.filter(F.col("n") <= SMALL).select("path", "node", "mh").repartition("path").sortWithinPartitions("path")
         found.append(materialise(small.mapInArrow(_compare, "u long, v long"), "proposed", few_files=True))
         large = held.filter(F.col("n") > SMALL)
         if large.isEmpty():
             break
-        leaders = large.groupBy("path").agg(F.min(F.struct("node", "mh")).alias("lead"))
-        led = materialise(large.join(leaders, "path").select("path", "n", "node", "label", "run", "mh", F.col("lead.node").alias("leader"),
-                                                             F.col("lead.mh").alias("lead_mh")).mapInArrow(
-            _follow, "path long, n long, node long, label long, run int, mh binary, leader long"), "led", few_files=True)
-        found.append(led.filter("leader IS NOT NULL AND leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")))
-        # rows of one label are already connected: by the leader they follow, here or before, and
-        # after the first level by any chain of proposals
-        led = led.withColumn("label", F.coalesce("leader", "label")).drop("leader")
+        led = large.join(nodes.select(F.col("node").alias("leader"), F.col("mh").alias("lead_mh")), "leader").select(
+            "path", "node", "label", "run", "mh", "led", own("lead_mh"))
+        led = materialise(led.mapInArrow(_follow, "path long, node long, label long, run int, mh binary, led long"), "led", few_files=True)
+        found.append(led.filter("led <> label").select(F.col("led").alias("u"), F.col("label").alias("v")).distinct())
+        led = led.withColumn("label", F.coalesce("led", "label")).drop("led")
         if depth == START_DEPTH:
             comps = connected_components(found[0].unionByName(found[1])).withColumnRenamed("node", "k")
             led = led.join(comps, F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("comp", "label")).drop("k", "comp")
-        mixed = led.groupBy("path").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("path")
-        rest = led.join(mixed, "path")
+        few, many = _outside_largest(led)
+        found.append(materialise(few.mapInArrow(_compare_few, "u long, v long"), "proposed", few_files=True))
         if depth == MAX_DEPTH:
-            pairs = block_pairs(rest.select("path", "n", "node", "label", "mh"), ["path"], "n", "node")
+            pairs = block_pairs(many.select("path", "n", "node", "label", "mh"), F.ceil(F.col("n") / BLOCK), "node")
             pairs = pairs.repartition("path", "bi", "bj").sortWithinPartitions("path", "bi", "bj")
             found.append(materialise(pairs.mapInArrow(_compare_blocks, "u long, v long"), "proposed", few_files=True))
         else:
-            rows = materialise(rest.select("path", "node", "label", "run", "mh").mapInArrow(
+            rows = materialise(many.select("path", "node", "label", "run", "mh").mapInArrow(
                 _split, "path long, node long, label long, run int"), "paths")
     out = found[0]
     for f in found[1:]:
@@ -319,15 +328,48 @@ def propose(nodes: DataFrame, runs: int) -> DataFrame:
     return out
 
 
+def _outside_largest(led: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Buckets with at most ``SMALL`` members outside their largest label, in blocks of ``WIDE`` of
+    its members with all the others in each; and the members of the other buckets that hold more
+    than one label."""
+    labels = led.groupBy("path", "label").agg(F.count(F.lit(1)).alias("c"))
+    tops = labels.groupBy("path").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("n")).select(
+        "path", "n", F.col("top.label").alias("largest"), (F.col("n") - F.col("top.c")).alias("others")).filter("others > 0")
+    rest = materialise(led.join(tops, "path"), "rest", few_files=True)
+    near = rest.filter(F.col("others") <= SMALL).withColumn("blocks", F.ceil((F.col("n") - F.col("others")) / WIDE).cast("int"))
+    outside = F.col("label") != F.col("largest")
+    whole = near.filter(~outside).select("path", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.lit(1).alias("side"), "label", "mh")
+    others = near.filter(outside).select("path", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"), "label", "mh")
+    few = whole.unionByName(others).repartition("path", "block").sortWithinPartitions("path", "block")
+    return few, rest.filter(F.col("others") > SMALL)
+
+
+def _compare_few(batches):
+    """The few members outside a bucket's largest label against each other and a block of its
+    members: edges between labels."""
+    for _, rows in _groups(batches, 2, ["path", "block", "side", "label", "mh"]):
+        rows.sort()
+        k = sum(side == 0 for side, _, _ in rows)
+        names = sorted({label for _, label, _ in rows})
+        number = {label: i for i, label in enumerate(names)}
+        labels = np.array([number[label] for _, label, _ in rows])
+        m = _matrix([x for _, _, x in rows])
+        pairs = []
+        for i in range(k):
+            hits = labels[i + 1:][(m[i + 1:] == m[i]).sum(axis=1) >= PROPOSE * COORDS]
+            pairs += [(int(labels[i]), int(j)) for j in np.unique(hits)]
+        yield _edges([(names[x], names[y]) for x, y in _forest(len(names), pairs)])
+
+
 def _follow(batches):
-    """Keep the leader of a row only where the min-hashes propose a link."""
+    """``led``: the label of the bucket's leader, null unless the min-hashes propose a link with it."""
     for batch in batches:
         if not batch.num_rows:
             continue
         same = (_matrix(batch.column("mh").to_pylist()) == _matrix(batch.column("lead_mh").to_pylist())).sum(axis=1) >= PROPOSE * COORDS
-        leaders = [x if ok else None for x, ok in zip(batch.column("leader").to_pylist(), same)]
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("path", "n", "node", "label", "run", "mh")] + [pa.array(leaders, pa.int64())],
-                                         names=["path", "n", "node", "label", "run", "mh", "leader"])
+        led = [x if ok else None for x, ok in zip(batch.column("led").to_pylist(), same)]
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("path", "node", "label", "run", "mh")] + [pa.array(led, pa.int64())],
+                                         names=["path", "node", "label", "run", "mh", "led"])
 
 
 def shared_counts(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
@@ -386,8 +428,8 @@ def _verify(batches):
 def _items(batches):
     for batch in batches:
         sets = [shingles(t.as_py()).tobytes() for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("comp", "members", "node", "copies")] + [pa.array(sets, pa.binary())],
-                                         names=["comp", "members", "node", "copies", "items"])
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("comp", "blocks", "node", "copies")] + [pa.array(sets, pa.binary())],
+                                         names=["comp", "blocks", "node", "copies", "items"])
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = 0.99995) -> DataFrame:
@@ -398,16 +440,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rec
     runs = runs_for(recall)
     sketched = materialise(keyed.mapInArrow(_sketch(runs), "id long, th long, node long, size int, mh binary"), "sketches")
     nodes = sketched.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("mh").alias("mh"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("rep"))
+        F.min("mh").alias("mh"), F.min("size").alias("size"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("rep"))
     nodes = materialise(nodes, "nodes")
     comps = connected_components(propose(nodes.select("node", "mh"), runs))
-    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
-    chosen = comps.join(sizes, "comp").join(nodes, "node").select(
-        "comp", "members", "node", "copies", F.col("rep.id").alias("r_id"), F.col("rep.th").alias("r_th"))
+    named = comps.join(nodes, "node")
+    sizes = named.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / VERIFY_SETS), F.ceil(F.sum("size") / VERIFY_ITEMS)).alias("blocks"))
+    chosen = named.join(sizes, "comp").select(
+        "comp", "blocks", "node", "copies", F.col("rep.id").alias("r_id"), F.col("rep.th").alias("r_th"))
     items = keyed.join(chosen, keyed["id"].eqNullSafe(chosen["r_id"]) & (keyed["th"] == chosen["r_th"])).select(
-        "comp", "members", "node", "copies", "text").mapInArrow(_items, "comp long, members long, node long, copies long, items binary")
+        "comp", "blocks", "node", "copies", "text").mapInArrow(_items, "comp long, blocks long, node long, copies long, items binary")
     items = materialise(items, "items").dropDuplicates(["node"])
-    pairs = block_pairs(items, ["comp"], "members", "node").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
+    pairs = block_pairs(items, F.col("blocks"), "node").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
     verified = materialise(pairs.select("comp", "bi", "bj", "side", "node", "copies", "items").mapInArrow(
         _verify, "node long, links long, root long"), "verified", few_files=True)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))

@@ -184,6 +184,7 @@ def test_near_duplicates_match_brute_force(spark):
 def test_small_blocks_give_the_same(spark, monkeypatch):
     rows = near_rows(spark)[200:]
     monkeypatch.setattr(chosen_path, "BLOCK", 40)
+    monkeypatch.setattr(chosen_path, "VERIFY_SETS", 40)
     monkeypatch.setattr(chosen_path, "MAX_DEPTH", 4)
     monkeypatch.setattr(chosen_path, "PROPOSE", 0.55)
     df = spark.createDataFrame(rows, "doc_id long, text string")
