@@ -39,8 +39,16 @@ def text_of(column: str):
 
 def shield(df: DataFrame, *named: str) -> tuple[DataFrame, dict[str, str]]:
     """Rename input columns that start with an underscore (other than ``named``), so that they
-    can't clash with an operator's own; ``unshield`` undoes it."""
-    away = {c: f"in{c}" for c in df.columns if c.startswith("_") and c not in named}
+    can't clash with an operator's own; ``unshield`` undoes it. The new names are absent from the input."""
+    taken = {c.lower() for c in df.columns}
+    away: dict[str, str] = {}
+    for c in df.columns:
+        if c.startswith("_") and c not in named:
+            new = f"in{c}"
+            while new.lower() in taken:
+                new = f"in{new}"
+            taken.add(new.lower())
+            away[c] = new
     return df.withColumnsRenamed(away), {v: k for k, v in away.items()}
 
 

@@ -43,11 +43,20 @@ def tokens(text_col: str):
     return F.greatest(F.lit(1), F.regexp_count(text_of(text_col), F.lit(r"[^ \t\n\r]+"))).cast("long")
 
 
+def counted(docs: DataFrame, source_col: str, text_col: str, id_col: str | None = None) -> DataFrame:
+    """``_from, _id, _tokens`` of each document, written once."""
+    rows = docs.select(F.col(source_col).cast("string").alias("_from"), (F.col(id_col) if id_col else F.lit(0)).alias("_id"),
+                       tokens(text_col).alias("_tokens"))
+    return materialise(rows, "counted")
+
+
 def source_totals(docs: DataFrame, source_col: str, text_col: str) -> DataFrame:
     """``source, docs, tokens, share``: one grouped aggregate over the corpus."""
-    per = docs.select(F.col(source_col).cast("string").alias("source"), tokens(text_col).alias("t")).groupBy("source").agg(
-        F.count(F.lit(1)).alias("docs"), F.sum("t").alias("tokens"))
-    per = materialise(per, "totals")
+    return _totals(counted(docs, source_col, text_col))
+
+
+def _totals(rows: DataFrame) -> DataFrame:
+    per = materialise(rows.groupBy(F.col("_from").alias("source")).agg(F.count(F.lit(1)).alias("docs"), F.sum("_tokens").alias("tokens")), "totals")
     return per.withColumn("share", F.col("tokens") / per.agg(F.sum("tokens").cast("double")).scalar())
 
 
@@ -111,39 +120,38 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     if entropy is None and repeat_limit is None:
         repeat_limit = REPEAT_LIMIT
     docs, back = shield(docs, source_col, text_col, id_col)
-    totals = source_totals(docs, source_col, text_col)
+    counts = counted(docs, source_col, text_col, id_col)
+    totals = _totals(counts)
     planned = plan(totals, find_exponent(totals, entropy, repeat_limit), total_tokens)
     budgets = materialise(planned.select(
         F.col("source").alias("_source"), F.col("weight").alias("_weight"),
         F.expr("budget div greatest(tokens, 1)").alias("_passes"), F.expr("budget % greatest(tokens, 1)").alias("_rest"),
         F.ceil(F.col("docs") / BLOCK_DOCS).alias("_blocks")), "budgets")
 
-    slim = _with_source(docs.select(F.col(source_col).cast("string").alias("_from"), F.col(id_col).alias("_id"),
-                                    tokens(text_col).alias("_tokens")), budgets)
-    slim = slim.withColumn("_block", _block(seed, "_id"))
+    slim = _with_source(counts, budgets).withColumn("_block", _block(seed, "_id"))
     # the block of each source in which the partial pass ends; one row per block is sorted
     by_block = slim.groupBy("_source", "_passes", "_rest", "_block").agg(F.sum("_tokens").alias("held")).withColumn(
         "_turn", _turn(seed, F.col("_passes")))
     order = Window.partitionBy("_source").orderBy("_turn", "_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = by_block.withColumn("before", F.sum("held").over(order) - F.col("held")).filter(
         (F.col("before") < F.col("_rest")) & (F.col("before") + F.col("held") >= F.col("_rest"))).select(
-        F.col("_source").alias("cut_source"), F.col("_turn").alias("cut_turn"), F.col("_block").alias("cut_block"),
+        F.col("_source").alias("_cut_source"), F.col("_turn").alias("_cut_turn"), F.col("_block").alias("_cut_block"),
         (F.col("_rest") - F.col("before")).alias("left"))
     # and the document in that block
-    edge = slim.join(cuts, slim["_source"].eqNullSafe(cuts["cut_source"]) & (slim["_block"] == cuts["cut_block"]))
+    edge = slim.join(cuts, slim["_source"].eqNullSafe(cuts["_cut_source"]) & (slim["_block"] == cuts["_cut_block"]))
     edge = edge.withColumn("_place", F.struct(_place(seed, F.col("_passes"), F.col("_id")).alias("h"), F.col("_id").alias("id")))
     run = Window.partitionBy("_source").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = edge.withColumn("before", F.sum("_tokens").over(run) - F.col("_tokens")).filter(F.col("before") < F.col("left")).groupBy(
-        F.col("_source").alias("cut_source"), "cut_turn", "cut_block").agg(F.max("_place").alias("cut_place"))
+        F.col("_source").alias("_cut_source"), "_cut_turn", "_cut_block").agg(F.max("_place").alias("_cut_place"))
     schedule = materialise(
-        budgets.join(last, budgets["_source"].eqNullSafe(last["cut_source"]), "left").drop("cut_source"), "schedule")
+        budgets.join(last, budgets["_source"].eqNullSafe(last["_cut_source"]), "left").drop("_cut_source"), "schedule")
 
     rows = _with_source(docs.withColumn("_from", F.col(source_col).cast("string")), schedule)
     rows = rows.withColumn("_tokens", tokens(text_col)).withColumn("_block", _block(seed, id_col)).withColumn(
         "_extra", _turn(seed, F.col("_passes"))).withColumn(
         "_mine", F.struct(_place(seed, F.col("_passes"), F.col(id_col)).alias("h"), F.col(id_col).alias("id")))
-    at, cut = F.struct(F.col("_extra"), F.col("_block")), F.struct(F.col("cut_turn"), F.col("cut_block"))
-    extra = F.col("cut_block").isNotNull() & ((at < cut) | ((at == cut) & (F.col("_mine") <= F.col("cut_place"))))
+    at, cut = F.struct(F.col("_extra"), F.col("_block")), F.struct(F.col("_cut_turn"), F.col("_cut_block"))
+    extra = F.col("_cut_block").isNotNull() & ((at < cut) | ((at == cut) & (F.col("_mine") <= F.col("_cut_place"))))
     copies = (F.col("_passes") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)).cast("int")
     each = rows.withColumn("_copies", copies).filter("_copies > 0").withColumn(
         "_epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
