@@ -2,7 +2,8 @@
 
 Documents are tokenised where they are scanned; only pieces (id, start, length, checksum)
 travel on. A document longer than a sequence is cut into whole sequences and a rest. The
-pieces are dealt into randomised groups of bounded size, and each group is packed by itself, first-fit decreasing: a
+pieces are dealt into randomised groups of bounded size by a number written with the piece (so
+rows repeated with one id and text are spread too), and each group is packed by itself, first-fit decreasing: a
 tournament tree over the bins' free capacities finds the first bin that still holds a piece
 in log(bins) steps.
 
@@ -33,6 +34,7 @@ GROUP = 4096     # pieces in a group, on average
 MEMO = 500_000   # words and word pieces whose ids a worker remembers
 END_ID = 1
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long"
+NUMBERED = PIECES + ", nth long"  # nth: a number of the written piece, different for equal rows too
 
 
 def default_tokenizer() -> str:
@@ -107,18 +109,22 @@ def cut_points(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
 
 def _tokenise(path: str, length: int):
     def run(batches):
+        from pyspark import TaskContext
+
+        nth = TaskContext.get().partitionId() << 40
         memo = WordMemo(path)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = memo.ids(text.as_py()) + end
                 n = len(ids) // 4
                 for start, size in cut_points(n, length):
-                    for column, value in zip(out, (doc, start, size, zlib.crc32(ids[4 * start: 4 * (start + size)]), n)):
+                    for column, value in zip(out, (doc, start, size, zlib.crc32(ids[4 * start: 4 * (start + size)]), n, nth)):
                         column.append(value)
+                    nth += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
-                                             names=["id", "start", "length", "ids_crc32", "doc_tokens"])
+                                             names=["id", "start", "length", "ids_crc32", "doc_tokens", "nth"])
 
     return run
 
@@ -156,10 +162,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     path = tokenizer or default_tokenizer()
     pieces = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(
-        _tokenise(path, length), PIECES)
+        _tokenise(path, length), NUMBERED)
     pieces = materialise(pieces, "pieces")
     groups = F.greatest(F.lit(1), F.ceil(pieces.agg(F.count(F.lit(1))).scalar() / group))
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "id", "start", "doc_tokens"), groups))
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "nth"), groups))
 
     def place(pdf):
         pdf = pdf.sort_values(["length", "id", "start"], ascending=[False, True, True], kind="stable")

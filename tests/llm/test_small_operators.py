@@ -302,3 +302,23 @@ def test_whole_licence_texts_are_told_apart():
             size = len(license_scan.words(text))
             hits = scanner.scan(f"Copyright 2020 The Authors. {text} int main(void);")
             assert [(n, k) for n, _, _, k, _ in hits] == [(name, size)], text
+
+
+def test_clashing_names_in_mixing_and_shield(spark):
+    rows = [(i, f"s{i % 3}", "word " * (i + 1)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    more = docs.withColumns({c: F.lit(1) for c in ("cut_turn", "cut_block", "cut_place", "cut_source", "_x", "in_x", "IN_y", "_y", "_cut_turn", "before", "left")})
+    plain = sorted(tuple(r) for r in source_mixing.mix(docs, repeat_limit=1.5).select("doc_id", "_epoch", "_order").collect())
+    mixed = source_mixing.mix(more, repeat_limit=1.5)
+    assert set(more.columns) <= set(mixed.columns)
+    assert sorted(tuple(r) for r in mixed.select("doc_id", "_epoch", "_order").collect()) == plain
+
+
+def test_equal_rows_are_packed_in_many_groups(spark):
+    docs = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same words here").alias("text"))
+    got = packing.pack(docs, group=1000).collect()
+    assert len(got) == 20_000 and len({(r.sequence_id, r.offset) for r in got}) == 20_000
+    groups = {}
+    for r in got:
+        groups[r.sequence_id >> 24] = groups.get(r.sequence_id >> 24, 0) + 1
+    assert len(groups) == 20 and max(groups.values()) < 1300
