@@ -55,13 +55,13 @@ def _slot(key, depth: int):
     return F.shiftrightunsigned(key, KEY_BITS - depth).cast("long") if depth else F.lit(0).cast("long")
 
 
-def build_index(docs: DataFrame, id_col: str, text_col: str, capacity: int = 50_000, max_depth: int = 12) -> DataFrame:
-    """Write the index and return it read back: ``bucket, key, chain, digest, keep_id,
-    group_size``; ``chain`` numbers the different texts under one key.
+def build_index(docs: DataFrame, id_col: str, text_col: str, capacity: int = 50_000, max_depth: int | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """Write the index and return it read back, with its directory and that one's depth: ``bucket, key, chain, digest,
+    keep_id, group_size``; ``chain`` numbers the different texts under one key.
 
-    The directory has at most 2^max_depth slots (4,096 by default, under 100 KB), which
-    bounds its broadcast. ``max_depth`` grows with the data at the caller's choice: buckets
-    that are still overfull at that depth stay whole and are merely larger.
+    The directory has at most 2^max_depth slots, which bounds its broadcast; ``max_depth`` follows
+    from the number of keys (``depth_for``, at most 20, some 24 MB) if it isn't given. Buckets that
+    are still overfull at that depth stay whole and are merely larger.
     """
     text = text_of(text_col)
     entries = (
@@ -71,24 +71,29 @@ def build_index(docs: DataFrame, id_col: str, text_col: str, capacity: int = 50_
         .select("key", F.sha2("body", 256).alias("digest"), "keep_id", "group_size")
     )
     entries = materialise(entries, "entries")
-    slots = directory(entries.select("key").distinct(), capacity, max_depth)
+    if max_depth is None:
+        max_depth = depth_for(entries.count(), capacity)
+    slots = materialise(directory(entries.select("key").distinct(), capacity, max_depth), "directory", few_files=True)
     owned = entries.withColumn("slot", _slot(F.col("key"), max_depth)).join(F.broadcast(slots), "slot")
     chained = owned.withColumn("chain", F.row_number().over(Window.partitionBy("bucket", "key").orderBy("digest")))
     index = chained.select("bucket", "key", "chain", "digest", "keep_id", "group_size")
-    return materialise(index.repartition("bucket", "key").sortWithinPartitions("bucket", "key", "chain"), "index")
+    index = materialise(index.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "chain"), "index")
+    return index, slots, max_depth
 
 
 def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 50_000,
-                 max_depth: int = 12) -> DataFrame:
+                 max_depth: int | None = None) -> DataFrame:
     """One row per input row: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
-    index = build_index(docs, id_col, text_col, capacity, max_depth)
+    index, slots, depth = build_index(docs, id_col, text_col, capacity, max_depth)
     text = text_of(text_col)
     rows = (
         docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), F.sha2(text, 256).alias("digest"))
         .groupBy("id", "key", "digest")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    found = rows.join(index.select("key", "digest", "keep_id", "group_size"), ["key", "digest"])
+    # the directory names a key's bucket, and the bucket's range of the index is searched
+    placed = rows.withColumn("slot", _slot(F.col("key"), depth)).join(F.broadcast(slots.select("slot", "bucket")), "slot")
+    found = placed.join(index.select("bucket", "key", "digest", "keep_id", "group_size"), ["bucket", "key", "digest"])
     each = found.select("*", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("nth"))
     return each.select(
         F.col("id").alias(id_col),
