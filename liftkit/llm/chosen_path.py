@@ -16,8 +16,8 @@ Small buckets are compared by brute force. Large ones are compared with their sm
 What has been proposed gives members labels: equal ones are connected already. Where all but a few
 members of a large bucket share a label, as in a large group of near copies, the few are compared
 with all others, dealt into blocks, and the bucket is done; only buckets with more members outside
-their largest label split again. What is left at the last level is compared in blocks, block against
-block. So a member of a large group is carried into a bucket of each path of the start depth, but not
+their largest label split again, until what is left is compared in blocks, block against block, with
+no more rows than there are sets, or at the last level. So a member of a large group is carried into a bucket of each path of the start depth, but not
 further. Comparisons use the run's 64 min-hashes with a threshold low enough to lose a pair at 0.8
 with 2e-8 (32 of 64); they only propose links, kept as spanning edges, never as all pairs. Every connected
 component of proposals is then verified on the exact shingle sets, block against block, in
@@ -296,6 +296,7 @@ def propose(nodes: DataFrame, runs: int) -> DataFrame:
         """The run's coordinates."""
         return F.expr(f"substring({sketch}, run * {2 * COORDS} + 1, {2 * COORDS})").alias(sketch)
 
+    total = nodes.count()
     found = []
     for depth in range(START_DEPTH, MAX_DEPTH + 1):
         held = rows.join(_buckets(rows), "path").join(nodes.select("node", "mh"), "node")
@@ -315,13 +316,14 @@ def propose(nodes: DataFrame, runs: int) -> DataFrame:
             led = led.join(comps, F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("comp", "label")).drop("k", "comp")
         few, many = _outside_largest(led)
         found.append(materialise(few.mapInArrow(_compare_few, "u long, v long"), "proposed", few_files=True))
-        if depth == MAX_DEPTH:
+        work = many.agg(F.sum(F.ceil(F.col("n") / BLOCK))).first()[0] or 0  # rows that blocks against blocks would take
+        if depth == MAX_DEPTH or work <= total:
             pairs = block_pairs(many.select("path", "n", "node", "label", "mh"), F.ceil(F.col("n") / BLOCK), "node")
             pairs = pairs.repartition("path", "bi", "bj").sortWithinPartitions("path", "bi", "bj")
             found.append(materialise(pairs.mapInArrow(_compare_blocks, "u long, v long"), "proposed", few_files=True))
-        else:
-            rows = materialise(many.select("path", "node", "label", "run", "mh").mapInArrow(
-                _split, "path long, node long, label long, run int"), "paths")
+            break
+        rows = materialise(many.select("path", "node", "label", "run", "mh").mapInArrow(
+            _split, "path long, node long, label long, run int"), "paths")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
