@@ -3,8 +3,10 @@
 Vectors become integers, are grouped by length (geometric classes of their norm) and each
 class is cut by a hash of the id into buckets of bounded size, so a class of any size is
 spread over many tasks. Queries are packed into blocks the same way. In a first pass each
-query meets one bucket of the longest class, which gives a lower bound on its k-th score.
-In the second pass a query visits a bucket only if the bound allows it: with t = bound /
+query meets one bucket of the longest class that has a bucket of more than k vectors, which gives a
+lower bound on its k-th score. In the second pass a block of queries meets a bucket only if the
+least of its bounds is within its longest query times the bucket's longest vector, and a query
+there goes on only if its own bound allows it: with t = bound /
 (|query| * longest vector of the bucket), the local cosine threshold, the bucket is skipped
 if t > 1, pruned by length if t is low, and by the query's largest coordinates if t is high
 (a vector of cosine t or more must agree with the query in each coordinate up to
@@ -14,7 +16,8 @@ Each visit returns at most k rows, so no more than k rows per query and bucket a
 Defined results: vectors that are null or hold null or non-finite components take no part,
 nor do rows without an id (their result could not be named). Vectors of different sizes are
 compared as if the shorter ended in zeros. Equal scores rank by the smaller id. A query never
-meets rows of its own id. Components must fit 32 bits after scaling. Empty tables give an
+meets rows of its own id. Components beyond 64 bits after scaling, and scores, are held at the ends of
+that range. Empty tables give an
 empty result.
 """
 
@@ -32,6 +35,7 @@ BUCKET = 2048   # vectors in a bucket, on average
 BLOCK = 512     # queries in a block, on average
 LENGTH_ONLY = 0.3  # below this local threshold a coordinate interval prunes next to nothing
 FOCUS = 6       # coordinates tested
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int = 64) -> DataFrame:
@@ -40,7 +44,7 @@ def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int = 64
     clean = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter(
         F.col("id").isNotNull() & v.isNotNull()
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    return clean.select("id", F.transform(v, lambda x: F.floor(x * scale).cast("int")).alias("v"))
+    return clean.select("id", F.transform(v, lambda x: F.floor(x * scale).cast("long")).alias("v"))
 
 
 def _blocks(vectors: DataFrame, size: int, by_norm: bool) -> DataFrame:
@@ -58,7 +62,7 @@ def _blocks(vectors: DataFrame, size: int, by_norm: bool) -> DataFrame:
 
         pdf = pdf.sort_values("id", kind="stable")
         width = max((len(v) for v in pdf["v"]), default=0)
-        m = np.zeros((len(pdf), width), np.int32)
+        m = np.zeros((len(pdf), width), np.int64)
         for i, v in enumerate(pdf["v"]):
             m[i, : len(v)] = v
         longest = float(np.sqrt((m.astype(np.float64) ** 2).sum(1).max())) if width else 0.0
@@ -73,7 +77,7 @@ def _search(k: int):
     """Map joined (query block, bucket) rows to each query's best k of the bucket."""
 
     def unpack(ids, data, n, width):
-        return np.frombuffer(ids, np.int64), np.frombuffer(data, np.int32).reshape(n, width)
+        return np.frombuffer(ids, np.int64), np.frombuffer(data, np.int64).reshape(n, width)
 
     def search(batches):
         for batch in batches:
@@ -92,12 +96,12 @@ def _search(k: int):
 def _visit(qi, q, ci, c, bound, k):
     """One query block against one bucket; ``bound`` is each query's lower bound on its k-th score."""
     width = max(q.shape[1], c.shape[1])
-    q = np.pad(q, ((0, 0), (0, width - q.shape[1]))).astype(np.float64)
-    c = np.pad(c, ((0, 0), (0, width - c.shape[1]))).astype(np.float64)
+    whole_q, whole_c = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (q, c))
+    q, c = whole_q.astype(np.float64), whole_c.astype(np.float64)
     exact = (np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * max(width, 1)) < 2.0 ** 52
     qn, cn = np.sqrt((q * q).sum(1)), np.sqrt((c * c).sum(1))
     order = np.argsort(-cn, kind="stable")
-    c, cn, ci = c[order], cn[order], ci[order]
+    c, cn, ci, whole_c = c[order], cn[order], ci[order], whole_c[order]
     unit = c / np.maximum(cn, 1e-300)[:, None]
     out_q, out_c, out_s = [], [], []
     everything = None
@@ -127,7 +131,8 @@ def _visit(qi, q, ci, c, bound, k):
         if exact:
             s = np.rint(s).astype(np.int64)
         else:
-            s = np.array([sum(int(a) * int(b) for a, b in zip(q[i], row)) for row in c[live]], dtype=np.int64)
+            mine = whole_q[i].tolist()  # beyond 2^52: Python's integers
+            s = np.array([max(LEAST, min(MOST, sum(a * b for a, b in zip(mine, row)))) for row in whole_c[live].tolist()], dtype=np.int64)
         keep = (names != qi[i]) & (s >= theta)
         s, names = s[keep], names[keep]
         if len(s) > k:
@@ -156,10 +161,10 @@ def top_k(df: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str =
     vectors = integer_vectors(df, id_col, vector_col)
     cands = materialise(_blocks(vectors, bucket, True), "buckets")
     queries = _blocks(vectors.filter(F.col("id") % every == 0), block, False)
-    queries = materialise(queries.select(F.col("part").alias("q_part"), F.col("n").alias("q_n"), F.col("width").alias("q_width"),
+    queries = materialise(queries.select(F.col("part").alias("q_part"), F.col("n").alias("q_n"), F.col("width").alias("q_width"), F.col("longest").alias("q_longest"),
                                          F.col("ids").alias("q_ids"), F.col("data").alias("q_data")), "queries")
     # first pass: each block meets one bucket of the longest class, picked by the block's number
-    top = cands.agg(F.max("class")).scalar()
+    top = cands.agg(F.coalesce(F.max(F.when(F.col("n") > k, F.col("class"))), F.max("class"))).scalar()
     first = cands.filter(F.col("class") == top)
     heads = first.select("class", "part").agg(F.max("part").alias("last"))
     met = queries.withColumn("part", F.pmod(F.col("q_part"), heads.scalar() + 1)).withColumn("class", top)
@@ -173,8 +178,9 @@ def top_k(df: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str =
     per_block = ids.join(low, "query_id", "left").groupBy("q_part").applyInPandas(
         _bounds, "q_part long, bounds binary, least double")
     # second pass: every bucket that some query of the block may need; bucket names only, not their data
-    names = cands.select("class", "part").agg(F.sort_array(F.collect_list(F.struct("class", "part"))).alias("names"))
-    visits = queries.join(per_block, "q_part").withColumn("visit", F.explode(names.scalar())).select(
+    names = cands.select("class", "part", "longest").agg(F.sort_array(F.collect_list(F.struct("class", "part", "longest"))).alias("names"))
+    visits = queries.join(per_block, "q_part").withColumn("visit", F.explode(names.scalar())).filter(
+        F.col("least") <= F.col("q_longest") * F.col("visit.longest") * (1 + 1e-9) + 1).drop("longest").select(
         "*", F.col("visit.class").alias("class"), F.col("visit.part").alias("part"))
     found = visits.join(cands, ["class", "part"]).select(*cols).mapInArrow(_search(k), FOUND)
     best = _best(found, k)

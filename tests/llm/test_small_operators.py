@@ -322,3 +322,17 @@ def test_equal_rows_are_packed_in_many_groups(spark):
     for r in got:
         groups[r.sequence_id >> 24] = groups.get(r.sequence_id >> 24, 0) + 1
     assert len(groups) == 20 and max(groups.values()) < 1300
+
+
+def test_top_k_of_large_components_and_a_lone_long_vector(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(120)] + [(120, [1e12, 0.0, 3.0, 0.0, 0.0, 1.0]), (121, [9e15, 1.0, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, v in whole:
+        if q % 20 == 0:
+            scored = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(v, w)))), i) for i, w in whole if i != q)[:5]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    got = sorted(tuple(r) for r in topk_search.top_k(df, k=5, bucket=16, block=4).collect())
+    assert got == sorted(want)
