@@ -37,7 +37,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("""address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table
 tbody td tfoot th thead tr ul""".split())
-RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes svg math canvas object".split())
+RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes svg canvas object".split())
+CODE = frozenset(("script", "style"))  # without an end tag these reach to the end of the page
 SKIP = RAW | frozenset("head nav footer aside form button select option input label dialog menu iframe audio video".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -123,6 +124,7 @@ def parse(page: str) -> Node:
     root = Node("#root", None, False, False)
     at, end = 0, len(page)
     node, articles = root, 0
+    endless: set[str] = set()  # tags whose end tag no longer follows
     stack = [root]
     while at < end:
         m = TOKEN.match(page, at)
@@ -164,8 +166,12 @@ def parse(page: str) -> Node:
         if tag in VOID or attrs.endswith("/") and tag not in BLOCK:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            close = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            if close:
+                at = close.end()
+            else:
+                endless.add(tag)  # only the start tag is skipped
+                at = end if tag in CODE else at
             continue
         if tag in ("article", "main"):
             articles += 1

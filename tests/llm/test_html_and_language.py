@@ -142,3 +142,24 @@ def test_pages_by_markup_and_address(spark):
     want = {r["page_id"]: re.search(r'<html lang="(\w+)"', r["html"])[1] for r in table(spark, SF, "pages").collect()}
     got = {r["page_id"]: r["language"] for r in language_id_pages(spark, SF).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("tag", ["canvas", "svg", "object", "iframe", "title", "noscript"])
+def test_a_raw_tag_without_its_end_drops_nothing(tag):
+    body = "".join(f"<p>Paragraph number {i} of this article has quite some words in it, more than a menu.</p>" for i in range(5))
+    stray = body.replace("<p>Paragraph number 2", f"<{tag}><p>Paragraph number 2")
+    whole = html_density.main_text(f"<html><body><article>{body}</article></body></html>")
+    assert html_density.main_text(f"<html><body><article>{stray}</article></body></html>") == whole and "number 4" in whole
+
+
+def test_formulas_stay():
+    text = html_density.main_text("<html><body><article><p>Let <math><mi>x</mi><mo>=</mo><mn>5</mn></math> hold for all of the numbers here.</p></article></body></html>")
+    assert text == "Let x=5 hold for all of the numbers here."
+
+
+def test_many_raw_tags_without_an_end_take_linear_time():
+    import time
+
+    begun = time.time()
+    html_density.main_text("<html><body><article>" + "<canvas>word word " * 20_000 + "</article></body></html>")
+    assert time.time() - begun < 20
