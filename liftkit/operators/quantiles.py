@@ -5,8 +5,9 @@ it in one task, so one hot group (or one column with hundreds of millions of dis
 lands in a single task. Here the same answer is computed with shuffles only:
 
 1. ``groupBy(keys, value).count()``: one row per distinct value (partial aggregation first);
-2. those rows fall into buckets that are a pure function of the value (``ranking``), and
-   bucket totals give each bucket's offset within its group;
+2. those rows fall into buckets that are a pure function of the value and hold at most
+   ``bound`` rows of a group (``ranking.bucketed``); bucket totals give each bucket's offset
+   within its group;
 3. each group's quantile sits at 0-based position h = (n - 1) q; the one or two buckets whose
    range holds floor(h) and ceil(h) are ranked inside, and their rows at those positions give
    the two order statistics, interpolated linearly (the definition pandas, DuckDB
@@ -24,7 +25,7 @@ from liftkit.operators import ranking
 
 
 def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: str = "quantile",
-                     weight: str | None = None) -> DataFrame:
+                     weight: str | None = None, bound: int = ranking.TASK_ROWS) -> DataFrame:
     """Exact ``q`` quantile of ``value`` per group of ``keys`` (all rows when ``keys`` is empty).
 
     Rows with a missing key are dropped (as a grouped aggregate over present keys). With
@@ -36,7 +37,7 @@ def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float, name:
         data = data.filter(p)
     cnt = F.sum(weight) if weight else F.count(F.lit(1))
     per = data.groupBy(*keys, value).agg(cnt.cast("long").alias("_cnt"))
-    per = per.withColumn("_bucket", ranking.order_bucket(per, value))
+    per = ranking.bucketed(per, value, keys, bound=bound)
     h = (F.col("_n") - 1) * F.lit(float(q))
     lo, hi = F.floor(h), F.ceil(h)
     offsets = ranking.bucket_offsets(per, keys, F.col("_cnt"))

@@ -80,3 +80,52 @@ def test_positions_of_other_types(spark, kind):
     got = ml.positions(df.select(x.alias("x")), "x").orderBy("position").toPandas()
     assert got["position"].tolist() == list(range(3000))
     assert got["x"].tolist() == sorted(got["x"].tolist(), key=lambda v: v.encode() if kind == "string" else v)
+
+
+BOUND = 5_000
+SHAPES = {
+    "one prefix": "concat('user-0000-', lpad(cast(id as string), 9, '0'))",
+    "very long prefix": "concat(repeat('x', 500), md5(cast(id as string)))",
+    "prefixes of each other": "repeat('ab', cast(id % 300 as int))",
+    "close scores": f"0.99D + id / {100 * N}D",
+    "one outlier": "case when id = 7 then 1e300D else 1D + id * 1e-13D end",
+    "a month": "timestamp_seconds(1704067200 + id * 6)",
+    "near longs": f"{2 ** 60} + id",
+    "decimal": "cast(1000000 + id / 1000D as decimal(18,3))",
+    "hot value": "cast(case when id % 3 != 0 then 5 else id end as int)",
+    "missing": "case when id % 2 = 0 then id end",
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_no_bucket_above_the_bound(spark, shape):
+    n = 60_000
+    df = spark.range(0, n, 1, 8).select("id", F.expr(SHAPES[shape]).alias("x"))
+    b = ranking.bucketed(df, "x", bound=BOUND)
+    assert b.groupBy("_bucket").count().agg(F.max("count")).first()[0] <= BOUND
+    # buckets never overlap: each one's least value is at least the greatest of the one before
+    spans = b.groupBy("_bucket").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("_bucket").collect()
+    seen = [r for r in spans if r["lo"] is not None]
+    key = (lambda v: v.encode()) if isinstance(seen[0]["lo"], str) else (lambda v: v)
+    assert all(key(p["hi"]) <= key(q["lo"]) for p, q in zip(seen, seen[1:]))
+    got = ranking.ordered_offsets(df, "x", bound=BOUND)
+    assert tuple(got.agg(F.min("_before"), F.max("_before"), F.count_distinct("_before"), F.count("*")).first()) == (0, n - 1, n, n)
+    x = [r["x"] for r in got.filter("x is not null").orderBy("_before").select("x").collect()]
+    assert [key(v) for v in x] == sorted(key(v) for v in x)
+
+
+def test_quantiles_over_cut_buckets(spark):
+    df = spark.range(60_000).select((0.99 + F.rand(5) / 100).alias("v"), (F.col("id") % 3 == 0).cast("int").alias("g"))
+    want = df.agg(F.percentile("v", 0.99)).first()[0]
+    assert quantiles.grouped_quantile(df, [], "v", 0.99, bound=1_000).first()["quantile"] == pytest.approx(want, abs=1e-12)
+    got = {r["g"]: r["quantile"] for r in quantiles.grouped_quantile(df, ["g"], "v", 0.5, bound=1_000).collect()}
+    for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("m")).collect():
+        assert got[r["g"]] == pytest.approx(r["m"], abs=1e-12)
+
+
+def test_equal_rows_and_ties_stay_together(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("x"), (F.col("id") % 4).alias("y"))
+    got = ranking.ordered_offsets(df, "x", bound=1_000)  # four different rows: nothing finer exists
+    assert got.agg(F.count_distinct("_before"), F.max("_before")).first()[:] == (20_000, 19_999)
+    tied = ranking.ordered_offsets(spark.range(20_000).select(F.lit(1).alias("x"), "id"), "x", tie=["id"], bound=1_000)
+    assert tied.filter("_before != id").count() == 0
