@@ -15,25 +15,23 @@ from liftkit.operators import ranking
 
 
 def confusion_matrix(pred: DataFrame, classes: list | None = None, label: str = "label",
-                     prediction: str = "prediction", max_classes: int = 1000) -> DataFrame:
-    """Long-form confusion matrix over every (actual, predicted) class pair, zeros included.
+                     prediction: str = "prediction", sparse: bool = False) -> DataFrame:
+    """Long-form confusion matrix over every (actual, predicted) class pair, zeros included,
+    whatever the number of classes; with ``sparse`` only the pairs that occur.
 
-    The grid is built by exploding the class list, not by joining tables; with more than
-    ``max_classes`` classes only the pairs that occur are returned (the sparse form).
+    Without ``classes`` they are those found in either column. The grid is built by exploding
+    the class list (one row), not by joining tables.
     """
-    if classes is None:
-        values = (pred.select(F.col(label).alias("c")).union(pred.select(F.col(prediction).alias("c")))
-                  .distinct().limit(max_classes + 1).collect())
-        classes = sorted(r["c"] for r in values if r["c"] is not None)
     counts = pred.groupBy(F.col(label).alias("actual"), F.col(prediction).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n"))
-    if len(classes) > max_classes:
-        return counts.select("actual", "predicted", F.col("n").cast("long").alias("n"))
-    grid = (
-        pred.sparkSession.range(1)
-        .select(F.explode(F.array(*[F.lit(c) for c in classes])).alias("actual"))
-        .withColumn("predicted", F.explode(F.array(*[F.lit(c) for c in classes])))
-    )
+        F.count(F.lit(1)).cast("long").alias("n"))
+    if sparse:
+        return counts
+    if classes is None:
+        seen = counts.select(F.explode(F.array("actual", "predicted")).alias("c"))
+        found = seen.agg(F.array_sort(F.collect_set("c")).alias("cs"))
+    else:
+        found = pred.sparkSession.range(1).select(F.array(*[F.lit(c) for c in classes]).alias("cs"))
+    grid = found.select(F.explode("cs").alias("actual"), "cs").select("actual", F.explode("cs").alias("predicted"))
     return grid.join(counts, ["actual", "predicted"], "left").select(
         "actual", "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 

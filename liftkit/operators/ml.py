@@ -76,7 +76,7 @@ def split_stratified(df: DataFrame, id_col: str, label_col: str, test_fraction:
 
 def fit_minmax(df: DataFrame, cols: list[str]) -> dict:
     """Fitted min and max per column: one aggregate pass, one small row kept as model state."""
-    row = df.agg(*[F.min(c).alias(f"{c}__min") for c in cols], *[F.max(c).alias(f"{c}__max") for c in cols]).first()
+    row = df.agg(*[F.min(quoted(c)).alias(f"{c}__min") for c in cols], *[F.max(quoted(c)).alias(f"{c}__max") for c in cols]).first()
     return {c: (row[f"{c}__min"], row[f"{c}__max"]) for c in cols}
 
 
@@ -86,9 +86,9 @@ def apply_minmax(df: DataFrame, stats: dict, cols: list[str]) -> DataFrame:
     for c in cols:
         lo, hi = stats[c]
         if lo is None or hi is None or not hi > lo:
-            out[c] = F.when(F.col(c).isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
+            out[c] = F.when(F.col(quoted(c)).isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
         else:
-            out[c] = (F.col(c) - F.lit(float(lo))) / F.lit(float(hi - lo))
+            out[c] = (F.col(quoted(c)) - F.lit(float(lo))) / F.lit(float(hi - lo))
     return df.withColumns(out)
 
 
@@ -121,30 +121,44 @@ def standardize(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None)
 # -- one-hot ------------------------------------------------------------------------------------
 
 
-def category_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list | None:
-    """Sorted distinct non-missing levels of a column; None beyond ``max_levels``."""
+def category_levels(df: DataFrame, col: str) -> list:
+    """Sorted distinct non-missing levels of a column (model state: one value a level)."""
     c = F.col(quoted(col))
-    rows = df.select(c).filter(c.isNotNull()).distinct().limit(max_levels + 1).collect()
-    return sorted(r[0] for r in rows) if len(rows) <= max_levels else None
+    return sorted(r[0] for r in df.select(c).filter(c.isNotNull()).distinct().collect())
 
 
-def onehot(df: DataFrame, columns: list[str], prefixes: list[str], max_levels: int = 1000) -> DataFrame:
+def onehot(df: DataFrame, columns: list[str], prefixes: list[str], max_levels: int | None = None) -> DataFrame:
     """Wide one-hot: a 0/1 column ``<prefix>_<level>`` per level, every level kept, missing
-    -> all zeros; the source column is dropped. A column of more than ``max_levels`` levels
-    becomes one sparse vector column ``<prefix>_vec`` instead."""
+    -> all zeros; the source column is dropped. The form is the caller's choice: wide whatever
+    the number of levels, unless ``max_levels`` is given, which asks for one sparse vector
+    column ``<prefix>_vec`` in place of more columns than that. ``onehot_coordinates`` has no
+    limit of width."""
     out = df
     for col, prefix in zip(columns, prefixes):
-        levels = category_levels(df, col, max_levels)
-        if levels is None:
+        source = F.col(quoted(col))
+        if max_levels is not None and df.select(source).filter(source.isNotNull()).distinct().limit(max_levels + 1).count() > max_levels:
             out = onehot_vector(df, [col]).fit(df).transform(out).withColumnRenamed(f"{col}__vec", f"{prefix}_vec").drop(
                 f"{col}__idx", col)
             continue
-        source = F.col(quoted(col))
         out = out.withColumns({
-            f"{prefix}_{lv}": F.coalesce((source == F.lit(lv)).cast("int"), F.lit(0)) for lv in levels}).drop(col)
+            f"{prefix}_{lv}": F.coalesce((source == F.lit(lv)).cast("int"), F.lit(0)) for lv in category_levels(df, col)}).drop(col)
     return out
 
 
+def onehot_coordinates(df: DataFrame, id_col: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """One-hot as the places of its ones, for any number of levels: ``(id, slot)`` rows, and
+    the ``(column, level, slot)`` table. Slots count from 0 by column, then level (as text);
+    missing values have no row. No level reaches the driver."""
+    pairs = [F.struct(F.lit(i).alias("_c"), F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("level"))
+             for i, c in enumerate(columns)]
+    cells = df.select(F.col(quoted(id_col)).alias("id"), F.explode(F.array(*pairs)).alias("_cell")).select("id", "_cell.*").filter(
+        F.col("level").isNotNull())
+    levels = cells.select("_c", "column", "level").distinct()
+    levels = levels.withColumn("_order", F.concat(F.lpad(F.col("_c").cast("string"), 6, "0"), F.lit(":"), "level"))
+    levels = ranking.ordered_offsets(levels, "_order").select("column", "level", F.col("_before").alias("slot"))
+    return cells.join(levels, ["column", "level"]).select("id", "slot"), levels
+
+
 def onehot_vector(df: DataFrame, columns: list[str]) -> Pipeline:
     """Sparse alternative for high-cardinality columns: StringIndexer + OneHotEncoder with
     every level kept; missing values (the last index) are the level dropped: all zeros."""
