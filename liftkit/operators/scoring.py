@@ -1,8 +1,8 @@
 """Percentile rank with averaged ties, opportunity scores and the top market.
 
 The scores are computed over the per-market table (one row per market), so the
-un-partitioned windows here see one row per market, never raw panel rows. Row-level ranks
-(ROC AUC) use ``ranked_counts`` in ``metrics``, which never sorts raw rows in one task.
+un-partitioned windows here see one row per market, never raw panel rows. Tables of any
+size are ranked by ``percentile_ranks``, which never sorts all rows in one task.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftkit.config import ACTION_HOLD, ACTION_SCALE, ACTION_TEST, DEFAULT_COEF, Coefficients
+from liftkit.functions.clean import quoted
+from liftkit.operators import ranking
 
 SIGNALS = ["demand_signal_score", "event_pressure", "intent_index", "weather_favorability", "available_supply"]
 
@@ -28,6 +30,24 @@ def pct_rank_avg(col: str) -> Column:
     return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(avg_rank / F.count(x).over(whole))
 
 
+def percentile_ranks(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``df`` plus a column ``name`` for each ``{name: column}``: the percentile rank of
+    ``pct_rank_avg``, for tables of any size. All columns are ranked in one pass: one row per
+    (column, value) with its count, running totals through ``ranking``, joined back by value.
+    Values are compared as doubles; a missing value has a missing rank."""
+    cols = list(names.values())
+    cells = [F.struct(F.lit(i).alias("_c"), F.col(quoted(c)).cast("double").alias("_x")) for i, c in enumerate(cols)]
+    per = df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*").filter(F.col("_x").isNotNull())
+    per = per.groupBy("_c", "_x").agg(F.count(F.lit(1)).alias("_cnt"))
+    ranks = ranking.ordered_offsets(per, "_x", ["_c"], weight=F.col("_cnt")).select(
+        "_c", "_x", ((F.col("_before") + (F.col("_cnt") + 1) / 2.0) / F.col("_n")).alias("_rank"))
+    out = df
+    for i, (name, col) in enumerate(names.items()):
+        one = ranks.filter(F.col("_c") == i).select(F.col("_x").alias(f"_x_{i}"), F.col("_rank").alias(name))
+        out = out.join(one, F.col(quoted(col)).cast("double") == F.col(f"_x_{i}"), "left").drop(f"_x_{i}")
+    return out
+
+
 def market_features(panel: DataFrame, with_did: bool = False) -> DataFrame:
     """Per-market means of the five signals and the three outcomes.
 

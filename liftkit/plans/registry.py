@@ -286,13 +286,8 @@ def q_score_frame(spark, sf_dir):
 
 @register("pct_rank_avg")
 def q_pct_rank_avg(spark, sf_dir):
-    r = rollup(spark, sf_dir)
-    return stable(r.select(
-        "borough", "neighbourhood",
-        scoring.pct_rank_avg("avg_price").alias("avg_price_rank"),
-        scoring.pct_rank_avg("room_diversity").alias("room_diversity_rank"),
-        scoring.pct_rank_avg("total_reviews").alias("total_reviews_rank"),
-    ))
+    names = {"avg_price_rank": "avg_price", "room_diversity_rank": "room_diversity", "total_reviews_rank": "total_reviews"}
+    return stable(scoring.percentile_ranks(rollup(spark, sf_dir), names).select("borough", "neighbourhood", *names))
 
 
 # -- reports over warehouse views ---------------------------------------------------------------

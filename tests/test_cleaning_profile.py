@@ -145,3 +145,16 @@ def test_scores_with_tied_and_missing_signals(spark):
     assert out["D"]["recommended_action"] == "hold / improve signal quality"
     total = sum(r["opportunity_score"] for r in out.values() if r["opportunity_score"] is not None)
     assert out["C"]["expected_incremental_margin"] == pytest.approx(out["C"]["opportunity_score"] * 100.0 / total)
+
+
+def test_percentile_ranks_of_a_table_match_pandas(spark):
+    rows = [(i, None if i % 7 == 0 else float(i % 5), 0.0 if i % 3 else -0.0, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, `x.y` double, z double, n int")
+    out = scoring.percentile_ranks(df, {"rx": "x.y", "rz": "z", "rn": "n"})
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    got = out.toPandas().sort_values("i")
+    import pandas as pd
+
+    src = pd.DataFrame(rows, columns=["i", "x", "z", "n"])
+    for name, col in (("rx", "x"), ("rz", "z"), ("rn", "n")):
+        pd.testing.assert_series_equal(got[name].reset_index(drop=True), src[col].rank(pct=True), check_names=False)
