@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftkit.config import DEFAULT_COEF, Coefficients, StudyDesign
-from liftkit.operators import causal, cleaning, ml, panel, scoring
+from liftkit.operators import causal, cleaning, ml, panel, scoring, trees
 from liftkit.operators import metrics as metrics_
 from liftkit.plans import reports
 from liftkit.session import ensure_checkpoint_dir
@@ -70,19 +70,28 @@ def run(listings_raw: DataFrame, markets: DataFrame, facts: DataFrame, design: S
     return MeasurementRun(listings, demand, marketing, metrics, scores, dm)
 
 
+def demand_rows(marketing: DataFrame, seed: int = 42, test_fraction: float = 0.25) -> DataFrame:
+    """The campaign panel as the forest reads it: key (market and date), label, signals, split."""
+    keyed = marketing.withColumn("_key", F.concat_ws("|", "borough", F.col("date").cast("string")))
+    return ml.split_hash(keyed, "_key", test_fraction, seed).select(
+        "_key", F.col("experience_bookings").alias("label"), "split",
+        F.array(*[F.col(c).cast("double") for c in scoring.SIGNALS]).alias("features"))
+
+
 def fit_demand_model(marketing: DataFrame, n_trees: int = 100, min_leaf: int = 4, seed: int = 42,
-                     test_fraction: float = 0.25) -> tuple[DataFrame, float | None]:
+                     test_fraction: float = 0.25, max_depth: int = 8) -> tuple[DataFrame, float | None]:
     """The forest on the campaign panel: predicted mean bookings per market, and the R^2 on the
-    rows held out (a hash of market and date). The panel is read once per pass of the fit, so
-    give a checkpointed one."""
-    keyed = marketing.withColumn("_key", F.concat_ws("|", "borough", F.col("date").cast("string")))
-    rows = ml.assemble(ml.split_hash(keyed, "_key", test_fraction, seed), scoring.SIGNALS).select(
-        F.col("experience_bookings").alias("label"), "features", "split").persist(StorageLevel.MEMORY_AND_DISK)
-    model = ml.random_forest_regressor(n_trees, min_leaf, seed).fit(rows.filter("split = 'train'"))
-    r2 = metrics_.r2_score(model.transform(rows.filter("split = 'test'"))).first()["r2"]
+    rows held out (a hash of market and date). Trees split exactly, every signal is looked at in
+    every node, and bootstraps are a hash of (tree, key), so a fit can be repeated anywhere;
+    ``max_depth`` bounds the model. The panel is read once per level, so give a checkpointed one."""
+    rows = demand_rows(marketing, seed, test_fraction).persist(StorageLevel.MEMORY_AND_DISK)
+    model = trees.grow(rows.filter("split = 'train'"), scoring.SIGNALS, trees.bootstrap_weights("_key", n_trees, seed), n_trees,
+                       max_depth=max_depth, min_leaf=min_leaf, seed=seed)
+    r2 = metrics_.r2_score(model.predict(rows.filter("split = 'test'"))).first()["r2"]
     rows.unpersist()
-    feats = ml.assemble(scoring.market_features(marketing), scoring.SIGNALS)
-    return model.transform(feats).select("borough", F.col("prediction").alias("predicted_daily_experience_bookings")), r2
+    feats = scoring.market_features(marketing).select(
+        "borough", F.array(*[F.col(c).cast("double") for c in scoring.SIGNALS]).alias("features"))
+    return model.predict(feats, out="predicted_daily_experience_bookings").drop("features"), r2
 
 
 def run_test_tables(spark: SparkSession, sf_dir: str, **kw) -> MeasurementRun:

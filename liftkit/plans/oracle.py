@@ -739,9 +739,91 @@ SELECT 'gaussian_nb' AS model, split, avg(CAST(label = cl AS DOUBLE)) AS accurac
 SQL["gnb_classify"] = _nb_sql()
 
 
+# Zero gradient: the objective's minimum, one row per model and coefficient.
+SQL["logreg_optimality"] = with_ctes(LISTINGS + ["clf"], "").rstrip("\n") + f""",
+tr AS (SELECT count(*) AS n FROM clf WHERE {split_sql('id', 0.25, 0)} = 'train'),
+co AS (SELECT unnest([{', '.join(q(f) for f in _NB_FEATS + ['(intercept)'])}]) AS coefficient)
+SELECT m.model, co.coefficient, tr.n AS n_train, 0.0::DOUBLE AS gradient
+FROM (VALUES ('logreg_C1.0'), ('logreg_C0.1')) m(model), co, tr"""
+SQL["cross_val_optimality"] = with_ctes(LISTINGS + ["clf"], "").rstrip("\n") + f""",
+f AS (SELECT CAST(floor({hash_key_sql('id', 7)} / {float(16 ** 15)!r} * 5) AS INTEGER) AS fold FROM clf),
+k AS (SELECT CAST(i AS INTEGER) AS k FROM range(5) t(i)),
+tr AS (SELECT k, (SELECT count(*) FROM f WHERE fold <> k) AS n FROM k),
+co AS (SELECT unnest([{', '.join(q(f) for f in _NB_FEATS + ['(intercept)'])}]) AS coefficient)
+SELECT 'fold' || tr.k AS model, co.coefficient, tr.n AS n_train, 0.0::DOUBLE AS gradient FROM tr, co"""
+
+
+def _tree_sql(depth: int = 2) -> str:
+    """Exact Gini search by level: every distinct value of every feature in every node."""
+    listed = ", ".join(f"coalesce({_qi(f)}::DOUBLE, (SELECT avg({_qi(f)}) FROM sp WHERE split = 'train'))" if f in _num
+                       else f"{_qi(f)}::DOUBLE" for f in _NB_FEATS)
+    sql = with_ctes(LISTINGS + ["clf"], "").rstrip("\n") + f""",
+sp AS (SELECT *, {split_sql('id', 0.3, 200)} AS split FROM clf),
+x AS (SELECT id, label, split, [{listed}] AS f FROM sp),
+melt AS MATERIALIZED (SELECT id, label, CAST(i AS INTEGER) AS feature, f[i + 1] AS value FROM x, range({len(_NB_FEATS)}) r(i) WHERE split = 'train'),
+asg0 AS (SELECT id, 1 AS node FROM x)"""
+    for d in range(depth):
+        sql += f""",
+cell{d} AS (SELECT node, feature, value, count(*)::DOUBLE AS n1, sum(label)::DOUBLE AS s1 FROM melt JOIN asg{d} USING (id)
+  WHERE node >= {2 ** d} GROUP BY ALL),
+side{d} AS (SELECT node, feature, value, sum(n1) OVER u AS nl, sum(s1) OVER u AS sl, lead(value) OVER (PARTITION BY node, feature ORDER BY value) AS above,
+  sum(n1) OVER (PARTITION BY node, feature) AS n, sum(s1) OVER (PARTITION BY node, feature) AS s FROM cell{d}
+  WINDOW u AS (PARTITION BY node, feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+best{d} AS MATERIALIZED (SELECT * FROM (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) AS score,
+    row_number() OVER (PARTITION BY node ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, feature, value) AS r
+  FROM side{d} WHERE above IS NOT NULL AND n * s > s * s) t WHERE r = 1),
+asg{d + 1} AS MATERIALIZED (SELECT x.id, CASE WHEN b.node IS NULL THEN a.node WHEN x.f[b.feature + 1] <= (b.value + b.above) / 2 THEN 2 * a.node
+    ELSE 2 * a.node + 1 END AS node FROM x JOIN asg{d} a USING (id) LEFT JOIN best{d} b ON a.node = b.node)"""
+    return sql
+
+
+SQL["tree_classify"] = _tree_sql() + """,
+leaf AS (SELECT node, avg(label) AS p FROM x JOIN asg2 USING (id) WHERE split = 'train' GROUP BY node)
+SELECT 'decision_tree_depth2' AS model, split, avg(CAST((p > 0.5)::INTEGER = label AS DOUBLE)) AS accuracy
+FROM x JOIN asg2 USING (id) JOIN leaf USING (node) GROUP BY split"""
+SQL["tree_importance"] = _tree_sql() + f""",
+gain AS (SELECT feature, sum(score - s * s / n) AS g FROM (SELECT * FROM best0 UNION ALL SELECT * FROM best1) b GROUP BY feature),
+nm AS (SELECT unnest([{', '.join(q(f) for f in _NB_FEATS)}]) AS feature, CAST(unnest(range({len(_NB_FEATS)})) AS INTEGER) AS i)
+SELECT nm.feature, coalesce(g / (SELECT sum(g) FROM gain), 0.0)::DOUBLE AS importance FROM nm LEFT JOIN gain ON gain.feature = nm.i"""
+
+
+def _forest_roots_sql() -> str:
+    """Hashed Poisson(1) bootstraps and the exact least-squares split of each root."""
+    from liftkit.operators.scoring import SIGNALS
+    from liftkit.operators.trees import poisson_cuts
+
+    key = "borough || '|' || strftime(date, '%Y-%m-%d')"
+    h = "('0x' || substr(md5(CAST(4200000 + tree AS VARCHAR) || ':' || k), 1, 15))::BIGINT"
+    drawn = " + ".join(f"CAST(h >= {c} AS INTEGER)" for c in poisson_cuts())
+    return with_ctes(OBSERVED, "").rstrip("\n") + f""",
+x AS (SELECT {key} AS k, experience_bookings::DOUBLE AS y, [{', '.join(f'round({c}, 9)' for c in SIGNALS)}] AS f FROM mp
+  WHERE {split_sql(key, 0.25, 42)} = 'train'),
+w0 AS (SELECT x.*, CAST(t.i AS INTEGER) AS tree FROM x, range(100) t(i)),
+w AS MATERIALIZED (SELECT *, ({drawn})::DOUBLE AS w FROM (SELECT *, {h} AS h FROM w0) a),
+root AS (SELECT tree, sum(w) AS n, sum(w * y) AS s, sum(w * y * y) AS q FROM w GROUP BY tree),
+cell AS (SELECT tree, feature, value, sum(w) AS n1, sum(w * y) AS s1 FROM (
+  SELECT tree, w, y, CAST(i AS INTEGER) AS feature, f[i + 1] AS value FROM w, range({len(SIGNALS)}) r(i) WHERE w > 0) m GROUP BY ALL),
+side AS (SELECT tree, feature, value, sum(n1) OVER u AS nl, sum(s1) OVER u AS sl,
+  lead(value) OVER (PARTITION BY tree, feature ORDER BY value) AS above FROM cell
+  WINDOW u AS (PARTITION BY tree, feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+best AS (SELECT * FROM (SELECT side.*, row_number() OVER (PARTITION BY tree
+    ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, feature, value) AS r
+  FROM side JOIN root USING (tree) WHERE above IS NOT NULL AND nl >= 4 AND n - nl >= 4 AND n * q > s * s) t WHERE r = 1)
+SELECT root.tree, CAST(n AS BIGINT) AS n_rows, s / n AS label_mean, [{', '.join(q(c) for c in SIGNALS)}][best.feature + 1] AS feature,
+  (best.value + best.above) / 2 AS threshold FROM root LEFT JOIN best USING (tree)"""
+
+
+SQL["forest_roots"] = _forest_roots_sql()
+
+
 # Double-valued output columns per key (checked against the Spark schema by tests/test_oracle.py).
 DOUBLE_COLUMNS = {
     'gnb_classify': ['accuracy'],
+    'tree_classify': ['accuracy'],
+    'forest_roots': ['label_mean', 'threshold'],
+    'tree_importance': ['importance'],
+    'logreg_optimality': ['gradient'],
+    'cross_val_optimality': ['gradient'],
     'null_profile': ['missing_share'],
     'accuracy': ['accuracy'],
     'assignment_flags': [],

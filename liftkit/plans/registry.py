@@ -6,6 +6,7 @@ Each query is the library operator applied to the test-table adapters, followed
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from liftkit.functions import clean as clean_fn
-from liftkit.operators import causal, cleaning, metrics, ml, panel, profile, quality, scoring
+from liftkit.operators import causal, cleaning, logistic, metrics, ml, panel, profile, quality, scoring, trees
 from liftkit.plans import measurement, reports
 from liftkit.sources import files
 from liftkit.sources import tables as T
@@ -523,27 +524,48 @@ def q_knn_classify(spark, sf_dir):
     return stable(ml.knn_accuracy_curve(embeddings_split(spark, sf_dir), "vec_id", "embedding", "label"))
 
 
+def raw_split(spark, sf_dir, test_fraction=0.3, seed=200):
+    """Hash split with unscaled features as an array (trees don't depend on the scale); a missing
+    number becomes the training mean."""
+    df = ml.split_hash(classifier_frame(spark, sf_dir), "id", test_fraction, seed)
+    feats = feature_columns(df)
+    means = df.filter(F.col("split") == "train").agg(*[F.avg(c).alias(c) for c in NUMERIC_FEATURES]).first()
+    filled = [F.coalesce(F.col(clean_fn.quoted(c)).cast("double"), F.lit(means[c] if c in NUMERIC_FEATURES else 0.0)) for c in feats]
+    return df.select("id", "label", "split", F.array(*filled).alias("features")), feats
+
+
+def fitted_tree(spark, sf_dir):
+    rows, feats = raw_split(spark, sf_dir)
+    return trees.grow(rows.filter(F.col("split") == "train"), feats, max_depth=2), rows
+
+
 @register("tree_classify")
 def q_tree_classify(spark, sf_dir):
-    train, test, _ = prepared_split(spark, sf_dir)
-    _, a, b = ml.fit_predict(ml.decision_tree(2, 40), train, test)
-    return _accuracy_rows("decision_tree_depth2", a, b)
+    """Depth-2 tree over every distinct value of every feature: accuracy on both splits."""
+    model, rows = fitted_tree(spark, sf_dir)
+    hit = ((F.col("score") > 0.5).cast("int") == F.col("label")).cast("double")
+    return stable(model.predict(rows, out="score").groupBy("split").agg(F.avg(hit).alias("accuracy")).select(
+        F.lit("decision_tree_depth2").alias("model"), "split", "accuracy"))
 
 
 @register("tree_importance")
 def q_tree_importance(spark, sf_dir):
-    train, test, feats = prepared_split(spark, sf_dir)
-    model = ml.decision_tree(2, 40).fit(train)
-    return ml.feature_importances(model, feats, spark)
+    """The tree's share of Gini gain per feature."""
+    model, _ = fitted_tree(spark, sf_dir)
+    return stable(spark.createDataFrame(list(model.importances().items()), "feature string, importance double"))
 
 
 @register("rf_classify")
 def q_rf_classify(spark, sf_dir):
-    train, test, _ = prepared_split(spark, sf_dir, 0.25, 0)
-    _, a, b = ml.fit_predict(ml.random_forest_classifier(100, 0), train, test)
-    auc = metrics.roc_auc(ml.positive_probability(b)).select(
+    """A hundred exact-split trees on hashed bootstraps, a root's number of features a node."""
+    rows, feats = raw_split(spark, sf_dir, 0.25, 0)
+    model = trees.grow(rows.filter(F.col("split") == "train"), feats, trees.bootstrap_weights("id", 100, 0), 100, max_depth=5,
+                       per_node=int(len(feats) ** 0.5))
+    pred = model.predict(rows, out="score").withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+    test = pred.filter(F.col("split") == "test")
+    auc = metrics.roc_auc(test).select(
         F.lit("random_forest_100").alias("model"), F.lit("test_auc").alias("split"), F.col("roc_auc").alias("accuracy"))
-    return _accuracy_rows("random_forest_100", a, b).unionByName(auc)
+    return _accuracy_rows("random_forest_100", pred.filter(F.col("split") == "train"), test).unionByName(auc)
 
 
 @register("gnb_classify")
@@ -553,26 +575,73 @@ def q_gnb_classify(spark, sf_dir):
     return stable(_accuracy_rows("gaussian_nb", a, b))
 
 
+def scaled_split(spark, sf_dir, test_fraction=0.25, seed=0):
+    """Hash split, scaler fitted on the training rows only, features as an array."""
+    df = ml.split_hash(classifier_frame(spark, sf_dir), "id", test_fraction, seed)
+    feats = feature_columns(df)
+    scaled = ml.standardize(df, feats, fit_on=df.filter(F.col("split") == "train")).fillna(0.0, feats)
+    return scaled.select("id", "label", "split", F.array(*[F.col(clean_fn.quoted(c)) for c in feats]).alias("features")), feats
+
+
+def logistic_models():
+    """The published models: C = 1 and C = 0.1, on the training rows."""
+    return {f"logreg_C{c}": (F.col("split") == "train", c) for c in (1.0, 0.1)}
+
+
 @register("logreg_classify")
 def q_logreg_classify(spark, sf_dir):
-    train, test, _ = prepared_split(spark, sf_dir, 0.25, 0)
-    n = train.count()
-    out = None
-    for c in (1.0, 0.1):
-        model, a, b = ml.fit_predict(ml.logistic_regression(n, c), train, test)
-        rows = _accuracy_rows(f"logreg_C{c}", a, b)
-        auc = metrics.roc_auc(ml.positive_probability(b)).select(
-            F.lit(f"logreg_C{c}").alias("model"), F.lit("test_auc").alias("split"), F.col("roc_auc").alias("accuracy"))
-        rows = rows.unionByName(auc)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Both models fitted together by Newton steps: accuracy on both splits, area under the curve on
+    the test rows."""
+    rows, _ = scaled_split(spark, sf_dir)
+    fitted = logistic.fit(rows, logistic_models())
+    out = []
+    for name in fitted.coef:
+        pred = rows.withColumn("score", fitted.probability(name)).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+        test = pred.filter(F.col("split") == "test")
+        auc = metrics.roc_auc(test).select(
+            F.lit(name).alias("model"), F.lit("test_auc").alias("split"), F.col("roc_auc").alias("accuracy"))
+        out.append(_accuracy_rows(name, pred.filter(F.col("split") == "train"), test).unionByName(auc))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+@register("logreg_optimality")
+def q_logreg_optimality(spark, sf_dir):
+    """The gradient of both models' objectives at their coefficients: zero at the minimum."""
+    rows, feats = scaled_split(spark, sf_dir)
+    return logistic.optimality(rows, logistic.fit(rows, logistic_models()), logistic_models(), feats)
+
+
+CV_FOLDS, CV_SEED = 5, 7
+
+
+def fold_models():
+    return {f"fold{k}": (F.col("fold") != k, 1.0) for k in range(CV_FOLDS)}
+
+
+def fold_rows(spark, sf_dir):
+    df = classifier_frame(spark, sf_dir)
+    feats = feature_columns(df)
+    scaled = ml.standardize(df, feats).fillna(0.0, feats)  # missing price: the column mean
+    return scaled.select("id", "label", ml.fold_of("id", CV_FOLDS, CV_SEED).alias("fold"),
+                         F.array(*[F.col(clean_fn.quoted(c)) for c in feats]).alias("features")), feats
 
 
 @register("cross_val")
 def q_cross_val(spark, sf_dir):
-    """Logistic regression on every row; each fold's regularisation uses its own size."""
-    data = prepared_rows(spark, sf_dir)
-    return ml.cross_validate(data, lambda d: ml.logistic_regression(d.count(), 1.0), "id", folds=5)
+    """Logistic regression on every row, all folds' models fitted in the same passes; each row is
+    judged by the model that did not see it."""
+    rows, _ = fold_rows(spark, sf_dir)
+    fitted = logistic.fit(rows, fold_models())
+    score = functools.reduce(lambda c, k: c.when(F.col("fold") == k, fitted.probability(f"fold{k}")), range(CV_FOLDS), F)
+    hit = ((score > 0.5).cast("int") == F.col("label")).cast("double")
+    return rows.groupBy("fold").agg(F.lit("accuracy").alias("metric"), F.count(F.lit(1)).alias("n_rows"), F.avg(hit).alias("score"))
+
+
+@register("cross_val_optimality")
+def q_cross_val_optimality(spark, sf_dir):
+    """The gradient of each fold's model at its coefficients, and the rows it learned from."""
+    rows, feats = fold_rows(spark, sf_dir)
+    return logistic.optimality(rows, logistic.fit(rows, fold_models()), fold_models(), feats)
 
 
 @register("cross_val_recall")
@@ -585,16 +654,25 @@ def q_cross_val_recall(spark, sf_dir):
 @register("rf_regression")
 def q_rf_regression(spark, sf_dir):
     """Forest on the campaign panel: holdout R^2 and per-market predicted bookings."""
-    mp = observed_marketing(spark, sf_dir).withColumn("_key", F.concat_ws("|", "borough", F.col("date").cast("string")))
-    data = ml.assemble(ml.split_hash(mp, "_key", 0.25, 42), scoring.SIGNALS).withColumnRenamed(
-        "experience_bookings", "label").select("label", "features", "split").persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
-    model = ml.random_forest_regressor(100, 4, 42).fit(train)
-    r2 = metrics.r2_score(model.transform(test)).select(F.lit("holdout_r2").alias("name"), F.col("r2").alias("value"))
-    feats = ml.assemble(scoring.market_features(observed_marketing(spark, sf_dir)), scoring.SIGNALS)
-    per_market = model.transform(feats).select(F.concat(F.lit("predicted:"), "borough").alias("name"),
-                                               F.col("prediction").alias("value"))
-    return r2.unionByName(per_market)
+    predicted, r2 = measurement.fit_demand_model(observed_marketing(spark, sf_dir))
+    per_market = predicted.select(F.concat(F.lit("predicted:"), "borough").alias("name"),
+                                  F.col("predicted_daily_experience_bookings").alias("value"))
+    return spark.createDataFrame([("holdout_r2", r2)], "name string, value double").unionByName(per_market)
+
+
+@register("forest_roots")
+def q_forest_roots(spark, sf_dir):
+    """Per tree of the demand forest: bootstrapped rows, their label mean, and the root's split
+    (signals rounded to nine decimals, so both engines order them alike)."""
+    rows = measurement.demand_rows(observed_marketing(spark, sf_dir)).filter(F.col("split") == "train").withColumn(
+        "features", F.transform("features", lambda v: F.round(v, 9)))
+    model = trees.grow(rows, scoring.SIGNALS, trees.bootstrap_weights("_key", 100, 42), 100, max_depth=1, min_leaf=4, seed=42)
+    found = []
+    for t in range(model.n_trees):
+        n, total = model.nodes[t, trees.ROOT]
+        f, cut, _ = model.splits.get((t, trees.ROOT), (None, None, None))
+        found.append((t, int(n), total / n, None if f is None else scoring.SIGNALS[f], cut))
+    return stable(spark.createDataFrame(found, "tree int, n_rows long, label_mean double, feature string, threshold double"))
 
 
 # -- evaluation on scored documents ---------------------------------------------------------------------
