@@ -2,8 +2,8 @@
 
 Splits are deterministic functions of the row id (stable under repartitioning and executor
 loss, unlike ``randomSplit``). Scalers are fitted as one-row aggregates on the training rows
-and applied as scalar subqueries. Estimators are Spark ML's; the exact k-nearest-neighbour
-classifier is a blocked distance join done with ``cogroup().applyInPandas``.
+and applied as scalar subqueries. The exact k-nearest-neighbour classifier visits metric cells with
+``cogroup().applyInPandas``; the Spark ML estimators stay for callers who want binned trees.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from liftkit.functions.clean import quoted
 from liftkit.operators import ranking
+from liftkit.sources import files
 
 # -- splits -----------------------------------------------------------------------------------
 
@@ -174,59 +175,152 @@ def onehot_vector(df: DataFrame, columns: list[str]) -> Pipeline:
 # -- exact k nearest neighbours ---------------------------------------------------------------------
 
 
+KNN_FOUND = "qid long, qvec array<double>, tids array<long>, tlabels array<long>, dists array<double>"
+
+
 def _cell_topk(k: int):
+    """(queries, training rows) of one cell -> each query's k nearest in it, as one row. The
+    expanded squares choose, differences give the distances, ties at the k-th place included."""
     def run(key, q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(t) == 0:
-            return pd.DataFrame({"qid": [], "tid": [], "tlabel": [], "dist": []}).astype(
-                {"qid": "int64", "tid": "int64", "tlabel": "int64", "dist": "float64"})
+        if len(q) == 0:
+            return pd.DataFrame({"qid": [], "qvec": [], "tids": [], "tlabels": [], "dists": []}, dtype=object)
         qm = np.stack(q["qvec"].to_numpy()).astype(np.float64)
-        tm = np.stack(t["tvec"].to_numpy()).astype(np.float64)
-        d2 = (qm * qm).sum(1)[:, None] + (tm * tm).sum(1)[None, :] - 2.0 * (qm @ tm.T)
-        np.maximum(d2, 0.0, out=d2)
-        kk = min(k, tm.shape[0])
-        idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < tm.shape[0] else np.tile(np.arange(tm.shape[0]), (qm.shape[0], 1))
-        rows = np.repeat(np.arange(qm.shape[0]), idx.shape[1])
-        cols = idx.reshape(-1)
-        return pd.DataFrame(
-            {
-                "qid": q["qid"].to_numpy()[rows].astype("int64"),
-                "tid": t["tid"].to_numpy()[cols].astype("int64"),
-                "tlabel": t["tlabel"].to_numpy()[cols].astype("int64"),
-                "dist": np.sqrt(d2[rows, cols]),
-            }
-        )
+        out = []
+        if len(t) == 0:
+            out = [([], [], [])] * len(q)
+        else:
+            tm = np.stack(t["tvec"].to_numpy()).astype(np.float64)
+            tid, tlabel = t["tid"].to_numpy(np.int64), t["tlabel"].to_numpy(np.int64)
+            sizes = (qm * qm).sum(1)[:, None] + (tm * tm).sum(1)[None, :]
+            d2 = sizes - 2.0 * (qm @ tm.T)
+            kk = min(k, len(tm))
+            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
+            for i in range(len(qm)):
+                near = np.flatnonzero(d2[i] <= kth[i] + 1e-12 * (1.0 + sizes[i].max()))
+                dist = np.sqrt(((tm[near] - qm[i]) ** 2).sum(1))
+                first = np.lexsort((tid[near], dist))[:k]
+                out.append((tid[near][first], tlabel[near][first], dist[first]))
+        return pd.DataFrame({"qid": q["qid"].to_numpy(), "qvec": list(qm), "tids": [o[0] for o in out],
+                             "tlabels": [o[1] for o in out], "dists": [o[2] for o in out]})
+
+    return run
+
+
+def _to_pivots(pivots: np.ndarray, prefix: str):
+    """Adds each row's nearest pivot (``cell``) and the distance to it (``away``)."""
+    vec = f"{prefix}vec"
 
+    def run(batches):
+        for rows in batches:
+            if len(rows) == 0:
+                continue
+            x = np.stack(rows[vec].to_numpy()).astype(np.float64)
+            d = np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in pivots], axis=1)
+            rows["cell"] = d.argmin(axis=1).astype("int32")
+            rows["away"] = d.min(axis=1)
+            yield rows
     return run
 
 
+def _cells_to_visit(pivots: np.ndarray, cells: list[tuple], k: int):
+    """The blocks that may hold one of a query's k nearest rows, its first block left out. The
+    k-th distance is at most that in the first block, and at most d + radius of the cells that hold
+    k rows when taken by d + radius."""
+    which = np.array([c[0] for c in cells])
+    low, high = np.array([c[1] for c in cells]), np.array([c[2] for c in cells])
+    parts, rows_in = [c[3] for c in cells], np.array([c[4] for c in cells])
+
+    def run(batches):
+        for rows in batches:
+            qid, qvec, cell, part = [], [], [], []
+            for i, v, dists, home, first in zip(rows["qid"], rows["qvec"], rows["dists"], rows["cell"], rows["part"]):
+                bound = dists[k - 1] if len(dists) >= k else np.inf
+                d = np.sqrt(((pivots[which] - v) ** 2).sum(1))
+                reach = np.argsort(d + high)
+                held = np.searchsorted(rows_in[reach].cumsum(), k)
+                if held < len(reach):
+                    bound = min(bound, (d + high)[reach[held]])
+                slack = 1e-9 * (1.0 + d)
+                for c in np.flatnonzero((d - high <= bound + slack) & (low - d <= bound + slack)):
+                    for p in range(parts[c]):
+                        if which[c] != home or p != first:
+                            qid.append(i), qvec.append(v), cell.append(which[c]), part.append(p)
+            if qid:
+                yield pd.DataFrame({"qid": qid, "qvec": qvec, "cell": np.array(cell, "int32"), "part": np.array(part, "int32")})
+    return run
+
+
+def knn_cells(train: DataFrame, query: DataFrame, k: int, id_col: str, vec_col: str, label_col: str,
+              block_rows: int = 4096, max_pivots: int = 1024) -> tuple[DataFrame, DataFrame | None, DataFrame, dict]:
+    """The steps of ``knn_neighbours``: (found in the first block, further visits or None if there
+    is one block only, training rows by block, rows per cell)."""
+    t = train.select(F.col(id_col).cast("long").alias("tid"), F.col(vec_col).cast("array<double>").alias("tvec"),
+                     F.col(label_col).cast("long").alias("tlabel")).filter(F.col("tvec").isNotNull())
+    q = query.select(F.col(id_col).cast("long").alias("qid"), F.col(vec_col).cast("array<double>").alias("qvec")).filter(
+        F.col("qvec").isNotNull())
+    n = t.count()
+    drawn = t.orderBy(F.xxhash64("tid"), "tid").limit(min(max_pivots, max(1, math.ceil(n / block_rows)))).select("tvec").collect()
+    pivots = np.array([r["tvec"] for r in drawn], dtype=np.float64) if drawn else np.zeros((1, 0))
+    if not drawn:  # no training rows: one empty cell
+        home_t = t.withColumn("cell", F.lit(0)).withColumn("away", F.lit(0.0))
+        home_q = q.withColumn("cell", F.lit(0)).withColumn("away", F.lit(0.0))
+    else:
+        home_t = t.mapInPandas(_to_pivots(pivots, "t"), "tid long, tvec array<double>, tlabel long, cell int, away double")
+        home_q = q.mapInPandas(_to_pivots(pivots, "q"), "qid long, qvec array<double>, cell int, away double")
+    stats = home_t.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("low"), F.max("away").alias("high")).collect()
+    sizes = {r["cell"]: r["n"] for r in stats}
+    parts = {c: math.ceil(m / block_rows) for c, m in sizes.items()}
+
+    def dealt(rows: DataFrame, key: str) -> DataFrame:  # a cell above block_rows is cut by a hash
+        of = F.element_at(F.create_map(*[F.lit(v) for c in parts for v in (c, parts[c])]), F.col("cell")) if parts else F.lit(1)
+        return rows.withColumn("part", F.pmod(F.xxhash64(key), F.coalesce(of, F.lit(1))).cast("int"))
+
+    blocks = dealt(home_t, "tid").drop("away")
+    starts = dealt(home_q, "qid").drop("away")
+    found = _compare(starts, blocks, k, block_rows)
+    if sum(parts.values()) <= 1:
+        return found, None, blocks, sizes
+    path = files.scratch_path(train.sparkSession, "knn_first")
+    found.write.parquet(path)
+    found = train.sparkSession.read.parquet(path)
+    cells = [(r["cell"], r["low"], r["high"], parts[r["cell"]], r["n"]) for r in stats]
+    onward = found.join(starts.select("qid", "cell", "part"), "qid") if drawn else None
+    visits = onward.mapInPandas(_cells_to_visit(pivots, cells, k), "qid long, qvec array<double>, cell int, part int")
+    return found, visits, blocks, sizes
+
+
+def _compare(queries: DataFrame, blocks: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Every query against its block. A block that many queries visit is copied once for each
+    ``block_rows`` of them."""
+    copies = queries.groupBy("cell", "part").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("copies"))
+    slot = F.pmod(F.xxhash64("qid", F.lit(1)), F.col("copies")).cast("int")
+    left = queries.join(copies, ["cell", "part"]).withColumn("copy", slot).drop("copies")
+    right = blocks.join(copies, ["cell", "part"]).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    keys = ["cell", "part", "copy"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_cell_topk(k), KNN_FOUND)
+
+
 def knn_neighbours(train: DataFrame, query: DataFrame, k: int, id_col: str, vec_col: str, label_col: str,
-                   block_rows: int = 4096) -> DataFrame:
+                   block_rows: int = 4096, max_pivots: int = 1024) -> DataFrame:
     """Exact k nearest training rows for every query row: (qid, tid, tlabel, dist, rank).
 
-    Blocked nested-loop distance join: queries are cut into Q blocks and training rows into
-    T blocks by id hash; each query row is copied to the T training blocks and each training
-    row to the Q query blocks, and every (query block, training block) cell is one
-    ``cogroup`` group holding about ``block_rows`` rows per side. A cell emits at most k rows
-    per query (never all pairs); a final window per query keeps the best k of its T x k
-    candidates. Distances are squared-norm expansions in float64.
+    Metric cells: a hash of the id draws one pivot for each ``block_rows`` training rows
+    (``max_pivots`` at most), and every row goes to its nearest pivot's cell. A query is first
+    compared with a block of its own cell, which bounds its k-th distance; the triangle inequality
+    then rules out every cell whose rows all lie farther away, and only the others are visited. A
+    cell above ``block_rows`` rows is cut by a hash, a block that many queries visit is
+    copied per ``block_rows`` of them, so a task compares two bounded sides and puts out k rows a
+    query. How much is ruled out depends on how the vectors cluster; the rows are the same.
+
+    Rows without a vector take no part; ties go to the smaller ``tid``; ids of queries are expected
+    to be unique, training ids may repeat; without training rows nothing comes out. First results
+    are written under ``spark.checkpoint.dir``.
     """
-    nq = query.count()
-    nt = train.count()
-    qb = max(1, math.ceil(nq / block_rows))
-    tb = max(1, math.ceil(nt / block_rows))
-    q = query.select(
-        F.col(id_col).cast("long").alias("qid"), F.col(vec_col).alias("qvec"),
-        F.pmod(F.xxhash64(id_col), F.lit(qb)).alias("qblock"),
-    ).withColumn("tblock", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tb - 1).cast("long"))))
-    t = train.select(
-        F.col(id_col).cast("long").alias("tid"), F.col(vec_col).alias("tvec"), F.col(label_col).cast("long").alias("tlabel"),
-        F.pmod(F.xxhash64(id_col), F.lit(tb)).alias("tblock"),
-    ).withColumn("qblock", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long"))))
-    cand = (
-        q.groupBy("qblock", "tblock")
-        .cogroup(t.groupBy("qblock", "tblock"))
-        .applyInPandas(_cell_topk(k), "qid long, tid long, tlabel long, dist double")
-    )
+    found, visits, blocks, _ = knn_cells(train, query, k, id_col, vec_col, label_col, block_rows, max_pivots)
+    if visits is not None:
+        found = found.unionByName(_compare(visits, blocks, k, block_rows))
+    cand = found.select("qid", F.explode(F.arrays_zip(F.col("tids").alias("tid"), F.col("tlabels").alias("tlabel"),
+                                                      F.col("dists").alias("dist"))).alias("at")).select("qid", "at.*")
     w = Window.partitionBy("qid").orderBy("dist", "tid")
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

@@ -543,6 +543,9 @@ SQL["warehouse_roundtrip"] = with_ctes(WAREHOUSE, "SELECT table_name, n_rows FRO
 SQL["json_roundtrip"] = SQL["quality_summary"]
 SQL["corpus_roundtrip"] = """SELECT source, count(*) AS n_documents,
   CAST(sum(length(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))) AS BIGINT) AS n_chars FROM documents GROUP BY source"""
+SQL["corpus_whole_files"] = """SELECT source, CAST(sum(length(coalesce(text, '')) + 1) AS BIGINT) AS n_chars,
+  CAST(sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1) AS BIGINT) AS n_line_ends
+FROM documents GROUP BY source"""
 SQL["export_index"] = "SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_index, c_custkey AS id FROM customer"
 SQL["roc_auc_exact"] = """WITH p AS (SELECT l.quality AS label, d.n_chars / 7.0 AS score FROM labels l JOIN documents d USING (doc_id)),
 r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM p),

@@ -6,6 +6,7 @@ from __future__ import annotations
 import warnings
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, DoubleType
@@ -108,16 +109,23 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 def read_corpus(spark: SparkSession, paths: list[str], whole: bool = True) -> DataFrame:
     """Text files as one document each (or, with ``whole=False``, one per line). Paths may be
-    plain, URIs or globs; absent ones are named in a warning, undecodable bytes replaced."""
+    plain, URIs or globs; absent ones are named in a warning, undecodable bytes are left out. A
+    whole file is one value, of 2 GB at most; Spark passes over empty files, which have no row."""
     present, absent = existing_paths(spark, paths)
     if absent:
         warnings.warn(f"not found: {', '.join(absent)}", stacklevel=2)
     if not present:
         return spark.createDataFrame([], "doc_id long, path string, text string")
-    df = spark.read.text(present, wholetext=whole)
-    return df.select(F.input_file_name().alias("path"), F.col("value").alias("text")).withColumn(
-        "doc_id", F.monotonically_increasing_id()
-    ).select("doc_id", "path", "text")
+
+    @F.pandas_udf("string")
+    def decoded(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", errors="ignore"))
+
+    if whole:
+        df = spark.read.format("binaryFile").load(present).select("path", F.col("content").alias("raw"))
+    else:
+        df = spark.read.text(present).select(F.input_file_name().alias("path"), F.col("value").cast("binary").alias("raw"))
+    return df.select(F.monotonically_increasing_id().alias("doc_id"), "path", decoded("raw").alias("text"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

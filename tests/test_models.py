@@ -135,3 +135,64 @@ def test_newton_edges(spark):
         logistic.fit(spark.createDataFrame([(1, [None], 1.0), (2, [1.0], 0.0)], kind), {"m": (F.lit(True), 1.0)})
     kept = {r["p"] for r in spark.createDataFrame([(1, [0.0], 1.0)], kind).select(far.probability("m").alias("p")).collect()}
     assert all(0 <= p <= 1 for p in kept)
+
+
+def knn_table(spark, x):
+    return spark.createDataFrame([(i, [float(v) for v in x[i]], i % 3) for i in range(len(x))],
+                                 "vec_id long, embedding array<float>, label int")
+
+
+def check_knn(spark, x, train_rows, k, **kw):
+    df = knn_table(spark, x)
+    train = df.filter(F.col("vec_id").isin(train_rows))
+    got = {}
+    for r in ml.knn_neighbours(train, df, k, "vec_id", "embedding", "label", **kw).collect():
+        got.setdefault(r["qid"], {})[r["rank"]] = (r["tid"], r["dist"])
+    v = x.astype(np.float32).astype(np.float64)
+    for i in range(len(x)):
+        d = np.sqrt(((v[train_rows] - v[i]) ** 2).sum(1))
+        want = sorted(zip(d, train_rows))[:k]
+        assert [got[i][r + 1][0] for r in range(len(want))] == [t for _, t in want]
+        assert [got[i][r + 1][1] for r in range(len(want))] == pytest.approx([a for a, _ in want])
+    assert len(got) == len(x)
+
+
+def test_knn_cells_equal_brute_force_and_rule_cells_out(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(8, 6)) * 50
+    x = np.concatenate([c + rng.normal(size=(50, 6)) for c in centres])
+    train_rows = list(range(0, 400, 2))
+    check_knn(spark, x, train_rows, 5, block_rows=10)
+    df = knn_table(spark, x)
+    train = df.filter(F.col("vec_id").isin(train_rows))
+    found, visits, blocks, _ = ml.knn_cells(train, df, 5, "vec_id", "embedding", "label", block_rows=10)
+    rows = blocks.groupBy("cell", "part").count()
+    assert rows.agg(F.max("count")).first()[0] <= 30
+    compared = visits.join(rows, ["cell", "part"]).agg(F.sum("count")).first()[0]
+    assert compared + 400 * 30 < 0.4 * 400 * len(train_rows)
+
+
+def test_knn_hot_copies_ties_and_edges(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(90, 3)).round(1)
+    x[10:50] = x[10]  # nearly half of the rows are one vector: ties go to the smaller id
+    check_knn(spark, x, list(range(60)), 4, block_rows=8)
+    check_knn(spark, x, [3, 7], 4)  # fewer training rows than k
+    df = knn_table(spark, x[:5])
+    none = ml.knn_neighbours(df.filter("false"), df, 2, "vec_id", "embedding", "label")
+    assert none.collect() == []
+    gone = df.withColumn("embedding", F.when(F.col("vec_id") != 2, F.col("embedding")))
+    ids = {(r["qid"], r["tid"]) for r in ml.knn_neighbours(gone, gone, 9, "vec_id", "embedding", "label").collect()}
+    assert ids == {(i, j) for i in (0, 1, 3, 4) for j in (0, 1, 3, 4)}
+
+
+def test_whole_files_leave_bad_bytes_out(spark, tmp_path):
+    from liftkit.sources import files
+
+    cases = {"a.txt": b"caf\xc3\xa9 \xff\xfebar\n\nend", "b.txt": b"", "c.txt": "kept � sign".encode(), "d.txt": b"\xe2\x82"}
+    for name, body in cases.items():
+        (tmp_path / name).write_bytes(body)
+    got = {r["path"].rsplit("/", 1)[1]: r["text"] for r in files.read_corpus(spark, [str(tmp_path / "*.txt")]).collect()}
+    assert got == {n: b.decode("utf-8", errors="ignore") for n, b in cases.items() if b}  # an empty file has no row
+    lines = [r["text"] for r in files.read_corpus(spark, [str(tmp_path / "a.txt")], whole=False).collect()]
+    assert lines == ["café bar", "", "end"]
