@@ -1,6 +1,7 @@
 """Exact-split trees, hashed forests and Newton logistic regression against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +197,28 @@ def test_whole_files_leave_bad_bytes_out(spark, tmp_path):
     assert got == {n: b.decode("utf-8", errors="ignore") for n, b in cases.items() if b}  # an empty file has no row
     lines = [r["text"] for r in files.read_corpus(spark, [str(tmp_path / "a.txt")], whole=False).collect()]
     assert lines == ["café bar", "", "end"]
+
+
+def test_knn_visits_come_in_bounded_frames_and_distances_in_slices(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 6))
+    pivots = x[:30]
+    away = np.sqrt(((x[:, None] - pivots[None]) ** 2).sum(2))
+    home = away.argmin(1)
+    cells = [(c, 0.0, float(away.max()), 1, 4) for c in range(30)]  # nothing is ruled out
+    rows = pd.DataFrame({"qid": range(120), "qvec": list(x), "dists": [[]] * 120, "cell": home, "part": 0})
+    monkeypatch.setattr(ml, "KNN_VISITS", 100)
+    frames = list(ml._cells_to_visit(pivots, cells, 5)([rows]))
+    assert max(map(len, frames)) == 100 and sum(map(len, frames)) == 120 * 29
+    whole = ml._cell_topk(5)
+    q = pd.DataFrame({"qid": range(120), "qvec": list(x)})
+    t = pd.DataFrame({"tid": range(120), "tvec": list(x), "tlabel": 0})
+    asked = []
+    partition = np.partition
+    monkeypatch.setattr(ml.np, "partition", lambda d, *a, **k: asked.append(d.size) or partition(d, *a, **k))
+    before = whole((0,), q, t)
+    monkeypatch.setattr(ml, "KNN_CELLS", 1000)
+    after = whole((0,), q, t)
+    assert max(asked[1:]) <= 1000 and [list(v) for v in before["tids"]] == [list(v) for v in after["tids"]]
+    split = [list(ml._to_pivots(pivots, "q")(iter([q.copy()])))[0]["cell"].tolist()]
+    assert split[0] == home.tolist()
