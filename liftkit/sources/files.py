@@ -6,8 +6,7 @@ from __future__ import annotations
 import warnings
 import uuid
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, DoubleType
 
@@ -117,10 +116,6 @@ def read_corpus(spark: SparkSession, paths: list[str], whole: bool = True) -> Da
     if not present:
         return spark.createDataFrame([], "doc_id long, path string, text string")
 
-    @F.pandas_udf("string")
-    def decoded(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", errors="ignore"))
-
     if whole:
         df = spark.read.format("binaryFile").load(present).select("path", F.col("content").alias("raw"))
     else:
@@ -128,6 +123,16 @@ def read_corpus(spark: SparkSession, paths: list[str], whole: bool = True) -> Da
     return df.select(F.monotonically_increasing_id().alias("doc_id"), "path", decoded("raw").alias("text"))
 
 
+def decoded(raw: str) -> Column:
+    """The text of a binary column without the bytes that are no UTF-8. Spark puts U+FFFD for
+    those; where the text itself has that sign it is written otherwise meanwhile, by an escape. No
+    file leaves the JVM for it."""
+    bad, mark = F.lit("\ufffd"), "\x01"
+    kept = F.replace(F.replace(F.col(raw).cast("string"), F.lit(mark), F.lit(mark + "\x02")), bad, F.lit(mark + "\x03"))
+    text = F.replace(F.make_valid_utf8(kept), bad, F.lit(""))
+    return F.replace(F.replace(text, F.lit(mark + "\x03"), bad), F.lit(mark + "\x02"), F.lit(mark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory (cluster-visible)."""
     base = ensure_checkpoint_dir(spark)

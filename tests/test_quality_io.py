@@ -107,3 +107,23 @@ def test_recommended_conf_keeps_cluster_settings(spark):
     assert recommended_conf(10 * 1024 ** 3, 8)["spark.sql.shuffle.partitions"] == "41"
     applied = apply_conf(spark, {"spark.sql.shuffle.partitions": "999"})
     assert applied == {} and spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_whole_files_are_decoded_without_python(spark):
+    import random
+
+    rng = random.Random(5)
+    pieces = [b"a", b"\n", b"\x01", b"\x01\x02", b"\x01\x03", "�".encode(), "é".encode(), "漢".encode(), "😀".encode(), b"\xff",
+              b"\xc3", b"\xe2\x82", b"\xed\xa0\x80", b"\xf0\x9f\x98", b"\xc0\xaf", b"\x80", b"\xf4\x90\x80\x80", b"\x00"]
+    texts = [b"".join(rng.choice(pieces) for _ in range(60)) for _ in range(300)] + [bytes(rng.randrange(256) for _ in range(500))]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, raw binary")
+    got = {r["i"]: r["text"] for r in rows.select("i", files.decoded("raw").alias("text")).collect()}
+    assert got == {i: t.decode("utf-8", errors="ignore") for i, t in enumerate(texts)}
+    d = tempfile.mkdtemp(prefix="liftkit-corpus-")
+    with open(os.path.join(d, "a.txt"), "wb") as f:
+        f.write(b"one \xff two")
+    for whole in (True, False):
+        df = files.read_corpus(spark, [f"{d}/*.txt"], whole)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+        assert df.first()["text"] == "one  two"
