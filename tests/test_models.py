@@ -222,3 +222,17 @@ def test_knn_visits_come_in_bounded_frames_and_distances_in_slices(spark, monkey
     assert max(asked[1:]) <= 1000 and [list(v) for v in before["tids"]] == [list(v) for v in after["tids"]]
     split = [list(ml._to_pivots(pivots, "q")(iter([q.copy()])))[0]["cell"].tolist()]
     assert split[0] == home.tolist()
+
+
+def test_cells_leave_a_task_summed_and_rows_are_spread(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(rng.integers(2)), float(rng.integers(3))], float(rng.integers(2))) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label double").coalesce(1)
+    weights = trees.bootstrap_weights("id", 20, 0)
+    data = df.select(F.col("label").alias("y"), F.col("features").alias("x"), weights.alias("w"))
+    cells = data.mapInArrow(trees._sums(trees.Forest(["a", "b"], 20), 0, {}), trees.CELLS).collect()
+    assert len(cells) == 20 * (2 + 3)  # not one a row, tree and feature
+    drawn = {r["id"]: r["w"] for r in df.select("id", weights.alias("w")).collect()}
+    want = sum(drawn[i][7] * y for i, x, y in rows if x[1] == 2.0)
+    assert [c["s"] for c in cells if (c["tree"], c["feature"], c["value"]) == (7, 1, 2.0)] == [want]
+    assert trees.spread(df).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
