@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import materialise, small_batches, text_of
 
 LENGTH = 2048
 GROUP = 4096     # pieces in a group, on average
@@ -163,7 +163,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     path = tokenizer or default_tokenizer()
     pieces = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(
         _tokenise(path, length), NUMBERED)
-    pieces = materialise(pieces, "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = materialise(pieces, "pieces")
     groups = F.greatest(F.lit(1), F.ceil(pieces.agg(F.count(F.lit(1))).scalar() / group))
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "nth"), groups))
 

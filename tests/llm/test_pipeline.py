@@ -57,3 +57,28 @@ def test_entry_has_all_eleven():
     code = ("import __spark_entry__ as e; q = list(e.queries());"
             "assert all(sum(k.startswith(f'op{n}_') for k in q) == 1 for n in range(1, 11)) and 'pipeline' in q; assert set(e.oracle_sql()) <= set(q)")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=corpus_pipeline.__file__.rsplit("/", 1)[0])
+
+
+def test_packing_takes_texts_in_small_batches(spark, monkeypatch, tmp_path):
+    from liftkit.llm import packing
+
+    seen = tmp_path / "batches"
+    inner = packing._tokenise
+
+    def watched(path, length):
+        def run(batches):
+            def passing():
+                for b in batches:
+                    with open(seen, "a") as f:
+                        f.write(f"{b.num_rows}\n")
+                    yield b
+            yield from inner(path, length)(passing())
+        return run
+
+    monkeypatch.setattr(packing, "_tokenise", watched)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(3000)], "doc_id long, text string").coalesce(1)
+    assert packing.pack(docs).count() == 3000 and spark.conf.get(key) == before
+    sizes = [int(n) for n in seen.read_text().split()]
+    assert sum(sizes) == 3000 and max(sizes) <= 1000
