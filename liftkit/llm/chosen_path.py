@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialise, shield, text_of, unshield
+from .common import materialise, shield, small_batches, text_of, unshield
 from .components import connected_components
 
 WORDS = 5
@@ -440,7 +440,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rec
     text = text_of(text_col)
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     runs = runs_for(recall)
-    sketched = materialise(keyed.mapInArrow(_sketch(runs), "id long, th long, node long, size int, mh binary"), "sketches")
+    with small_batches(docs.sparkSession):
+        sketched = materialise(keyed.mapInArrow(_sketch(runs), "id long, th long, node long, size int, mh binary"), "sketches")
     nodes = sketched.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("mh").alias("mh"), F.min("size").alias("size"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("rep"))
     nodes = materialise(nodes, "nodes")
@@ -451,10 +452,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rec
         "comp", "blocks", "node", "copies", F.col("rep.id").alias("r_id"), F.col("rep.th").alias("r_th"))
     items = keyed.join(chosen, keyed["id"].eqNullSafe(chosen["r_id"]) & (keyed["th"] == chosen["r_th"])).select(
         "comp", "blocks", "node", "copies", "text").mapInArrow(_items, "comp long, blocks long, node long, copies long, items binary")
-    items = materialise(items, "items").dropDuplicates(["node"])
+    with small_batches(docs.sparkSession):
+        items = materialise(items, "items").dropDuplicates(["node"])
     pairs = block_pairs(items, F.col("blocks"), "node").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
-    verified = materialise(pairs.select("comp", "bi", "bj", "side", "node", "copies", "items").mapInArrow(
-        _verify, "node long, links long, root long"), "verified", few_files=True)
+    with small_batches(docs.sparkSession):
+        verified = materialise(pairs.select("comp", "bi", "bj", "side", "node", "copies", "items").mapInArrow(
+            _verify, "node long, links long, root long"), "verified", few_files=True)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     joined = connected_components(verified.select(F.col("root").alias("u"), F.col("node").alias("v")))
     least = joined.join(nodes.select("node", "rep"), "node").groupBy("comp").agg(F.min("rep").alias("class_rep"))

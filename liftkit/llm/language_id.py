@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shield, text_of, unshield
+from .common import materialise, shield, small_batches, text_of, unshield
 
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
@@ -75,8 +75,9 @@ def train(docs: DataFrame, text_col: str, label_col: str, languages=LANGUAGES) -
     rows = docs.select(F.lower(F.col(label_col)).alias("d"), text_of(text_col).alias("t")).filter(F.col("d").isin(*languages))
     counts = rows.mapInArrow(_count(list(languages)), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = np.full((len(languages), BUCKETS), ALPHA)
-    for r in counts.toLocalIterator():  # at most languages x BUCKETS rows
-        table[r["lang"], r["bucket"]] += r["n"]
+    with small_batches(docs.sparkSession):
+        for r in counts.toLocalIterator():  # at most languages x BUCKETS rows
+            table[r["lang"], r["bucket"]] += r["n"]
     return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -124,9 +125,12 @@ def host_priors(texts: DataFrame, languages=LANGUAGES) -> DataFrame:
     in its parent's proportions.
     """
     k = len(languages)
-    counts = texts.filter("guess IS NOT NULL").groupBy("host").agg(
-        *[F.sum((F.col("guess") == i).cast("long")).alias(f"n{i}") for i in range(k)])
-    counts = materialise(counts, "host_counts")
+    # hosts without any guess go after the sums: a filter before them would be pushed below the guess
+    # and have the texts judged twice, by two Python workers in each task
+    counts = texts.groupBy("host").agg(
+        *[F.sum((F.col("guess") == i).cast("long")).alias(f"n{i}") for i in range(k)]).filter("n0 IS NOT NULL")
+    with small_batches(texts.sparkSession):
+        counts = materialise(counts, "host_counts")
     up = counts.select(F.explode(ancestors(F.coalesce("host", F.lit("")))).alias("domain"), *[f"n{i}" for i in range(k)])
     domains = materialise(up.groupBy("domain").agg(F.array(*[F.sum(f"n{i}") for i in range(k)]).alias("n")), "domains")
     chains = counts.select("host", F.posexplode(ancestors(F.coalesce("host", F.lit(""))))).join(

@@ -31,7 +31,7 @@ from .common import materialise, small_batches, text_of
 
 LENGTH = 2048
 GROUP = 4096     # pieces in a group, on average
-MEMO = 500_000   # words and word pieces whose ids a worker remembers
+MEMO = 200_000   # words, and as many word pieces, whose ids a worker remembers: some 60 MB
 END_ID = 1
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long"
 NUMBERED = PIECES + ", nth long"  # nth: a number of the written piece, different for equal rows too

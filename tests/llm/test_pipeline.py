@@ -82,3 +82,42 @@ def test_packing_takes_texts_in_small_batches(spark, monkeypatch, tmp_path):
     assert packing.pack(docs).count() == 3000 and spark.conf.get(key) == before
     sizes = [int(n) for n in seen.read_text().split()]
     assert sum(sizes) == 3000 and max(sizes) <= 1000
+
+
+def test_language_judges_each_text_once_a_pass(spark, monkeypatch):
+    from liftkit.llm import language_id
+
+    nodes = {}
+
+    def watched(df, name, few_files=False):
+        nodes[name] = df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+        return materialise(df, name, few_files)
+
+    monkeypatch.setattr(language_id, "materialise", watched)
+    language_id.identify(table(spark, SF, "documents"), declared_col="lang", host_col="source")
+    assert nodes["host_counts"] == 1
+    rows = spark.createDataFrame([("a", 0), ("a", None), ("b", None), (None, 1), (None, None)], "host string, guess int")
+    assert {r["host"] for r in language_id.host_priors(rows).collect()} == {"a", None}
+
+
+def test_near_duplicates_take_texts_in_small_batches(spark, monkeypatch, tmp_path):
+    from liftkit.llm import chosen_path
+
+    seen = tmp_path / "batches"
+    inner = chosen_path._sketch
+
+    def watched(runs):
+        def run(batches):
+            def passing():
+                for b in batches:
+                    with open(seen, "a") as f:
+                        f.write(f"{b.num_rows}\n")
+                    yield b
+            yield from inner(runs)(passing())
+        return run
+
+    monkeypatch.setattr(chosen_path, "_sketch", watched)
+    docs = spark.createDataFrame([(i, f"text {i} of five or more words") for i in range(2500)], "doc_id long, text string").coalesce(1)
+    assert chosen_path.near_duplicates(docs).count() == 2500
+    sizes = [int(n) for n in seen.read_text().split()]
+    assert sum(sizes) == 2500 and max(sizes) <= 1000
