@@ -236,3 +236,47 @@ def test_cells_leave_a_task_summed_and_rows_are_spread(spark):
     want = sum(drawn[i][7] * y for i, x, y in rows if x[1] == 2.0)
     assert [c["s"] for c in cells if (c["tree"], c["feature"], c["value"]) == (7, 1, 2.0)] == [want]
     assert trees.spread(df).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_features_of_many_values_are_dealt_by_ranges(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    x = np.stack([rng.normal(size=400).round(2), rng.integers(0, 3, 400), rng.normal(size=400).round(3) * 50], axis=1)
+    x[:150, 2] = 7.5  # a common value, which several quantiles fall on
+    x[150:160, 2], x[160:165, 0] = -0.0, 0.0
+    y = ((x[:, 0] > 0.3) ^ (x[:, 2] > 5) ^ (rng.random(400) < 0.2)) + rng.integers(0, 3, 400).astype(float)
+    df, weights = table(spark, x, y), trees.bootstrap_weights("id", 2, 9)
+    w = np.array([r[0] for r in df.orderBy("id").select(weights).collect()], dtype=float)
+    monkeypatch.setattr(trees, "LONG", 20)
+    counted, given = trees._sums, []
+    monkeypatch.setattr(trees, "_sums", lambda *a: given.append(a[3:]) or counted(*a))
+    model = trees.grow(df, ["a", "b", "c"], weights, 2, max_depth=2, min_leaf=2)
+    assert given[0] == ((0, 2),)  # no cell a value for these two
+    for t in range(2):
+        assert {v: (f, c) for (tree, v), (f, c, _) in model.splits.items() if tree == t} == naive_tree(x, y, w[:, t], 2, 2)
+    some = trees.grow(df, ["a", "b", "c"], weights, 2, max_depth=2, per_node=1)
+    monkeypatch.setattr(trees, "LONG", 4096)
+    same = trees.grow(df, ["a", "b", "c"], weights, 2, max_depth=2, per_node=1)
+    assert some.splits == same.splits and some.nodes == same.nodes
+
+
+def test_missing_values_and_weights_where_rows_are_dealt_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(trees, "LONG", 3)
+    rows = [(i, [None if i % 7 == 0 else float("nan") if i % 11 == 0 else float(i % 20)], None if i == 5 else float(i % 20 > 12 or i % 7 == 0))
+            for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label double")
+    weights = F.when(F.col("id") != 9, F.array(F.lit(1).cast("tinyint")))
+    model = trees.grow(df, ["a"], weights, 1, max_depth=3)
+    monkeypatch.setattr(trees, "LONG", 4096)
+    same = trees.grow(df, ["a"], weights, 1, max_depth=3)
+    assert model.splits and model.splits == same.splits and model.nodes == same.nodes
+    assert model.nodes[0, 1][0] == 78  # neither the row without a label nor that without a weight
+
+
+def test_rows_predicted_by_the_trees_of_their_own_group(spark):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(60, 2)).round(2)
+    df = table(spark, x, (x[:, 0] > 0).astype(float)).withColumn("fold", F.when(F.col("id") < 50, F.col("id") % 2))
+    model = trees.grow(df, ["a", "b"], trees.bootstrap_weights("id", 6, 2), 6, max_depth=2)
+    groups = [[0, 1, 2], [3, 4, 5]]
+    want = model.predict(df, trees={"g0": groups[0], "g1": groups[1]}).select("id", F.when(F.col("fold") == 0, F.col("g0")).when(F.col("fold") == 1, F.col("g1")))
+    assert dict(model.predict_own(df, "fold", groups).select("id", "prediction").collect()) == dict(want.collect())
