@@ -280,3 +280,17 @@ def test_rows_predicted_by_the_trees_of_their_own_group(spark):
     groups = [[0, 1, 2], [3, 4, 5]]
     want = model.predict(df, trees={"g0": groups[0], "g1": groups[1]}).select("id", F.when(F.col("fold") == 0, F.col("g0")).when(F.col("fold") == 1, F.col("g1")))
     assert dict(model.predict_own(df, "fold", groups).select("id", "prediction").collect()) == dict(want.collect())
+
+
+def test_knn_visits_are_not_shuffled(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(150, 6)).round(1)
+    x[20:40] = x[20]
+    asked, compare = [], ml._compare
+    monkeypatch.setattr(ml, "_compare", lambda *a: asked.append(a) or compare(*a))
+    monkeypatch.setattr(ml, "KNN_CELLS", 60)  # distances in many slices
+    check_knn(spark, x, list(range(0, 150, 2)), 5, block_rows=8)
+    assert len(asked) == 1  # the first blocks only
+    train = knn_table(spark, x)
+    plan = ml.knn_neighbours(train, train, 5, "vec_id", "embedding", "label", block_rows=8)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" not in plan and plan.count("Exchange") == 1  # the nearest of each query
